@@ -1,0 +1,28 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a side may have to be broadcast by hint.  Reference and target tables
+# are (currencies x currencies) at most; a few hundred thousand rows of short
+# strings and decimals is a few MB per executor.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint ``broadcast`` only if ``df`` provably has at most ``max_rows`` rows.
+
+    The proof is one bounded count (``limit(max_rows + 1)``), which stops
+    reading as soon as the bound is passed.  Beyond the bound the frame is
+    returned as is and the planner (with AQE's runtime statistics) picks a
+    shuffled join instead.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def literal_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a frame built from a Python literal list (its size is known)."""
+    return F.broadcast(df)
