@@ -8,7 +8,7 @@ carry ``period`` so the planner never falls back to a nested-loop join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratebook.functions.numbers import cross_rate, mid_rate, parse_rate
@@ -59,24 +59,67 @@ def target_mids(quotes: DataFrame, targets) -> DataFrame:
             .withColumnRenamed("_target", "to_curr"))
 
 
-def cross_rates(quotes: DataFrame, targets) -> DataFrame:
+def _target_names(targets) -> list[str]:
+    """The configured target list on the driver (duplicates kept, in order)."""
+    if isinstance(targets, DataFrame):
+        raise TypeError("pass the configured target list (a list of codes)")
+    return list(targets)
+
+
+def attach_target_mids(quotes: DataFrame, targets: list[str]) -> DataFrame:
+    """J3 in column form: every quote row gets each target's mid of its period.
+
+    One window over ``period``; each target is a ``min_by(fx_rate, pos)``
+    restricted to that target's rows (first quote in document order).  A
+    window partition is one period of *quotes* -- at most one row per quoted
+    currency (plus duplicates within a document), not raw history -- so it
+    stays small however much history there is.
+    """
+    w = Window.partitionBy("period")
+    names = list(dict.fromkeys(targets))
+    mids = [F.min_by("fx_rate", F.when(F.col("from_curr") == F.lit(t), F.col("pos"))).over(w)
+            .alias(f"_mid{i}") for i, t in enumerate(names)]
+    return quotes.select("*", *mids)
+
+
+def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool) -> DataFrame:
+    """Mid rows and/or cross rows from ONE pass over the quotes.
+
+    Each quote row emits ``[its own mid row] + [one cross row per target]``
+    through a generator, so the quotes (and whatever history they are
+    derived from) are scanned once, with no self-join.  A target without a
+    quote in the period raises, naming the target and period (the source
+    stops the run in that case too).
+    """
+    targets = _target_names(targets)
+    names = list(dict.fromkeys(targets))
+    q = attach_target_mids(quotes, names)
+    rows = []
+    if with_mid_rows:
+        rows.append(F.struct(F.col("to_curr").alias("to_curr"),
+                             F.col("fx_rate").cast(WIDE_RATE).alias("fx_rate")))
+    for t in targets:
+        mid = F.col(f"_mid{names.index(t)}")
+        missing = F.raise_error(F.concat(F.lit(f"no quote for target {t} in period "),
+                                         F.coalesce(F.col("period"), F.lit("NULL"))))
+        rate = F.when(mid.isNull(), missing).otherwise(
+            cross_rate("sellValue", mid, F.concat(F.col("from_curr"), F.lit(f"->{t}"))))
+        rows.append(F.struct(F.lit(t).alias("to_curr"), rate.cast(WIDE_RATE).alias("fx_rate")))
+    keep = [c for c in quotes.columns if c not in ("to_curr", "fx_rate")]
+    if not rows:
+        return q.select(*keep, F.col("to_curr"), F.col("fx_rate").cast(WIDE_RATE)).where(F.lit(False))
+    return (q.select(*keep, F.explode(F.array(*rows)).alias("_r"))
+            .select(*keep, F.col("_r.to_curr").alias("to_curr"), F.col("_r.fx_rate").alias("fx_rate")))
+
+
+def cross_rates(quotes: DataFrame, targets: list[str]) -> DataFrame:
     """J2 + N1 + U1: every quote x every target in the same period.
 
     ``fx_rate(X->T) = sellValue(X) / mid(T)``: sell over mid, on purpose.
-    The per-target blocks come out of one equi-join on ``period`` instead of
-    a loop of unions.  Repeated targets give repeated rows, like the source.
-    Periods where a target has no quote yield no rows here; the completeness
-    guard (``quality.completeness_gaps``) reports them.
+    The per-target blocks come out of one generator instead of a loop of
+    unions; repeated targets give repeated rows, like the source.
     """
-    targets = _targets_frame(quotes, targets)
-    mids = target_mids(quotes, targets)
-    # (period, to_curr, target_mid) for every listed target, repeats kept.
-    per_target = mids.join(F.broadcast(targets.select("to_curr")), "to_curr")
-    q = quotes.drop("to_curr", "fx_rate")
-    return (q.join(per_target, "period")
-            .withColumn("fx_rate", cross_rate("sellValue", "target_mid",
-                                              F.concat_ws("->", "from_curr", "to_curr")))
-            .drop("target_mid"))
+    return _generated_rates(quotes, targets, with_mid_rows=False)
 
 
 def all_rates(quotes: DataFrame, targets, skipped: bool = False,
@@ -84,16 +127,19 @@ def all_rates(quotes: DataFrame, targets, skipped: bool = False,
     """F2 + U2 + F3 (+ G5): mid rows and cross rows, self pairs removed.
 
     The base currency is removed from the target list first (F2).
-
     ``skipped=True`` is the pass-through mode of the rare-currency jobs: the
     input comes back unchanged -- no cross rows and no self-pair filter.
     """
     if skipped:
         return quotes
-    targets = drop_base(_targets_frame(quotes, targets), base)
-    mids = quotes.withColumn("fx_rate", F.col("fx_rate").cast(WIDE_RATE))
-    cross = cross_rates(quotes, targets)
-    return drop_self_pairs(mids.unionByName(cross))
+    ts = [t for t in _target_names(targets) if t != base]
+    return drop_self_pairs(_generated_rates(quotes, ts, with_mid_rows=True))
+
+
+def union_rates(quotes: DataFrame, targets, base: str = BASE_CURRENCY) -> DataFrame:
+    """U2 alone: mid rows and cross rows, self pairs still in."""
+    ts = [t for t in _target_names(targets) if t != base]
+    return _generated_rates(quotes, ts, with_mid_rows=True)
 
 
 def rare_pair_grid(rare: DataFrame, targets: list[str]) -> DataFrame:

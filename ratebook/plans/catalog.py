@@ -64,14 +64,11 @@ def q_quote_mid(spark, sf_dir):
                     fmt5("fx_rate").alias("fx_rate"), "start", "end")
 
 
-def _union_with_self_pairs(spark, sf_dir):
-    q = _quotes(spark, sf_dir)
-    mids = q.withColumn("fx_rate", F.col("fx_rate").cast("decimal(38,20)"))
-    return mids.unionByName(rates.cross_rates(q, _targets(spark)))
+CROSS_TARGETS = [t for t in TARGETS if t != BASE_CURRENCY]
 
 
 def q_all_rates_union(spark, sf_dir):
-    return _show_rates(_union_with_self_pairs(spark, sf_dir))
+    return _show_rates(rates.union_rates(_quotes(spark, sf_dir), TARGETS))
 
 
 def q_self_pair_filter(spark, sf_dir):
@@ -97,7 +94,7 @@ def q_target_mid_first(spark, sf_dir):
 
 
 def q_cross_rates(spark, sf_dir):
-    return _show_rates(rates.cross_rates(_quotes(spark, sf_dir), _targets(spark)))
+    return _show_rates(rates.cross_rates(_quotes(spark, sf_dir), CROSS_TARGETS))
 
 
 # ---------------------------------------------------------------- enrich
@@ -244,7 +241,7 @@ def q_newest_quote(spark, sf_dir):
 
 def q_run_counts(spark, sf_dir):
     q = _quotes(spark, sf_dir)
-    cross = rates.cross_rates(q, _targets(spark))
+    cross = rates.cross_rates(q, CROSS_TARGETS)
     allr = rates.all_rates(q, TARGETS)
     snap = enrich.ref_snapshot(proxies.ref_rates(spark, sf_dir), RUN_DATE)
     known = enrich.known_pairs(enrich.enrich_left(allr, snap))
