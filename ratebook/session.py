@@ -29,7 +29,7 @@ def build_session(master: str | None = None, app: str = "ratebook",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in JOB_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
