@@ -43,7 +43,7 @@ def ingest_new_quotes(spark: SparkSession, source: str, checkpoint: str, table_p
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         # Row order across files: file time first, then place in the file.
         ordered = batch.withColumn(
-            "pos", F.unix_micros("file_mtime") * F.lit(100_000) + F.col("pos")).drop("file_mtime")
+            "pos", F.unix_millis("file_mtime") * F.lit(100_000) + F.col("pos")).drop("file_mtime")
         rows = bpm_layout(quote_mid(ordered), base, seq="pos")
         if not rows.isEmpty():
             upsert_rates(rows, table_path)
