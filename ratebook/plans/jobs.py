@@ -81,6 +81,14 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _write_counted(report: RunReport, name: str, df: DataFrame, write):
+    """A1: count the rows a sink writes in the same pass (``observe``)."""
+    observed, obs = quality.observe_counts(df, name)
+    out = write(observed)
+    report.counts[name] = int(obs.get["rows"])
+    return out
+
+
 def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                rate_type: str, job: str, erp_path: str, export_dir: str | None = None,
                bpm_path: str | None = None, run_ts: _dt.datetime | None = None,
@@ -98,9 +106,9 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
     if rate_type == "V" and one_period_per_month:
         quality.check_unique(erp, ["FROM_CURR", "TO_CURRNCY", "VALID_FROM"],
                              "V rates over several periods of one month")
+    report.outputs["erp"] = _write_counted(report, "erp", erp,
+                                           lambda d: sinks.write_erp_rates(d, erp_path, job))
     report.counts["quotes"] = q.count()
-    report.counts["erp"] = erp.count()
-    report.outputs["erp"] = sinks.write_erp_rates(erp, erp_path, job)
     if export_dir is not None:
         report.outputs["export"] = sinks.export_rates(erp, export_dir, job, run_ts)
     if bpm_path is not None and rate_type == "M":
@@ -122,9 +130,9 @@ def run_rare(rare_quotes: DataFrame, ref: DataFrame, run_date, rate_type: str, j
     quality.require_rows(rq, "rare quotes")
     erp = stage(rare_rates(rq, ref, run_date, rate_type))
     quality.require_rows(erp, "ERP rates (no known pairs)")
+    report.outputs["erp"] = _write_counted(report, "erp", erp,
+                                           lambda d: sinks.write_erp_rates(d, erp_path, job))
     report.counts["quotes"] = rq.count()
-    report.counts["erp"] = erp.count()
-    report.outputs["erp"] = sinks.write_erp_rates(erp, erp_path, job)
     if export_dir is not None:
         report.outputs["export"] = sinks.export_rates(erp, export_dir, job, run_ts)
     if bpm_path is not None and rate_type == "M":

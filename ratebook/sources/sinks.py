@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,15 @@ from ratebook.schemas import BPM_KEYS, EXCHANGE_RATE, OUT_RATE
 from ratebook.session import staging_path
 
 ERP_PARTITIONS = ["job", "RATE_TYPE", "VALID_FROM"]
+# Tasks (and files) per output partition value: a value holding a large share
+# of the rows is spread over this many tasks instead of landing in one.
+WRITE_SPREAD = 8
+
+
+def _spread(*cols):
+    """A bounded salt from row content (deterministic, so a retried task
+    writes the same rows)."""
+    return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(WRITE_SPREAD))
 
 
 def write_erp_rates(erp: DataFrame, path: str, job: str) -> str:
@@ -24,10 +34,11 @@ def write_erp_rates(erp: DataFrame, path: str, job: str) -> str:
     Dynamic partition overwrite replaces only the partitions this run
     produces, so a rerun replaces its own rows and a common and a rare run
     of the same month (same VALID_FROM) keep each other's rows.  Rows are
-    clustered by the partition columns first, so each task writes few files.
+    clustered by the partition columns plus a bounded salt: at most
+    WRITE_SPREAD files per partition value, and no value in a single task.
     """
     (erp.withColumn("job", F.lit(job))
-     .repartition(*ERP_PARTITIONS)
+     .repartition(*ERP_PARTITIONS, _spread("FROM_CURR", "TO_CURRNCY"))
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*ERP_PARTITIONS)
@@ -77,8 +88,7 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
     b = batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), seq)
     try:
         existing = spark.read.schema(EXCHANGE_RATE).parquet(path)
-        existing.limit(1).collect()
-    except Exception:  # first run: no table yet
+    except AnalysisException:  # first run: no table yet
         existing = spark.createDataFrame([], EXCHANGE_RATE)
     dates = b.select("RateDate").distinct()
     touched = existing.join(dates, "RateDate", "left_semi")
@@ -88,7 +98,7 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
     out = spark.read.parquet(staged)
     if out.isEmpty():
         raise GuardError("upsert produced no rows")
-    (out.select(*BPM_KEYS, "Rate").repartition("RateDate")
+    (out.select(*BPM_KEYS, "Rate").repartition("RateDate", _spread("Currency", "Currency2"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("RateDate").parquet(path))
     return path
