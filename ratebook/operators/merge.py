@@ -23,17 +23,28 @@ def last_per_key(batch: DataFrame, keys: list[str] = BPM_KEYS, seq: str = "seq",
     return batch.groupBy(*keys).agg(F.max_by(value, seq).alias(value))
 
 
+def merge_tagged(rows: DataFrame, keys: list[str] = BPM_KEYS, is_batch: str = "is_batch",
+                 seq: str = "seq") -> DataFrame:
+    """The MERGE reduction over target and batch rows held in one frame.
+
+    Per key, ``max_by(Rate, (is_batch, seq))``: a key in the batch takes its
+    last batch value, any other key keeps the target's.  One aggregate with
+    a map-side partial step -- a key repeated many times in the batch is
+    pre-reduced in every task before the shuffle, never sorted or collected
+    whole.
+    """
+    order = F.struct(F.col(is_batch).cast("int").alias("_b"), F.col(seq).cast("bigint").alias("_s"))
+    return (rows.groupBy(*keys)
+            .agg(F.max_by(F.col("Rate").cast(OUT_RATE), order).alias("Rate")))
+
+
 def merge_rates(target: DataFrame, batch: DataFrame, keys: list[str] = BPM_KEYS,
                 seq: str = "seq") -> DataFrame:
-    """The table after the upsert.
-
-    ``target minus batch keys`` (left anti join) ``union`` the deduplicated
-    batch.  The batch is the small side of the anti join, so the target is
-    streamed once and never shuffled when the batch fits a broadcast (AQE
-    decides from the batch's runtime size); otherwise both sides shuffle on
-    the keys, which are unique on each side, so no key is hot.
-    """
-    b = last_per_key(batch.withColumn("Rate", F.col("Rate").cast(OUT_RATE)), keys, seq)
-    t = target.select(*keys, F.col("Rate").cast(OUT_RATE).alias("Rate"))
-    kept = t.join(b.select(*keys), keys, "left_anti")
-    return kept.unionByName(b.select(*keys, "Rate"))
+    """The table after the upsert: ``merge_tagged`` over target rows
+    (not batch, seq 0) and batch rows (batch, their ``seq``); each input is
+    read once."""
+    t = target.select(*keys, "Rate", F.lit(False).alias("is_batch"),
+                      F.lit(0).cast("bigint").alias("seq"))
+    b = batch.select(*keys, "Rate", F.lit(True).alias("is_batch"),
+                     F.col(seq).cast("bigint").alias("seq"))
+    return merge_tagged(t.unionByName(b), keys)

@@ -29,14 +29,17 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 def completeness_gaps(quotes: DataFrame, targets: list[str]) -> DataFrame:
     """G3 rows: (period, to_curr) where a configured target has no quote.
 
-    Periods come from the quotes; each period emits the distinct targets
-    through a generator over the configured list (no join product).
+    One aggregate per period (a presence flag per configured target, with a
+    map-side partial step), then each period emits its missing targets
+    through a generator: the quotes are read once and nothing is joined.
     """
     wanted = sorted(set(targets))
-    periods = quotes.select("period").distinct()
-    grid = periods.select("period", F.explode(F.array(*[F.lit(t) for t in wanted])).alias("to_curr"))
-    quoted = quotes.select("period", F.col("from_curr").alias("to_curr")).distinct()
-    return grid.join(quoted, ["period", "to_curr"], "left_anti")
+    flags = [F.max(F.when(F.col("from_curr") == F.lit(t), F.lit(True))).alias(f"_has{i}")
+             for i, t in enumerate(wanted)]
+    per_period = quotes.groupBy("period").agg(*flags)
+    missing = F.array(*[F.when(F.col(f"_has{i}").isNull(), F.lit(t)) for i, t in enumerate(wanted)])
+    return (per_period.select("period", F.explode(missing).alias("to_curr"))
+            .where(F.col("to_curr").isNotNull()))
 
 
 def check_complete(quotes: DataFrame, targets: list[str]) -> None:

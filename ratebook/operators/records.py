@@ -87,19 +87,23 @@ def call_metrics(calls: DataFrame, conn: str = "connection", ts: str = "ts",
     counted per (connection, hour) in a partial aggregate, a running sum over
     those few per-connection hour rows gives the resets before each hour,
     and the within-hour running sum is a window over (connection, hour)
-    only.  The final per-epoch sums are partial aggregates as well.
+    only.  The final per-epoch sums are partial aggregates as well.  The
+    price is a second, narrow read of the calls (three columns).
     """
     hour = [F.to_date(ts).alias("_day"), F.hour(ts).alias("_hour")]
     r = F.col(reset).cast("int")
     c = calls.select(conn, ts, tie, r.alias("_r"), *measures, *hour)
-    per_hour = c.groupBy(conn, "_day", "_hour").agg(F.sum("_r").alias("_hr"))
+    cell = [conn, "_day", "_hour"]
+    # Pass 1 reads only (connection, ts, reset): a partial aggregate to one
+    # row per (connection, hour), then a running sum over those few rows.
+    per_hour = c.groupBy(*cell).agg(F.sum("_r").alias("_hr"))
     before = Window.partitionBy(conn).orderBy("_day", "_hour") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_hour.select(conn, "_day", "_hour",
-                             F.coalesce(F.sum("_hr").over(before), F.lit(0)).alias("_prior"))
-    within = Window.partitionBy(conn, "_day", "_hour").orderBy(ts, tie) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    tagged = (c.join(prefix, [conn, "_day", "_hour"])
+    prefix = per_hour.select(*cell, F.coalesce(F.sum("_hr").over(before), F.lit(0)).alias("_prior"))
+    # Pass 2: the running count inside each (connection, hour) -- the join
+    # and the window share one partitioning, so there is one shuffle.
+    within = Window.partitionBy(*cell).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+    tagged = (c.join(prefix, cell)
               .withColumn("reset_epoch", (F.col("_prior") + F.sum("_r").over(within)).cast("bigint")))
     call = F.col("_r") == 0
     return (tagged.groupBy(conn, "reset_epoch")

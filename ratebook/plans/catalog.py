@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratebook.functions.dates import date_text, iso_date, local_stamp, local_time, month_end, yyyymmdd
 from ratebook.functions.numbers import fmt5
 from ratebook.functions.text import export_name
 from ratebook.operators import enrich, layouts, quality, rates, records
-from ratebook.operators.merge import merge_rates
+from ratebook.operators.merge import merge_tagged
 from ratebook.plans import jobs
 from ratebook.sources import proxies
 from ratebook.sources.config import BASE_CURRENCY, drop_base, target_list
@@ -184,27 +184,45 @@ def q_bpm_layout(spark, sf_dir):
     return jobs.bpm_rows(_quotes(spark, sf_dir))
 
 
-def _merge_inputs(spark, sf_dir):
+def _merge_rows(spark, sf_dir):
+    """Target: the keyed rows of even quarters.  Batch: each currency's rows
+    of its last quoted year with a changed rate, plus its newest row once
+    more (later ``seq``) for one currency -- a half-overlapping batch with
+    one repeated key.  Both come from one windowed frame per currency (a
+    currency has one row per period), so the history is read once."""
     bpm = jobs.bpm_rows(_quotes(spark, sf_dir)).withColumn("Rate", F.col("Rate").cast("decimal(18,5)"))
     d = F.to_date("RateDate")
-    target = bpm.where(F.quarter(d) % 2 == 0)
-    last_year = bpm.agg(F.max(F.year(d)).alias("_y"))
-    recent = bpm.join(last_year, F.year(d) == F.col("_y")).drop("_y")
-    batch = recent.select("Currency", "Currency2",
-                          (F.col("Rate") + F.lit(MERGE_BUMP).cast("decimal(6,5)")).alias("Rate"),
-                          "RateDate", F.lit(0).cast("bigint").alias("seq"))
-    newest = bpm.agg(F.max("RateDate").alias("RateDate"))
-    repeat = (recent.join(newest, "RateDate")
-              .where(F.col("Currency") == MERGE_REPEAT_CURRENCY)
-              .select("Currency", "Currency2",
-                      (F.col("Rate") + F.lit(MERGE_REPEAT_BUMP).cast("decimal(6,5)")).alias("Rate"),
-                      "RateDate", F.lit(1).cast("bigint").alias("seq")))
-    return target, batch.unionByName(repeat)
+    w = Window.partitionBy("Currency")
+    x = (bpm.withColumn("_maxy", F.max(F.year(d)).over(w))
+         .withColumn("_maxd", F.max("RateDate").over(w)))
+
+    def role(cond, name, rate, seq):
+        return F.when(cond, F.struct(F.lit(name).alias("role"), rate.cast("decimal(18,5)").alias("Rate"),
+                                     F.lit(seq).cast("bigint").alias("seq")))
+
+    bump = F.col("Rate") + F.lit(MERGE_BUMP).cast("decimal(6,5)")
+    bump2 = F.col("Rate") + F.lit(MERGE_REPEAT_BUMP).cast("decimal(6,5)")
+    # Every row states its roles through one generator; the role filters
+    # sit above the generator, so both inputs share one derivation.
+    g = (x.select("Currency", "Currency2", "RateDate", F.explode(F.array(
+            role(F.quarter(d) % 2 == 0, "target", F.col("Rate"), 0),
+            role(F.year(d) == F.col("_maxy"), "batch", bump, 0),
+            role((F.col("Currency") == MERGE_REPEAT_CURRENCY) & (F.col("RateDate") == F.col("_maxd")),
+                 "batch", bump2, 1))).alias("_r"))
+         .where(F.col("_r").isNotNull())
+         .select("Currency", "Currency2", "RateDate", "_r.*"))
+    return g.withColumn("is_batch", F.col("role") == "batch")
+
+
+def _merge_inputs(spark, sf_dir):
+    g = _merge_rows(spark, sf_dir)
+    target = g.where(~F.col("is_batch")).select("Currency", "Currency2", "Rate", "RateDate")
+    batch = g.where(F.col("is_batch")).select("Currency", "Currency2", "Rate", "RateDate", "seq")
+    return target, batch
 
 
 def q_bpm_merge(spark, sf_dir):
-    target, batch = _merge_inputs(spark, sf_dir)
-    m = merge_rates(target, batch)
+    m = merge_tagged(_merge_rows(spark, sf_dir))
     return m.select("Currency", "Currency2", F.col("Rate").cast("string").alias("Rate"), "RateDate")
 
 
@@ -240,20 +258,26 @@ def q_newest_quote(spark, sf_dir):
 
 
 def q_run_counts(spark, sf_dir):
-    q = _quotes(spark, sf_dir)
-    cross = rates.cross_rates(q, CROSS_TARGETS)
-    allr = rates.all_rates(q, TARGETS)
+    """A1: rows at each stage of W1, from ONE pass: the union of mid and
+    cross rows is enriched once and the stage counts are conditional counts
+    over it (mid rows are those to the base currency; cross rows the rest;
+    F3 and F4 are the conditions of the later stages)."""
+    u = rates.union_rates(_quotes(spark, sf_dir), TARGETS)
     snap = enrich.ref_snapshot(proxies.ref_rates(spark, sf_dir), RUN_DATE)
-    known = enrich.known_pairs(enrich.enrich_left(allr, snap))
-    erp = layouts.erp_layout(enrich.scaled(known), "M")
-    parts = [("quotes", q), ("cross_rates", cross), ("all_rates", allr),
-             ("known_pairs", known), ("erp_rows", erp)]
-    out = None
-    for name, df in parts:
-        c = df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")) \
-            .select(F.lit(name).alias("stage"), "rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    e = enrich.enrich_left(u, snap)
+    is_mid = F.col("to_curr") == F.lit(BASE_CURRENCY)
+    kept = F.col("from_curr") != F.col("to_curr")
+    known = kept & (F.col("ref_rate") != 0)
+
+    def n(cond):
+        return F.count(F.when(cond, F.lit(1))).cast("bigint")
+
+    counts = e.agg(n(is_mid).alias("quotes"), n(~is_mid).alias("cross_rates"),
+                   n(kept).alias("all_rates"), n(known).alias("known_pairs"),
+                   n(known).alias("erp_rows"))
+    return counts.select(F.expr(
+        "stack(5, 'quotes', quotes, 'cross_rates', cross_rates, 'all_rates', all_rates, "
+        "'known_pairs', known_pairs, 'erp_rows', erp_rows) AS (stage, rows)"))
 
 
 # ---------------------------------------------------------------- records

@@ -179,12 +179,15 @@ ON c.from_curr = t.to_curr"""
     sql["bpm_layout"] = _with(Q, _bpm()) + "SELECT Currency, Currency2, CAST(Rate AS VARCHAR) AS Rate, RateDate FROM bpm"
     sql["bpm_merge"] = _with(Q, _bpm()) + f""",
 tgt AS (SELECT * FROM bpm WHERE quarter(CAST(RateDate AS DATE)) % 2 = 0),
-recent AS (SELECT * FROM bpm WHERE year(CAST(RateDate AS DATE)) = (SELECT max(year(CAST(RateDate AS DATE))) FROM bpm)),
+lastq AS (SELECT Currency, max(year(CAST(RateDate AS DATE))) AS maxy, max(RateDate) AS maxd
+          FROM bpm GROUP BY Currency),
 batch AS (
-  SELECT Currency, Currency2, Rate + 0.50000 AS Rate, RateDate, 0 AS seq FROM recent
+  SELECT b.Currency, b.Currency2, b.Rate + 0.50000 AS Rate, b.RateDate, 0 AS seq
+  FROM bpm b JOIN lastq l ON b.Currency = l.Currency AND year(CAST(b.RateDate AS DATE)) = l.maxy
   UNION ALL
-  SELECT Currency, Currency2, Rate + 1.00000 AS Rate, RateDate, 1 AS seq FROM recent
-  WHERE Currency = '{catalog.MERGE_REPEAT_CURRENCY}' AND RateDate = (SELECT max(RateDate) FROM bpm)),
+  SELECT b.Currency, b.Currency2, b.Rate + 1.00000 AS Rate, b.RateDate, 1 AS seq
+  FROM bpm b JOIN lastq l ON b.Currency = l.Currency AND b.RateDate = l.maxd
+  WHERE b.Currency = '{catalog.MERGE_REPEAT_CURRENCY}'),
 src AS (SELECT Currency, Currency2, RateDate, Rate FROM (
   SELECT *, row_number() OVER (PARTITION BY Currency, Currency2, RateDate ORDER BY seq DESC) AS rn FROM batch) WHERE rn = 1)
 SELECT coalesce(s.Currency, t.Currency) AS Currency, coalesce(s.Currency2, t.Currency2) AS Currency2,

@@ -138,11 +138,18 @@ def rare_rate_texts(spark: SparkSession, sf_dir: str, targets: list[str] = TARGE
 
     mids = nation_mids(spark, sf_dir)
     grid = rare_pair_grid(currency_list(spark, rare), targets)
-    a = mids.select(F.col("name").alias("from_curr"), F.col("mid").alias("mid_a"))
-    b = mids.select(F.col("name").alias("to_curr"), F.col("mid").alias("mid_b"))
-    # ``a`` and ``b`` hold one row per nation after an aggregation; AQE sees
-    # their exact size at runtime and broadcasts them when they are small.
-    joined = grid.join(a, "from_curr").join(b, "to_curr", "left")
+    # Both ends of a pair are looked up in ONE join: each grid row asks for
+    # two names, the answers are folded back per pair.  (Two joins against
+    # the same derived table would derive it -- and scan the history -- twice.)
+    key = ["from_curr", "to_curr", "c_pos", "t_pos"]
+    asks = grid.select(*key, F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("from_curr").alias("name")),
+        F.struct(F.lit(1).alias("side"), F.col("to_curr").alias("name")))).alias("_ask"))
+    looked = asks.join(mids, F.col("_ask.name") == mids["name"], "left")
+    joined = (looked.groupBy(*key)
+              .agg(F.max(F.when(F.col("_ask.side") == 0, F.col("mid"))).alias("mid_a"),
+                   F.max(F.when(F.col("_ask.side") == 1, F.col("mid"))).alias("mid_b"))
+              .where(F.col("mid_a").isNotNull()))
     rate = F.when(F.col("to_curr") == F.lit(BASE_CURRENCY), F.col("mid_a")) \
         .otherwise(F.col("mid_a") / F.col("mid_b"))
     text = F.round(rate, 4).cast("decimal(18,4)").cast("string")
