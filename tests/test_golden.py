@@ -17,7 +17,7 @@ def _erp(df):
 
 
 def _golden_quotes(spark, tmp):
-    write_doc(f"{tmp}/quotes", "cpt.json", GOLDEN_DOC)
+    write_doc(f"{tmp}/quotes", "quotes-0201.json", GOLDEN_DOC)
     return rates.quote_mid(scan_quote_json(spark, f"{tmp}/quotes"))
 
 
