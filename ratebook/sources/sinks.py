@@ -73,12 +73,32 @@ def export_rates(erp: DataFrame, out_dir: str, job: str,
     return target
 
 
+# Distinct partition values a batch may name before pruning falls back to a
+# semi join: fetched with one bounded ``limit(n + 1)``, so the driver only
+# ever holds this many short strings.
+MAX_PRUNE_VALUES = 10_000
+
+
+def touched_partitions(table: DataFrame, values: DataFrame, col: str,
+                       max_values: int = MAX_PRUNE_VALUES) -> DataFrame:
+    """The rows of ``table`` in the partitions named by ``values``.
+
+    Up to ``max_values`` distinct values become a static ``isin`` filter on
+    the partition column, which the file index prunes before any file is
+    opened.  Above the bound, a semi join (no pruning, still correct).
+    """
+    vals = [r[0] for r in values.limit(max_values + 1).collect()]
+    if len(vals) <= max_values:
+        return table.where(F.col(col).isin(vals))
+    return table.join(values, col, "left_semi")
+
+
 def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
     """K2: MERGE ``batch`` into the keyed rate table at ``path``.
 
     The table is Parquet partitioned by ``RateDate``.  Only the partitions
-    the batch touches are read (a semi join on the batch's dates, pruned at
-    the scan), merged, staged under the checkpoint folder, and then written
+    the batch touches are read (pruned in the file index, see
+    ``touched_partitions``), merged, staged under the checkpoint folder, and then written
     back with dynamic partition overwrite -- the path being read is never
     the path being written, and a failed run leaves the old partitions.
     Running the same batch twice gives the same table.
@@ -90,8 +110,7 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
         existing = spark.read.schema(EXCHANGE_RATE).parquet(path)
     except AnalysisException:  # first run: no table yet
         existing = spark.createDataFrame([], EXCHANGE_RATE)
-    dates = b.select("RateDate").distinct()
-    touched = existing.join(dates, "RateDate", "left_semi")
+    touched = touched_partitions(existing, b.select("RateDate").distinct(), "RateDate")
     merged = merge_rates(touched, b, BPM_KEYS, seq)
     staged = staging_path(spark, "rates-upsert")
     merged.write.mode("overwrite").parquet(staged)

@@ -136,3 +136,30 @@ def test_streaming_ingest_once_per_file(spark, tmp):
     ingest_new_quotes(spark, src, ckpt, table).awaitTermination()
     assert sinks.read_rates(spark, table).count() == 4
     assert os.path.isdir(ckpt)
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp):
+    path = f"{tmp}/rates"
+    rows = [(c, "TWD", f"{i}.5", f"2025-{m:02d}-01", 0) for i, c in enumerate(["USD", "EUR"])
+            for m in range(1, 13)]
+    sinks.upsert_rates(_rates_frame(spark, rows), path)
+    existing = sinks.read_rates(spark, path)
+    batch = _rates_frame(spark, [("USD", "TWD", "9.0", "2025-03-01", 0)])
+    touched = sinks.touched_partitions(existing, batch.select("RateDate").distinct(), "RateDate")
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(RateDate" in plan and "2025-03-01" in plan
+    assert touched.count() == 2
+    sinks.upsert_rates(batch, path)
+    back = sinks.read_rates(spark, path)
+    assert back.count() == 24
+    assert str(back.where("Currency = 'USD' AND RateDate = '2025-03-01'").first().Rate) == "9.00000"
+
+
+def test_ref_snapshot_is_a_partition_filter(spark, tmp):
+    from fixtures import ref_frame
+    from ratebook.operators.enrich import ref_snapshot
+    ref_frame(spark).write.partitionBy("rate_date").parquet(f"{tmp}/ref")
+    snap = ref_snapshot(spark.read.parquet(f"{tmp}/ref"), RUN)
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rate_date" in plan and "2025-02-21" in plan
+    assert snap.count() == 9
