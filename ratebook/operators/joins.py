@@ -21,8 +21,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def literal_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a frame built from a Python literal list (its size is known)."""
-    return F.broadcast(df)

@@ -13,16 +13,6 @@ from pyspark.sql import functions as F
 from ratebook.schemas import BPM_KEYS, OUT_RATE
 
 
-def last_per_key(batch: DataFrame, keys: list[str] = BPM_KEYS, seq: str = "seq",
-                 value: str = "Rate") -> DataFrame:
-    """One row per key: the value of the row with the highest ``seq``.
-
-    ``max_by`` is a partial aggregate: a key repeated across the batch is
-    pre-reduced map-side, never sorted or collected whole in one task.
-    """
-    return batch.groupBy(*keys).agg(F.max_by(value, seq).alias(value))
-
-
 def merge_tagged(rows: DataFrame, keys: list[str] = BPM_KEYS, is_batch: str = "is_batch",
                  seq: str = "seq") -> DataFrame:
     """The MERGE reduction over target and batch rows held in one frame.

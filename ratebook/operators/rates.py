@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratebook.functions.numbers import cross_rate, mid_rate, parse_rate
-from ratebook.schemas import RATE, WIDE_RATE
+from ratebook.schemas import WIDE_RATE
 from ratebook.sources.config import BASE_CURRENCY, drop_base, target_list
 
 
@@ -159,10 +159,3 @@ def rare_quotes_to_rates(rare_quotes: DataFrame) -> DataFrame:
     return (rare_quotes
             .select(F.col("start").alias("period"), "from_curr", "to_curr",
                     parse_rate("fx_rate").cast(WIDE_RATE).alias("fx_rate"), "start", "end"))
-
-
-def mid_as_rate(quotes: DataFrame) -> DataFrame:
-    """Mid quotes in the shape of ``all_rates`` (for pass-through mode)."""
-    return quotes.select("period", "from_curr", "to_curr",
-                         F.col("fx_rate").cast(RATE).cast(WIDE_RATE).alias("fx_rate"),
-                         "start", "end")

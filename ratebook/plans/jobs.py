@@ -118,15 +118,19 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
     return report
 
 
-def run_rare(rare_quotes: DataFrame, ref: DataFrame, run_date, rate_type: str, job: str,
+def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: str,
              erp_path: str, export_dir: str | None = None, bpm_path: str | None = None,
              run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY) -> RunReport:
-    """Run W3/W4 end to end."""
+    """Run W3/W4 end to end from captured converter pages (S3 + F1)."""
     from ratebook.sources import sinks
+    from ratebook.sources.pages import extract_page_quotes, skipped_pages
 
     layouts.check_rate_type(rate_type)
     report = RunReport(job)
-    rq = stage(rare_quotes)
+    # F1's log line: which pairs had no rate (blank or not ready).
+    report.outputs["skipped_pairs"] = sorted(
+        (r.from_curr, r.to_curr, r.fx_rate) for r in skipped_pages(pages).limit(quality.SAMPLE).collect())
+    rq = stage(extract_page_quotes(pages, run_date))
     quality.require_rows(rq, "rare quotes")
     erp = stage(rare_rates(rq, ref, run_date, rate_type))
     quality.require_rows(erp, "ERP rates (no known pairs)")

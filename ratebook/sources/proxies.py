@@ -40,7 +40,7 @@ ABSENT_MOD = 11               # pair absent from the reference when (a+b) % 11 =
 ZERO_MOD = 7                  # reference rate 0 when (a+b) % 7 = 0
 FACTOR_MOD = 3                # from_factor = 10 ^ (regionkey % 3)
 BLANK_PAGES = {("NATION_22", "NATION_3"): "", ("NATION_24", "NATION_2"): "-"}
-CONVERTER_URL = "https://converter.example.com/en/?from={a}&to={b}&amount=1"
+CONVERTER_BASE = "https://converter.example.com/en/"
 
 
 def _price(col: str = "o_totalprice"):
@@ -163,7 +163,7 @@ def converter_pages(spark: SparkSession, sf_dir: str, targets: list[str] = TARGE
                     rare: list[str] = RARE_NATIONS) -> DataFrame:
     """Captured converter pages (url, html) for the rare grid."""
     rates = rare_rate_texts(spark, sf_dir, targets, rare)
-    url = F.concat(F.lit("https://converter.example.com/en/?from="), F.col("from_curr"),
+    url = F.concat(F.lit(CONVERTER_BASE + "?from="), F.col("from_curr"),
                    F.lit("&to="), F.col("to_curr"), F.lit("&amount=1"))
     html = F.concat(
         F.lit('<html><body><form><input name="numberformat" tabindex="3" value="1">'

@@ -163,3 +163,16 @@ def test_ref_snapshot_is_a_partition_filter(spark, tmp):
     plan = snap._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(rate_date" in plan and "2025-02-21" in plan
     assert snap.count() == 9
+
+
+def test_run_rare_from_pages(spark, tmp):
+    pages = spark.createDataFrame([
+        ("https://c.example/?from=HUF&to=TWD&amount=1", '<input name="numberformat" tabindex="4" value="0.0871">'),
+        ("https://c.example/?from=HUF&to=USD&amount=1", '<input name="numberformat" tabindex="4" value="">'),
+        ("https://c.example/?from=HUF&to=HUF&amount=1", '<input name="numberformat" tabindex="4" value="1.0000">'),
+    ], "url string, html string")
+    rep = jobs.run_rare(pages, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp", bpm_path=f"{tmp}/bpm")
+    assert rep.counts == {"erp": 2, "quotes": 2}
+    assert rep.outputs["skipped_pairs"] == [("HUF", "USD", "")]
+    got = {(r.Currency, r.Currency2, str(r.Rate), r.RateDate) for r in sinks.read_rates(spark, f"{tmp}/bpm").collect()}
+    assert got == {("HUF", "TWD", "0.08710", "2025-02-21")}
