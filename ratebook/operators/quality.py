@@ -34,6 +34,8 @@ def completeness_gaps(quotes: DataFrame, targets: list[str]) -> DataFrame:
     through a generator: the quotes are read once and nothing is joined.
     """
     wanted = sorted(set(targets))
+    if not wanted:
+        return quotes.select("period", F.lit(None).cast("string").alias("to_curr")).where(F.lit(False))
     flags = [F.max(F.when(F.col("from_curr") == F.lit(t), F.lit(True))).alias(f"_has{i}")
              for i, t in enumerate(wanted)]
     per_period = quotes.groupBy("period").agg(*flags)
@@ -75,6 +77,25 @@ def check_unique(df: DataFrame, keys: list[str], what: str) -> None:
                          + "; ".join(str(tuple(r[k] for k in keys)) for r in dups))
 
 
+def periods_sharing_a_month(quotes: DataFrame) -> DataFrame:
+    """Months (by the month end of ``end``) that hold more than one period.
+
+    Under rate type V every period of a month gets the same VALID_FROM, so
+    such a history must be narrowed first (one period per month).
+    """
+    from ratebook.functions.dates import month_end
+    return (quotes.groupBy(month_end("end").alias("valid_from"))
+            .agg(F.countDistinct("period").alias("periods"))
+            .where(F.col("periods") > 1))
+
+
+def check_one_period_per_month(quotes: DataFrame) -> None:
+    bad = periods_sharing_a_month(quotes).orderBy("valid_from").limit(SAMPLE).collect()
+    if bad:
+        raise GuardError("rate type V needs one period per month; several periods in: "
+                         + ", ".join(f"{r.valid_from} ({r.periods})" for r in bad))
+
+
 def observe_counts(df: DataFrame, name: str, *extra) -> tuple[DataFrame, Observation]:
     """A1: count rows (and any extra aggregates) as a side effect of the next
     action on ``df`` -- no second job over the data."""

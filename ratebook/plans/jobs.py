@@ -36,11 +36,24 @@ def erp_rates(all_rate_rows: DataFrame, ref: DataFrame, run_date, rate_type: str
     return layouts.erp_layout(enrich.scaled(known), rate_type)
 
 
+def narrow_periods(quotes: DataFrame, periods: list[str] | None) -> DataFrame:
+    """Keep the listed periods (``start`` values); ``None`` keeps all.
+
+    An ``isin`` on a plain column: pushed into the scan when quotes are
+    stored partitioned or sorted by period.
+    """
+    return quotes if periods is None else quotes.where(F.col("period").isin(list(periods)))
+
+
 def common_rates(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                  rate_type: str = "M", base: str = BASE_CURRENCY,
-                 check_size: bool = True) -> DataFrame:
-    """W1 (M) / W2 (V): ERP rows for the common currencies."""
+                 check_size: bool = True, periods: list[str] | None = None) -> DataFrame:
+    """W1 (M) / W2 (V): ERP rows for the common currencies.
+
+    ``periods`` narrows a history to chosen periods (for V: one per month).
+    """
     layouts.check_rate_type(rate_type)
+    quotes = narrow_periods(quotes, periods)
     rows = rates.all_rates(quotes, targets, skipped=False, base=base)
     return erp_rates(rows, ref, run_date, rate_type, check_size)
 
@@ -92,20 +105,19 @@ def _write_counted(report: RunReport, name: str, df: DataFrame, write):
 def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                rate_type: str, job: str, erp_path: str, export_dir: str | None = None,
                bpm_path: str | None = None, run_ts: _dt.datetime | None = None,
-               base: str = BASE_CURRENCY, one_period_per_month: bool = True) -> RunReport:
+               base: str = BASE_CURRENCY, periods: list[str] | None = None) -> RunReport:
     """Run W1/W2 end to end: guards, ERP write, export, BPM upsert."""
     from ratebook.sources import sinks
 
     layouts.check_rate_type(rate_type)                               # G2
     report = RunReport(job)
-    q = stage(quotes)
+    q = stage(narrow_periods(quotes, periods))
     quality.require_rows(q, "quotes")                                 # G1
     quality.check_complete(q, _targets_wo_base(targets, base))       # G3
+    if rate_type == "V":
+        quality.check_one_period_per_month(q)                        # V collision
     erp = stage(common_rates(q, targets, ref, run_date, rate_type, base))
     quality.require_rows(erp, "ERP rates (no known pairs)")          # G1 / all unknown
-    if rate_type == "V" and one_period_per_month:
-        quality.check_unique(erp, ["FROM_CURR", "TO_CURRNCY", "VALID_FROM"],
-                             "V rates over several periods of one month")
     report.outputs["erp"] = _write_counted(report, "erp", erp,
                                            lambda d: sinks.write_erp_rates(d, erp_path, job))
     report.counts["quotes"] = q.count()

@@ -137,13 +137,19 @@ def test_local_run_stamp(spark):
     assert df.select(export_name("common_m", F.col("ts"))).first()[0] == "FinalData__common_m__20250102_0400"
 
 
-def test_v_two_periods_one_month(spark):
+def test_v_two_periods_one_month(spark, tmp):
     a = items_frame(spark, [("USD", "32.5", "32.9")], start="20250201", end="20250210")
     b = items_frame(spark, [("USD", "33.5", "33.9")], start="20250211", end="20250220")
     q = rates.quote_mid(a.unionByName(b))
     erp = jobs.common_rates(q, ["TWD"], ref_frame(spark), RUN, "V")
     with pytest.raises(quality.GuardError, match="not unique"):
         quality.check_unique(erp, ["FROM_CURR", "TO_CURRNCY", "VALID_FROM"], "V rates")
+    with pytest.raises(quality.GuardError, match="20250228"):
+        jobs.run_common(q, ["TWD"], ref_frame(spark), RUN, "V", "common_v", f"{tmp}/erp")
+    # narrowed to one period of the month, the run goes through
+    rep = jobs.run_common(q, ["TWD"], ref_frame(spark), RUN, "V", "common_v", f"{tmp}/erp",
+                          periods=["20250211"])
+    assert rep.counts["erp"] == 1
 
 
 def test_rare_self_pair_kept(spark):
