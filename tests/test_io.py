@@ -176,3 +176,23 @@ def test_run_rare_from_pages(spark, tmp):
     assert rep.outputs["skipped_pairs"] == [("HUF", "USD", "")]
     got = {(r.Currency, r.Currency2, str(r.Rate), r.RateDate) for r in sinks.read_rates(spark, f"{tmp}/bpm").collect()}
     assert got == {("HUF", "TWD", "0.08710", "2025-02-21")}
+
+
+def test_cli_common_and_rare(spark, tmp):
+    from ratebook.cli import main
+    ref_frame(spark).write.parquet(f"{tmp}/ref")
+    out = main(["common", "--quotes", _golden_dir(tmp), "--ref", f"{tmp}/ref",
+                "--targets", '["TWD","USD","EUR"]', "--rate-type", "M", "--run-date", "20250221",
+                "--job", "common_m", "--erp", f"{tmp}/erp", "--bpm", f"{tmp}/bpm",
+                "--export", f"{tmp}/exp", "--run-ts", "2025-01-01T20:00"], spark=spark)
+    assert out["counts"]["erp"] == 5
+    assert out["outputs"]["export"].endswith("FinalData__common_m__20250102_0400")
+    spark.createDataFrame([("https://c.example/?from=HUF&to=TWD&amount=1",
+                            '<input name="numberformat" tabindex="4" value="0.0871">')],
+                          "url string, html string").write.parquet(f"{tmp}/pages")
+    out = main(["rare", "--pages", f"{tmp}/pages", "--ref", f"{tmp}/ref", "--rate-type", "V",
+                "--run-date", "20250221", "--job", "rare_v", "--erp", f"{tmp}/erp"], spark=spark)
+    assert out["counts"]["erp"] == 1
+    back = sinks.read_erp_rates(spark, f"{tmp}/erp")
+    assert back.where("job = 'rare_v' AND VALID_FROM = '20250228'").count() == 1
+    assert back.where("job = 'common_m'").count() == 5
