@@ -132,7 +132,15 @@ def _typed(col: Column, ftype: str, arg) -> Column:
     if ftype == "BCD":
         return F.trim(col).try_cast(f"decimal({arg or '31,14'})")
     if ftype == "INT":
-        return F.trim(col).try_cast("bigint")
+        # INT1 is unsigned (0..255); INT2/INT4/INT8 are signed 16/32/64 bit.
+        width = int(arg or 8)
+        kinds = {1: ("smallint", 0, 255), 2: ("smallint", -32768, 32767),
+                 4: ("int", -2147483648, 2147483647), 8: ("bigint", None, None)}
+        kind, lo, hi = kinds[width]
+        v = F.trim(col).try_cast("bigint")
+        if lo is not None:
+            v = F.when(v.between(lo, hi), v)
+        return v.cast(kind)
     if ftype == "FLOAT":
         return F.trim(col).try_cast("double")
     if ftype == "BYTE":

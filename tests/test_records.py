@@ -97,3 +97,10 @@ def test_deep_table_proxy_whole_texts(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     want = docs.select(F.sum(F.size(F.split("text", "\n", -1)))).first()[0]
     assert flat.count() == want
+
+
+def test_int_widths(spark):
+    df = spark.createDataFrame([("255", "-5", "70000", " 12 ")], "a string, b string, c string, d string")
+    spec = [("a", "INT", 1), ("b", "INT", 1), ("c", "INT", 2), ("d", "INT", 4)]
+    r = records.normalize_records(df, spec).first()
+    assert (r.a, r.b, r.c, r.d, r.errors) == (255, None, None, 12, "b,c")
