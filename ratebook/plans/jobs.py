@@ -81,17 +81,19 @@ class RunReport:
     outputs: dict = field(default_factory=dict)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` to the checkpoint folder and read it back.
-
-    ``checkpoint()`` is reliable (shared storage), unlike a local checkpoint
-    or a cache, so a lost executor does not send the job back to the raw
-    history.  The folder is whatever the cluster names in
-    ``spark.checkpoint.dir``.
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as a Parquet table under the cluster's
+    checkpoint folder (``spark.checkpoint.dir``) and read it back.
+
+    One pass over the input (an RDD checkpoint would compute the plan a
+    second time to write it), on shared storage (unlike a local checkpoint
+    or a cache), so a lost executor never sends the job back to the raw
+    history.
     """
-    from ratebook.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from ratebook.session import staging_path
+    path = staging_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _write_counted(report: RunReport, name: str, df: DataFrame, write):
@@ -111,12 +113,12 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
 
     layouts.check_rate_type(rate_type)                               # G2
     report = RunReport(job)
-    q = stage(narrow_periods(quotes, periods))
+    q = stage(narrow_periods(quotes, periods), "quotes")
     quality.require_rows(q, "quotes")                                 # G1
     quality.check_complete(q, _targets_wo_base(targets, base))       # G3
     if rate_type == "V":
         quality.check_one_period_per_month(q)                        # V collision
-    erp = stage(common_rates(q, targets, ref, run_date, rate_type, base))
+    erp = stage(common_rates(q, targets, ref, run_date, rate_type, base), "erp")
     quality.require_rows(erp, "ERP rates (no known pairs)")          # G1 / all unknown
     report.outputs["erp"] = _write_counted(report, "erp", erp,
                                            lambda d: sinks.write_erp_rates(d, erp_path, job))
@@ -142,9 +144,9 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
     # F1's log line: which pairs had no rate (blank or not ready).
     report.outputs["skipped_pairs"] = sorted(
         (r.from_curr, r.to_curr, r.fx_rate) for r in skipped_pages(pages).limit(quality.SAMPLE).collect())
-    rq = stage(extract_page_quotes(pages, run_date))
+    rq = stage(extract_page_quotes(pages, run_date), "rare-quotes")
     quality.require_rows(rq, "rare quotes")
-    erp = stage(rare_rates(rq, ref, run_date, rate_type))
+    erp = stage(rare_rates(rq, ref, run_date, rate_type), "erp")
     quality.require_rows(erp, "ERP rates (no known pairs)")
     report.outputs["erp"] = _write_counted(report, "erp", erp,
                                            lambda d: sinks.write_erp_rates(d, erp_path, job))
