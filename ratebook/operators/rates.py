@@ -2,8 +2,11 @@
 N1, U2, F3, G5).
 
 Over a history every operator is keyed by ``period`` (the quote document's
-``start``); one period is the special case the reference runs.  Joins always
-carry ``period`` so the planner never falls back to a nested-loop join.
+``start``); one period is the special case the reference runs.  The quote x
+target product of a period comes from a window over ``period`` plus a
+generator -- no join product, no nested-loop join, one pass over the quotes.
+Target lists are driver-side configuration (a list of codes), which is what
+bounds every broadcast and generator built from them.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ratebook.functions.numbers import cross_rate, mid_rate, parse_rate
 from ratebook.schemas import WIDE_RATE
-from ratebook.sources.config import BASE_CURRENCY, drop_base, target_list
+from ratebook.sources.config import BASE_CURRENCY, target_list
 
 
 def quote_mid(items: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
@@ -37,21 +40,16 @@ def drop_self_pairs(rates: DataFrame) -> DataFrame:
     return rates.where(F.col("from_curr") != F.col("to_curr"))
 
 
-def _targets_frame(quotes: DataFrame, targets) -> DataFrame:
-    """The configured targets (a list, or a frame from ``target_list``)."""
-    if isinstance(targets, DataFrame):
-        return targets
-    return target_list(quotes.sparkSession, list(targets))
-
-
-def target_mids(quotes: DataFrame, targets) -> DataFrame:
-    """Each target's own mid rate per period, first quote by ``pos``.
+def target_mids(quotes: DataFrame, targets: list[str]) -> DataFrame:
+    """J3/A2 in table form: each target's own mid rate per period, first
+    quote by ``pos``.
 
     ``min_by`` is an aggregate with a map-side partial step, so a target
-    quoted many times in one period never lands in one task as a whole.
+    quoted many times in one period never lands in one task as a whole.  The
+    broadcast side is the configured list (its length is known).
     """
-    targets = _targets_frame(quotes, targets)
-    wanted = F.broadcast(targets.select(F.col("to_curr").alias("_target")).distinct())
+    names = target_list(quotes.sparkSession, list(dict.fromkeys(_target_names(targets))))
+    wanted = F.broadcast(names.select(F.col("to_curr").alias("_target")))
     return (quotes
             .join(wanted, F.col("from_curr") == F.col("_target"))
             .groupBy("period", "_target")

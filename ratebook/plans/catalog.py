@@ -89,7 +89,7 @@ def q_rare_pair_grid(spark, sf_dir):
 
 
 def q_target_mid_first(spark, sf_dir):
-    m = rates.target_mids(_quotes(spark, sf_dir), _targets(spark))
+    m = rates.target_mids(_quotes(spark, sf_dir), CROSS_TARGETS)
     return m.select("period", "to_curr", fmt5("target_mid").alias("target_mid"))
 
 
