@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ratebook.operators import enrich, layouts, quality, rates
 from ratebook.sources.config import BASE_CURRENCY
+from ratebook.sources.sinks import stage
 
 
 def _targets_wo_base(targets: list[str], base: str) -> list[str]:
@@ -81,21 +82,6 @@ class RunReport:
     outputs: dict = field(default_factory=dict)
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut lineage: write ``df`` as a Parquet table under the cluster's
-    checkpoint folder (``spark.checkpoint.dir``) and read it back.
-
-    One pass over the input (an RDD checkpoint would compute the plan a
-    second time to write it), on shared storage (unlike a local checkpoint
-    or a cache), so a lost executor never sends the job back to the raw
-    history.
-    """
-    from ratebook.session import staging_path
-    path = staging_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _write_counted(report: RunReport, name: str, df: DataFrame, write):
     """A1: count the rows a sink writes in the same pass (``observe``)."""
     observed, obs = quality.observe_counts(df, name)

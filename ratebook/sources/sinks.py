@@ -28,6 +28,20 @@ def _spread(*cols):
     return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(WRITE_SPREAD))
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as a Parquet table under the cluster's
+    checkpoint folder (``spark.checkpoint.dir``) and read it back.
+
+    One pass over the input (an RDD checkpoint would compute the plan a
+    second time to write it), on shared storage (unlike a local checkpoint
+    or a cache), so a lost executor never sends the job back to the raw
+    history, and later checks read the small staged copy.
+    """
+    path = staging_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_erp_rates(erp: DataFrame, path: str, job: str) -> str:
     """K1: the ERP rate rows, partitioned by (job, RATE_TYPE, VALID_FROM).
 
@@ -104,17 +118,17 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
     Running the same batch twice gives the same table.
     """
     spark = batch.sparkSession
-    check_rates(batch, "Rate")                                             # G4
-    b = batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), seq)
+    staged_batch = stage(batch.select(*BPM_KEYS, F.col("Rate").cast("string").alias("Rate"),
+                                      F.col(seq).cast("bigint").alias(seq)), "rates-batch")
+    check_rates(staged_batch, "Rate")                                      # G4
+    b = staged_batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), seq)
     try:
         existing = spark.read.schema(EXCHANGE_RATE).parquet(path)
     except AnalysisException:  # first run: no table yet
         existing = spark.createDataFrame([], EXCHANGE_RATE)
     touched = touched_partitions(existing, b.select("RateDate").distinct(), "RateDate")
     merged = merge_rates(touched, b, BPM_KEYS, seq)
-    staged = staging_path(spark, "rates-upsert")
-    merged.write.mode("overwrite").parquet(staged)
-    out = spark.read.parquet(staged)
+    out = stage(merged, "rates-upsert")
     if out.isEmpty():
         raise GuardError("upsert produced no rows")
     (out.select(*BPM_KEYS, "Rate").repartition("RateDate", _spread("Currency", "Currency2"))
