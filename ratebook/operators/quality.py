@@ -96,6 +96,22 @@ def check_one_period_per_month(quotes: DataFrame) -> None:
                          + ", ".join(f"{r.valid_from} ({r.periods})" for r in bad))
 
 
+def null_fields(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows where any of ``cols`` is NULL, with the names of those columns."""
+    names = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in cols])
+    return df.where(names != "").withColumn("null_fields", names)
+
+
+def check_not_null(df: DataFrame, cols: list[str], what: str) -> None:
+    """K1's NOT NULL contract: every output column must be filled."""
+    bad = null_fields(df, cols).limit(SAMPLE).collect()
+    if bad:
+        raise GuardError(f"{what}: NULL in required columns, e.g. "
+                         + "; ".join(f"{r['FROM_CURR'] if 'FROM_CURR' in r else ''}->"
+                                     f"{r['TO_CURRNCY'] if 'TO_CURRNCY' in r else ''}: {r['null_fields']}"
+                                     for r in bad))
+
+
 def observe_counts(df: DataFrame, name: str, *extra) -> tuple[DataFrame, Observation]:
     """A1: count rows (and any extra aggregates) as a side effect of the next
     action on ``df`` -- no second job over the data."""

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.operators import enrich, layouts, quality, rates
+from ratebook.schemas import ERP_COLUMNS
 from ratebook.sources.config import BASE_CURRENCY
 from ratebook.sources.sinks import stage
 
@@ -106,6 +107,7 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
         quality.check_one_period_per_month(q)                        # V collision
     erp = stage(common_rates(q, targets, ref, run_date, rate_type, base), "erp")
     quality.require_rows(erp, "ERP rates (no known pairs)")          # G1 / all unknown
+    quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")            # K1 contract
     report.outputs["erp"] = _write_counted(report, "erp", erp,
                                            lambda d: sinks.write_erp_rates(d, erp_path, job))
     report.counts["quotes"] = q.count()
@@ -134,6 +136,7 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
     quality.require_rows(rq, "rare quotes")
     erp = stage(rare_rates(rq, ref, run_date, rate_type), "erp")
     quality.require_rows(erp, "ERP rates (no known pairs)")
+    quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")
     report.outputs["erp"] = _write_counted(report, "erp", erp,
                                            lambda d: sinks.write_erp_rates(d, erp_path, job))
     report.counts["quotes"] = rq.count()

@@ -16,6 +16,13 @@ from pyspark.sql import SparkSession
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size shuffle partitions by bytes, not by core count: AQE starts from
+    # spark.sql.shuffle.partitions (set high on a big cluster) and merges
+    # small partitions up to the advisory size, so tasks stay well inside
+    # executor memory and spills stay rare.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

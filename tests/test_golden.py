@@ -123,11 +123,14 @@ def test_tie_rounds_half_up(spark):
     assert got == ["2.00002", "31.12346"]
 
 
-def test_null_rate_flows(spark):
+def test_null_rate_flows(spark, tmp):
     q = rates.quote_mid(items_frame(spark, [("USD", None, "32.9")]))
     ref = ref_frame(spark)
     erp = jobs.common_rates(q, ["TWD"], ref, RUN, "M").collect()
     assert len(erp) == 1 and erp[0].EXCH_RATE is None
+    # ...and is stopped at the ERP write (NOT NULL contract)
+    with pytest.raises(quality.GuardError, match="USD->TWD: EXCH_RATE"):
+        jobs.run_common(q, ["TWD"], ref, RUN, "M", "common_m", f"{tmp}/erp")
 
 
 def test_local_run_stamp(spark):
