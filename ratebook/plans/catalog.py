@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebook.functions.dates import date_text, iso_date, local_stamp, local_time, month_end, yyyymmdd
@@ -37,9 +37,7 @@ FLIGHT_RANGES = [("I", "BT", "19960101", "19960131"), ("I", "BT", "19980601", "1
 FLIGHT_EQUALS = {"o_orderstatus": "*", "o_orderpriority": "1-URGENT"}
 FLIGHT_MAX_ROWS = 100
 EXPORT_JOB = "common_m"
-MERGE_BUMP = "0.50000"
-MERGE_REPEAT_BUMP = "1.00000"
-MERGE_REPEAT_CURRENCY = "NATION_1"
+MERGE_REPEAT_CURRENCY = proxies.MERGE_REPEAT_CURRENCY
 
 
 def _quotes(spark, sf_dir, period=PERIOD):
@@ -184,45 +182,8 @@ def q_bpm_layout(spark, sf_dir):
     return jobs.bpm_rows(_quotes(spark, sf_dir))
 
 
-def _merge_rows(spark, sf_dir):
-    """Target: the keyed rows of even quarters.  Batch: each currency's rows
-    of its last quoted year with a changed rate, plus its newest row once
-    more (later ``seq``) for one currency -- a half-overlapping batch with
-    one repeated key.  Both come from one windowed frame per currency (a
-    currency has one row per period), so the history is read once."""
-    bpm = jobs.bpm_rows(_quotes(spark, sf_dir)).withColumn("Rate", F.col("Rate").cast("decimal(18,5)"))
-    d = F.to_date("RateDate")
-    w = Window.partitionBy("Currency")
-    x = (bpm.withColumn("_maxy", F.max(F.year(d)).over(w))
-         .withColumn("_maxd", F.max("RateDate").over(w)))
-
-    def role(cond, name, rate, seq):
-        return F.when(cond, F.struct(F.lit(name).alias("role"), rate.cast("decimal(18,5)").alias("Rate"),
-                                     F.lit(seq).cast("bigint").alias("seq")))
-
-    bump = F.col("Rate") + F.lit(MERGE_BUMP).cast("decimal(6,5)")
-    bump2 = F.col("Rate") + F.lit(MERGE_REPEAT_BUMP).cast("decimal(6,5)")
-    # Every row states its roles through one generator; the role filters
-    # sit above the generator, so both inputs share one derivation.
-    g = (x.select("Currency", "Currency2", "RateDate", F.explode(F.array(
-            role(F.quarter(d) % 2 == 0, "target", F.col("Rate"), 0),
-            role(F.year(d) == F.col("_maxy"), "batch", bump, 0),
-            role((F.col("Currency") == MERGE_REPEAT_CURRENCY) & (F.col("RateDate") == F.col("_maxd")),
-                 "batch", bump2, 1))).alias("_r"))
-         .where(F.col("_r").isNotNull())
-         .select("Currency", "Currency2", "RateDate", "_r.*"))
-    return g.withColumn("is_batch", F.col("role") == "batch")
-
-
-def _merge_inputs(spark, sf_dir):
-    g = _merge_rows(spark, sf_dir)
-    target = g.where(~F.col("is_batch")).select("Currency", "Currency2", "Rate", "RateDate")
-    batch = g.where(F.col("is_batch")).select("Currency", "Currency2", "Rate", "RateDate", "seq")
-    return target, batch
-
-
 def q_bpm_merge(spark, sf_dir):
-    m = merge_tagged(_merge_rows(spark, sf_dir))
+    m = merge_tagged(proxies.merge_rows(spark, sf_dir, PERIOD))
     return m.select("Currency", "Currency2", F.col("Rate").cast("string").alias("Rate"), "RateDate")
 
 
@@ -233,15 +194,8 @@ def q_completeness_gaps(spark, sf_dir):
         .select("period", "to_curr")
 
 
-def _rate_texts(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
-    txt = o["o_totalprice"].cast("decimal(18,2)").cast("string")
-    shown = F.when(F.col("o_orderstatus") == "P", F.regexp_replace(txt, r"\.", ",")).otherwise(txt)
-    return o.select("o_orderkey", shown.alias("Rate"))
-
-
 def q_invalid_rates(spark, sf_dir):
-    return quality.invalid_rates(_rate_texts(spark, sf_dir), "Rate").select("o_orderkey", "Rate")
+    return quality.invalid_rates(proxies.rate_texts(spark, sf_dir), "Rate").select("o_orderkey", "Rate")
 
 
 def q_newest_quote(spark, sf_dir):
@@ -295,19 +249,8 @@ def q_range_select(spark, sf_dir):
                       proxies._price("o_totalprice").cast("string").alias("price"), "c_name")
 
 
-def calls_from_events(spark, sf_dir):
-    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
-    total = (F.col("value").cast("decimal(18,2)") * F.lit(100)).cast("bigint")
-    return e.select(F.col("user_id").alias("connection"), "ts", F.col("event_id").alias("call_id"),
-                    (F.col("event_type") == "signup").alias("is_reset"),
-                    total.alias("total_ms"), (total % 7).alias("ser_ms"), (total % 5).alias("deser_ms"),
-                    (total - total % 7 - total % 5).alias("app_ms"),
-                    F.length("props").cast("bigint").alias("sent_bytes"),
-                    F.floor(F.col("value").cast("decimal(18,2)") * F.lit(10)).cast("bigint").alias("recv_bytes"))
-
-
 def q_call_metrics(spark, sf_dir):
-    return records.call_metrics(calls_from_events(spark, sf_dir))
+    return records.call_metrics(proxies.calls_from_events(spark, sf_dir))
 
 
 def q_normalize_records(spark, sf_dir):
@@ -329,17 +272,8 @@ def q_normalize_records(spark, sf_dir):
                     F.col("price").cast("string").alias("price"), "errors")
 
 
-def deep_table_from_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    c10 = F.rpad(F.coalesce(F.col("source"), F.lit("")), 10, " ")
-    tab = F.transform(F.split("text", "\n", -1),
-                      lambda line, i: F.struct((i + 1).cast("int").alias("I"), c10.alias("C"),
-                                               line.alias("STR"), F.hex(line).alias("XSTR")))
-    return docs.select(F.col("doc_id").alias("id"), tab.alias("tab"))
-
-
 def q_flatten_deep_table(spark, sf_dir):
-    flat = records.flatten_deep_table(deep_table_from_documents(spark, sf_dir))
+    flat = records.flatten_deep_table(proxies.deep_table_from_documents(spark, sf_dir))
     return flat.select(F.col("id").alias("doc_id"), "line_no", "I", "C", "STR", "XSTR")
 
 

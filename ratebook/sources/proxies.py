@@ -22,10 +22,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratebook.functions.dates import date_text
+from ratebook.operators.layouts import bpm_layout
 from ratebook.operators.rates import quote_mid
 from ratebook.sources.config import BASE_CURRENCY
 from ratebook.sources.tables import table
@@ -41,6 +42,9 @@ ZERO_MOD = 7                  # reference rate 0 when (a+b) % 7 = 0
 FACTOR_MOD = 3                # from_factor = 10 ^ (regionkey % 3)
 BLANK_PAGES = {("NATION_22", "NATION_3"): "", ("NATION_24", "NATION_2"): "-"}
 CONVERTER_BASE = "https://converter.example.com/en/"
+MERGE_BUMP = "0.50000"
+MERGE_REPEAT_BUMP = "1.00000"
+MERGE_REPEAT_CURRENCY = "NATION_1"
 
 
 def _price(col: str = "o_totalprice"):
@@ -177,3 +181,77 @@ def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's captured pages plus the converter pages above."""
     real = table(spark, sf_dir, "pages", "url", "html")
     return real.unionByName(converter_pages(spark, sf_dir))
+
+
+# ------------------------------------------------ keyed upsert, guards, records
+
+def merge_rows(spark: SparkSession, sf_dir: str, period: str = "quarter") -> DataFrame:
+    """Target: the keyed rows of even quarters.  Batch: each currency's rows
+    of its last quoted year with a changed rate, plus its newest row once
+    more (later ``seq``) for one currency -- a half-overlapping batch with
+    one repeated key.  Both come from one windowed frame per currency (a
+    currency has one row per period), so the history is read once."""
+    bpm = bpm_layout(quotes(spark, sf_dir, period)).withColumn("Rate", F.col("Rate").cast("decimal(18,5)"))
+    d = F.to_date("RateDate")
+    w = Window.partitionBy("Currency")
+    x = (bpm.withColumn("_maxy", F.max(F.year(d)).over(w))
+         .withColumn("_maxd", F.max("RateDate").over(w)))
+
+    def role(cond, name, rate, seq):
+        return F.when(cond, F.struct(F.lit(name).alias("role"), rate.cast("decimal(18,5)").alias("Rate"),
+                                     F.lit(seq).cast("bigint").alias("seq")))
+
+    bump = F.col("Rate") + F.lit(MERGE_BUMP).cast("decimal(6,5)")
+    bump2 = F.col("Rate") + F.lit(MERGE_REPEAT_BUMP).cast("decimal(6,5)")
+    # Every row states its roles through one generator; the role filters
+    # sit above the generator, so both inputs share one derivation.
+    g = (x.select("Currency", "Currency2", "RateDate", F.explode(F.array(
+            role(F.quarter(d) % 2 == 0, "target", F.col("Rate"), 0),
+            role(F.year(d) == F.col("_maxy"), "batch", bump, 0),
+            role((F.col("Currency") == MERGE_REPEAT_CURRENCY) & (F.col("RateDate") == F.col("_maxd")),
+                 "batch", bump2, 1))).alias("_r"))
+         .where(F.col("_r").isNotNull())
+         .select("Currency", "Currency2", "RateDate", "_r.*"))
+    return g.withColumn("is_batch", F.col("role") == "batch")
+
+
+def merge_inputs(spark: SparkSession, sf_dir: str, period: str = "quarter"):
+    """The same rows split into (target, batch) frames."""
+    g = merge_rows(spark, sf_dir, period)
+    target = g.where(~F.col("is_batch")).select("Currency", "Currency2", "Rate", "RateDate")
+    batch = g.where(F.col("is_batch")).select("Currency", "Currency2", "Rate", "RateDate", "seq")
+    return target, batch
+
+
+def rate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate texts as a file might carry them: orders with status P show a
+    decimal comma (invalid), the rest a plain decimal."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
+    txt = o["o_totalprice"].cast("decimal(18,2)").cast("string")
+    shown = F.when(F.col("o_orderstatus") == "P", F.regexp_replace(txt, r"\.", ",")).otherwise(txt)
+    return o.select("o_orderkey", shown.alias("Rate"))
+
+
+def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remote-call log rows from ``events``: connection = user, a signup is a
+    counter reset, measures derived from ``value`` and ``props``."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    total = (F.col("value").cast("decimal(18,2)") * F.lit(100)).cast("bigint")
+    return e.select(F.col("user_id").alias("connection"), "ts", F.col("event_id").alias("call_id"),
+                    (F.col("event_type") == "signup").alias("is_reset"),
+                    total.alias("total_ms"), (total % 7).alias("ser_ms"), (total % 5).alias("deser_ms"),
+                    (total - total % 7 - total % 5).alias("app_ms"),
+                    F.length("props").cast("bigint").alias("sent_bytes"),
+                    F.floor(F.col("value").cast("decimal(18,2)") * F.lit(10)).cast("bigint").alias("recv_bytes"))
+
+
+def deep_table_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested-table records from whole ``documents`` texts: one nested line
+    per text line (I = line number, C = source as CHAR10, STR = the line,
+    XSTR = its bytes in hex)."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    c10 = F.rpad(F.coalesce(F.col("source"), F.lit("")), 10, " ")
+    tab = F.transform(F.split("text", "\n", -1),
+                      lambda line, i: F.struct((i + 1).cast("int").alias("I"), c10.alias("C"),
+                                               line.alias("STR"), F.hex(line).alias("XSTR")))
+    return docs.select(F.col("doc_id").alias("id"), tab.alias("tab"))

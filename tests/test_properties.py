@@ -58,7 +58,7 @@ def test_partitioning_does_not_change_output(spark):
 
 def test_merge_twice_equals_once(spark):
     from ratebook.operators.merge import merge_rates
-    target, batch = catalog._merge_inputs(spark, SF01)
+    target, batch = proxies.merge_inputs(spark, SF01)
     once = merge_rates(target, batch)
     twice = merge_rates(once, batch)
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
