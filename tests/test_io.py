@@ -196,3 +196,15 @@ def test_cli_common_and_rare(spark, tmp):
     back = sinks.read_erp_rates(spark, f"{tmp}/erp")
     assert back.where("job = 'rare_v' AND VALID_FROM = '20250228'").count() == 1
     assert back.where("job = 'common_m'").count() == 5
+
+
+def test_streaming_newest_file_wins_within_a_batch(spark, tmp):
+    src, table, ckpt = f"{tmp}/in", f"{tmp}/table", f"{tmp}/ckpt"
+    now = time.time()
+    old = {"start": "20250201", "end": "20250210",
+           "items": [{"code": "USD", "buyValue": "1", "sellValue": "1"}]}
+    write_doc(src, "old.json", old, mtime=now - 600)
+    write_doc(src, "new.json", GOLDEN_DOC, mtime=now)
+    ingest_new_quotes(spark, src, ckpt, table).awaitTermination()
+    got = {(r.Currency, r.RateDate): str(r.Rate) for r in sinks.read_rates(spark, table).collect()}
+    assert got[("USD", "2025-02-01")] == "32.70000" and len(got) == 3
