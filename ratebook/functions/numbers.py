@@ -35,12 +35,13 @@ def mid_rate(buy, sell) -> Column:
     return ((_c(buy) + _c(sell)) / F.lit(2)).cast(RATE)
 
 
-def cross_rate(numerator, divisor, label=None) -> Column:
-    """numerator / divisor as DECIMAL(38,20); a zero divisor raises."""
+def cross_rate(numerator, divisor, target: Column | None = None) -> Column:
+    """numerator / divisor as DECIMAL(38,20); a zero divisor raises, naming
+    the target currency when given."""
     d = _c(divisor).cast(RATE)
     msg = F.lit("division by zero in cross rate")
-    if label is not None:
-        msg = F.concat(msg, F.lit(" for "), _c(label))
+    if target is not None:
+        msg = F.concat(msg, F.lit(" to "), target)
     return F.when(d == 0, F.raise_error(msg)).otherwise(_c(numerator).cast(RATE) / d)
 
 

@@ -33,13 +33,23 @@ def ref_snapshot(ref: DataFrame, run_date: _dt.date | str) -> DataFrame:
                     F.col("to_factor").alias("to_ratio")))
 
 
-def enrich_left(rates: DataFrame, snapshot: DataFrame, check_size: bool = True) -> DataFrame:
-    """Left join on (from_curr, to_curr); a miss gets (1, 0, 1)."""
+def enrich_left(rates: DataFrame, snapshot: DataFrame, check_size: bool = False) -> DataFrame:
+    """Left join on (from_curr, to_curr); a miss gets (1, 0, 1).
+
+    By default the join strategy is left to the planner and AQE: the snapshot
+    is broadcast when its statistics -- at planning, or measured at runtime
+    after its shuffle -- are under the broadcast threshold, and joined by
+    shuffle otherwise.  ``check_size=True`` adds an explicit proof (one
+    bounded count) and hints the broadcast; the job runners use it on the
+    snapshot read from the reference table.
+    """
     snap = bounded_broadcast(snapshot) if check_size else snapshot
     return (rates.join(snap, ["from_curr", "to_curr"], "left")
-            .withColumn("from_ratio", F.coalesce("from_ratio", F.lit(DEFAULT_FROM_RATIO).cast(FACTOR)))
-            .withColumn("ref_rate", F.coalesce("ref_rate", F.lit(DEFAULT_REF_RATE).cast(REF_RATE)))
-            .withColumn("to_ratio", F.coalesce("to_ratio", F.lit(DEFAULT_TO_RATIO).cast(FACTOR))))
+            .withColumns({
+                "from_ratio": F.coalesce("from_ratio", F.lit(DEFAULT_FROM_RATIO).cast(FACTOR)),
+                "ref_rate": F.coalesce("ref_rate", F.lit(DEFAULT_REF_RATE).cast(REF_RATE)),
+                "to_ratio": F.coalesce("to_ratio", F.lit(DEFAULT_TO_RATIO).cast(FACTOR)),
+            }))
 
 
 def known_pairs(enriched: DataFrame) -> DataFrame:

@@ -31,8 +31,7 @@ def quote_mid(items: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     return (items
             .select("period", "pos", F.col("code").alias("from_curr"),
                     buy.alias("buyValue"), sell.alias("sellValue"), "start", "end")
-            .withColumn("fx_rate", mid_rate("buyValue", "sellValue"))
-            .withColumn("to_curr", F.lit(base)))
+            .withColumns({"fx_rate": mid_rate("buyValue", "sellValue"), "to_curr": F.lit(base)}))
 
 
 def drop_self_pairs(rates: DataFrame) -> DataFrame:
@@ -100,8 +99,7 @@ def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool)
         mid = F.col(f"_mid{names.index(t)}")
         missing = F.raise_error(F.concat(F.lit(f"no quote for target {t} in period "),
                                          F.coalesce(F.col("period"), F.lit("NULL"))))
-        rate = F.when(mid.isNull(), missing).otherwise(
-            cross_rate("sellValue", mid, F.concat(F.col("from_curr"), F.lit(f"->{t}"))))
+        rate = F.when(mid.isNull(), missing).otherwise(cross_rate("sellValue", mid, F.lit(t)))
         rows.append(F.struct(F.lit(t).alias("to_curr"), rate.cast(WIDE_RATE).alias("fx_rate")))
     keep = [c for c in quotes.columns if c not in ("to_curr", "fx_rate")]
     if not rows:

@@ -30,7 +30,7 @@ def _targets_wo_base(targets: list[str], base: str) -> list[str]:
 
 
 def erp_rates(all_rate_rows: DataFrame, ref: DataFrame, run_date, rate_type: str,
-              check_size: bool = True) -> DataFrame:
+              check_size: bool = False) -> DataFrame:
     """J4 -> F4 -> P8/N2 -> ERP layout (shared by all four jobs)."""
     layouts.check_rate_type(rate_type)
     snap = enrich.ref_snapshot(ref, run_date)
@@ -49,7 +49,7 @@ def narrow_periods(quotes: DataFrame, periods: list[str] | None) -> DataFrame:
 
 def common_rates(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                  rate_type: str = "M", base: str = BASE_CURRENCY,
-                 check_size: bool = True, periods: list[str] | None = None) -> DataFrame:
+                 check_size: bool = False, periods: list[str] | None = None) -> DataFrame:
     """W1 (M) / W2 (V): ERP rows for the common currencies.
 
     ``periods`` narrows a history to chosen periods (for V: one per month).
@@ -61,7 +61,7 @@ def common_rates(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date
 
 
 def rare_rates(rare_quotes: DataFrame, ref: DataFrame, run_date, rate_type: str = "M",
-               check_size: bool = True) -> DataFrame:
+               check_size: bool = False) -> DataFrame:
     """W3 (M) / W4 (V): ERP rows for the rare currencies (pass-through)."""
     layouts.check_rate_type(rate_type)
     rows = rates.all_rates(rates.rare_quotes_to_rates(rare_quotes), [], skipped=True)
@@ -105,7 +105,7 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
     quality.check_complete(q, _targets_wo_base(targets, base))       # G3
     if rate_type == "V":
         quality.check_one_period_per_month(q)                        # V collision
-    erp = stage(common_rates(q, targets, ref, run_date, rate_type, base), "erp")
+    erp = stage(common_rates(q, targets, ref, run_date, rate_type, base, check_size=True), "erp")
     quality.require_rows(erp, "ERP rates (no known pairs)")          # G1 / all unknown
     quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")            # K1 contract
     report.outputs["erp"] = _write_counted(report, "erp", erp,
@@ -134,7 +134,7 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
         (r.from_curr, r.to_curr, r.fx_rate) for r in skipped_pages(pages).limit(quality.SAMPLE).collect())
     rq = stage(extract_page_quotes(pages, run_date), "rare-quotes")
     quality.require_rows(rq, "rare quotes")
-    erp = stage(rare_rates(rq, ref, run_date, rate_type), "erp")
+    erp = stage(rare_rates(rq, ref, run_date, rate_type, check_size=True), "erp")
     quality.require_rows(erp, "ERP rates (no known pairs)")
     quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")
     report.outputs["erp"] = _write_counted(report, "erp", erp,
