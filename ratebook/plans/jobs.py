@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ratebook.operators import enrich, layouts, quality, rates
 from ratebook.schemas import ERP_COLUMNS
 from ratebook.sources.config import BASE_CURRENCY
-from ratebook.sources.sinks import stage
+from ratebook.sources.sinks import stage_observed
 
 
 def _targets_wo_base(targets: list[str], base: str) -> list[str]:
@@ -83,12 +83,18 @@ class RunReport:
     outputs: dict = field(default_factory=dict)
 
 
-def _write_counted(report: RunReport, name: str, df: DataFrame, write):
-    """A1: count the rows a sink writes in the same pass (``observe``)."""
-    observed, obs = quality.observe_counts(df, name)
-    out = write(observed)
-    report.counts[name] = int(obs.get["rows"])
-    return out
+def _require(metrics: dict, what: str) -> None:
+    """G1 from the staging pass's row count (no extra job)."""
+    if not metrics["rows"]:
+        raise quality.GuardError(f"{what}: no rows")
+
+
+def _null_rows(cols: list[str]):
+    """Rows with a NULL in any of ``cols`` (an aggregate for ``observe``)."""
+    any_null = F.lit(False)
+    for c in cols:
+        any_null = any_null | F.col(c).isNull()
+    return F.count(F.when(any_null, F.lit(1)))
 
 
 def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
@@ -100,17 +106,19 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
 
     layouts.check_rate_type(rate_type)                               # G2
     report = RunReport(job)
-    q = stage(narrow_periods(quotes, periods), "quotes")
-    quality.require_rows(q, "quotes")                                 # G1
+    q, mq = stage_observed(narrow_periods(quotes, periods), "quotes")
+    _require(mq, "quotes")                                            # G1
     quality.check_complete(q, _targets_wo_base(targets, base))       # G3
     if rate_type == "V":
         quality.check_one_period_per_month(q)                        # V collision
-    erp = stage(common_rates(q, targets, ref, run_date, rate_type, base, check_size=True), "erp")
-    quality.require_rows(erp, "ERP rates (no known pairs)")          # G1 / all unknown
-    quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")            # K1 contract
-    report.outputs["erp"] = _write_counted(report, "erp", erp,
-                                           lambda d: sinks.write_erp_rates(d, erp_path, job))
-    report.counts["quotes"] = q.count()
+    erp, me = stage_observed(common_rates(q, targets, ref, run_date, rate_type, base, check_size=True),
+                             "erp", nulls=_null_rows(ERP_COLUMNS))
+    _require(me, "ERP rates (no known pairs)")                        # G1 / all unknown
+    if me["nulls"]:
+        quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")        # K1 contract: name samples
+    report.counts["quotes"] = mq["rows"]
+    report.counts["erp"] = me["rows"]
+    report.outputs["erp"] = sinks.write_erp_rates(erp, erp_path, job)
     if export_dir is not None:
         report.outputs["export"] = sinks.export_rates(erp, export_dir, job, run_ts)
     if bpm_path is not None and rate_type == "M":
@@ -132,14 +140,16 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
     # F1's log line: which pairs had no rate (blank or not ready).
     report.outputs["skipped_pairs"] = sorted(
         (r.from_curr, r.to_curr, r.fx_rate) for r in skipped_pages(pages).limit(quality.SAMPLE).collect())
-    rq = stage(extract_page_quotes(pages, run_date), "rare-quotes")
-    quality.require_rows(rq, "rare quotes")
-    erp = stage(rare_rates(rq, ref, run_date, rate_type, check_size=True), "erp")
-    quality.require_rows(erp, "ERP rates (no known pairs)")
-    quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")
-    report.outputs["erp"] = _write_counted(report, "erp", erp,
-                                           lambda d: sinks.write_erp_rates(d, erp_path, job))
-    report.counts["quotes"] = rq.count()
+    rq, mq = stage_observed(extract_page_quotes(pages, run_date), "rare-quotes")
+    _require(mq, "rare quotes")
+    erp, me = stage_observed(rare_rates(rq, ref, run_date, rate_type, check_size=True),
+                             "erp", nulls=_null_rows(ERP_COLUMNS))
+    _require(me, "ERP rates (no known pairs)")
+    if me["nulls"]:
+        quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")
+    report.counts["quotes"] = mq["rows"]
+    report.counts["erp"] = me["rows"]
+    report.outputs["erp"] = sinks.write_erp_rates(erp, erp_path, job)
     if export_dir is not None:
         report.outputs["export"] = sinks.export_rates(erp, export_dir, job, run_ts)
     if bpm_path is not None and rate_type == "M":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratebook.functions.text import export_name
 from ratebook.operators.merge import merge_rates
-from ratebook.operators.quality import GuardError, check_rates
+from ratebook.operators.quality import GuardError, check_rates, observe_counts
 from ratebook.schemas import BPM_KEYS, EXCHANGE_RATE, OUT_RATE
 from ratebook.session import staging_path
 
@@ -42,6 +42,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, dict]:
+    """``stage`` plus metrics taken during the same write (``observe``):
+    always ``rows``, and any named aggregate expressions passed in.  Guards
+    read these numbers instead of running their own jobs."""
+    observed, obs = observe_counts(df, f"stage-{name}", *[e.alias(k) for k, e in metrics.items()])
+    staged = stage(observed, name)
+    return staged, dict(obs.get)
+
+
 def write_erp_rates(erp: DataFrame, path: str, job: str) -> str:
     """K1: the ERP rate rows, partitioned by (job, RATE_TYPE, VALID_FROM).
 
@@ -118,9 +127,13 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
     Running the same batch twice gives the same table.
     """
     spark = batch.sparkSession
-    staged_batch = stage(batch.select(*BPM_KEYS, F.col("Rate").cast("string").alias("Rate"),
-                                      F.col(seq).cast("bigint").alias(seq)), "rates-batch")
-    check_rates(staged_batch, "Rate")                                      # G4
+    text = F.col("Rate").cast("string")
+    bad = F.count(F.when(text.isNotNull() & text.try_cast(OUT_RATE).isNull(), F.lit(1)))
+    staged_batch, m = stage_observed(
+        batch.select(*BPM_KEYS, text.alias("Rate"), F.col(seq).cast("bigint").alias(seq)),
+        "rates-batch", invalid=bad)
+    if m["invalid"]:
+        check_rates(staged_batch, "Rate")                                  # G4: name samples
     b = staged_batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), seq)
     try:
         existing = spark.read.schema(EXCHANGE_RATE).parquet(path)
@@ -128,8 +141,8 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
         existing = spark.createDataFrame([], EXCHANGE_RATE)
     touched = touched_partitions(existing, b.select("RateDate").distinct(), "RateDate")
     merged = merge_rates(touched, b, BPM_KEYS, seq)
-    out = stage(merged, "rates-upsert")
-    if out.isEmpty():
+    out, m = stage_observed(merged, "rates-upsert")
+    if m["rows"] == 0:
         raise GuardError("upsert produced no rows")
     (out.select(*BPM_KEYS, "Rate").repartition("RateDate", _spread("Currency", "Currency2"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
