@@ -102,14 +102,15 @@ def null_fields(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.where(names != "").withColumn("null_fields", names)
 
 
-def check_not_null(df: DataFrame, cols: list[str], what: str) -> None:
-    """K1's NOT NULL contract: every output column must be filled."""
+def check_not_null(df: DataFrame, cols: list[str], what: str,
+                   label: list[str] | None = None) -> None:
+    """K1's NOT NULL contract: every output column must be filled.  Sample
+    rows are named by ``label`` (default: the first two columns)."""
     bad = null_fields(df, cols).limit(SAMPLE).collect()
     if bad:
-        raise GuardError(f"{what}: NULL in required columns, e.g. "
-                         + "; ".join(f"{r['FROM_CURR'] if 'FROM_CURR' in r else ''}->"
-                                     f"{r['TO_CURRNCY'] if 'TO_CURRNCY' in r else ''}: {r['null_fields']}"
-                                     for r in bad))
+        label = label or cols[:2]
+        raise GuardError(f"{what}: NULL in required columns, e.g. " + "; ".join(
+            "->".join(str(r[c]) for c in label) + f": {r['null_fields']}" for r in bad))
 
 
 def observe_counts(df: DataFrame, name: str, *extra) -> tuple[DataFrame, Observation]:
