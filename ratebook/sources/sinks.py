@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.functions.text import export_name
-from ratebook.operators.merge import merge_rates
+from ratebook.operators.merge import merge_rates, merge_tagged
 from ratebook.operators.quality import GuardError, check_rates, observe_counts
 from ratebook.schemas import BPM_KEYS, EXCHANGE_RATE, OUT_RATE
 from ratebook.session import staging_path
@@ -150,5 +150,27 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
     return path
 
 
+def merge_into_table(batch: DataFrame, table_name: str, seq: str = "seq") -> str:
+    """K2 on a catalog table whose format supports row-level MERGE.
+
+    The batch is first reduced to its last row per key (a MERGE source must
+    not match a target row twice), then merged on (Currency, Currency2,
+    RateDate): matched rows take the batch's ``Rate``, others are inserted.
+    Plain Parquet tables do not support MERGE; use ``upsert_rates`` there.
+    """
+    check_rates(batch, "Rate")
+    src = merge_tagged(batch.select(*BPM_KEYS, "Rate", F.lit(True).alias("is_batch"),
+                                    F.col(seq).cast("bigint").alias("seq")), BPM_KEYS)
+    cond = None
+    for k in BPM_KEYS:
+        c = F.col(f"{table_name}.{k}") == F.col(f"s.{k}")
+        cond = c if cond is None else cond & c
+    (src.alias("s").mergeInto(table_name, cond)
+     .whenMatched().update({"Rate": F.col("s.Rate")})
+     .whenNotMatched().insertAll()
+     .merge())
+    return table_name
+
+
 def read_rates(spark, path: str) -> DataFrame:
     return spark.read.schema(EXCHANGE_RATE).parquet(path)

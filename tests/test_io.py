@@ -208,3 +208,18 @@ def test_streaming_newest_file_wins_within_a_batch(spark, tmp):
     ingest_new_quotes(spark, src, ckpt, table).awaitTermination()
     got = {(r.Currency, r.RateDate): str(r.Rate) for r in sinks.read_rates(spark, table).collect()}
     assert got[("USD", "2025-02-01")] == "32.70000" and len(got) == 3
+
+
+def test_merge_into_needs_a_merge_capable_table(spark, tmp):
+    """Parquet catalog tables cannot MERGE; the sink says so through Spark's
+    own error instead of silently rewriting the table."""
+    spark.createDataFrame([("USD", "TWD", "1.00000", "2025-02-01")],
+                          "Currency string, Currency2 string, Rate string, RateDate string") \
+        .withColumn("Rate", F.col("Rate").cast("decimal(18,5)")) \
+        .write.mode("overwrite").option("path", f"{tmp}/er").saveAsTable("exchange_rate_probe")
+    batch = _rates_frame(spark, [("USD", "TWD", "2.0", "2025-02-01", 0)])
+    try:
+        with pytest.raises(Exception, match="does not support MERGE INTO TABLE"):
+            sinks.merge_into_table(batch, "exchange_rate_probe")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS exchange_rate_probe")
