@@ -49,8 +49,11 @@ def test_call_metrics_brute_force(spark):
                      rnd.randrange(0, 5), rnd.randrange(0, 50), rnd.randrange(0, 900), rnd.randrange(0, 900)))
     cols = "connection long, ts timestamp_ntz, call_id long, is_reset boolean, total_ms long, " \
            "ser_ms long, deser_ms long, app_ms long, sent_bytes long, recv_bytes long"
-    got = {(r.connection, r.reset_epoch): tuple(r)[2:]
-           for r in records.call_metrics(spark.createDataFrame(rows, cols)).collect()}
+    df = spark.createDataFrame(rows, cols)
+    got = {(r.connection, r.reset_epoch): tuple(r)[2:] for r in records.call_metrics(df).collect()}
+    fine = {(r.connection, r.reset_epoch): tuple(r)[2:]
+            for r in records.call_metrics(df, bucket_minutes=8).collect()}
+    assert fine == got
     want = {}
     for conn in {r[0] for r in rows}:
         epoch = 0
