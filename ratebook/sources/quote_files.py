@@ -16,8 +16,13 @@ from ratebook.schemas import QUOTE_FILE
 
 
 def read_quote_files(spark: SparkSession, path: str) -> DataFrame:
-    """The raw documents with file metadata (batch)."""
-    return (spark.read.schema(QUOTE_FILE).option("multiLine", True).json(path)
+    """The raw documents with file metadata (batch).
+
+    FAILFAST: a corrupt document stops the job (the source stops on a bad
+    file too) instead of turning silently into NULLs and missing quotes.
+    """
+    return (spark.read.schema(QUOTE_FILE).option("multiLine", True).option("mode", "FAILFAST")
+            .json(path)
             .select("*", F.col("_metadata.file_path").alias("file_path"),
                     F.col("_metadata.file_modification_time").alias("file_mtime")))
 

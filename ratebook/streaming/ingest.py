@@ -21,7 +21,7 @@ from ratebook.sources.sinks import upsert_rates
 
 def quote_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """New quote documents under ``path`` as a stream of items."""
-    r = spark.readStream.schema(QUOTE_FILE).option("multiLine", True)
+    r = spark.readStream.schema(QUOTE_FILE).option("multiLine", True).option("mode", "FAILFAST")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     docs = r.json(path).select("*", F.col("_metadata.file_modification_time").alias("file_mtime"))

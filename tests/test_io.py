@@ -223,3 +223,12 @@ def test_merge_into_needs_a_merge_capable_table(spark, tmp):
             sinks.merge_into_table(batch, "exchange_rate_probe")
     finally:
         spark.sql("DROP TABLE IF EXISTS exchange_rate_probe")
+
+
+def test_corrupt_document_fails_the_scan(spark, tmp):
+    os.makedirs(f"{tmp}/q", exist_ok=True)
+    write_doc(f"{tmp}/q", "good.json", GOLDEN_DOC)
+    with open(f"{tmp}/q/bad.json", "w") as f:
+        f.write('{"start": "20250211", "items": [ {"code": "USD", ')
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        scan_quote_json(spark, f"{tmp}/q").collect()
