@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ratebook.functions.dates import date_text, iso_date, local_stamp, local_time, month_end, yyyymmdd
 from ratebook.functions.numbers import fmt5
 from ratebook.functions.text import export_name
-from ratebook.operators import enrich, layouts, quality, rates, records
+from ratebook.operators import enrich, quality, rates, records
 from ratebook.operators.merge import merge_tagged
 from ratebook.plans import jobs
 from ratebook.sources import proxies

@@ -97,12 +97,46 @@ def _null_rows(cols: list[str]):
     return F.count(F.when(any_null, F.lit(1)))
 
 
+def _publish(report: RunReport, erp: DataFrame, job: str, erp_path: str,
+             export_dir: str | None, run_ts, bpm: DataFrame | None, bpm_path: str | None) -> None:
+    """Write the outputs of a run; independent sinks run as concurrent jobs.
+
+    The ERP write, the export and the keyed upsert only read staged frames,
+    so they are submitted from separate driver threads and Spark schedules
+    their tasks side by side (the source runs these branches in parallel
+    too).  Every sink is idempotent; the first failure is re-raised after
+    all branches have finished.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ratebook.sources import sinks
+
+    def upsert():
+        quality.require_rows(bpm, "BPM rates (no quotes to the base currency)")
+        return sinks.upsert_rates(bpm, bpm_path)
+
+    tasks = {"erp": lambda: sinks.write_erp_rates(erp, erp_path, job)}
+    if export_dir is not None:
+        tasks["export"] = lambda: sinks.export_rates(erp, export_dir, job, run_ts)
+    if bpm is not None:
+        tasks["bpm"] = upsert
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+    errors = []
+    for name, fut in futures.items():
+        try:
+            report.outputs[name] = fut.result()
+        except Exception as e:  # noqa: BLE001 - re-raised below
+            errors.append(e)
+    if errors:
+        raise errors[0]
+
+
 def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                rate_type: str, job: str, erp_path: str, export_dir: str | None = None,
                bpm_path: str | None = None, run_ts: _dt.datetime | None = None,
                base: str = BASE_CURRENCY, periods: list[str] | None = None) -> RunReport:
     """Run W1/W2 end to end: guards, ERP write, export, BPM upsert."""
-    from ratebook.sources import sinks
 
     layouts.check_rate_type(rate_type)                               # G2
     report = RunReport(job)
@@ -118,13 +152,8 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
         quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")        # K1 contract: name samples
     report.counts["quotes"] = mq["rows"]
     report.counts["erp"] = me["rows"]
-    report.outputs["erp"] = sinks.write_erp_rates(erp, erp_path, job)
-    if export_dir is not None:
-        report.outputs["export"] = sinks.export_rates(erp, export_dir, job, run_ts)
-    if bpm_path is not None and rate_type == "M":
-        bpm = layouts.bpm_layout(q, base, seq="pos")
-        quality.require_rows(bpm, "BPM rates (no quotes to the base currency)")
-        report.outputs["bpm"] = sinks.upsert_rates(bpm, bpm_path)
+    bpm = layouts.bpm_layout(q, base, seq="pos") if bpm_path is not None and rate_type == "M" else None
+    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path)
     return report
 
 
@@ -132,7 +161,6 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
              erp_path: str, export_dir: str | None = None, bpm_path: str | None = None,
              run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY) -> RunReport:
     """Run W3/W4 end to end from captured converter pages (S3 + F1)."""
-    from ratebook.sources import sinks
     from ratebook.sources.pages import extract_page_quotes, skipped_pages
 
     layouts.check_rate_type(rate_type)
@@ -149,11 +177,7 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
         quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")
     report.counts["quotes"] = mq["rows"]
     report.counts["erp"] = me["rows"]
-    report.outputs["erp"] = sinks.write_erp_rates(erp, erp_path, job)
-    if export_dir is not None:
-        report.outputs["export"] = sinks.export_rates(erp, export_dir, job, run_ts)
-    if bpm_path is not None and rate_type == "M":
-        bpm = bpm_rows(rates.rare_quotes_to_rates(rq), base)
-        quality.require_rows(bpm, "BPM rates (no quotes to the base currency)")
-        report.outputs["bpm"] = sinks.upsert_rates(bpm.withColumn("seq", F.lit(0)), bpm_path)
+    bpm = (bpm_rows(rates.rare_quotes_to_rates(rq), base).withColumn("seq", F.lit(0))
+           if bpm_path is not None and rate_type == "M" else None)
+    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path)
     return report

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fixtures import (GOLDEN_DOC, GOLDEN_ERP_M, GOLDEN_TARGETS, RUN, items_frame, ref_frame,
                       write_doc)
-from ratebook.operators import layouts, quality, rates
+from ratebook.operators import quality, rates
 from ratebook.plans import jobs
 from ratebook.sources.quote_files import scan_quote_json
 
