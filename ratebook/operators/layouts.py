@@ -31,10 +31,15 @@ def valid_from(rate_type: str):
     """Chosen when the plan is built, not per row.
 
     M -> the period's ``start``; V -> last day of the month of ``end``.
-    Both pass through a date parse, so a malformed date raises (N5).
+    Both pass through a date parse, so a malformed date raises (N5).  The
+    month end of ``end`` is computed for every row in the source, whatever
+    the rate type, so under M a malformed ``end`` stops the run as well: the
+    check is part of the value, where Catalyst cannot prune it.
     """
     check_rate_type(rate_type)
-    return yyyymmdd("start") if rate_type == "M" else month_end("end")
+    if rate_type == "V":
+        return month_end("end")
+    return F.when(F.isnotnull(month_end("end")), yyyymmdd("start"))
 
 
 def erp_layout(scaled_rates: DataFrame, rate_type: str) -> DataFrame:

@@ -96,6 +96,13 @@ def test_bad_date_raises(spark):
         erp.collect()
 
 
+def test_bad_end_date_raises_under_m(spark):
+    q = rates.quote_mid(items_frame(spark, [("USD", "32.5", "32.9")], end="2025021"))
+    erp = jobs.common_rates(q, ["TWD"], ref_frame(spark), RUN, "M")
+    with pytest.raises(Exception, match="invalid yyyyMMdd date: '2025021'"):
+        erp.collect()
+
+
 def test_zero_divisor_raises(spark):
     q = rates.quote_mid(items_frame(spark, [("USD", "0", "0"), ("JPY", "0.215", "0.219")]))
     with pytest.raises(Exception, match="division by zero"):
