@@ -55,3 +55,17 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
     assert len(rows) > 0 and len(df.columns) == 10
+
+
+@pytest.mark.parametrize("name", ["local_run_stamp", "month_end", "erp_layout_v", "call_metrics"])
+def test_time_zone_independent(spark, duck, name):
+    """Timestamps are zone-less, so the session time zone must not matter."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = entry_mod.queries()[name](spark, SF01)
+        got = _rows([tuple(r) for r in df.collect()], df.columns)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = duck.execute(entry_mod.oracle_sql()[name])
+    assert got == _rows(cur.fetchall(), [d[0] for d in cur.description])
