@@ -121,12 +121,15 @@ def call_metrics(calls: DataFrame, conn: str = "connection", ts: str = "ts",
 # ---------------------------------------------------------------- D3
 
 # Field types of the remote-call records and their Spark forms.
-FIELD_TYPES = ("CHAR", "DATE", "TIME", "NUM", "BCD", "INT", "FLOAT", "BYTE")
+FIELD_TYPES = ("CHAR", "STRING", "DATE", "TIME", "NUM", "BCD", "DECF16", "DECF34", "INT", "FLOAT",
+               "BYTE", "XSTRING")
 
 
 def _typed(col: Column, ftype: str, arg) -> Column:
     if ftype == "CHAR":
         return F.rtrim(col)
+    if ftype == "STRING":
+        return col
     if ftype == "DATE":
         return F.try_to_date(col, "yyyyMMdd")
     if ftype == "TIME":
@@ -137,6 +140,10 @@ def _typed(col: Column, ftype: str, arg) -> Column:
         return F.when(ok, col.try_cast(f"decimal({arg or 18},0)"))
     if ftype == "BCD":
         return F.trim(col).try_cast(f"decimal({arg or '31,14'})")
+    if ftype in ("DECF16", "DECF34"):
+        # decimal floating point (16 or 34 significant digits, exponent
+        # allowed in the text); held as a fixed-scale DECIMAL
+        return F.trim(col).try_cast(f"decimal({arg or '38,18'})")
     if ftype == "INT":
         # INT1 is unsigned (0..255); INT2/INT4/INT8 are signed 16/32/64 bit.
         width = int(arg or 8)
@@ -149,7 +156,7 @@ def _typed(col: Column, ftype: str, arg) -> Column:
         return v.cast(kind)
     if ftype == "FLOAT":
         return F.trim(col).try_cast("double")
-    if ftype == "BYTE":
+    if ftype in ("BYTE", "XSTRING"):
         ok = col.rlike("^([0-9A-Fa-f]{2})*$")
         return F.when(ok, F.unhex(col))
     raise ValueError(f"unknown field type {ftype}")

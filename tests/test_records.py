@@ -107,3 +107,12 @@ def test_int_widths(spark):
     spec = [("a", "INT", 1), ("b", "INT", 1), ("c", "INT", 2), ("d", "INT", 4)]
     r = records.normalize_records(df, spec).first()
     assert (r.a, r.b, r.c, r.d, r.errors) == (255, None, None, 12, "b,c")
+
+
+def test_decfloat_and_text_types(spark):
+    df = spark.createDataFrame([("1.5E+3", "-0.000123", "héllo ", "0a0b0c")],
+                               "a string, b string, c string, x string")
+    r = records.normalize_records(df, [("a", "DECF16"), ("b", "DECF34"), ("c", "STRING"),
+                                       ("x", "XSTRING")]).first()
+    assert float(r.a) == 1500.0 and float(r.b) == -0.000123 and r.c == "héllo "
+    assert bytes(r.x) == b"\x0a\x0b\x0c" and r.errors == ""
