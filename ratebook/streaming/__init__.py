@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: incremental ingest of new quote documents."""
