@@ -30,6 +30,7 @@ from ratebook.sources.tables import table
 PERIOD = "quarter"
 ENTRY_PERIOD = "year"
 TARGETS = proxies.TARGETS
+CROSS_TARGETS = [t for t in TARGETS if t != BASE_CURRENCY]      # F2 applied to the list
 RUN_DATE = proxies.RUN_DATE
 GAP_PERIOD = "month"
 GAP_TARGETS = [f"NATION_{i}" for i in range(25)]
@@ -62,8 +63,6 @@ def q_quote_mid(spark, sf_dir):
                     fmt5("fx_rate").alias("fx_rate"), "start", "end")
 
 
-CROSS_TARGETS = [t for t in TARGETS if t != BASE_CURRENCY]
-
 
 def q_all_rates_union(spark, sf_dir):
     return _show_rates(rates.union_rates(_quotes(spark, sf_dir), TARGETS))
