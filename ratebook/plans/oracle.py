@@ -116,12 +116,18 @@ rt AS (
 _PAGES = f"""{_NMID},
 cp AS (SELECT 'https://converter.example.com/en/?from=' || from_curr || '&to=' || to_curr || '&amount=1' AS url,
               '<html><body><form><input name="numberformat" tabindex="3" value="1">'
-              || '<input name="numberformat" tabindex="4" value="' || fx_rate || '"></form></body></html>' AS html
+              || CASE WHEN to_curr = '{_BASE}'
+                      THEN '<input tabindex="4" value="' || fx_rate || '" class="rate" name="numberformat">'
+                      ELSE '<input name="numberformat" tabindex="4" value="' || fx_rate || '">' END
+              || '</form></body></html>' AS html
        FROM rt),
 ap AS (SELECT url, html FROM pages UNION ALL SELECT url, html FROM cp),
 px AS (SELECT regexp_extract(url, '[?&]from=([^&#]*)', 1) AS from_curr,
               regexp_extract(url, '[?&]to=([^&#]*)', 1) AS to_curr,
-              regexp_extract(html, '<input[^>]*name="numberformat"[^>]*tabindex="4"[^>]*value="([^"]*)"', 1) AS fx_rate
+              regexp_extract(list_filter(regexp_extract_all(html, '<input\\b[^>]*>'),
+                                         lambda t: regexp_matches(t, '\\sname="numberformat"')
+                                              AND regexp_matches(t, '\\stabindex="4"'))[1],
+                             '\\svalue="([^"]*)"', 1) AS fx_rate
        FROM ap),
 pq AS (SELECT from_curr, to_curr, fx_rate, '{_RUN_TXT}' AS start, '{_RUN_TXT}' AS "end" FROM px
        WHERE from_curr <> '' AND to_curr <> '' AND fx_rate <> '' AND fx_rate <> '-'),

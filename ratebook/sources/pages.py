@@ -16,11 +16,27 @@ from pyspark.sql import functions as F
 
 from ratebook.functions.dates import as_date
 
-# Where the rate sits on a converter page.
-RATE_INPUT = r'<input[^>]*name="numberformat"[^>]*tabindex="4"[^>]*value="([^"]*)"'
+# Where the rate sits on a converter page -- the value of the
+# input with name="numberformat" and tabindex="4" (attributes in any order).
+INPUT_TAG = r"<input\b[^>]*>"
+RATE_ATTRS = [r'\sname="numberformat"', r'\stabindex="4"']
+VALUE_ATTR = r'\svalue="([^"]*)"'
 NOT_READY = "-"
 
 
+def page_rate(html) -> "F.Column":
+    """The rate text of a converter page, or NULL when the input is absent.
+
+    Built-ins only: every ``<input>`` tag is extracted, the tags carrying
+    both selector attributes are kept (``filter`` with a lambda), and the
+    first one's ``value`` is read -- the same element a CSS selector picks.
+    """
+    tags = F.regexp_extract_all(F.col(html) if isinstance(html, str) else html,
+                                F.lit(INPUT_TAG), F.lit(0))
+    chosen = F.filter(tags, lambda t: t.rlike(RATE_ATTRS[0]) & t.rlike(RATE_ATTRS[1]))
+    return F.regexp_extract(F.try_element_at(chosen, F.lit(1)), VALUE_ATTR, 1)
+
+
 def _query_param(url, key: str):
     return F.try_parse_url(url, F.lit("QUERY"), F.lit(key))
 
@@ -39,19 +55,18 @@ def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str) -> DataFrame
                     _query_param(url, "to").alias("to_curr"), "html")
             .where(F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()))
     return (conv
-            .select("from_curr", "to_curr",
-                    F.regexp_extract("html", RATE_INPUT, 1).alias("fx_rate"))
+            .select("from_curr", "to_curr", page_rate("html").alias("fx_rate"))
             .where((F.col("fx_rate") != F.lit("")) & (F.col("fx_rate") != F.lit(NOT_READY)))
             .withColumn("start", F.lit(d))
             .withColumn("end", F.lit(d)))
 
 
 def skipped_pages(pages: DataFrame) -> DataFrame:
-    """Converter pages that F1 drops (blank or not ready), for the run log."""
+    """Converter pages that F1 drops (blank, not ready, or no rate input),
+    for the run log."""
     url = F.col("url")
-    v = F.regexp_extract("html", RATE_INPUT, 1)
     return (pages
             .select(_query_param(url, "from").alias("from_curr"),
-                    _query_param(url, "to").alias("to_curr"), v.alias("fx_rate"))
+                    _query_param(url, "to").alias("to_curr"), page_rate("html").alias("fx_rate"))
             .where(F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()
-                   & F.col("fx_rate").isin("", NOT_READY)))
+                   & (F.col("fx_rate").isNull() | F.col("fx_rate").isin("", NOT_READY))))

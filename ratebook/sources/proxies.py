@@ -169,11 +169,16 @@ def converter_pages(spark: SparkSession, sf_dir: str, targets: list[str] = TARGE
     rates = rare_rate_texts(spark, sf_dir, targets, rare)
     url = F.concat(F.lit(CONVERTER_BASE + "?from="), F.col("from_curr"),
                    F.lit("&to="), F.col("to_curr"), F.lit("&amount=1"))
-    html = F.concat(
-        F.lit('<html><body><form><input name="numberformat" tabindex="3" value="1">'
-              '<input name="numberformat" tabindex="4" value="'),
-        F.col("fx_rate"),
-        F.lit('"></form></body></html>'))
+    # Pages to the base currency list the attributes in another order; the
+    # rate is found by attributes, not by their position in the tag.
+    head = F.lit('<html><body><form><input name="numberformat" tabindex="3" value="1">')
+    usual = F.concat(F.lit('<input name="numberformat" tabindex="4" value="'), F.col("fx_rate"),
+                     F.lit('">'))
+    reordered = F.concat(F.lit('<input tabindex="4" value="'), F.col("fx_rate"),
+                         F.lit('" class="rate" name="numberformat">'))
+    html = F.concat(head,
+                    F.when(F.col("to_curr") == F.lit(BASE_CURRENCY), reordered).otherwise(usual),
+                    F.lit('</form></body></html>'))
     return rates.select(url.alias("url"), html.alias("html"))
 
 

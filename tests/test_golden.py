@@ -183,3 +183,17 @@ def test_rare_self_pair_kept(spark):
         ("HUF", "HUF", "1.00000", "20250221"), ("HUF", "TWD", "0.08710", "20250221")}
     erp_v = jobs.rare_rates(rq, ref_frame(spark), RUN, "V")
     assert {r.VALID_FROM for r in erp_v.collect()} == {"20250228"}
+
+
+def test_rate_input_found_by_attributes(spark):
+    from ratebook.sources.pages import extract_page_quotes, skipped_pages
+    pages = spark.createDataFrame([
+        ("https://c.example/?from=RUB&to=TWD&amount=1",
+         '<input data-name="numberformat" tabindex="4" value="9.9">'
+         '<input value="0.3512" tabindex="4" name="numberformat" class="x">'),
+        ("https://c.example/?from=RUB&to=USD&amount=1",
+         '<input name="numberformat" tabindex="3" value="1"><p>no rate input</p>'),
+    ], "url string, html string")
+    got = {(r.from_curr, r.to_curr, r.fx_rate) for r in extract_page_quotes(pages, RUN).collect()}
+    assert got == {("RUB", "TWD", "0.3512")}
+    assert [(r.to_curr, r.fx_rate) for r in skipped_pages(pages).collect()] == [("USD", None)]
