@@ -2,10 +2,10 @@
 ``python -m ratebook.cli``).  Scheduling itself belongs to whatever launches
 the job; every run is idempotent, so a retried launch repeats exactly.
 
-    common  --quotes DIR --ref PATH --targets JSON --rate-type M|V --run-date yyyyMMdd
-            --job NAME --erp PATH [--export DIR] [--bpm PATH] [--periods p1,p2,...]
-    rare    --pages PATH --ref PATH --rate-type M|V --run-date yyyyMMdd
-            --job NAME --erp PATH [--export DIR] [--bpm PATH]
+    common  --quotes DIR --ref PATH|table:NAME --targets JSON --rate-type M|V --run-date yyyyMMdd
+            --job NAME --erp PATH [--export DIR] [--bpm PATH | --bpm-table NAME] [--periods p1,...]
+    rare    --pages PATH|table:NAME --ref PATH|table:NAME --rate-type M|V --run-date yyyyMMdd
+            --job NAME --erp PATH [--export DIR] [--bpm PATH | --bpm-table NAME]
     ingest  --source DIR --checkpoint DIR --table PATH
 """
 
@@ -29,14 +29,18 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--targets", required=True, help='JSON list, e.g. ["TWD","USD"]')
             s.add_argument("--periods", default=None, help="comma-separated period starts to keep")
         else:
-            s.add_argument("--pages", required=True, help="Parquet table (url, html) of converter pages")
-        s.add_argument("--ref", required=True, help="Parquet reference-factor table")
+            s.add_argument("--pages", required=True,
+                           help="converter pages (url, html): a Parquet path, or table:<catalog name>")
+        s.add_argument("--ref", required=True,
+                       help="reference-factor table: a Parquet path, or table:<catalog name>")
         s.add_argument("--rate-type", required=True, choices=["M", "V"])
         s.add_argument("--run-date", required=True, help="yyyyMMdd (never defaults to today)")
         s.add_argument("--job", required=True)
         s.add_argument("--erp", required=True)
         s.add_argument("--export", default=None)
-        s.add_argument("--bpm", default=None)
+        s.add_argument("--bpm", default=None, help="keyed rate table (Parquet path, set-based upsert)")
+        s.add_argument("--bpm-table", default=None,
+                       help="keyed rate table in a catalog whose format supports MERGE INTO")
         s.add_argument("--run-ts", default=None, help="UTC run time yyyy-MM-ddTHH:mm for the export name")
     s = sub.add_parser("ingest")
     s.add_argument("--source", required=True)
@@ -45,6 +49,15 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _read(spark, spec: str, schema):
+    """``table:<name>`` reads a catalog table, anything else a Parquet path;
+    either way only the schema's columns, with the schema's types."""
+    if spec.startswith("table:"):
+        df = spark.table(spec[len("table:"):])
+        return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.read.schema(schema).parquet(spec)
+
+
 def main(argv: list[str] | None = None, spark=None) -> dict:
     from ratebook.operators.rates import quote_mid
     from ratebook.plans.jobs import run_common, run_rare
@@ -58,16 +71,17 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         ingest_new_quotes(spark, a.source, a.checkpoint, a.table).awaitTermination()
         return {"ingested": a.table}
     run_ts = _dt.datetime.fromisoformat(a.run_ts) if a.run_ts else None
-    ref = spark.read.schema(REF_RATES).parquet(a.ref)
+    ref = _read(spark, a.ref, REF_RATES)
     if a.cmd == "common":
         quotes = quote_mid(scan_quote_json(spark, a.quotes))
         periods = a.periods.split(",") if a.periods else None
         rep = run_common(quotes, json.loads(a.targets), ref, a.run_date, a.rate_type, a.job,
-                         a.erp, export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, periods=periods)
+                         a.erp, export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, periods=periods,
+                         bpm_table=a.bpm_table)
     else:
-        pages = spark.read.schema(PAGES).parquet(a.pages)
+        pages = _read(spark, a.pages, PAGES)
         rep = run_rare(pages, ref, a.run_date, a.rate_type, a.job, a.erp,
-                       export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts)
+                       export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, bpm_table=a.bpm_table)
     out = {"job": rep.job, "counts": rep.counts, "outputs": rep.outputs}
     print(json.dumps(out, default=str))
     return out

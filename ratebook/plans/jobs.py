@@ -98,7 +98,8 @@ def _null_rows(cols: list[str]):
 
 
 def _publish(report: RunReport, erp: DataFrame, job: str, erp_path: str,
-             export_dir: str | None, run_ts, bpm: DataFrame | None, bpm_path: str | None) -> None:
+             export_dir: str | None, run_ts, bpm: DataFrame | None, bpm_path: str | None,
+             bpm_table: str | None = None) -> None:
     """Write the outputs of a run; independent sinks run as concurrent jobs.
 
     The ERP write, the export and the keyed upsert only read staged frames,
@@ -113,6 +114,8 @@ def _publish(report: RunReport, erp: DataFrame, job: str, erp_path: str,
 
     def upsert():
         quality.require_rows(bpm, "BPM rates (no quotes to the base currency)")
+        if bpm_table is not None:
+            return sinks.merge_into_table(bpm, bpm_table)
         return sinks.upsert_rates(bpm, bpm_path)
 
     tasks = {"erp": lambda: sinks.write_erp_rates(erp, erp_path, job)}
@@ -135,7 +138,8 @@ def _publish(report: RunReport, erp: DataFrame, job: str, erp_path: str,
 def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                rate_type: str, job: str, erp_path: str, export_dir: str | None = None,
                bpm_path: str | None = None, run_ts: _dt.datetime | None = None,
-               base: str = BASE_CURRENCY, periods: list[str] | None = None) -> RunReport:
+               base: str = BASE_CURRENCY, periods: list[str] | None = None,
+               bpm_table: str | None = None) -> RunReport:
     """Run W1/W2 end to end: guards, ERP write, export, BPM upsert."""
 
     layouts.check_rate_type(rate_type)                               # G2
@@ -152,14 +156,16 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
         quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")        # K1 contract: name samples
     report.counts["quotes"] = mq["rows"]
     report.counts["erp"] = me["rows"]
-    bpm = layouts.bpm_layout(q, base, seq="pos") if bpm_path is not None and rate_type == "M" else None
-    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path)
+    keyed = (bpm_path is not None or bpm_table is not None) and rate_type == "M"
+    bpm = layouts.bpm_layout(q, base, seq="pos") if keyed else None
+    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path, bpm_table)
     return report
 
 
 def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: str,
              erp_path: str, export_dir: str | None = None, bpm_path: str | None = None,
-             run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY) -> RunReport:
+             run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY,
+             bpm_table: str | None = None) -> RunReport:
     """Run W3/W4 end to end from captured converter pages (S3 + F1)."""
     from ratebook.sources.pages import extract_page_quotes, skipped_pages
 
@@ -177,7 +183,7 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
         quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")
     report.counts["quotes"] = mq["rows"]
     report.counts["erp"] = me["rows"]
-    bpm = (bpm_rows(rates.rare_quotes_to_rates(rq), base).withColumn("seq", F.lit(0))
-           if bpm_path is not None and rate_type == "M" else None)
-    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path)
+    keyed = (bpm_path is not None or bpm_table is not None) and rate_type == "M"
+    bpm = bpm_rows(rates.rare_quotes_to_rates(rq), base).withColumn("seq", F.lit(0)) if keyed else None
+    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path, bpm_table)
     return report

@@ -232,3 +232,15 @@ def test_corrupt_document_fails_the_scan(spark, tmp):
         f.write('{"start": "20250211", "items": [ {"code": "USD", ')
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
         scan_quote_json(spark, f"{tmp}/q").collect()
+
+
+def test_cli_reads_catalog_tables(spark, tmp):
+    from ratebook.cli import main
+    ref_frame(spark).write.mode("overwrite").option("path", f"{tmp}/reft").saveAsTable("ref_rates_probe")
+    try:
+        out = main(["common", "--quotes", _golden_dir(tmp), "--ref", "table:ref_rates_probe",
+                    "--targets", '["TWD","USD","EUR"]', "--rate-type", "V", "--run-date", "20250221",
+                    "--job", "common_v", "--erp", f"{tmp}/erp"], spark=spark)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS ref_rates_probe")
+    assert out["counts"]["erp"] == 5
