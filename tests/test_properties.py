@@ -73,11 +73,14 @@ def test_plans_have_no_product_or_python(spark, name):
         assert bad not in plan, (name, bad)
 
 
-def test_history_scanned_once(spark, w1):
-    w1.collect()
-    plan = w1._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    assert final.count("orders.parquet") == 1, final
+@pytest.mark.parametrize("name", ["quote_mid", "self_pair_filter", "cross_rates", "all_rates_union",
+                                  "target_mid_first", "erp_layout_m", "erp_layout_v", "rare_erp_m",
+                                  "bpm_merge", "completeness_gaps", "run_counts", "newest_quote"])
+def test_history_scanned_once(spark, name):
+    """Every query built on the order history reads ``orders`` exactly once."""
+    df = catalog.QUERIES[name](spark, SF01)
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert final.count("orders.parquet") == 1, (name, final)
 
 
 def test_known_pairs_is_inner_join(spark):
