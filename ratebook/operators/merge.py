@@ -13,19 +13,25 @@ from pyspark.sql import functions as F
 from ratebook.schemas import BPM_KEYS, OUT_RATE
 
 
+# Batch rows outrank target rows; within each, a higher ``seq`` wins.  Both
+# go into one bigint so the aggregate buffer stays fixed-width (hash-based
+# aggregation instead of sort-based); ``seq`` must lie within +-2^62.
+_BATCH_RANK = 2 ** 62
+
+
 def merge_tagged(rows: DataFrame, keys: list[str] = BPM_KEYS, is_batch: str = "is_batch",
                  seq: str = "seq") -> DataFrame:
     """The MERGE reduction over target and batch rows held in one frame.
 
-    Per key, ``max_by(Rate, (is_batch, seq))``: a key in the batch takes its
-    last batch value, any other key keeps the target's.  One aggregate with
-    a map-side partial step -- a key repeated many times in the batch is
-    pre-reduced in every task before the shuffle, never sorted or collected
-    whole.
+    Per key, the ``Rate`` of the row ranked highest by (is_batch, seq): a key
+    in the batch takes its last batch value, any other key keeps the
+    target's.  One hash aggregate with a map-side partial step -- a key
+    repeated many times in the batch is pre-reduced in every task before the
+    shuffle, never sorted or collected whole.
     """
-    order = F.struct(F.col(is_batch).cast("int").alias("_b"), F.col(seq).cast("bigint").alias("_s"))
+    rank = F.col(is_batch).cast("bigint") * F.lit(_BATCH_RANK) + F.col(seq).cast("bigint")
     return (rows.groupBy(*keys)
-            .agg(F.max_by(F.col("Rate").cast(OUT_RATE), order).alias("Rate")))
+            .agg(F.max_by(F.col("Rate").cast(OUT_RATE), rank).alias("Rate")))
 
 
 def merge_rates(target: DataFrame, batch: DataFrame, keys: list[str] = BPM_KEYS,
