@@ -198,16 +198,21 @@ def q_invalid_rates(spark, sf_dir):
 
 
 def q_newest_quote(spark, sf_dir):
+    """S2's rule over every order: per (period, currency) the latest capture
+    by (order date, order key).  The pair is packed into one bigint (days
+    since epoch x 2^40 + order key; order keys stay far below 2^40), so the
+    aggregate is hash-based; the text is formatted after aggregating."""
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     po = proxies.priced_orders(spark, sf_dir)
+    rank = F.unix_date("order_date").cast("bigint") * F.lit(2 ** 40) + F.col("o_orderkey")
     rows = (po.join(nation, po["c_nationkey"] == nation["n_nationkey"])
             .select(date_text(F.trunc("order_date", PERIOD)).alias("period"),
                     F.col("n_name").alias("from_curr"), "order_date", "o_orderkey",
-                    proxies._price("o_totalprice").cast("string").alias("value")))
-    latest = newest_per_key(rows, ["period", "from_curr"], ["order_date", "o_orderkey"],
+                    rank.alias("_rank"), proxies._price("o_totalprice").alias("value")))
+    latest = newest_per_key(rows, ["period", "from_curr"], ["_rank"],
                             ["value", "o_orderkey", "order_date"])
-    return latest.select("period", "from_curr", "value", "o_orderkey",
-                         date_text("order_date").alias("last_date"))
+    return latest.select("period", "from_curr", F.col("value").cast("string").alias("value"),
+                         "o_orderkey", date_text("order_date").alias("last_date"))
 
 
 def q_run_counts(spark, sf_dir):

@@ -46,13 +46,15 @@ def newest_per_key(rows: DataFrame, keys: list[str], order: list[str],
                    values: list[str]) -> DataFrame:
     """Keep, per ``keys``, the ``values`` of the row that is last by ``order``.
 
-    One aggregate (``max_by`` over a struct): it has a map-side partial step,
-    so a key holding a large share of the rows is pre-reduced in every task
-    before the shuffle, and no group is ever sorted or collected whole.
+    One aggregate, one ``max_by`` per value column: it has a map-side
+    partial step, so a key holding a large share of the rows is pre-reduced
+    in every task before the shuffle, and no group is ever sorted or
+    collected whole.  With a single fixed-width ``order`` column (e.g. a
+    packed bigint) and fixed-width values, Spark plans it as a hash
+    aggregate; several order columns are compared as a struct.
     """
-    latest = F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*[F.col(o) for o in order]))
-    return (rows.groupBy(*keys).agg(latest.alias("_latest"))
-            .select(*keys, *[F.col(f"_latest.{v}").alias(v) for v in values]))
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
+    return rows.groupBy(*keys).agg(*[F.max_by(v, rank).alias(v) for v in values])
 
 
 def newest_file_items(items: DataFrame) -> DataFrame:
