@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratebook.functions.dates import as_date
+from ratebook.functions.dates import run_date_text
 
 # Where the rate sits on a converter page -- the value of the
 # input with name="numberformat" and tabindex="4" (attributes in any order).
@@ -48,7 +48,7 @@ def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str) -> DataFrame
     pages; ``start`` and ``end`` are the run date (a parameter, so a rerun
     repeats).
     """
-    d = as_date(run_date).strftime("%Y%m%d")
+    d = run_date_text(run_date)                                   # N8: a parameter
     url = F.col("url")
     conv = (pages
             .select(_query_param(url, "from").alias("from_curr"),
@@ -57,8 +57,7 @@ def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str) -> DataFrame
     return (conv
             .select("from_curr", "to_curr", page_rate("html").alias("fx_rate"))
             .where((F.col("fx_rate") != F.lit("")) & (F.col("fx_rate") != F.lit(NOT_READY)))
-            .withColumn("start", F.lit(d))
-            .withColumn("end", F.lit(d)))
+            .withColumns({"start": d, "end": d}))
 
 
 def skipped_pages(pages: DataFrame) -> DataFrame:
