@@ -89,3 +89,10 @@ def test_known_pairs_is_inner_join(spark):
     snap = enrich.ref_snapshot(ref_frame(spark), catalog.RUN_DATE)
     plan = _plan(enrich.known_pairs(enrich.enrich_left(rows, snap)))
     assert "LeftOuter" not in plan and "Inner" in plan
+
+
+@pytest.mark.parametrize("name", ["bpm_merge", "newest_quote"])
+def test_rankings_use_hash_aggregation(spark, name):
+    """Packed bigint rankings keep aggregate buffers fixed-width."""
+    plan = _plan(catalog.QUERIES[name](spark, SF01)).split("== Initial Plan ==")[0]
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
