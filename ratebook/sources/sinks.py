@@ -88,8 +88,9 @@ def export_rates(erp: DataFrame, out_dir: str, job: str,
     ordered part files rather than one task's worth of data.
     """
     ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    name = erp.sparkSession.range(1).select(
-        export_name(job, F.lit(ts).cast("timestamp_ntz"))).first()[0]
+    # From ISO text: a zone-less literal that no OS or session time zone shifts.
+    utc = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    name = erp.sparkSession.range(1).select(export_name(job, utc)).first()[0]
     target = f"{out_dir.rstrip('/')}/{name}"
     (erp.orderBy("TO_CURRNCY", "FROM_CURR", "VALID_FROM")
      .write.mode("overwrite").option("header", True).csv(target))
