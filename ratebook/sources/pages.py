@@ -4,7 +4,8 @@ A page is one (from, to) pair: the pair is in the URL query string
 (``?from=..&to=..&amount=1``) and the rate is the ``value`` of the input
 ``name="numberformat" tabindex="4"``.  ``-`` means the page had not finished
 loading and an empty value means there is no rate; both rows are skipped (F1).
-Pages of any other kind (no ``from``/``to`` in the URL) are ignored.
+A converter page without that input at all is a failed capture and stops the
+run.  Pages of any other kind (no ``from``/``to`` in the URL) are ignored.
 """
 
 from __future__ import annotations
@@ -54,10 +55,21 @@ def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str) -> DataFrame
             .select(_query_param(url, "from").alias("from_curr"),
                     _query_param(url, "to").alias("to_curr"), "html")
             .where(F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()))
-    return (conv
-            .select("from_curr", "to_curr", page_rate("html").alias("fx_rate"))
-            .where((F.col("fx_rate") != F.lit("")) & (F.col("fx_rate") != F.lit(NOT_READY)))
-            .withColumns({"start": d, "end": d}))
+    # Filter on the raw rate (blank and not-ready values out, a missing
+    # input kept), and only then apply the raising check: a projection is
+    # evaluated only on rows that passed every filter, whereas an expression
+    # inside a filter may be evaluated early (Catalyst merges filters and
+    # hoists their common subexpressions), even for rows a caller's own
+    # filter would drop.
+    kept = (conv.select("from_curr", "to_curr", page_rate("html").alias("_rate"))
+            .where(F.col("_rate").isNull() | ~F.col("_rate").isin("", NOT_READY)))
+    # A converter page without the rate input is a failed capture: the
+    # source's wait for the element times out and the run stops.
+    missing = F.raise_error(F.concat(F.lit("no rate input on converter page "),
+                                     F.col("from_curr"), F.lit("->"), F.col("to_curr")))
+    return kept.select("from_curr", "to_curr",
+                       F.when(F.col("_rate").isNull(), missing).otherwise(F.col("_rate")).alias("fx_rate"),
+                       d.alias("start"), d.alias("end"))
 
 
 def skipped_pages(pages: DataFrame) -> DataFrame:

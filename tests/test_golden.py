@@ -194,6 +194,10 @@ def test_rate_input_found_by_attributes(spark):
         ("https://c.example/?from=RUB&to=USD&amount=1",
          '<input name="numberformat" tabindex="3" value="1"><p>no rate input</p>'),
     ], "url string, html string")
-    got = {(r.from_curr, r.to_curr, r.fx_rate) for r in extract_page_quotes(pages, RUN).collect()}
+    good = pages.where("url LIKE '%to=TWD%'")
+    got = {(r.from_curr, r.to_curr, r.fx_rate) for r in extract_page_quotes(good, RUN).collect()}
     assert got == {("RUB", "TWD", "0.3512")}
+    # the page without the input is reported up front, and stops the extraction
     assert [(r.to_curr, r.fx_rate) for r in skipped_pages(pages).collect()] == [("USD", None)]
+    with pytest.raises(Exception, match="no rate input on converter page RUB->USD"):
+        extract_page_quotes(pages, RUN).collect()
