@@ -89,3 +89,45 @@ def test_merge_matches_row_by_row(spark, target, batch):
                               "Currency string, Currency2 string, Rate decimal(18,5), RateDate string, seq bigint")
     got = sorted((r.Currency, r.RateDate, str(r.Rate)) for r in merge_rates(t, b).collect())
     assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 3), st.integers(0, 50),
+                               st.integers(0, 10**6)), min_size=1, max_size=30, unique_by=lambda r: r[2]))
+def test_newest_per_key_matches_python(spark, rows):
+    from ratebook.sources.quote_files import newest_per_key
+    df = spark.createDataFrame(rows, "k string, day int, seq int, v long")
+    got = {(r.k, r.v, r.day, r.seq) for r in newest_per_key(df, ["k"], ["day", "seq"], ["v", "day", "seq"]).collect()}
+    want = {}
+    for k, day, seq, v in rows:
+        if k not in want or (day, seq) > (want[k][1], want[k][2]):
+            want[k] = (v, day, seq)
+    assert got == {(k, *val) for k, val in want.items()}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(quoted=st.lists(st.tuples(st.sampled_from(["p1", "p2", "p3"]), st.sampled_from(CODES)),
+                       min_size=1, max_size=12),
+       wanted=st.lists(st.sampled_from(CODES), min_size=1, max_size=4))
+def test_completeness_gaps_match_python(spark, quoted, wanted):
+    from ratebook.operators.quality import completeness_gaps
+    df = spark.createDataFrame([(p, i, c) for i, (p, c) in enumerate(quoted)],
+                               "period string, pos int, from_curr string")
+    got = {(r.period, r.to_curr) for r in completeness_gaps(df, wanted).collect()}
+    periods = {p for p, _ in quoted}
+    want = {(p, t) for p in periods for t in set(wanted) if (p, t) not in set(quoted)}
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(order=st.permutations(["name", "tabindex", "value", "class"]), decoy=st.booleans(),
+       rate=st.decimals(min_value=Decimal("0.0001"), max_value=Decimal("9999"), places=4,
+                        allow_nan=False, allow_infinity=False))
+def test_page_rate_any_attribute_order(spark, order, decoy, rate):
+    from ratebook.sources.pages import page_rate
+    attrs = {"name": 'name="numberformat"', "tabindex": 'tabindex="4"', "value": f'value="{rate}"',
+             "class": 'class="c"'}
+    tag = "<input " + " ".join(attrs[a] for a in order) + ">"
+    html = ('<input data-name="numberformat" tabindex="4" value="0">' if decoy else "") + tag
+    got = spark.createDataFrame([(html,)], "html string").select(page_rate("html")).first()[0]
+    assert got == str(rate)
