@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ratebook.operators import enrich, layouts, quality, rates
 from ratebook.schemas import ERP_COLUMNS
 from ratebook.sources.config import BASE_CURRENCY
-from ratebook.sources.sinks import stage_observed
+from ratebook.sources.sinks import stage, stage_observed
 
 
 def _targets_wo_base(targets: list[str], base: str) -> list[str]:
@@ -167,14 +167,17 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
              run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY,
              bpm_table: str | None = None) -> RunReport:
     """Run W3/W4 end to end from captured converter pages (S3 + F1)."""
-    from ratebook.sources.pages import extract_page_quotes, skipped_pages
+    from ratebook.sources.pages import converter_rates, quotes_from_rates, skipped_rates
 
     layouts.check_rate_type(rate_type)
     report = RunReport(job)
+    # The pages (HTML, the heavy column) are read once: the small converter
+    # rates are staged, and both the skip report and the quotes come from them.
+    conv = stage(converter_rates(pages), "converter-rates")
     # F1's log line: which pairs had no rate (blank or not ready).
     report.outputs["skipped_pairs"] = sorted(
-        (r.from_curr, r.to_curr, r.fx_rate) for r in skipped_pages(pages).limit(quality.SAMPLE).collect())
-    rq, mq = stage_observed(extract_page_quotes(pages, run_date), "rare-quotes")
+        (r.from_curr, r.to_curr, r.fx_rate) for r in skipped_rates(conv).limit(quality.SAMPLE).collect())
+    rq, mq = stage_observed(quotes_from_rates(conv, run_date), "rare-quotes")
     _require(mq, "rare quotes")
     erp, me = stage_observed(rare_rates(rq, ref, run_date, rate_type, check_size=True),
                              "erp", nulls=_null_rows(ERP_COLUMNS))

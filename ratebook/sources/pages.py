@@ -42,42 +42,55 @@ def _query_param(url, key: str):
     return F.try_parse_url(url, F.lit("QUERY"), F.lit(key))
 
 
-def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str) -> DataFrame:
-    """(url, html) -> rare quotes ``from_curr, to_curr, fx_rate (text), start, end``.
+def converter_rates(pages: DataFrame) -> DataFrame:
+    """(url, html) -> ``from_curr, to_curr, rate`` for every converter page.
 
-    The URL test runs first, so the regular expression only scans converter
-    pages; ``start`` and ``end`` are the run date (a parameter, so a rerun
-    repeats).
+    ``rate`` is the raw text of the rate input (NULL when the page has none).
+    The URL test runs first, so the page's HTML is only parsed for converter
+    pages; other pages drop out here.
     """
-    d = run_date_text(run_date)                                   # N8: a parameter
     url = F.col("url")
     conv = (pages
             .select(_query_param(url, "from").alias("from_curr"),
                     _query_param(url, "to").alias("to_curr"), "html")
             .where(F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()))
-    # Filter on the raw rate (blank and not-ready values out, a missing
-    # input kept), and only then apply the raising check: a projection is
-    # evaluated only on rows that passed every filter, whereas an expression
-    # inside a filter may be evaluated early (Catalyst merges filters and
-    # hoists their common subexpressions), even for rows a caller's own
-    # filter would drop.
-    kept = (conv.select("from_curr", "to_curr", page_rate("html").alias("_rate"))
-            .where(F.col("_rate").isNull() | ~F.col("_rate").isin("", NOT_READY)))
+    return conv.select("from_curr", "to_curr", page_rate("html").alias("rate"))
+
+
+def quotes_from_rates(conv: DataFrame, run_date: _dt.date | str) -> DataFrame:
+    """Converter rates -> rare quotes ``from_curr, to_curr, fx_rate, start, end`` (F1).
+
+    Blank and not-ready values are dropped.  Filtering happens on the raw
+    rate first, and only then the raising check is applied: a projection is
+    evaluated only on rows that passed every filter, whereas an expression
+    inside a filter may be evaluated early (Catalyst merges filters and
+    hoists their common subexpressions), even for rows a caller's own filter
+    would drop.
+    """
+    d = run_date_text(run_date)                                   # N8: a parameter
+    kept = conv.where(F.col("rate").isNull() | ~F.col("rate").isin("", NOT_READY))
     # A converter page without the rate input is a failed capture: the
     # source's wait for the element times out and the run stops.
     missing = F.raise_error(F.concat(F.lit("no rate input on converter page "),
                                      F.col("from_curr"), F.lit("->"), F.col("to_curr")))
     return kept.select("from_curr", "to_curr",
-                       F.when(F.col("_rate").isNull(), missing).otherwise(F.col("_rate")).alias("fx_rate"),
+                       F.when(F.col("rate").isNull(), missing).otherwise(F.col("rate")).alias("fx_rate"),
                        d.alias("start"), d.alias("end"))
 
 
+def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str) -> DataFrame:
+    """S3: (url, html) -> rare quotes ``from_curr, to_curr, fx_rate (text), start, end``;
+    ``start`` and ``end`` are the run date (a parameter, so a rerun repeats)."""
+    return quotes_from_rates(converter_rates(pages), run_date)
+
+
+def skipped_rates(conv: DataFrame) -> DataFrame:
+    """Converter rates that F1 drops (blank or not ready) or that have no
+    rate input at all, for the run log."""
+    return (conv.where(F.col("rate").isNull() | F.col("rate").isin("", NOT_READY))
+            .select("from_curr", "to_curr", F.col("rate").alias("fx_rate")))
+
+
 def skipped_pages(pages: DataFrame) -> DataFrame:
-    """Converter pages that F1 drops (blank, not ready, or no rate input),
-    for the run log."""
-    url = F.col("url")
-    return (pages
-            .select(_query_param(url, "from").alias("from_curr"),
-                    _query_param(url, "to").alias("to_curr"), page_rate("html").alias("fx_rate"))
-            .where(F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()
-                   & (F.col("fx_rate").isNull() | F.col("fx_rate").isin("", NOT_READY))))
+    """``skipped_rates`` straight from (url, html) pages."""
+    return skipped_rates(converter_rates(pages))
