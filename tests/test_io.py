@@ -244,3 +244,12 @@ def test_cli_reads_catalog_tables(spark, tmp):
     finally:
         spark.sql("DROP TABLE IF EXISTS ref_rates_probe")
     assert out["counts"]["erp"] == 5
+
+
+def test_cli_ingest(spark, tmp):
+    from ratebook.cli import main
+    write_doc(f"{tmp}/in", "a.json", GOLDEN_DOC)
+    main(["ingest", "--source", f"{tmp}/in", "--checkpoint", f"{tmp}/ck", "--table", f"{tmp}/rates"],
+         spark=spark)
+    got = {(r.Currency, str(r.Rate)) for r in sinks.read_rates(spark, f"{tmp}/rates").collect()}
+    assert got == {("USD", "32.70000"), ("JPY", "0.21700"), ("EUR", "35.40000")}
