@@ -253,3 +253,23 @@ def test_cli_ingest(spark, tmp):
          spark=spark)
     got = {(r.Currency, str(r.Rate)) for r in sinks.read_rates(spark, f"{tmp}/rates").collect()}
     assert got == {("USD", "32.70000"), ("JPY", "0.21700"), ("EUR", "35.40000")}
+
+
+def test_runner_retry_gives_the_same_outputs(spark, tmp):
+    """A scheduler retry re-runs the whole job: outputs must not change."""
+    import datetime as dt
+    q = rates.quote_mid(scan_quote_json(spark, _golden_dir(tmp)))
+
+    def run():
+        jobs.run_common(q, GOLDEN_TARGETS, ref_frame(spark), RUN, "M", "common_m", f"{tmp}/erp",
+                        export_dir=f"{tmp}/exp", bpm_path=f"{tmp}/bpm",
+                        run_ts=dt.datetime(2025, 2, 21, 3, 0))
+        erp = sorted(tuple(r) for r in sinks.read_erp_rates(spark, f"{tmp}/erp").collect())
+        bpm = sorted(tuple(str(x) for x in r) for r in sinks.read_rates(spark, f"{tmp}/bpm").collect())
+        exp = sorted(tuple(r) for r in spark.read.option("header", True).csv(
+            f"{tmp}/exp/FinalData__common_m__20250221_1100").collect())
+        return erp, bpm, exp
+
+    first = run()
+    assert run() == first
+    assert len(first[0]) == 5 and len(first[1]) == 3 and len(first[2]) == 5
