@@ -91,20 +91,31 @@ def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool)
     targets = _target_names(targets)
     names = list(dict.fromkeys(targets))
     q = attach_target_mids(quotes, names)
-    rows = []
-    if with_mid_rows:
-        rows.append(F.struct(F.col("to_curr").alias("to_curr"),
-                             F.col("fx_rate").cast(WIDE_RATE).alias("fx_rate")))
-    for t in targets:
-        mid = F.col(f"_mid{names.index(t)}")
-        missing = F.raise_error(F.concat(F.lit(f"no quote for target {t} in period "),
-                                         F.coalesce(F.col("period"), F.lit("NULL"))))
-        rate = F.when(mid.isNull(), missing).otherwise(cross_rate("sellValue", mid, F.lit(t)))
-        rows.append(F.struct(F.lit(t).alias("to_curr"), rate.cast(WIDE_RATE).alias("fx_rate")))
     keep = [c for c in quotes.columns if c not in ("to_curr", "fx_rate")]
-    if not rows:
+    parts = []
+    if with_mid_rows:
+        parts.append(F.array(F.struct(F.col("to_curr").alias("to_curr"),
+                                      F.col("fx_rate").cast(WIDE_RATE).alias("fx_rate"))))
+    if targets:
+        # One higher-order expression over the configured list (repeats kept):
+        # the plan's size does not grow with the number of targets.
+        listed = F.array(*[F.lit(t) for t in targets])
+        slots = F.array(*[F.lit(names.index(t)) for t in targets])
+        mids = F.array(*[F.col(f"_mid{i}") for i in range(len(names))])
+
+        def cross_row(i):
+            t = F.element_at(listed, i + 1)
+            mid = F.element_at(mids, F.element_at(slots, i + 1) + 1)
+            missing = F.raise_error(F.concat(F.lit("no quote for target "), t, F.lit(" in period "),
+                                             F.coalesce(F.col("period"), F.lit("NULL"))))
+            rate = F.when(mid.isNull(), missing).otherwise(cross_rate("sellValue", mid, t))
+            return F.struct(t.alias("to_curr"), rate.cast(WIDE_RATE).alias("fx_rate"))
+
+        parts.append(F.transform(F.sequence(F.lit(0), F.lit(len(targets) - 1)), cross_row))
+    if not parts:
         return q.select(*keep, F.col("to_curr"), F.col("fx_rate").cast(WIDE_RATE)).where(F.lit(False))
-    return (q.select(*keep, F.explode(F.array(*rows)).alias("_r"))
+    rows = parts[0] if len(parts) == 1 else F.concat(*parts)
+    return (q.select(*keep, F.explode(rows).alias("_r"))
             .select(*keep, F.col("_r.to_curr").alias("to_curr"), F.col("_r.fx_rate").alias("fx_rate")))
 
 
