@@ -69,3 +69,17 @@ def test_w1_on_skewed_history(spark, skewed_dir, cluster_like):
     erp = catalog.q_erp_layout_m(spark, skewed_dir)
     assert erp.count() > 0
     assert erp.where("FROM_CURR = TO_CURRNCY").count() == 0
+
+
+def test_call_windows_never_span_a_whole_connection(spark):
+    """The window over raw calls (ordered by time) is partitioned by
+    (connection, day, bucket); only the per-bucket summary rows are windowed
+    by connection alone."""
+    import re
+
+    df = catalog.QUERIES["call_metrics"](spark, SF01)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    specs = re.findall(r"Window \[.*\], \[([^\]]*)\], \[([^\]]*)\]", plan)
+    raw = [p for p, order in specs if re.search(r"\bts#", order)]
+    assert raw and all("_hour" in p and "_day" in p for p in raw), specs
