@@ -98,7 +98,8 @@ def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool)
                                       F.col("fx_rate").cast(WIDE_RATE).alias("fx_rate"))))
     if targets:
         # One higher-order expression over the configured list (repeats kept):
-        # the plan's size does not grow with the number of targets.
+        # the rate expression, with its checks, is written once instead of
+        # once per target.
         listed = F.array(*[F.lit(t) for t in targets])
         slots = F.array(*[F.lit(names.index(t)) for t in targets])
         mids = F.array(*[F.col(f"_mid{i}") for i in range(len(names))])
