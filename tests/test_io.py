@@ -273,3 +273,13 @@ def test_runner_retry_gives_the_same_outputs(spark, tmp):
     first = run()
     assert run() == first
     assert len(first[0]) == 5 and len(first[1]) == 3 and len(first[2]) == 5
+
+
+def test_newest_file_tie_broken_by_path(spark, tmp):
+    t = time.time() - 60
+    a = dict(GOLDEN_DOC, items=[{"code": "USD", "buyValue": "1", "sellValue": "1"}])
+    b = dict(GOLDEN_DOC, items=[{"code": "USD", "buyValue": "2", "sellValue": "2"}])
+    write_doc(f"{tmp}/q", "a.json", a, mtime=t)
+    write_doc(f"{tmp}/q", "b.json", b, mtime=t)
+    got = [(r.code, r.buyValue) for r in scan_quote_json(spark, f"{tmp}/q").collect()]
+    assert got == [("USD", "2")]   # same time: the greater path ("b.json") wins, every run
