@@ -96,3 +96,12 @@ def test_rankings_use_hash_aggregation(spark, name):
     """Packed bigint rankings keep aggregate buffers fixed-width."""
     plan = _plan(catalog.QUERIES[name](spark, SF01)).split("== Initial Plan ==")[0]
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_every_query_reads_the_driver_tables(spark, name):
+    """No registered query runs on fixed input alone: each one scans the
+    driver's Parquet tables, so its work grows with them."""
+    df = catalog.QUERIES[name](spark, SF01)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and SF01 in plan, name
