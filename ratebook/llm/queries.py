@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratebook.llm import bpe, quality_rules, token_files, url_filter
+from ratebook.llm import bpe, line_dedup, quality_rules, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_quality_rules": quality_rules.op9_quality_rules,
@@ -16,5 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
 }
