@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratebook.llm import bpe, line_dedup, quality_rules, token_files, url_filter
+from ratebook.llm import bpe, decontaminate, line_dedup, quality_rules, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_token_files": token_files.op10_token_files,
