@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratebook.llm import bpe, decontaminate, line_dedup, quality_rules, token_files, url_filter
+from ratebook.llm import bpe, chat_windows, decontaminate, line_dedup, quality_rules, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_windows": chat_windows.op1_chat_windows,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op7_decontaminate": decontaminate.op7_decontaminate,
