@@ -31,6 +31,7 @@ from ratebook.sources.tables import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 MEMO_ENTRIES = 150_000
+GROUP = 64                  # documents whose ids are held at once
 NO_RANK = 1 << 62
 # The white space of the pattern's \s, named one by one: Python's own \s also takes U+001C to U+001F.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -150,42 +151,32 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def tokenized(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: str | None = None) -> DataFrame:
-    """(key, ids array<int>) of every document."""
+def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: str | None = None,
+               with_ids: bool = False) -> DataFrame:
+    """Per document: number of ids, digests of the ids and of the text decoded from them, and the ids
+    themselves (array<int>) if asked for."""
     path = ranks or public_tokenizers.path(RANKS)
     ship_package(docs.sparkSession)
+    names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
-            for k in range(b.num_rows):           # a document at a time: ids take many times the text's room
-                ids = c.encode(b.column(1)[k].as_py() or "")
-                yield pa.record_batch([b.column(0).slice(k, 1), pa.array([ids], pa.list_(pa.int32()))], ["key", "ids"])
+            for at in range(0, b.num_rows, GROUP):        # ids take many times their text's room
+                some = b.slice(at, GROUP)
+                n, of_ids, of_text, rows = [], [], [], []
+                for x in some.column(1):
+                    ids = c.encode(x.as_py() or "")
+                    n.append(len(ids))
+                    of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                    of_text.append(hashlib.sha256(c.decode(ids)).hexdigest())
+                    if with_ids:
+                        rows.append(pa.array(ids, pa.int32()))
+                out = [some.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
+                yield pa.record_batch(out + [pa.array(rows, pa.list_(pa.int32()))] * with_ids, names)
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
-
-
-def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: str | None = None) -> DataFrame:
-    """Per document: number of ids, digests of the ids and of the text decoded from them."""
-    path = ranks or public_tokenizers.path(RANKS)
-    ship_package(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
-        for b in batches:
-            n, of_ids, of_text = [], [], []
-            for x in b.column(1):
-                ids = c.encode(x.as_py() or "")
-                n.append(len(ids))
-                of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                of_text.append(hashlib.sha256(c.decode(ids)).hexdigest())
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()),
-                                   pa.array(of_text, pa.string())],
-                                  ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = docs.schema[key].dataType.simpleString()
-    out = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    out = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return docs.select(key, text).mapInArrow(run, out).withColumnRenamed("key", key)
 
 

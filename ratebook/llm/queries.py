@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratebook.llm import bpe, chat_windows, decontaminate, line_dedup, quality_rules, token_files, url_filter
+from ratebook.llm import (
+    bpe, chat_windows, decontaminate, jaccard_join, line_dedup, pii, quality_rules, token_files, url_filter, warc_revisits,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_windows": chat_windows.op1_chat_windows,
+    "op2_pii_pseudonyms": pii.op2_pii_pseudonyms,
+    "op3_warc_revisits": warc_revisits.op3_warc_revisits,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_url_filter": url_filter.op8_url_filter,
@@ -19,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc_revisits": warc_revisits.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
 }
