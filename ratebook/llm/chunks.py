@@ -52,10 +52,14 @@ class Memo:
 
     def missing(self, keys) -> set:
         """Of ``keys``, those not known; known ones of the old generation become young again."""
-        out = set(keys) - self.young.keys()
-        for k in out & self.old.keys():
-            self.young[k] = self.old[k]
-            out.discard(k)
+        young, old = self.young, self.old
+        out = set()
+        for k in set(keys):
+            if k not in young:
+                if k in old:
+                    young[k] = old[k]
+                else:
+                    out.add(k)
         return out
 
     def room(self) -> None:
