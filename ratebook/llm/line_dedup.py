@@ -1,7 +1,7 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A run is a table of (h1, h2, n): the 128-bit hash of a line's key and the number of documents seen
-with it, bucketed and sorted by the hash.  Every new batch of documents is one new run at level 0:
+A run is a set of (h1, h2, n) rows: the 128-bit hash of a line's key and the number of documents
+seen with it, bucketed and sorted by the hash.  Every new batch of documents is one new run at level 0:
 its keys are merge-anti-joined with the closed runs (keys that already reached the threshold need
 no more counting) and the rest is added.  When a level holds ``fanout`` runs they are compacted:
 one merge sums the counts, keys that reach the threshold move to a closed run and the rest becomes
@@ -42,70 +42,68 @@ def _hash(key: Column) -> Column:
 
 
 class LineRuns:
-    """The levelled runs of line keys seen so far.  ``close`` drops their tables."""
+    """The levelled runs of line keys seen so far: partitions of one bucketed, sorted table, so that a
+    scan of several runs reads a hash bucket of all of them in one task and merges without a shuffle.
+    ``close`` drops the table."""
 
     def __init__(self, spark: SparkSession, threshold: int = THRESHOLD, fanout: int = FANOUT,
                  buckets: int | None = None):
         self.spark, self.threshold, self.fanout = spark, threshold, fanout
         self.buckets = buckets or shuffle_partitions(spark)
-        self.levels: list[list[str]] = []
-        self.closed: list[str] = []
-        self._name, self._made = f"ratebook_lines_{os.urandom(6).hex()}", 0
+        self.levels: list[list[int]] = []
+        self.closed: list[int] = []
+        self.table, self._made = f"ratebook_lines_{os.urandom(6).hex()}", 0
 
-    def _write(self, run: DataFrame) -> str:
-        name, self._made = f"{self._name}_{self._made}", self._made + 1
-        run.write.format("parquet").bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(name)
-        return name
+    def _write(self, run: DataFrame) -> int:
+        number, self._made = self._made, self._made + 1
+        (run.withColumn("run", F.lit(number)).write.format("parquet").mode("append").partitionBy("run")
+         .bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(self.table))
+        return number
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+    def _read(self, runs: list[int]) -> DataFrame:
+        return self.spark.table(self.table).where(F.col("run").isin(runs))
 
     def add_batch(self, docs: DataFrame, text: str = "text") -> None:
         """Count the batch's keys (once per document) and add them as a run, but for closed keys."""
         hashes = F.transform(F.filter(F.transform(_lines(F.col(text)), line_key), lambda k: k != ""), _hash)
         run = (docs.select(F.explode(F.array_distinct(hashes)).alias("h")).select("h.h1", "h.h2")
                .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")))
-        for name in self.closed:
-            run = run.join(self._read(name).select("h1", "h2"), ["h1", "h2"], "left_anti")
+        if self.closed:
+            run = run.join(self._read(self.closed).select("h1", "h2"), ["h1", "h2"], "left_anti")
         self._add(0, self._write(run))
 
-    def _add(self, level: int, name: str) -> None:
+    def _add(self, level: int, run: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(name)
+        self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             self._compact(level)
 
-    def _merged(self, names: list[str]) -> DataFrame:
-        every = self._read(names[0])
-        for x in names[1:]:
-            every = every.unionByName(self._read(x))
-        return every.groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+    def _merged(self, runs: list[int]) -> DataFrame:
+        return self._read(runs).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
 
     def _compact(self, level: int) -> None:
-        names, self.levels[level] = self.levels[level], []
-        merged = self._merged(names)
+        runs, self.levels[level] = self.levels[level], []
+        merged = self._merged(runs)
         self.closed.append(self._write(merged.where(F.col("n") >= self.threshold)))
-        self._add(level + 1, self._write(merged.where(F.col("n") < self.threshold)))
-        for x in names:
-            self.spark.sql(f"DROP TABLE {x}")
+        rest = self._write(merged.where(F.col("n") < self.threshold))
+        for x in runs:
+            # a run without rows has no partition
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (run = {x})")
+        self._add(level + 1, rest)
 
     def frequent(self) -> DataFrame:
         """(h1, h2) of the keys found in at least ``threshold`` documents so far, staged."""
-        parts = [self._read(x).select("h1", "h2") for x in self.closed]
-        if left := [x for names in self.levels for x in names]:
-            parts.append(self._merged(left).where(F.col("n") >= self.threshold).select("h1", "h2"))
-        if not parts:
+        if not self._made:
             return self.spark.createDataFrame([], "h1 long, h2 long")
-        out = parts[0]
-        for x in parts[1:]:
-            out = out.unionByName(x)
-        # closed runs may repeat a key that was counted further before it closed
-        return staged(out.distinct(), scratch(self.spark, "lines"))
+        left = [x for runs in self.levels for x in runs]
+        opened = self._merged(left).where(F.col("n") >= self.threshold).select("h1", "h2")
+        # closed runs may hold a key that an open run reaches the threshold with as well
+        every = self._read(self.closed).select("h1", "h2").unionByName(opened).distinct()
+        return staged(every, scratch(self.spark, "lines"))
 
     def close(self) -> None:
-        for x in [*self.closed, *(x for names in self.levels for x in names)]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {x}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
         self.closed, self.levels = [], []
 
 
