@@ -1,0 +1,228 @@
+"""Jaccard join, URL cascade and revisit resolution against brute force; registration."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import duckdb
+import pytest
+from conftest import SF001
+from llm_data import DOCS, ascii_lower, edge_documents, prose, with_extras, words
+from pyspark.sql import functions as F
+
+from ratebook.llm import jaccard_join, queries, url_filter, warc_revisits
+
+# ------------------------------------------------------------------ near duplicates
+
+
+def brute_components(rows):
+    sets = []
+    for _, t in rows:
+        w = words(ascii_lower(t or ""))
+        sets.append({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        least[find(i)].append(d)
+    out = []
+    for i, (d, _) in enumerate(rows):
+        ids = [x for x in least[find(i)] if x is not None]
+        out.append((d, len(sets[i]), (min(ids) if ids else None) if sets[i] else d))
+    return sorted(out, key=str)
+
+
+def family(r, n, edits):
+    base = prose(r.randrange(10**6), n).split()
+    out = []
+    for _ in range(edits):
+        w = list(base)
+        for _ in range(r.randint(0, 6)):
+            k = r.randrange(len(w))
+            w[k:k + 1] = r.choice([[], [f"new{r.randrange(10**6)}"], [w[k], "more"]])
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("rare", [jaccard_join.RARE, 1])
+def test_components_match_brute_force(spark, rare, monkeypatch):
+    monkeypatch.setattr(jaccard_join.links, "__defaults__", (rare, jaccard_join.STARS))
+    r = random.Random(9)
+    passage = prose(77, 60)
+    rows = edge_documents()
+    for n, k in ((60, 40), (150, 40), (25, 12), (8, 6), (400, 8)):
+        rows += [(1000 + len(rows) + i, t) for i, t in enumerate(family(r, n, k))]
+    rows += [(5000 + k, passage + " " + prose(9000 + k, r.choice([5, 10, 30]))) for k in range(30)]
+    docs = with_extras(spark.createDataFrame(rows, DOCS))
+    got = sorted([(x.doc_id, x.n_shingles, x.component_id) for x in jaccard_join.near_duplicates(docs).collect()], key=str)
+    want = brute_components(rows)
+    assert got == want
+    kept = [x.doc_id for x in jaccard_join.one_of_each(docs).collect()]
+    blank = sum(not words(t) for _, t in rows)
+    assert len(kept) == len({c for _, n, c in want if n}) + blank
+    assert {c for _, n, c in want if n} <= set(kept)
+
+
+def test_no_documents(spark):
+    none = spark.createDataFrame([], DOCS)
+    assert jaccard_join.near_duplicates(none).count() == 0 and jaccard_join.one_of_each(none).count() == 0
+
+
+def test_components_of_long_chains(spark):
+    edges = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 50)]
+    got = jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    groups = defaultdict(set)
+    for x in got:
+        groups[x.root].add(x.cid)
+    assert sorted(map(sorted, groups.values())) == [list(range(61)), list(range(100, 150))]
+
+
+# ------------------------------------------------------------------ urls
+
+@pytest.mark.parametrize("max_bits", [1 << 23, 2048])
+def test_cascade_is_exact(spark, max_bits):
+    keys = [f"host{k}" for k in range(3000)] + [""]
+    listed = set(random.Random(3).sample(keys, 400))
+    u = spark.createDataFrame([(k,) for k in [*keys, None, *keys[:50]]], "key string")
+    c = url_filter.fit_cascade(u, spark.createDataFrame([(k,) for k in [*listed, None]], "key string"), max_bits=max_bits)
+    assert c.n_shards == (1 if max_bits > 1e6 else 2) and all(len(s) > 1 for s in c.shards)
+    got = c.mark(u, "key", "listed").collect()
+    assert len(got) == u.count() and all(r.listed == ((r.key or "") in listed) for r in got)
+    none = url_filter.fit_cascade(u, u.where("false"))
+    assert none.mark(u, "key", "listed").where("listed").count() == 0
+
+
+def test_urls_are_judged(spark):
+    urls = ["http://A.Example.net/en/x?q#f", "https://example.net/de/", "http://x.example.com/de/1", "http://a.org/fr/", "http://a.org/en/",
+            "http://spam-farm.example.org", "http://net", "net/x", None, "", "http://", "x://y://z/fr/", "http://notnet/", "http://adult-x.io?a/b"]
+    pages = with_extras(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge_urls(pages, url_filter.listed_hosts(pages)).collect()}
+    assert got == {
+        0: ("a.example.net", "/en/x", "example.net/en/", "allow"), 1: ("example.net", "/de/", "net/", "block"),
+        2: ("x.example.com", "/de/1", "example.com/de/", "block"), 3: ("a.org", "/fr/", "org/fr/", "allow"),
+        4: ("a.org", "/en/", None, "allow"), 5: ("spam-farm.example.org", "", None, "block"), 6: ("net", "", None, "allow"),
+        7: ("", "", None, "allow"), 8: ("", "", None, "allow"), 9: ("", "", None, "allow"), 10: ("", "", None, "allow"),
+        11: ("y:", "//z/fr/", None, "allow"), 12: ("notnet", "/", None, "allow"), 13: ("adult-x.io", "", None, "block")}
+    none = pages.where("false")
+    assert url_filter.judge_urls(none, url_filter.listed_hosts(none)).count() == 0
+
+
+# ------------------------------------------------------------------ revisits
+
+def brute_revisits(rows):
+    def canon(u):
+        if u is None:
+            return None
+        u = re.sub(r"#.*$", "", u)
+        u = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*://", "", u)
+        host = re.match(r"[^/?]*", u)[0]
+        rest = u[len(host):]
+        host = re.sub(r"^www\.|:(80|443)$", "", ascii_lower(host))
+        rest = re.sub(r"([?&])(?:(?:ref|utm_source)=[^&]*(?:&|$))+", r"\1", rest)
+        return re.sub(r"[/?&]+$", "", host + rest)
+
+    rows = [(i, canon(u), t, k, {a.lower(): b for a, b in (h or {}).items()}) for i, u, t, k, h in rows]
+    out = []
+    for i, u, t, k, h in rows:
+        if k != "revisit":
+            continue
+        before = [x for x in rows if x[1] == u and x[3] == "response" and ((x[2] is not None, x[2] or 0, x[0]) < (t is not None, t or 0, i))]
+        base = max(before, key=lambda x: (x[2] is not None, x[2] or 0, x[0]), default=None)
+        if base is None:
+            status = "missing"
+        elif "etag" in h and "etag" in base[4]:
+            status = "resolved" if h["etag"].removeprefix("W/") == base[4]["etag"].removeprefix("W/") else "mismatch"
+        elif "last-modified" in h and "last-modified" in base[4]:
+            status = "resolved" if h["last-modified"] == base[4]["last-modified"] else "mismatch"
+        else:
+            status = "unvalidated"
+        done = status == "resolved"
+        merged = base[4] | {a: b for a, b in h.items() if a in warc_revisits.PERMITTED} if done else h
+        out.append((i, u, t, status, base[0] if done else None, tuple(sorted(merged.items()))))
+    return sorted(out, key=str)
+
+
+def test_revisits_match_brute_force(spark):
+    r = random.Random(8)
+    urls = ["http://a.org/x", "https://www.A.org/x/", "http://a.org/x?ref=1", "http://a.org/x?ref=1&b=2", "http://a.org:80/x#f", "http://b.org/", None, ""]
+    rows = []
+    for i in range(600):
+        h = {}
+        if r.random() < 0.8:
+            h[r.choice(["ETag", "etag"])] = r.choice(['"1"', 'W/"1"', '"2"'])
+        if r.random() < 0.5:
+            h["Last-Modified"] = r.choice(["mon", "tue"])
+        h |= {"Content-Length": str(i), "Date": str(i)} if r.random() < 0.8 else {}
+        url = urls[0] if r.random() < 0.4 else r.choice(urls)
+        rows.append((i, url, r.choice([None, *range(60)]), r.choice(["response", "revisit", "revisit", "request"]), h if r.random() < 0.95 else None))
+    df = with_extras(spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, headers map<string,string>"))
+    got = [(x.record_id, x.url_key, x.ts, x.status, x.refers_to, tuple(sorted(x.headers.items()))) for x in warc_revisits.resolve_revisits(df).collect()]
+    assert sorted(got, key=str) == brute_revisits(rows)
+    assert warc_revisits.resolve_revisits(df.where("false")).count() == 0
+
+
+# ------------------------------------------------------------------ registration
+
+def test_ten_operators_are_registered():
+    import corpus_pipeline
+    assert {re.match(r"op(\d+)_", q)[1] for q in queries.QUERIES} == {str(k) for k in range(1, 11)}
+    assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    import __spark_entry__ as entry
+    assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
+    assert len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_match_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    df = queries.QUERIES[name](spark, SF001)
+    cols = sorted(df.columns)
+    cur = con.execute(queries.ORACLE_SQL[name])
+    names = [d[0] for d in cur.description]
+    want = sorted(str([row[names.index(c)] for c in cols]) for row in cur.fetchall())
+    assert sorted(names) == cols
+    assert sorted(str([r[c] for c in cols]) for r in df.collect()) == want and F is not None
+
+
+def test_pipeline_stages(spark):
+    """Every stage against its own brute force, each on what the stage before kept."""
+    import corpus_pipeline
+    from test_llm_text import brute_contamination, brute_lines, brute_statistics
+
+    from ratebook.llm.common import scratch, staged
+    from ratebook.sources.tables import table
+    docs = table(spark, SF001, "documents")
+    bench = [(r.item_id, r.text) for r in table(spark, SF001, "benchmark").collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        out = staged(stage(spark, docs, SF001), scratch(spark, name))
+        if name != "byte_bpe":
+            assert out.columns == docs.columns
+        after = out.collect()
+        ids = {r.doc_id for r in after}
+        if name == "quality_rules":
+            failed = {i for i, t in before if (s := brute_statistics(t))[0] < 20 or 100 * s[4] > 30 * s[0]}
+            assert not failed & ids and len(ids) >= 0.5 * len(before)
+        elif name == "line_dedup":
+            assert sorted([(r.doc_id, r.text) for r in after], key=str) == sorted([(i, x) for i, _, _, x in brute_lines(before, 10)], key=str)
+        elif name == "jaccard_join":
+            assert ids == {c for _, n, c in brute_components(before) if n} | {i for i, t in before if not words(t)}
+        elif name == "decontaminate":
+            assert ids == {i for i, _, hit, _ in brute_contamination(before, bench) if not hit}
+        else:
+            assert ids == {i for i, _ in before}
+        docs = out
