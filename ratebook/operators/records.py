@@ -27,6 +27,9 @@ def selection_filter(col: str, ranges, kind: str = "date") -> Column:
     for sign, option, low, high in ranges:
         if (sign, option) != ("I", "BT"):
             raise ValueError(f"unsupported selection {sign}/{option}; only I/BT")
+        for bound in (low, high):
+            if len(bound) != 8 or not bound.isascii() or not bound.isdigit():
+                raise ValueError(f"selection bound {bound!r} is not yyyyMMdd")
         lo = _dt.datetime.strptime(low, "%Y%m%d")
         hi = _dt.datetime.strptime(high, "%Y%m%d")
         c = F.col(col)
@@ -98,6 +101,9 @@ def call_metrics(calls: DataFrame, conn: str = "connection", ts: str = "ts",
     minute_of_day = F.hour(ts) * 60 + F.minute(ts)
     hour = [F.to_date(ts).alias("_day"), F.floor(minute_of_day / bucket_minutes).alias("_hour")]
     r = F.col(reset).cast("int")
+    # A NULL connection is a connection of its own, a NULL time precedes every
+    # time, and a NULL reset flag is no reset.
+    r = F.coalesce(r, F.lit(0))
     c = calls.select(conn, ts, tie, r.alias("_r"), *measures, *hour)
     cell = [conn, "_day", "_hour"]
     # Pass 1 reads only (connection, ts, reset): a partial aggregate to one
@@ -109,7 +115,8 @@ def call_metrics(calls: DataFrame, conn: str = "connection", ts: str = "ts",
     # Pass 2: the running count inside each (connection, hour) -- the join
     # and the window share one partitioning, so there is one shuffle.
     within = Window.partitionBy(*cell).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    tagged = (c.join(prefix, cell)
+    same = c[conn].eqNullSafe(prefix[conn]) & c["_day"].eqNullSafe(prefix["_day"]) & c["_hour"].eqNullSafe(prefix["_hour"])
+    tagged = (c.join(prefix, same).drop(*[prefix[k] for k in cell])
               .withColumn("reset_epoch", (F.col("_prior") + F.sum("_r").over(within)).cast("bigint")))
     call = F.col("_r") == 0
     return (tagged.groupBy(conn, "reset_epoch")
@@ -182,7 +189,8 @@ def normalize_records(df: DataFrame, spec: list[tuple], keep: list[str] | None =
 
 # ---------------------------------------------------------------- D4
 
-# The longest field values the nested-table sample prints.
+# The longest field values the nested-table sample prints:
+# characters of STR, bytes of XSTR (held as hex text, two digits a byte).
 STR_MAX = 256
 XSTR_MAX = 128
 
@@ -190,8 +198,8 @@ XSTR_MAX = 128
 def flatten_deep_table(df: DataFrame, id_col: str = "id", tab: str = "tab") -> DataFrame:
     """Nested-table rows -> flat rows with a 1-based line number.
 
-    ``STR`` longer than 256 characters and ``XSTR`` longer than 128 are left
-    out (NULL), the rest of the line is kept.  ``posexplode`` runs inside the
+    ``STR`` longer than 256 characters and ``XSTR`` longer than 128 bytes (256
+    hex digits) are left out (NULL), the rest of the line is kept.  ``posexplode`` runs inside the
     task that holds the record, so no shuffle is involved.
     """
     lines = df.select(id_col, F.posexplode(tab).alias("_pos", "_line"))
@@ -201,5 +209,5 @@ def flatten_deep_table(df: DataFrame, id_col: str = "id", tab: str = "tab") -> D
         F.col("_line.I").alias("I"),
         F.col("_line.C").alias("C"),
         F.when(F.char_length("_line.STR") <= STR_MAX, F.col("_line.STR")).alias("STR"),
-        F.when(F.char_length("_line.XSTR") <= XSTR_MAX, F.col("_line.XSTR")).alias("XSTR"),
+        F.when(F.char_length("_line.XSTR") <= 2 * XSTR_MAX, F.col("_line.XSTR")).alias("XSTR"),
     )

@@ -277,7 +277,7 @@ FROM t"""
 u AS (SELECT doc_id, c, unnest(arr) AS line, unnest(generate_series(1, len(arr))) AS line_no FROM d)
 SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(line_no AS INTEGER) AS I, c AS C,
        CASE WHEN length(line) <= 256 THEN line END AS STR,
-       CASE WHEN length(hex(line)) <= 128 THEN hex(line) END AS XSTR
+       CASE WHEN octet_length(encode(line)) <= 128 THEN hex(line) END AS XSTR
 FROM u"""
     return sql
 

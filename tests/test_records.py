@@ -83,14 +83,16 @@ def test_normalize_records_flags(spark):
 def test_flatten_deep_table_limits(spark):
     long_str = "y" * 257
     ok_str = "z" * 256
-    tab = [(1, "C1", "short", "0A0B"), (2, "C2", long_str, "AB" * 65), (3, "C3", ok_str, "AB" * 64)]
+    tab = [(1, "C1", "short", "0A0B"), (2, "C2", long_str, "AB" * 129), (3, "C3", ok_str, "AB" * 128),
+           (4, "C4", "x", "AB" * 64), (5, "C5", "x", "AB" * 65)]
     df = spark.createDataFrame([(10, tab)],
                                "id long, tab array<struct<I:int,C:string,STR:string,XSTR:string>>")
     rows = records.flatten_deep_table(df).orderBy("line_no").collect()
-    assert [r.line_no for r in rows] == [1, 2, 3]
+    assert [r.line_no for r in rows] == [1, 2, 3, 4, 5]
     assert rows[0].STR == "short" and rows[0].XSTR == "0A0B"
     assert rows[1].STR is None and rows[1].XSTR is None and rows[1].C == "C2"
-    assert rows[2].STR == ok_str and rows[2].XSTR == "AB" * 64
+    assert rows[2].STR == ok_str and rows[2].XSTR == "AB" * 128
+    assert rows[3].XSTR == "AB" * 64 and rows[4].XSTR == "AB" * 65
 
 
 def test_deep_table_proxy_whole_texts(spark):
@@ -116,3 +118,31 @@ def test_decfloat_and_text_types(spark):
                                        ("x", "XSTRING")]).first()
     assert float(r.a) == 1500.0 and float(r.b) == -0.000123 and r.c == "héllo "
     assert bytes(r.x) == b"\x0a\x0b\x0c" and r.errors == ""
+
+
+def test_call_metrics_keeps_null_keys_and_hot_hours(spark):
+    """A third of all calls in one hour of one connection; NULL connections, times and flags are kept."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, t0 + dt.timedelta(seconds=i), i, i % 50 == 0) for i in range(400)]
+    rows += [(2 + i % 7, t0 + dt.timedelta(hours=i % 90), 1000 + i, i % 9 == 0) for i in range(700)]
+    rows += [(None, t0, 5000, False), (None, None, 5001, True), (3, None, 5002, None)]
+    cols = "connection long, ts timestamp_ntz, call_id long, is_reset boolean"
+    df = spark.createDataFrame(rows, cols).withColumns({c: F.lit(1).cast("long") for c in records.CALL_MEASURES})
+    for minutes in (60, 8):
+        got = {(r.connection, r.reset_epoch): r.calls for r in records.call_metrics(df, bucket_minutes=minutes).collect()}
+        want = {}
+        for conn in {r[0] for r in rows}:
+            epoch = 0
+            for r in sorted((r for r in rows if r[0] == conn), key=lambda r: (r[1] is not None, r[1] or t0, r[2])):
+                epoch += bool(r[3])
+                want.setdefault((conn, epoch), 0)
+                want[conn, epoch] += not r[3]
+        assert got == want
+
+
+def test_selection_bounds_have_eight_digits(spark):
+    import pytest
+    df = spark.createDataFrame([(dt.date(1996, 10, 1),)], "d date")
+    for low, high in (("1996101", "19961031"), ("19961001", "1996 10 1"), ("19961001", "")):
+        with pytest.raises(ValueError, match="yyyyMMdd"):
+            records.range_select(df, "d", [("I", "BT", low, high)])
