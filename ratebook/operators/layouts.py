@@ -70,7 +70,7 @@ def bpm_layout(rates: DataFrame, base: str = BASE_CURRENCY, seq: str | None = No
     With ``seq`` (e.g. ``pos``), the row order is kept as a ``seq`` column for
     the upsert, where the last of duplicate keys wins.
     """
-    extra = [F.col(seq).cast("bigint").alias("seq")] if seq else []
+    extra = [F.col(seq).alias("seq")] if seq else []
     return (base_quotes(rates, base)
             .select(F.col("from_curr").cast("string").alias("Currency"),
                     F.col("to_curr").cast("string").alias("Currency2"),

@@ -2,10 +2,11 @@
 
 A page is one (from, to) pair: the pair is in the URL query string
 (``?from=..&to=..&amount=1``) and the rate is the ``value`` of the input
-``name="numberformat" tabindex="4"``.  ``-`` means the page had not finished
-loading and an empty value means there is no rate; both rows are skipped (F1).
-A converter page without that input at all is a failed capture and stops the
-run.  Pages of any other kind (no ``from``/``to`` in the URL) are ignored.
+``name="numberformat" tabindex="4"``.  An empty value means there is no rate;
+the row is skipped (F1).  ``-`` means the page had not finished loading, and a
+converter page without that input is a failed capture: both stop the run (a
+caller may allow not-ready pages, which are then skipped and reported).  Pages
+of another host, or without ``from``/``to`` in the URL, are ignored.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ from ratebook.functions.dates import run_date_text
 # Where the rate sits on a converter page -- the value of the
 # input with name="numberformat" and tabindex="4" (attributes in any order).
 INPUT_TAG = r"<input\b[^>]*>"
-RATE_ATTRS = [r'\sname="numberformat"', r'\stabindex="4"']
-VALUE_ATTR = r'\svalue="([^"]*)"'
+RATE_ATTRS = [r"""\sname\s*=\s*(?:"numberformat"|'numberformat'|numberformat(?=[\s/>]))""",
+              r"""\stabindex\s*=\s*(?:"4"|'4'|4(?=[\s/>]))"""]
+VALUE_ATTR = r"""\svalue\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 NOT_READY = "-"
+CONVERTER_HOST = "converter.example.com"      # the captured converter's host; a parameter
 
 
 def page_rate(html) -> "F.Column":
@@ -35,14 +38,15 @@ def page_rate(html) -> "F.Column":
     tags = F.regexp_extract_all(F.col(html) if isinstance(html, str) else html,
                                 F.lit(INPUT_TAG), F.lit(0))
     chosen = F.filter(tags, lambda t: t.rlike(RATE_ATTRS[0]) & t.rlike(RATE_ATTRS[1]))
-    return F.regexp_extract(F.try_element_at(chosen, F.lit(1)), VALUE_ATTR, 1)
+    tag = F.try_element_at(chosen, F.lit(1))
+    return F.concat(F.regexp_extract(tag, VALUE_ATTR, 1), F.regexp_extract(tag, VALUE_ATTR, 2))
 
 
 def _query_param(url, key: str):
     return F.try_parse_url(url, F.lit("QUERY"), F.lit(key))
 
 
-def converter_rates(pages: DataFrame) -> DataFrame:
+def converter_rates(pages: DataFrame, host: str = CONVERTER_HOST) -> DataFrame:
     """(url, html) -> ``from_curr, to_curr, rate`` for every converter page.
 
     ``rate`` is the raw text of the rate input (NULL when the page has none).
@@ -52,15 +56,17 @@ def converter_rates(pages: DataFrame) -> DataFrame:
     url = F.col("url")
     conv = (pages
             .select(_query_param(url, "from").alias("from_curr"),
-                    _query_param(url, "to").alias("to_curr"), "html")
-            .where(F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()))
+                    _query_param(url, "to").alias("to_curr"), "html",
+                    F.lower(F.try_parse_url(url, F.lit("HOST"))).alias("host"))
+            .where((F.col("host") == host) & F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()))
     return conv.select("from_curr", "to_curr", page_rate("html").alias("rate"))
 
 
-def quotes_from_rates(conv: DataFrame, run_date: _dt.date | str) -> DataFrame:
+def quotes_from_rates(conv: DataFrame, run_date: _dt.date | str, allow_not_ready: bool = False) -> DataFrame:
     """Converter rates -> rare quotes ``from_curr, to_curr, fx_rate, start, end`` (F1).
 
-    Blank and not-ready values are dropped.  Filtering happens on the raw
+    Blank values are dropped, and not-ready ones if that is allowed (else they
+    raise).  Filtering happens on the raw
     rate first, and only then the raising check is applied: a projection is
     evaluated only on rows that passed every filter, whereas an expression
     inside a filter may be evaluated early (Catalyst merges filters and
@@ -68,20 +74,24 @@ def quotes_from_rates(conv: DataFrame, run_date: _dt.date | str) -> DataFrame:
     would drop.
     """
     d = run_date_text(run_date)                                   # N8: a parameter
-    kept = conv.where(F.col("rate").isNull() | ~F.col("rate").isin("", NOT_READY))
+    dropped = ["", NOT_READY] if allow_not_ready else [""]
+    kept = conv.where(F.col("rate").isNull() | ~F.col("rate").isin(dropped))
     # A converter page without the rate input is a failed capture: the
     # source's wait for the element times out and the run stops.
-    missing = F.raise_error(F.concat(F.lit("no rate input on converter page "),
-                                     F.col("from_curr"), F.lit("->"), F.col("to_curr")))
+    pair = F.concat(F.col("from_curr"), F.lit("->"), F.col("to_curr"))
+    missing = F.raise_error(F.concat(F.lit("no rate input on converter page "), pair))
+    unready = F.raise_error(F.concat(F.lit("converter page was not ready: "), pair))
     return kept.select("from_curr", "to_curr",
-                       F.when(F.col("rate").isNull(), missing).otherwise(F.col("rate")).alias("fx_rate"),
+                       F.when(F.col("rate").isNull(), missing).when(F.col("rate") == NOT_READY, unready)
+                       .otherwise(F.col("rate")).alias("fx_rate"),
                        d.alias("start"), d.alias("end"))
 
 
-def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str) -> DataFrame:
+def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str, host: str = CONVERTER_HOST,
+                        allow_not_ready: bool = False) -> DataFrame:
     """S3: (url, html) -> rare quotes ``from_curr, to_curr, fx_rate (text), start, end``;
     ``start`` and ``end`` are the run date (a parameter, so a rerun repeats)."""
-    return quotes_from_rates(converter_rates(pages), run_date)
+    return quotes_from_rates(converter_rates(pages, host), run_date, allow_not_ready)
 
 
 def skipped_rates(conv: DataFrame) -> DataFrame:
@@ -91,6 +101,6 @@ def skipped_rates(conv: DataFrame) -> DataFrame:
             .select("from_curr", "to_curr", F.col("rate").alias("fx_rate")))
 
 
-def skipped_pages(pages: DataFrame) -> DataFrame:
+def skipped_pages(pages: DataFrame, host: str = CONVERTER_HOST) -> DataFrame:
     """``skipped_rates`` straight from (url, html) pages."""
-    return skipped_rates(converter_rates(pages))
+    return skipped_rates(converter_rates(pages, host))

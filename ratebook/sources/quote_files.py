@@ -30,11 +30,18 @@ def read_quote_files(spark: SparkSession, path: str) -> DataFrame:
 def document_items(docs: DataFrame) -> DataFrame:
     """One row per item, the document's ``start``/``end`` attached.
 
-    Extra keys in the JSON are ignored by the explicit schema.
+    Extra keys in the JSON are ignored by the explicit schema.  A document
+    without ``start``, ``end`` or ``items`` raises, naming the file: its
+    quotes would otherwise vanish without notice.
     """
+    def required(name: str):
+        c = F.col(name)
+        lacks = F.raise_error(F.concat(F.lit(f"quote document without {name}: "), F.col("file_path")))
+        return F.when(c.isNull(), lacks).otherwise(c).alias(name)
+
     return (docs
-            .select("start", "end", "file_path", "file_mtime",
-                    F.posexplode("items").alias("pos", "item"))
+            .select(required("start"), required("end"), "file_path", "file_mtime",
+                    F.posexplode(required("items")).alias("pos", "item"))
             .select(F.col("start").alias("period"), F.col("pos").cast("int").alias("pos"),
                     F.col("item.code").alias("code"),
                     F.col("item.buyValue").alias("buyValue"),

@@ -16,6 +16,7 @@ from ratebook.operators.layouts import bpm_layout
 from ratebook.operators.rates import quote_mid
 from ratebook.schemas import QUOTE_FILE
 from ratebook.sources.config import BASE_CURRENCY
+from ratebook.sources.quote_files import document_items
 from ratebook.sources.sinks import upsert_rates
 
 
@@ -24,29 +25,25 @@ def quote_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     r = spark.readStream.schema(QUOTE_FILE).option("multiLine", True).option("mode", "FAILFAST")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    docs = r.json(path).select("*", F.col("_metadata.file_modification_time").alias("file_mtime"))
-    return (docs.select("start", "end", "file_mtime", F.posexplode("items").alias("pos", "item"))
-            .select(F.col("start").alias("period"), F.col("pos").cast("int").alias("pos"),
-                    F.col("item.code").alias("code"), F.col("item.buyValue").alias("buyValue"),
-                    F.col("item.sellValue").alias("sellValue"), "start", "end", "file_mtime"))
+    docs = r.json(path).select("*", F.col("_metadata.file_path").alias("file_path"),
+                               F.col("_metadata.file_modification_time").alias("file_mtime"))
+    return document_items(docs)
 
 
 def ingest_new_quotes(spark: SparkSession, source: str, checkpoint: str, table_path: str,
-                      base: str = BASE_CURRENCY, available_now: bool = True):
+                      base: str = BASE_CURRENCY, available_now: bool = True, max_files: int | None = None):
     """Start the ingest query; returns the StreamingQuery.
 
     Within a micro-batch, a key quoted by several files takes the newest
-    file's value (file time, then position), like rows applied in order.
+    file's value (file time, then path, then position), like rows applied in
+    order.  ``max_files`` bounds a micro-batch.  Files without a quote to
+    ``base`` stop the query before its checkpoint advances.
     """
-    items = quote_stream(spark, source)
+    items = quote_stream(spark, source, max_files)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        # Row order across files: file time first, then place in the file.
-        ordered = batch.withColumn(
-            "pos", F.unix_millis("file_mtime") * F.lit(100_000) + F.col("pos")).drop("file_mtime")
-        rows = bpm_layout(quote_mid(ordered), base, seq="pos")
-        if not rows.isEmpty():
-            upsert_rates(rows, table_path)
+        ordered = batch.withColumn("pos", F.struct("file_mtime", "file_path", "pos"))
+        upsert_rates(bpm_layout(quote_mid(ordered, base), base, seq="pos"), table_path)
 
     w = items.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
