@@ -3,9 +3,9 @@
 the job; every run is idempotent, so a retried launch repeats exactly.
 
     common  --quotes DIR --ref PATH|table:NAME --targets JSON --rate-type M|V --run-date yyyyMMdd
-            --job NAME --erp PATH [--export DIR] [--bpm PATH | --bpm-table NAME] [--periods p1,...]
+            --job NAME --erp PATH [--export DIR --run-ts T] [--bpm PATH | --bpm-table NAME] [--periods p1,...]
     rare    --pages PATH|table:NAME --ref PATH|table:NAME --rate-type M|V --run-date yyyyMMdd
-            --job NAME --erp PATH [--export DIR] [--bpm PATH | --bpm-table NAME]
+            --job NAME --erp PATH [--export DIR --run-ts T] [--bpm PATH | --bpm-table NAME]
     ingest  --source DIR --checkpoint DIR --table PATH
 """
 
@@ -41,11 +41,17 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--bpm", default=None, help="keyed rate table (Parquet path, set-based upsert)")
         s.add_argument("--bpm-table", default=None,
                        help="keyed rate table in a catalog whose format supports MERGE INTO")
-        s.add_argument("--run-ts", default=None, help="UTC run time yyyy-MM-ddTHH:mm for the export name")
+        s.add_argument("--run-ts", default=None, help="UTC run time yyyy-MM-ddTHH:mm; required with --export")
+        if name == "rare":
+            s.add_argument("--skipped", default=None, help="table of the pairs without a rate (Parquet path)")
+            s.add_argument("--host", default=None, help="host of the converter pages")
+            s.add_argument("--allow-not-ready", action="store_true", help="skip pages that had not finished loading")
     s = sub.add_parser("ingest")
     s.add_argument("--source", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--table", required=True)
+    s.add_argument("--base", default="TWD")
+    s.add_argument("--max-files", type=int, default=None, help="files in a micro-batch, at most")
     return p
 
 
@@ -63,12 +69,14 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     from ratebook.plans.jobs import run_common, run_rare
     from ratebook.schemas import PAGES, REF_RATES
     from ratebook.sources.quote_files import scan_quote_json
+    from ratebook.sources.sinks import drop_staged
     from ratebook.streaming.ingest import ingest_new_quotes
 
     a = _parser().parse_args(argv)
     spark = spark or build_session()
     if a.cmd == "ingest":
-        ingest_new_quotes(spark, a.source, a.checkpoint, a.table).awaitTermination()
+        ingest_new_quotes(spark, a.source, a.checkpoint, a.table, a.base, max_files=a.max_files).awaitTermination()
+        drop_staged(spark)
         return {"ingested": a.table}
     run_ts = _dt.datetime.fromisoformat(a.run_ts) if a.run_ts else None
     ref = _read(spark, a.ref, REF_RATES)
@@ -81,7 +89,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     else:
         pages = _read(spark, a.pages, PAGES)
         rep = run_rare(pages, ref, a.run_date, a.rate_type, a.job, a.erp,
-                       export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, bpm_table=a.bpm_table)
+                       export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, bpm_table=a.bpm_table,
+                       skipped_path=a.skipped, host=a.host, allow_not_ready=a.allow_not_ready)
+    drop_staged(spark)                # every output is written
     out = {"job": rep.job, "counts": rep.counts, "outputs": rep.outputs}
     print(json.dumps(out, default=str))
     return out

@@ -17,7 +17,7 @@ def _c(x) -> Column:
 
 
 def parse_rate(text, what: str = "rate") -> Column:
-    """Text -> DECIMAL(18,10); NULL stays NULL, malformed text raises.
+    """Text -> DECIMAL(24,12); NULL stays NULL, malformed text raises.
 
     The raise does not depend on the session's ANSI setting: a non-null text
     that does not parse fails the task with the offending value in the
@@ -31,7 +31,7 @@ def parse_rate(text, what: str = "rate") -> Column:
 
 
 def mid_rate(buy, sell) -> Column:
-    """(buy + sell) / 2, exact, back to DECIMAL(18,10)."""
+    """(buy + sell) / 2, exact, back to DECIMAL(24,12)."""
     return ((_c(buy) + _c(sell)) / F.lit(2)).cast(RATE)
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ratebook.functions.dates import as_date
 from ratebook.functions.numbers import round5, scale
-from ratebook.operators.joins import bounded_broadcast
 from ratebook.schemas import FACTOR, REF_RATE
 
 # What an unknown pair gets before it is dropped.
@@ -33,18 +32,15 @@ def ref_snapshot(ref: DataFrame, run_date: _dt.date | str) -> DataFrame:
                     F.col("to_factor").alias("to_ratio")))
 
 
-def enrich_left(rates: DataFrame, snapshot: DataFrame, check_size: bool = False) -> DataFrame:
+def enrich_left(rates: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Left join on (from_curr, to_curr); a miss gets (1, 0, 1).
 
-    By default the join strategy is left to the planner and AQE: the snapshot
-    is broadcast when its statistics -- at planning, or measured at runtime
+    The join strategy is left to the planner and AQE: the snapshot is
+    broadcast when its statistics -- at planning, or measured at runtime
     after its shuffle -- are under the broadcast threshold, and joined by
-    shuffle otherwise.  ``check_size=True`` adds an explicit proof (one
-    bounded count) and hints the broadcast; the job runners use it on the
-    snapshot read from the reference table.
+    shuffle otherwise.
     """
-    snap = bounded_broadcast(snapshot) if check_size else snapshot
-    return (rates.join(snap, ["from_curr", "to_curr"], "left")
+    return (rates.join(snapshot, ["from_curr", "to_curr"], "left")
             .withColumns({
                 "from_ratio": F.coalesce("from_ratio", F.lit(DEFAULT_FROM_RATIO).cast(FACTOR)),
                 "ref_rate": F.coalesce("ref_rate", F.lit(DEFAULT_REF_RATE).cast(REF_RATE)),

@@ -7,16 +7,25 @@ rows apply in order, so among duplicates the last (highest ``seq``) wins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratebook.schemas import BPM_KEYS, OUT_RATE
 
 
-# Batch rows outrank target rows; within each, a higher ``seq`` wins.  Both
-# go into one bigint so the aggregate buffer stays fixed-width (hash-based
-# aggregation instead of sort-based); ``seq`` must lie within +-2^62.
-_BATCH_RANK = 2 ** 62
+
+def last_rank(first: Column, second: str, rows: DataFrame) -> Column:
+    """A value that orders by (``first``, ``second``), ``first`` being an int.
+
+    For an integral ``second`` it is one DECIMAL(38,0), ``first`` x 10^20 +
+    ``second``: exact for every bigint, and a fixed-width aggregate buffer
+    keeps ``max_by`` hash-based.  Anything else is compared as a struct.
+    """
+    if isinstance(rows.schema[second].dataType, T.IntegralType):
+        step = F.lit(str(10 ** 20)).cast("decimal(21,0)")
+        return (first.cast("decimal(10,0)") * step + F.col(second).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return F.struct(first, F.col(second))
 
 
 def merge_tagged(rows: DataFrame, keys: list[str] = BPM_KEYS, is_batch: str = "is_batch",
@@ -25,11 +34,12 @@ def merge_tagged(rows: DataFrame, keys: list[str] = BPM_KEYS, is_batch: str = "i
 
     Per key, the ``Rate`` of the row ranked highest by (is_batch, seq): a key
     in the batch takes its last batch value, any other key keeps the
-    target's.  One hash aggregate with a map-side partial step -- a key
-    repeated many times in the batch is pre-reduced in every task before the
-    shuffle, never sorted or collected whole.
+    target's.  ``seq`` is any orderable column or struct.  One aggregate with
+    a map-side partial step -- a key repeated many times in the batch is
+    pre-reduced in every task before the shuffle, never collected whole.
+    A NULL ``Rate`` never replaces a value.
     """
-    rank = F.col(is_batch).cast("bigint") * F.lit(_BATCH_RANK) + F.col(seq).cast("bigint")
+    rank = F.when(F.col("Rate").isNotNull(), last_rank(F.col(is_batch).cast("int"), seq, rows))
     return (rows.groupBy(*keys)
             .agg(F.max_by(F.col("Rate").cast(OUT_RATE), rank).alias("Rate")))
 
@@ -37,10 +47,9 @@ def merge_tagged(rows: DataFrame, keys: list[str] = BPM_KEYS, is_batch: str = "i
 def merge_rates(target: DataFrame, batch: DataFrame, keys: list[str] = BPM_KEYS,
                 seq: str = "seq") -> DataFrame:
     """The table after the upsert: ``merge_tagged`` over target rows
-    (not batch, seq 0) and batch rows (batch, their ``seq``); each input is
+    (not batch, no seq) and batch rows (batch, their ``seq``); each input is
     read once."""
     t = target.select(*keys, "Rate", F.lit(False).alias("is_batch"),
-                      F.lit(0).cast("bigint").alias("seq"))
-    b = batch.select(*keys, "Rate", F.lit(True).alias("is_batch"),
-                     F.col(seq).cast("bigint").alias("seq"))
+                      F.lit(None).cast(batch.schema[seq].dataType).alias("seq"))
+    b = batch.select(*keys, "Rate", F.lit(True).alias("is_batch"), F.col(seq).alias("seq"))
     return merge_tagged(t.unionByName(b), keys)

@@ -29,12 +29,11 @@ def _targets_wo_base(targets: list[str], base: str) -> list[str]:
     return [t for t in targets if t != base]
 
 
-def erp_rates(all_rate_rows: DataFrame, ref: DataFrame, run_date, rate_type: str,
-              check_size: bool = False) -> DataFrame:
+def erp_rates(all_rate_rows: DataFrame, ref: DataFrame, run_date, rate_type: str) -> DataFrame:
     """J4 -> F4 -> P8/N2 -> ERP layout (shared by all four jobs)."""
     layouts.check_rate_type(rate_type)
     snap = enrich.ref_snapshot(ref, run_date)
-    known = enrich.known_pairs(enrich.enrich_left(all_rate_rows, snap, check_size))
+    known = enrich.known_pairs(enrich.enrich_left(all_rate_rows, snap))
     return layouts.erp_layout(enrich.scaled(known), rate_type)
 
 
@@ -49,7 +48,7 @@ def narrow_periods(quotes: DataFrame, periods: list[str] | None) -> DataFrame:
 
 def common_rates(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                  rate_type: str = "M", base: str = BASE_CURRENCY,
-                 check_size: bool = False, periods: list[str] | None = None) -> DataFrame:
+                 periods: list[str] | None = None) -> DataFrame:
     """W1 (M) / W2 (V): ERP rows for the common currencies.
 
     ``periods`` narrows a history to chosen periods (for V: one per month).
@@ -57,15 +56,14 @@ def common_rates(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date
     layouts.check_rate_type(rate_type)
     quotes = narrow_periods(quotes, periods)
     rows = rates.all_rates(quotes, targets, skipped=False, base=base)
-    return erp_rates(rows, ref, run_date, rate_type, check_size)
+    return erp_rates(rows, ref, run_date, rate_type)
 
 
-def rare_rates(rare_quotes: DataFrame, ref: DataFrame, run_date, rate_type: str = "M",
-               check_size: bool = False) -> DataFrame:
+def rare_rates(rare_quotes: DataFrame, ref: DataFrame, run_date, rate_type: str = "M") -> DataFrame:
     """W3 (M) / W4 (V): ERP rows for the rare currencies (pass-through)."""
     layouts.check_rate_type(rate_type)
     rows = rates.all_rates(rates.rare_quotes_to_rates(rare_quotes), [], skipped=True)
-    return erp_rates(rows, ref, run_date, rate_type, check_size)
+    return erp_rates(rows, ref, run_date, rate_type)
 
 
 def bpm_rows(quote_rows: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
@@ -97,6 +95,24 @@ def _null_rows(cols: list[str]):
     return F.count(F.when(any_null, F.lit(1)))
 
 
+# A pair has one rate per validity date.
+ERP_KEYS = ["FROM_CURR", "TO_CURRNCY", "VALID_FROM"]
+
+
+def _check_run_ts(export_dir: str | None, run_ts) -> None:
+    """An export is named by its run time, which a retry must repeat."""
+    if export_dir is not None and run_ts is None:
+        raise ValueError("an export needs run_ts")
+
+
+def _check_periods(quotes: DataFrame, periods: list[str] | None) -> None:
+    """Every listed period must have quotes (the list is configuration)."""
+    if periods is not None:
+        have = {r[0] for r in quotes.select("period").distinct().collect()}
+        if lacking := sorted(set(periods) - have):
+            raise quality.GuardError(f"no quotes for listed periods: {', '.join(lacking)}")
+
+
 def _publish(report: RunReport, erp: DataFrame, job: str, erp_path: str,
              export_dir: str | None, run_ts, bpm: DataFrame | None, bpm_path: str | None,
              bpm_table: str | None = None) -> None:
@@ -143,17 +159,21 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
     """Run W1/W2 end to end: guards, ERP write, export, BPM upsert."""
 
     layouts.check_rate_type(rate_type)                               # G2
+    _check_run_ts(export_dir, run_ts)
     report = RunReport(job)
     q, mq = stage_observed(narrow_periods(quotes, periods), "quotes")
     _require(mq, "quotes")                                            # G1
+    _check_periods(q, periods)
     quality.check_complete(q, _targets_wo_base(targets, base))       # G3
     if rate_type == "V":
         quality.check_one_period_per_month(q)                        # V collision
-    erp, me = stage_observed(common_rates(q, targets, ref, run_date, rate_type, base, check_size=True),
+    erp, me = stage_observed(common_rates(q, targets, ref, run_date, rate_type, base),
                              "erp", nulls=_null_rows(ERP_COLUMNS))
     _require(me, "ERP rates (no known pairs)")                        # G1 / all unknown
     if me["nulls"]:
         quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")        # K1 contract: name samples
+    if len(set(targets)) == len(targets):       # a target listed twice repeats its rows on purpose
+        quality.check_unique(erp, ERP_KEYS, "ERP rates")
     report.counts["quotes"] = mq["rows"]
     report.counts["erp"] = me["rows"]
     keyed = (bpm_path is not None or bpm_table is not None) and rate_type == "M"
@@ -165,25 +185,31 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
 def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: str,
              erp_path: str, export_dir: str | None = None, bpm_path: str | None = None,
              run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY,
-             bpm_table: str | None = None) -> RunReport:
+             bpm_table: str | None = None, skipped_path: str | None = None,
+             host: str | None = None, allow_not_ready: bool = False) -> RunReport:
     """Run W3/W4 end to end from captured converter pages (S3 + F1)."""
-    from ratebook.sources.pages import converter_rates, quotes_from_rates, skipped_rates
+    from ratebook.sources.pages import CONVERTER_HOST, converter_rates, quotes_from_rates, skipped_rates
 
     layouts.check_rate_type(rate_type)
+    _check_run_ts(export_dir, run_ts)
     report = RunReport(job)
     # The pages (HTML, the heavy column) are read once: the small converter
     # rates are staged, and both the skip report and the quotes come from them.
-    conv = stage(converter_rates(pages), "converter-rates")
-    # F1's log line: which pairs had no rate (blank or not ready).
-    report.outputs["skipped_pairs"] = sorted(
-        (r.from_curr, r.to_curr, r.fx_rate) for r in skipped_rates(conv).limit(quality.SAMPLE).collect())
-    rq, mq = stage_observed(quotes_from_rates(conv, run_date), "rare-quotes")
+    conv = stage(converter_rates(pages, host or CONVERTER_HOST), "converter-rates")
+    # F1's log: every pair without a rate goes to a table, its count to the report.
+    skipped = skipped_rates(conv)
+    if skipped_path is not None:
+        skipped.write.mode("overwrite").parquet(skipped_path)
+        report.outputs["skipped"] = skipped_path
+    report.counts["skipped"] = skipped.count()
+    rq, mq = stage_observed(quotes_from_rates(conv, run_date, allow_not_ready), "rare-quotes")
     _require(mq, "rare quotes")
-    erp, me = stage_observed(rare_rates(rq, ref, run_date, rate_type, check_size=True),
+    erp, me = stage_observed(rare_rates(rq, ref, run_date, rate_type),
                              "erp", nulls=_null_rows(ERP_COLUMNS))
     _require(me, "ERP rates (no known pairs)")
     if me["nulls"]:
         quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")
+    quality.check_unique(erp, ERP_KEYS, "ERP rates (a pair captured twice)")
     report.counts["quotes"] = mq["rows"]
     report.counts["erp"] = me["rows"]
     keyed = (bpm_path is not None or bpm_table is not None) and rate_type == "M"

@@ -2,10 +2,12 @@
 
 from pyspark.sql import types as T
 
-# Rates are carried as exact decimals.  DECIMAL(18,10) inputs make Spark's
-# division come out as DECIMAL(38,20), so a rate divided, then scaled by a
-# factor, still has ten decimals before the final rounding to five.
-RATE = T.DecimalType(18, 10)
+# Rates are carried as exact decimals: twelve integer digits and twelve
+# decimals (further decimals of a text are rounded half up; outputs show
+# five).  Spark's division of two such values comes out as DECIMAL(38,14), so
+# a rate divided, then scaled by a factor, still has ten decimals before the
+# final rounding to five.
+RATE = T.DecimalType(24, 12)
 WIDE_RATE = T.DecimalType(38, 20)
 OUT_RATE = T.DecimalType(18, 5)
 FACTOR = T.DecimalType(9, 0)
@@ -22,29 +24,6 @@ QUOTE_FILE = T.StructType([
     ]))),
 ])
 
-# Quotes to the base currency; ``period`` is the document's ``start`` and
-# ``pos`` the item's place in the document (first match wins on duplicates).
-QUOTES = T.StructType([
-    T.StructField("period", T.StringType()),
-    T.StructField("pos", T.IntegerType()),
-    T.StructField("from_curr", T.StringType()),
-    T.StructField("buyValue", RATE),
-    T.StructField("sellValue", RATE),
-    T.StructField("start", T.StringType()),
-    T.StructField("end", T.StringType()),
-    T.StructField("fx_rate", RATE),
-    T.StructField("to_curr", T.StringType()),
-])
-
-# Quotes read off converter pages: text rate, one run date.
-RARE_QUOTES = T.StructType([
-    T.StructField("from_curr", T.StringType()),
-    T.StructField("to_curr", T.StringType()),
-    T.StructField("fx_rate", T.StringType()),
-    T.StructField("start", T.StringType()),
-    T.StructField("end", T.StringType()),
-])
-
 PAGES = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("html", T.StringType()),
@@ -77,9 +56,3 @@ EXCHANGE_RATE = T.StructType([
     T.StructField("RateDate", T.StringType()),
 ])
 
-DEEP_LINE = T.StructType([
-    T.StructField("I", T.IntegerType()),
-    T.StructField("C", T.StringType()),
-    T.StructField("STR", T.StringType()),
-    T.StructField("XSTR", T.StringType()),
-])

@@ -48,7 +48,7 @@ def build_session(master: str | None = None, app: str = "ratebook",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None, shared_mount: bool = False) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
@@ -63,13 +63,21 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         d = fallback
+    local_disk = "://" not in d or d.startswith("file:")
+    master = spark.sparkContext.master or ""
+    if local_disk and fallback is None and not master.startswith("local") and not shared_mount:
+        raise RuntimeError(f"spark.checkpoint.dir is {d}, a machine-local folder; name a shared one "
+                           "(or pass shared_mount=True if that path is mounted on every machine)")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def staging_root(spark: SparkSession) -> str:
+    """This application's folder for staged tables, under the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/ratebook-stage/{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh directory under the checkpoint folder for staged tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    token = os.urandom(6).hex()
-    return f"{base}/ratebook-stage/{name}-{token}"
+    """A fresh directory for one staged table."""
+    return f"{staging_root(spark)}/{name}-{os.urandom(6).hex()}"

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from ratebook.functions.text import json_list
 
-# The base currency and the rare currencies quoted from
-# converter pages.
+# Fixed value: the base currency.
 BASE_CURRENCY = "TWD"
-RARE_CURRENCIES = ["HUF", "RUB", "TRY", "MOP"]
 
 
 def target_list(spark: SparkSession, targets) -> DataFrame:
@@ -38,8 +36,3 @@ def currency_list(spark: SparkSession, codes, name: str = "from_curr") -> DataFr
     return (spark.range(1)
             .select(F.posexplode(json_list(json.dumps(list(codes)))).alias("c_pos", name))
             .select(name, F.col("c_pos").cast("int").alias("c_pos")))
-
-
-def target_count(targets) -> int:
-    """Number of configured targets, known on the driver (the broadcast bound)."""
-    return len(json.loads(targets) if isinstance(targets, str) else list(targets))

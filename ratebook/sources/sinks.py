@@ -1,32 +1,22 @@
 """Sinks (K1-K3).  Every write is idempotent, so a retried job repeats
-exactly: partition overwrite for the ERP table, keyed upsert for the rate
-table, a run-time file name for the export."""
+exactly: partition overwrite for the ERP table, a versioned keyed upsert for
+the rate table, a run-time file name for the export."""
 
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.functions.text import export_name
 from ratebook.operators.merge import merge_rates, merge_tagged
-from ratebook.operators.quality import GuardError, check_rates, observe_counts
+from ratebook.operators.quality import GuardError, check_not_null, check_rates, observe_counts
 from ratebook.schemas import BPM_KEYS, EXCHANGE_RATE, OUT_RATE
-from ratebook.session import staging_path
+from ratebook.session import staging_path, staging_root
 
 ERP_PARTITIONS = ["job", "RATE_TYPE", "VALID_FROM"]
-# Tasks (and files) per output partition value: a value holding a large share
-# of the rows is spread over this many tasks instead of landing in one.
-WRITE_SPREAD = 8
-
-
-def _spread(*cols):
-    """A bounded salt from row content (deterministic, so a retried task
-    writes the same rows)."""
-    return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(WRITE_SPREAD))
-
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table under the cluster's
@@ -57,11 +47,10 @@ def write_erp_rates(erp: DataFrame, path: str, job: str) -> str:
     Dynamic partition overwrite replaces only the partitions this run
     produces, so a rerun replaces its own rows and a common and a rare run
     of the same month (same VALID_FROM) keep each other's rows.  Rows are
-    clustered by the partition columns plus a bounded salt: at most
-    WRITE_SPREAD files per partition value, and no value in a single task.
+    rebalanced by the partition columns: AQE splits a value that holds many
+    rows into tasks of the advisory size and merges small ones.
     """
-    (erp.withColumn("job", F.lit(job))
-     .repartition(*ERP_PARTITIONS, _spread("FROM_CURR", "TO_CURRNCY"))
+    (erp.withColumn("job", F.lit(job)).hint("rebalance", *ERP_PARTITIONS)
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*ERP_PARTITIONS)
@@ -78,18 +67,17 @@ def read_erp_rates(spark, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def export_rates(erp: DataFrame, out_dir: str, job: str,
-                 run_ts: _dt.datetime | None = None) -> str:
+def export_rates(erp: DataFrame, out_dir: str, job: str, run_ts: _dt.datetime) -> str:
     """K3: the same rows as K1 as CSV with a header, in a folder named
     ``FinalData__{job}__{yyyyMMdd_HHmm}`` (local time of ``run_ts``, UTC).
+    The run time is a parameter, so a retry writes the same export again.
 
     Rows are ordered by (TO_CURRNCY, FROM_CURR) so exports repeat; the sort
     is a range-partitioned distributed sort, so the export is a set of
     ordered part files rather than one task's worth of data.
     """
-    ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     # From ISO text: a zone-less literal that no OS or session time zone shifts.
-    utc = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    utc = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     name = erp.sparkSession.range(1).select(export_name(job, utc)).first()[0]
     target = f"{out_dir.rstrip('/')}/{name}"
     (erp.orderBy("TO_CURRNCY", "FROM_CURR", "VALID_FROM")
@@ -97,60 +85,103 @@ def export_rates(erp: DataFrame, out_dir: str, job: str,
     return target
 
 
-# Distinct partition values a batch may name before pruning falls back to a
-# semi join: fetched with one bounded ``limit(n + 1)``, so the driver only
-# ever holds this many short strings.
-MAX_PRUNE_VALUES = 10_000
+# The keyed table's layout.  ``data`` holds immutable rows partitioned by
+# (run, RateDate); each folder of ``versions`` is a manifest: which run holds
+# each RateDate.  A version exists once its ``_SUCCESS`` file does, so one
+# small atomic file is the switch from the old table to the new one.
+DATA, VERSIONS, DONE = "data", "versions", "_SUCCESS"
+DATA_SCHEMA = f"Currency string, Currency2 string, Rate {OUT_RATE.simpleString()}, run string, RateDate string"
+MANIFEST_SCHEMA = "RateDate string, run string"
 
 
-def touched_partitions(table: DataFrame, values: DataFrame, col: str,
-                       max_values: int = MAX_PRUNE_VALUES) -> DataFrame:
-    """The rows of ``table`` in the partitions named by ``values``.
+def _fs(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    Up to ``max_values`` distinct values become a static ``isin`` filter on
-    the partition column, which the file index prunes before any file is
-    opened.  Above the bound, a semi join (no pruning, still correct).
-    """
-    vals = [r[0] for r in values.limit(max_values + 1).collect()]
-    if len(vals) <= max_values:
-        return table.where(F.col(col).isin(vals))
-    return table.join(values, col, "left_semi")
+
+def rate_versions(spark, path: str) -> list[int]:
+    """The committed versions of the keyed table, oldest first."""
+    fs, p = _fs(spark, f"{path}/{VERSIONS}")
+    if not fs.exists(p):
+        return []
+    found = [s.getPath() for s in fs.listStatus(p)]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(x.getName()) for x in found if x.getName().isdigit() and fs.exists(done(x, DONE)))
+
+
+def _manifest(spark, path: str, version: int | None) -> DataFrame:
+    if version is None:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/{VERSIONS}/{version}")
+
+
+def _rows_of(spark, path: str, manifest: DataFrame, *pruned) -> DataFrame:
+    """The rows a manifest names; ``pruned`` are filters on RateDate that reach the file listing."""
+    fs, p = _fs(spark, f"{path}/{DATA}")
+    if not fs.exists(p):
+        return spark.createDataFrame([], DATA_SCHEMA)
+    data = spark.read.schema(DATA_SCHEMA).parquet(f"{path}/{DATA}")
+    for condition in pruned:
+        data = data.where(condition)
+    return data.join(manifest, ["run", "RateDate"], "left_semi")
 
 
 def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
-    """K2: MERGE ``batch`` into the keyed rate table at ``path``.
-
-    The table is Parquet partitioned by ``RateDate``.  Only the partitions
-    the batch touches are read (pruned in the file index, see
-    ``touched_partitions``), merged, staged under the checkpoint folder, and then written
-    back with dynamic partition overwrite -- the path being read is never
-    the path being written, and a failed run leaves the old partitions.
-    Running the same batch twice gives the same table.
+    """K2: MERGE ``batch`` into the keyed rate table at ``path``, all or nothing.
+
+    Only the dates the batch touches are read (its smallest and largest date
+    prune the listing, a semi join does the rest), merged and written as a
+    new run; then a manifest that points those dates at the new run is
+    committed.  A failure before that leaves readers on the old version.
+    Keys, ``Rate`` and ``seq`` must be filled and ``Rate`` a decimal, else
+    nothing is written.  Running the same batch twice gives the same table.
+    One writer at a time; readers need no lock.
     """
     spark = batch.sparkSession
     text = F.col("Rate").cast("string")
     bad = F.count(F.when(text.isNotNull() & text.try_cast(OUT_RATE).isNull(), F.lit(1)))
     staged_batch, m = stage_observed(
-        batch.select(*BPM_KEYS, text.alias("Rate"), F.col(seq).cast("bigint").alias(seq)),
-        "rates-batch", invalid=bad)
+        batch.select(*BPM_KEYS, text.alias("Rate"), F.col(seq).alias("seq")), "rates-batch", invalid=bad,
+        blank=F.count_if(F.array_contains(F.array(*[F.col(c).isNull() for c in (*BPM_KEYS, "Rate", "seq")]), True)),
+        first=F.min("RateDate"), last=F.max("RateDate"))
+    if not m["rows"]:
+        raise GuardError("upsert got no rows")
+    if m["blank"]:
+        check_not_null(staged_batch, [*BPM_KEYS, "Rate", "seq"], "keyed rates")
     if m["invalid"]:
         check_rates(staged_batch, "Rate")                                  # G4: name samples
-    b = staged_batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), seq)
-    try:
-        existing = spark.read.schema(EXCHANGE_RATE).parquet(path)
-    except AnalysisException:  # first run: no table yet
-        existing = spark.createDataFrame([], EXCHANGE_RATE)
-    touched = touched_partitions(existing, b.select("RateDate").distinct(), "RateDate")
-    merged = merge_rates(touched, b, BPM_KEYS, seq)
-    out, m = stage_observed(merged, "rates-upsert")
-    if m["rows"] == 0:
-        raise GuardError("upsert produced no rows")
-    (out.select(*BPM_KEYS, "Rate").repartition("RateDate", _spread("Currency", "Currency2"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("RateDate").parquet(path))
+    b = staged_batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), "seq")
+    versions = rate_versions(spark, path)
+    old = _manifest(spark, path, versions[-1] if versions else None)
+    dates = b.select("RateDate").distinct()
+    touched = _rows_of(spark, path, old.join(dates, "RateDate", "left_semi"),
+                       F.col("RateDate").between(m["first"], m["last"]))
+    merged = merge_rates(touched.select(*BPM_KEYS, "Rate"), b, BPM_KEYS, "seq")
+    run = f"{(versions or [0])[-1] + 1}-{os.urandom(4).hex()}"
+    (merged.select(*BPM_KEYS, "Rate").hint("rebalance", "RateDate")
+     .write.mode("errorifexists").partitionBy("RateDate").parquet(f"{path}/{DATA}/run={run}"))
+    manifest = (old.join(dates, "RateDate", "left_anti")
+                .unionByName(dates.withColumn("run", F.lit(run))))
+    # An uncommitted folder of this number is what a failed run left behind.
+    manifest.write.mode("overwrite").parquet(f"{path}/{VERSIONS}/{(versions or [0])[-1] + 1}")
     return path
 
 
+def vacuum_rates(spark, path: str, keep: int = 1) -> None:
+    """Delete all but the newest ``keep`` versions, and runs that none of those names."""
+    versions = rate_versions(spark, path)
+    kept = versions[-keep:]
+    if not kept:
+        return
+    named = {r[0] for v in kept for r in _manifest(spark, path, v).select("run").distinct().collect()}
+    fs, p = _fs(spark, f"{path}/{DATA}")
+    for s in fs.listStatus(p):
+        if s.getPath().getName().removeprefix("run=") not in named:
+            fs.delete(s.getPath(), True)
+    for v in versions[:-keep]:
+        fs.delete(_fs(spark, f"{path}/{VERSIONS}/{v}")[1], True)
+
+
 def merge_into_table(batch: DataFrame, table_name: str, seq: str = "seq") -> str:
     """K2 on a catalog table whose format supports row-level MERGE.
 
@@ -160,8 +191,8 @@ def merge_into_table(batch: DataFrame, table_name: str, seq: str = "seq") -> str
     Plain Parquet tables do not support MERGE; use ``upsert_rates`` there.
     """
     check_rates(batch, "Rate")
-    src = merge_tagged(batch.select(*BPM_KEYS, "Rate", F.lit(True).alias("is_batch"),
-                                    F.col(seq).cast("bigint").alias("seq")), BPM_KEYS)
+    check_not_null(batch, [*BPM_KEYS, "Rate", seq], "keyed rates")
+    src = merge_tagged(batch.select(*BPM_KEYS, "Rate", F.lit(True).alias("is_batch"), F.col(seq).alias("seq")), BPM_KEYS)
     cond = None
     for k in BPM_KEYS:
         c = F.col(f"{table_name}.{k}") == F.col(f"s.{k}")
@@ -173,5 +204,18 @@ def merge_into_table(batch: DataFrame, table_name: str, seq: str = "seq") -> str
     return table_name
 
 
-def read_rates(spark, path: str) -> DataFrame:
-    return spark.read.schema(EXCHANGE_RATE).parquet(path)
+def read_rates(spark, path: str, version: int | None = None) -> DataFrame:
+    """The keyed table (its newest committed version, or an older one)."""
+    versions = rate_versions(spark, path)
+    if version is None and versions:
+        version = versions[-1]
+    if version not in versions:
+        raise FileNotFoundError(f"no committed version of the keyed table at {path}")
+    rows = _rows_of(spark, path, _manifest(spark, path, version))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in EXCHANGE_RATE.fields])
+
+
+def drop_staged(spark) -> None:
+    """Delete this application's staged tables (call when its outputs are written)."""
+    fs, p = _fs(spark, staging_root(spark))
+    fs.delete(p, True)

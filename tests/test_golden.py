@@ -175,7 +175,7 @@ def test_rare_self_pair_kept(spark):
          '<input name="numberformat" tabindex="4" value="">'),
         ("https://other.example/page?x=1", "<p>no rate here</p>"),
     ], "url string, html string")
-    rq = extract_page_quotes(pages, RUN)
+    rq = extract_page_quotes(pages, RUN, host="c.example", allow_not_ready=True)
     assert {(r.from_curr, r.to_curr, r.fx_rate) for r in rq.collect()} == {
         ("HUF", "HUF", "1.0000"), ("HUF", "TWD", "0.0871")}
     erp = jobs.rare_rates(rq, ref_frame(spark), RUN, "M")
@@ -195,9 +195,9 @@ def test_rate_input_found_by_attributes(spark):
          '<input name="numberformat" tabindex="3" value="1"><p>no rate input</p>'),
     ], "url string, html string")
     good = pages.where("url LIKE '%to=TWD%'")
-    got = {(r.from_curr, r.to_curr, r.fx_rate) for r in extract_page_quotes(good, RUN).collect()}
+    got = {(r.from_curr, r.to_curr, r.fx_rate) for r in extract_page_quotes(good, RUN, host="c.example").collect()}
     assert got == {("RUB", "TWD", "0.3512")}
     # the page without the input is reported up front, and stops the extraction
-    assert [(r.to_curr, r.fx_rate) for r in skipped_pages(pages).collect()] == [("USD", None)]
+    assert [(r.to_curr, r.fx_rate) for r in skipped_pages(pages, "c.example").collect()] == [("USD", None)]
     with pytest.raises(Exception, match="no rate input on converter page RUB->USD"):
-        extract_page_quotes(pages, RUN).collect()
+        extract_page_quotes(pages, RUN, host="c.example").collect()

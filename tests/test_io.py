@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import glob
 import os
 import time
@@ -70,7 +71,6 @@ def _golden_dir(tmp):
 
 
 def test_export_file_name_and_order(spark, tmp):
-    import datetime as dt
     q = rates.quote_mid(scan_quote_json(spark, _golden_dir(tmp)))
     erp = jobs.common_rates(q, GOLDEN_TARGETS, ref_frame(spark), RUN, "M")
     out = sinks.export_rates(erp, f"{tmp}/export", "common_m", dt.datetime(2025, 1, 1, 20, 0))
@@ -114,7 +114,8 @@ def test_upsert_rejects_bad_rate(spark, tmp):
 def test_run_common_end_to_end(spark, tmp):
     q = rates.quote_mid(scan_quote_json(spark, _golden_dir(tmp)))
     rep = jobs.run_common(q, GOLDEN_TARGETS, ref_frame(spark), RUN, "M", "common_m",
-                          f"{tmp}/erp", export_dir=f"{tmp}/exp", bpm_path=f"{tmp}/bpm")
+                          f"{tmp}/erp", export_dir=f"{tmp}/exp", bpm_path=f"{tmp}/bpm",
+                          run_ts=dt.datetime(2025, 2, 21, 3, 0))
     assert rep.counts == {"quotes": 3, "erp": 5}
     assert sinks.read_rates(spark, f"{tmp}/bpm").count() == 3
     assert len(glob.glob(f"{tmp}/exp/FinalData__common_m__*")) == 1
@@ -145,10 +146,13 @@ def test_upsert_reads_only_touched_partitions(spark, tmp):
     sinks.upsert_rates(_rates_frame(spark, rows), path)
     existing = sinks.read_rates(spark, path)
     batch = _rates_frame(spark, [("USD", "TWD", "9.0", "2025-03-01", 0)])
-    touched = sinks.touched_partitions(existing, batch.select("RateDate").distinct(), "RateDate")
+    manifest = sinks._manifest(spark, path, 1)
+    dates = batch.select("RateDate").distinct()
+    touched = sinks._rows_of(spark, path, manifest.join(dates, "RateDate", "left_semi"),
+                             F.col("RateDate").between("2025-03-01", "2025-03-01"))
     plan = touched._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(RateDate" in plan and "2025-03-01" in plan
-    assert touched.count() == 2
+    assert touched.count() == 2 and existing.count() == 24
     sinks.upsert_rates(batch, path)
     back = sinks.read_rates(spark, path)
     assert back.count() == 24
@@ -171,9 +175,10 @@ def test_run_rare_from_pages(spark, tmp):
         ("https://c.example/?from=HUF&to=USD&amount=1", '<input name="numberformat" tabindex="4" value="">'),
         ("https://c.example/?from=HUF&to=HUF&amount=1", '<input name="numberformat" tabindex="4" value="1.0000">'),
     ], "url string, html string")
-    rep = jobs.run_rare(pages, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp", bpm_path=f"{tmp}/bpm")
-    assert rep.counts == {"erp": 2, "quotes": 2}
-    assert rep.outputs["skipped_pairs"] == [("HUF", "USD", "")]
+    rep = jobs.run_rare(pages, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp", bpm_path=f"{tmp}/bpm",
+                        skipped_path=f"{tmp}/skipped", host="c.example")
+    assert rep.counts == {"erp": 2, "quotes": 2, "skipped": 1}
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp}/skipped").collect()] == [("HUF", "USD", "")]
     got = {(r.Currency, r.Currency2, str(r.Rate), r.RateDate) for r in sinks.read_rates(spark, f"{tmp}/bpm").collect()}
     assert got == {("HUF", "TWD", "0.08710", "2025-02-21")}
 
@@ -191,7 +196,8 @@ def test_cli_common_and_rare(spark, tmp):
                             '<input name="numberformat" tabindex="4" value="0.0871">')],
                           "url string, html string").write.parquet(f"{tmp}/pages")
     out = main(["rare", "--pages", f"{tmp}/pages", "--ref", f"{tmp}/ref", "--rate-type", "V",
-                "--run-date", "20250221", "--job", "rare_v", "--erp", f"{tmp}/erp"], spark=spark)
+                "--run-date", "20250221", "--job", "rare_v", "--erp", f"{tmp}/erp",
+                "--host", "c.example"], spark=spark)
     assert out["counts"]["erp"] == 1
     back = sinks.read_erp_rates(spark, f"{tmp}/erp")
     assert back.where("job = 'rare_v' AND VALID_FROM = '20250228'").count() == 1
@@ -257,7 +263,6 @@ def test_cli_ingest(spark, tmp):
 
 def test_runner_retry_gives_the_same_outputs(spark, tmp):
     """A scheduler retry re-runs the whole job: outputs must not change."""
-    import datetime as dt
     q = rates.quote_mid(scan_quote_json(spark, _golden_dir(tmp)))
 
     def run():
@@ -283,3 +288,105 @@ def test_newest_file_tie_broken_by_path(spark, tmp):
     write_doc(f"{tmp}/q", "b.json", b, mtime=t)
     got = [(r.code, r.buyValue) for r in scan_quote_json(spark, f"{tmp}/q").collect()]
     assert got == [("USD", "2")]   # same time: the greater path ("b.json") wins, every run
+
+
+def test_upsert_rejects_nulls_and_writes_nothing(spark, tmp):
+    from ratebook.operators.quality import GuardError
+    path = f"{tmp}/rates"
+    sinks.upsert_rates(_rates_frame(spark, [("USD", "TWD", "32.7", "2025-02-01", 0)]), path)
+    for bad in [("USD", "TWD", None, "2025-02-01", 1), ("USD", "TWD", "33", None, 1), (None, "TWD", "33", "2025-02-01", 1),
+                ("USD", "TWD", "33", "2025-02-01", None)]:
+        with pytest.raises(GuardError, match="NULL"):
+            sinks.upsert_rates(_rates_frame(spark, [bad, ("EUR", "TWD", "35", "2025-02-01", 0)]), path)
+    with pytest.raises(GuardError, match="no rows"):
+        sinks.upsert_rates(_rates_frame(spark, []), path)
+    assert [(r.Currency, str(r.Rate)) for r in sinks.read_rates(spark, path).collect()] == [("USD", "32.70000")]
+
+
+def test_upsert_is_all_or_nothing(spark, tmp, monkeypatch):
+    """A run that fails after writing its rows leaves readers on the old version; the retry succeeds."""
+    path = f"{tmp}/rates"
+    sinks.upsert_rates(_rates_frame(spark, [("USD", "TWD", "1", "2025-02-01", 0), ("EUR", "TWD", "2", "2025-02-02", 0)]), path)
+    batch = _rates_frame(spark, [("USD", "TWD", "9", "2025-02-01", 0), ("JPY", "TWD", "3", "2025-02-03", 0)])
+    real = sinks._manifest
+    monkeypatch.setattr(sinks, "_manifest", lambda s, p, v: real(s, p, v).withColumn("RateDate", F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):
+        sinks.upsert_rates(batch, path)
+    monkeypatch.undo()
+    table = lambda: sorted((r.Currency, str(r.Rate), r.RateDate) for r in sinks.read_rates(spark, path).collect())
+    old = [("EUR", "2.00000", "2025-02-02"), ("USD", "1.00000", "2025-02-01")]
+    assert table() == old and sinks.rate_versions(spark, path) == [1]
+    sinks.upsert_rates(batch, path)
+    new = [("EUR", "2.00000", "2025-02-02"), ("JPY", "3.00000", "2025-02-03"), ("USD", "9.00000", "2025-02-01")]
+    assert table() == new and sinks.rate_versions(spark, path) == [1, 2]
+    assert sorted((r.Currency, str(r.Rate), r.RateDate) for r in sinks.read_rates(spark, path, 1).collect()) == old
+    sinks.vacuum_rates(spark, path)
+    assert table() == new and sinks.rate_versions(spark, path) == [2]
+
+
+def test_streaming_ingest_with_another_base(spark, tmp):
+    write_doc(f"{tmp}/in", "a.json", GOLDEN_DOC)
+    ingest_new_quotes(spark, f"{tmp}/in", f"{tmp}/ck", f"{tmp}/t", base="USD", max_files=1).awaitTermination()
+    assert {(r.Currency, r.Currency2) for r in sinks.read_rates(spark, f"{tmp}/t").collect()} == \
+        {("USD", "USD"), ("JPY", "USD"), ("EUR", "USD")}
+
+
+def test_streaming_equal_file_times_follow_the_path(spark, tmp):
+    t = time.time() - 60
+    for name, value in (("a.json", "1"), ("b.json", "2")):
+        write_doc(f"{tmp}/in", name, dict(GOLDEN_DOC, items=[{"code": "USD", "buyValue": value, "sellValue": value}]), mtime=t)
+    ingest_new_quotes(spark, f"{tmp}/in", f"{tmp}/ck", f"{tmp}/t").awaitTermination()
+    assert [str(r.Rate) for r in sinks.read_rates(spark, f"{tmp}/t").collect()] == ["2.00000"]
+
+
+@pytest.mark.parametrize("lacking", ["start", "items"])
+def test_incomplete_document_names_its_file(spark, tmp, lacking):
+    write_doc(f"{tmp}/q", "good.json", GOLDEN_DOC)
+    write_doc(f"{tmp}/q", "lacks.json", {k: v for k, v in GOLDEN_DOC.items() if k != lacking})
+    with pytest.raises(Exception, match=f"without {lacking}.*lacks.json"):
+        scan_quote_json(spark, f"{tmp}/q").collect()
+
+
+def _page(a, b, value, quote='"'):
+    q = quote
+    return (f"https://converter.example.com/?from={a}&to={b}&amount=1",
+            f"<input name={q}numberformat{q} tabindex={q}4{q} value={q}{value}{q}>")
+
+
+def test_converter_pages_of_other_hosts_and_quoting(spark):
+    from ratebook.sources.pages import extract_page_quotes
+    pages = spark.createDataFrame([_page("HUF", "TWD", "0.1"), _page("HUF", "USD", "0.2", "'"),
+                                   ("https://routes.example.com/?from=A&to=B", "<p>a route planner</p>"), (None, "x")],
+                                  "url string, html string")
+    got = {(r.from_curr, r.to_curr, r.fx_rate) for r in extract_page_quotes(pages, RUN).collect()}
+    assert got == {("HUF", "TWD", "0.1"), ("HUF", "USD", "0.2")}
+
+
+def test_not_ready_page_stops_the_run(spark, tmp):
+    pages = spark.createDataFrame([_page("HUF", "TWD", "0.1"), _page("HUF", "USD", "-")], "url string, html string")
+    with pytest.raises(Exception, match="not ready: HUF->USD"):
+        jobs.run_rare(pages, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp")
+    rep = jobs.run_rare(pages, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp", allow_not_ready=True)
+    assert rep.counts == {"erp": 1, "quotes": 1, "skipped": 1}
+
+
+def test_pair_captured_twice_stops_the_run(spark, tmp):
+    from ratebook.operators.quality import GuardError
+    pages = spark.createDataFrame([_page("HUF", "TWD", "0.1"), _page("HUF", "TWD", "0.2")], "url string, html string")
+    with pytest.raises(GuardError, match="captured twice"):
+        jobs.run_rare(pages, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp")
+
+
+def test_every_skipped_pair_is_reported(spark, tmp):
+    pages = spark.createDataFrame([_page("HUF", "TWD", "0.1")] + [_page("HUF", f"C{k}", "") for k in range(30)], "url string, html string")
+    rep = jobs.run_rare(pages, ref_frame(spark), RUN, "V", "rare_v", f"{tmp}/erp", skipped_path=f"{tmp}/skipped")
+    assert rep.counts["skipped"] == 30 and spark.read.parquet(f"{tmp}/skipped").count() == 30
+
+
+def test_runner_parameters_are_checked(spark, tmp):
+    from ratebook.operators.quality import GuardError
+    q = rates.quote_mid(scan_quote_json(spark, _golden_dir(tmp)))
+    with pytest.raises(ValueError, match="run_ts"):
+        jobs.run_common(q, GOLDEN_TARGETS, ref_frame(spark), RUN, "M", "m", f"{tmp}/erp", export_dir=f"{tmp}/exp")
+    with pytest.raises(GuardError, match="19990101"):
+        jobs.run_common(q, GOLDEN_TARGETS, ref_frame(spark), RUN, "M", "m", f"{tmp}/erp", periods=["20250201", "19990101"])
