@@ -20,11 +20,13 @@ def last_rank(first: Column, second: str, rows: DataFrame) -> Column:
 
     For an integral ``second`` it is one DECIMAL(38,0), ``first`` x 10^20 +
     ``second``: exact for every bigint, and a fixed-width aggregate buffer
-    keeps ``max_by`` hash-based.  Anything else is compared as a struct.
+    keeps ``max_by`` hash-based.  NULL counts
+    as 0.  Anything else is compared as a struct.
     """
     if isinstance(rows.schema[second].dataType, T.IntegralType):
         step = F.lit(str(10 ** 20)).cast("decimal(21,0)")
-        return (first.cast("decimal(10,0)") * step + F.col(second).cast("decimal(20,0)")).cast("decimal(38,0)")
+        at = F.coalesce(F.col(second), F.lit(0)).cast("decimal(20,0)")
+        return (first.cast("decimal(10,0)") * step + at).cast("decimal(38,0)")
     return F.struct(first, F.col(second))
 
 

@@ -23,7 +23,7 @@ def quote_mid(items: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     """Quote items (text buy/sell) -> quotes to the base currency.
 
     ``items`` has ``period, pos, code, buyValue, sellValue, start, end``.
-    Text is cast straight to DECIMAL(18,10) (malformed text raises), the mid
+    Text is cast straight to DECIMAL(24,12) (malformed text raises), the mid
     rate is exact, and ``code`` becomes ``from_curr``.
     """
     buy = parse_rate("buyValue", "buyValue")
@@ -74,7 +74,8 @@ def attach_target_mids(quotes: DataFrame, targets: list[str]) -> DataFrame:
     """
     w = Window.partitionBy("period")
     names = list(dict.fromkeys(targets))
-    mids = [F.min_by("fx_rate", F.when(F.col("from_curr") == F.lit(t), F.col("pos"))).over(w)
+    # A struct tells "quoted, but NULL" from "not quoted".
+    mids = [F.min_by(F.struct("fx_rate"), F.when(F.col("from_curr") == F.lit(t), F.col("pos"))).over(w)
             .alias(f"_mid{i}") for i, t in enumerate(names)]
     return quotes.select("*", *mids)
 
@@ -86,7 +87,8 @@ def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool)
     through a generator, so the quotes (and whatever history they are
     derived from) are scanned once, with no self-join.  A target without a
     quote in the period raises, naming the target and period (the source
-    stops the run in that case too).
+    stops the run in that case too); a NULL quote gives NULL rates, which the
+    runners' NOT NULL check names.
     """
     targets = _target_names(targets)
     names = list(dict.fromkeys(targets))
@@ -109,7 +111,7 @@ def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool)
             mid = F.element_at(mids, F.element_at(slots, i + 1) + 1)
             missing = F.raise_error(F.concat(F.lit("no quote for target "), t, F.lit(" in period "),
                                              F.coalesce(F.col("period"), F.lit("NULL"))))
-            rate = F.when(mid.isNull(), missing).otherwise(cross_rate("sellValue", mid, t))
+            rate = F.when(mid.isNull(), missing).otherwise(cross_rate("sellValue", mid["fx_rate"], t))
             return F.struct(t.alias("to_curr"), rate.cast(WIDE_RATE).alias("fx_rate"))
 
         parts.append(F.transform(F.sequence(F.lit(0), F.lit(len(targets) - 1)), cross_row))

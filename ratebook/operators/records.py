@@ -129,12 +129,13 @@ def call_metrics(calls: DataFrame, conn: str = "connection", ts: str = "ts",
 
 # Field types of the remote-call records and their Spark forms.
 FIELD_TYPES = ("CHAR", "STRING", "DATE", "TIME", "NUM", "BCD", "DECF16", "DECF34", "INT", "FLOAT",
-               "BYTE", "XSTRING")
+               "BYTE", "XSTRING", "STRUCTURE", "TABLE")
 
 
 def _typed(col: Column, ftype: str, arg) -> Column:
     if ftype == "CHAR":
-        return F.rtrim(col)
+        # a length, if given, is the field's width: a longer value does not fit
+        return F.rtrim(col) if arg is None else F.when(F.char_length(F.rtrim(col)) <= int(arg), F.rtrim(col))
     if ftype == "STRING":
         return col
     if ftype == "DATE":
@@ -146,7 +147,10 @@ def _typed(col: Column, ftype: str, arg) -> Column:
         ok = col.rlike("^[0-9]+$")
         return F.when(ok, col.try_cast(f"decimal({arg or 18},0)"))
     if ftype == "BCD":
-        return F.trim(col).try_cast(f"decimal({arg or '31,14'})")
+        # packed decimals hold a fixed number of decimals: more of them do not fit
+        size = arg or "31,14"
+        fits = F.trim(col).rlike(rf"^[+-]?[0-9]*(\.[0-9]{{0,{int(size.split(',')[1])}}}0*)?$")
+        return F.when(fits, F.trim(col).try_cast(f"decimal({size})"))
     if ftype in ("DECF16", "DECF34"):
         # decimal floating point (16 or 34 significant digits, exponent
         # allowed in the text); held as a fixed-scale DECIMAL
@@ -178,15 +182,35 @@ def normalize_records(df: DataFrame, spec: list[tuple], keep: list[str] | None =
     """
     out, flags = [], []
     for item in spec:
-        name, ftype = item[0], item[1]
-        arg = item[2] if len(item) > 2 else None
-        src = F.col(name)
-        val = _typed(src, ftype, arg)
+        name, src = item[0], F.col(item[0])
+        val, bad = _field(src, item)
         out.append(val.alias(name))
-        flags.append(F.when(src.isNotNull() & val.isNull(), F.lit(name)))
+        flags.append(F.when(bad, F.lit(name)))
     return df.select(*(keep or []), *out, F.concat_ws(",", *flags).alias("errors"))
 
 
+def _field(src: Column, item: tuple) -> tuple[Column, Column]:
+    """(typed value, does anything in it not convert?) of one spec row.
+
+    ``STRUCTURE`` and ``TABLE`` take a nested spec as third entry: a struct,
+    and an array of structs, converted field by field.
+    """
+    ftype, arg = item[1], item[2] if len(item) > 2 else None
+    if ftype not in ("STRUCTURE", "TABLE"):
+        val = _typed(src, ftype, arg)
+        return val, src.isNotNull() & val.isNull()
+
+    def struct_of(s: Column) -> Column:
+        return F.when(s.isNotNull(), F.struct(*[_field(s[i[0]], i)[0].alias(i[0]) for i in arg]))
+
+    def any_bad(s: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.coalesce(_field(s[i[0]], i)[1], F.lit(False)) for i in arg])
+
+    if ftype == "STRUCTURE":
+        return struct_of(src), any_bad(src)
+    return F.transform(src, struct_of), F.coalesce(F.exists(src, any_bad), F.lit(False))
+
+
 # ---------------------------------------------------------------- D4
 
 # The longest field values the nested-table sample prints:

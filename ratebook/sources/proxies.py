@@ -11,11 +11,11 @@ them with Spark, and its size grows with the tables:
 * keyed-rate batches, call logs, flight lists and nested tables for the
   remaining operators.
 
-Scale notes.  The aggregation runs after the ``orders``/``customer`` join but
-before the ``nation`` join, and its map-side partial step collapses any hot
-customer or nation before the shuffle.  ``orders`` joins ``customer`` on the
-customer key; on big inputs that is a sort-merge join whose skewed partitions
-AQE splits, on small ones a broadcast chosen from statistics.
+Scale notes.  Orders are aggregated per (customer, period) first, with a
+map-side partial step that collapses any hot customer, and the join with
+``customer`` keeps that partitioning; nations are aggregated after it, and
+``nation`` joins last.  Only the newest-capture query needs single orders: it
+joins them on the customer key, where AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -62,6 +62,22 @@ def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "o_totalprice"))
 
 
+def _customer_ranges(spark: SparkSession, sf_dir: str, period) -> DataFrame:
+    """(nationkey, period_start, lo, hi, last_date) per customer and period.
+
+    Orders are reduced per customer before they meet ``customer``: the
+    map-side step collapses a hot customer in every task, and the join sees
+    one row per customer and period instead of one per order.
+    """
+    orders = table(spark, sf_dir, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    reduced = (orders.select("o_custkey", F.to_date("o_orderdate").alias("order_date"), "o_totalprice")
+               .groupBy("o_custkey", period.alias("period_start"))
+               .agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"),
+                    F.max("order_date").alias("last_date")))
+    return reduced.join(cust, reduced["o_custkey"] == cust["c_custkey"]).drop("o_custkey", "c_custkey")
+
+
 def quote_items(spark: SparkSession, sf_dir: str, period: str = "quarter") -> DataFrame:
     """Quote items as a quote document would list them (text values).
 
@@ -69,11 +85,9 @@ def quote_items(spark: SparkSession, sf_dir: str, period: str = "quarter") -> Da
     per (nation, period) that has orders; ``pos`` is the nation key.
     """
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    per_period = (priced_orders(spark, sf_dir)
-                  .withColumn("period_start", F.trunc("order_date", period))
+    per_period = (_customer_ranges(spark, sf_dir, F.trunc("order_date", period))
                   .groupBy("c_nationkey", "period_start")
-                  .agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"),
-                       F.max("order_date").alias("last_date")))
+                  .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("last_date").alias("last_date")))
     return (per_period.join(nation, per_period["c_nationkey"] == nation["n_nationkey"])
             .select(date_text("period_start").alias("period"),
                     F.col("n_nationkey").cast("int").alias("pos"),
@@ -120,9 +134,8 @@ def ref_rates(spark: SparkSession, sf_dir: str, run_date: _dt.date = RUN_DATE) -
 def nation_mids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-history mid value per nation: (min + max) / 2 of its quotes."""
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    per_nation = (priced_orders(spark, sf_dir)
-                  .groupBy("c_nationkey")
-                  .agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi")))
+    per_nation = (_customer_ranges(spark, sf_dir, F.lit(None).cast("date"))
+                  .groupBy("c_nationkey").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
     return (per_nation.join(nation, per_nation["c_nationkey"] == nation["n_nationkey"])
             .select(F.col("n_name").alias("name"),
                     ((_price("lo") + _price("hi")) * F.lit("0.5").cast("decimal(2,1)"))

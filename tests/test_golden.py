@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,3 +203,18 @@ def test_rate_input_found_by_attributes(spark):
     assert [(r.to_curr, r.fx_rate) for r in skipped_pages(pages, "c.example").collect()] == [("USD", None)]
     with pytest.raises(Exception, match="no rate input on converter page RUB->USD"):
         extract_page_quotes(pages, RUN, host="c.example").collect()
+
+
+def test_null_target_quote_is_not_a_missing_one(spark):
+    from fixtures import items_frame
+    q = rates.quote_mid(items_frame(spark, [("USD", None, "32.9"), ("JPY", "0.2150", "0.2190")]))
+    got = {(r.from_curr, r.to_curr): r.fx_rate for r in rates.all_rates(q, ["TWD", "USD"]).collect()}
+    assert got[("JPY", "USD")] is None and got[("USD", "TWD")] is None and got[("JPY", "TWD")] is not None
+    with pytest.raises(Exception, match="no quote for target EUR"):
+        rates.all_rates(q, ["EUR"]).collect()
+
+
+def test_wide_rates(spark):
+    from fixtures import items_frame
+    q = rates.quote_mid(items_frame(spark, [("IDR", "100000000", "100000002"), ("BTC", "0.000000000001", "0.000000000003")]))
+    assert [r.fx_rate for r in q.orderBy("pos").collect()] == [Decimal("100000001"), Decimal("0.000000000002")]

@@ -146,3 +146,19 @@ def test_selection_bounds_have_eight_digits(spark):
     for low, high in (("1996101", "19961031"), ("19961001", "1996 10 1"), ("19961001", "")):
         with pytest.raises(ValueError, match="yyyyMMdd"):
             records.range_select(df, "d", [("I", "BT", low, high)])
+
+
+def test_structures_tables_lengths_and_scales(spark):
+    schema = "s struct<d:string,n:string>, t array<struct<x:string,i:string>>, c string, b string"
+    df = spark.createDataFrame([
+        (("20250221", "7"), [("0A", "1"), ("0B", "2")], "ABC  ", "1.20"),
+        (("20250230", None), [("0G", "1"), None, ("0C", "x")], "ABCD", "1.239"),
+        (None, None, None, None), ((None, "1"), [], "", "1.2300"),
+    ], schema)
+    spec = [("s", "STRUCTURE", [("d", "DATE"), ("n", "INT", 1)]), ("t", "TABLE", [("x", "BYTE"), ("i", "INT", 2)]),
+            ("c", "CHAR", 3), ("b", "BCD", "9,2")]
+    a, b, c, d = records.normalize_records(df, spec).collect()
+    assert (a.s.d, a.s.n, [(bytes(x.x), x.i) for x in a.t], a.c, str(a.b), a.errors) == \
+        (dt.date(2025, 2, 21), 7, [(b"\x0a", 1), (b"\x0b", 2)], "ABC", "1.20", "")
+    assert b.errors == "s,t,c,b" and b.s.d is None and b.t[1] is None and b.t[2].i is None and b.c is None and b.b is None
+    assert tuple(c) == (None, None, None, None, "") and d.s.n == 1 and d.t == [] and str(d.b) == "1.23" and d.errors == ""
