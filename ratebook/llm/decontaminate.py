@@ -1,6 +1,6 @@
 """Benchmark decontamination with a positional inverted index of the corpus.
 
-The index holds postings (term, document, position) of the corpus words that the tests use.  Each
+The index holds postings (hash of the term, document, position) of the corpus words that the tests use.  Each
 test phrase -- a window of ``WINDOW`` consecutive words of an item, or a whole shorter item -- is
 looked up from its rarest terms: the rarest term's postings, moved back by the term's offset, are
 the candidate starts; each further rare term keeps the starts where its own posting lies at its
@@ -21,11 +21,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratebook.llm.common import ascii_lower, scratch, staged
+from ratebook.llm.common import ascii_lower, let, scratch, staged
 from ratebook.sources.tables import table
 
 WINDOW = 10                 # words of a phrase
-ANCHORS = 3                 # rarest terms whose lists are intersected before the words are compared
+ANCHORS = 2                 # rarest terms whose lists are intersected before the words are compared
+END = " "                   # not a word: the posting that closes every document
 
 
 def words_of(text: Column) -> Column:
@@ -33,11 +34,12 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", -1), "")
 
 
-def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, mark, words, key, ...): ``doc`` and ``mark`` know a document and are never null."""
-    return docs.select(F.coalesce(F.col(key), F.lit(0)).cast("bigint").alias("doc"),
-                       F.xxhash64(F.col(key).isNull(), F.col(text)).alias("mark"),
-                       words_of(F.col(text)).alias("words"), F.col(key).alias("key"))
+def _mark(key: str, text: str) -> Column:
+    return F.xxhash64(F.col(key).isNull(), F.col(text))
+
+
+def _tid() -> Column:
+    return F.xxhash64("term").alias("tid")
 
 
 def phrases_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -48,20 +50,25 @@ def phrases_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return at.select(F.slice("w", F.col("i") + 1, F.lit(window)).alias("phrase"), "item").distinct()
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(doc, mark, pos, term) of every word of ``keyed`` documents."""
-    return docs.select("doc", "mark", F.posexplode("words").alias("pos", "term"))
-
+def index_of(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The staged positional index for ``terms``: (tid, key, doc, mark, pos), and a posting of ``END``
+    for every row of ``docs`` at the position after its last word.  ``tid`` is a term's 64-bit hash.
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n) for ``terms``: how often each occurs in the corpus; 0 included."""
-    found = tokens(docs).select("term").join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return terms.join(found, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
+    ``doc`` and ``mark`` know a document and are never null.  The texts are cut into words only here.
+    The staged vocabulary has a measured size: Spark broadcasts it only below its threshold."""
+    spark = docs.sparkSession
+    end = spark.range(1).select(F.lit(END).alias("term"))
+    wanted = staged(terms.select("term").unionByName(end).select(_tid()).distinct(), scratch(spark, "terms"))
+    tokens = docs.select(F.col(key).alias("key"), _mark(key, text).alias("mark"),
+                         F.posexplode(F.array_append(words_of(F.col(text)), F.lit(END))).alias("pos", "term"))
+    held = staged(tokens.select(_tid(), "key", "mark", "pos").join(wanted, "tid"), scratch(spark, "index"))
+    return held.withColumn("doc", F.coalesce("key", F.lit(0)).cast("bigint"))
 
 
-def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """The positional index for ``terms``: (term, doc, mark, pos)."""
-    return tokens(docs).join(terms.select("term"), "term").select("term", "doc", "mark", "pos")
+def term_counts(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n) for ``terms``: how often each occurs in the corpus; 0 included."""
+    found = index.groupBy("tid").agg(F.count(F.lit(1)).alias("n"))
+    return terms.select("term", _tid()).join(found, "tid", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def anchors_of(phrases: DataFrame, counts: DataFrame, k: int = ANCHORS) -> DataFrame:
@@ -75,56 +82,62 @@ def anchors_of(phrases: DataFrame, counts: DataFrame, k: int = ANCHORS) -> DataF
     return kept.select("phrase", "rank", "x.term", "x.offset")
 
 
-def phrase_matches(docs: DataFrame, phrases: DataFrame, k: int = ANCHORS) -> DataFrame:
-    """(doc, mark, phrase, start): every place where a phrase occurs in ``keyed`` documents."""
+def phrase_matches(docs: DataFrame, index: DataFrame, phrases: DataFrame, k: int = ANCHORS,
+                   key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, mark, phrase, start): every place where a phrase occurs in ``docs``; ``index`` holds its terms."""
     spark = docs.sparkSession
     every = phrases.select("phrase").distinct()
-    # the staged vocabulary has a measured size: Spark broadcasts it only below its threshold
-    vocabulary = staged(every.select(F.explode("phrase").alias("term")).distinct(), scratch(spark, "terms"))
-    counts = staged(term_counts(docs, vocabulary), scratch(spark, "counts"))
+    counts = term_counts(index, every.select(F.explode("phrase").alias("term")).distinct())
     anchors = staged(anchors_of(every, counts, k), scratch(spark, "anchors"))
-    index = staged(postings(docs, staged(anchors.select("term").distinct(), scratch(spark, "rare"))),
-                   scratch(spark, "postings"))
-    rarest = anchors.where("rank = 0")
-    found = (index.join(rarest, "term").select("phrase", "doc", "mark", (F.col("pos") - F.col("offset")).alias("start"))
+    anchors = anchors.select("phrase", "rank", _tid(), "offset")
+    ranked = [staged(anchors.where(F.col("rank") == r).drop("rank"), scratch(spark, "ranked")) for r in range(k)]
+    found = (index.join(ranked[0], "tid").select("phrase", "doc", "mark", (F.col("pos") - F.col("offset")).alias("start"))
              .where("start >= 0"))
-    for rank in range(1, k):
+    for rank in ranked[1:]:
         # phrases with fewer distinct terms have no anchor of this rank and stay as they are
-        at = found.join(anchors.where(F.col("rank") == rank).select("phrase", "term", "offset"), "phrase", "left")
-        at = at.withColumn("pos", F.col("start") + F.coalesce("offset", F.lit(0)))
-        lists = index.withColumn("hit", F.lit(True))
-        at = at.join(lists, ["term", "doc", "mark", "pos"], "left")
-        found = at.where(F.col("term").isNull() | F.col("hit")).select("phrase", "doc", "mark", "start")
+        at = found.join(rank, "phrase", "left").withColumn("pos", F.col("start") + F.coalesce("offset", F.lit(0)))
+        lists = (index.join(rank.select("tid").distinct(), "tid", "left_semi")
+                 .select("tid", "doc", "mark", "pos", F.lit(True).alias("hit")))
+        at = at.join(lists, ["tid", "doc", "mark", "pos"], "left")
+        found = at.where(F.col("tid").isNull() | F.col("hit")).select("phrase", "doc", "mark", "start")
     found = staged(found, scratch(spark, "candidates"))
     by_doc = staged(found.groupBy("doc", "mark").agg(F.collect_set(F.struct("phrase", "start")).alias("c")),
                     scratch(spark, "bydoc"))
     # Repeated rows of a document all give the same answer; distinct() below keeps one.
-    same = docs.select("doc", "mark", "words").join(by_doc, ["doc", "mark"])
-    at = same.select("doc", "mark", F.explode(F.filter("c", lambda c: F.forall(
-        F.sequence(F.lit(0), F.size(c["phrase"]) - 1),
-        lambda i: F.coalesce(F.get(F.col("words"), c["start"] + i) == F.get(c["phrase"], i), F.lit(False))))).alias("x"))
+    texts = docs.select(F.coalesce(F.col(key), F.lit(0)).cast("bigint").alias("doc"), _mark(key, text).alias("mark"),
+                        F.col(text).alias("text"))
+    same = texts.join(by_doc, ["doc", "mark"])
+
+    def compared(words: Column) -> Column:
+        return F.filter("c", lambda c: F.forall(
+            F.sequence(F.lit(0), F.size(c["phrase"]) - 1),
+            lambda i: F.coalesce(F.get(words, c["start"] + i) == F.get(c["phrase"], i), F.lit(False))))
+
+    at = same.select("doc", "mark", F.explode(let(words_of(F.col("text")), compared)).alias("x"))
     return at.select("doc", "mark", "x.phrase", "x.start").distinct()
 
 
-def proximity_matches(docs: DataFrame, queries: DataFrame, slop: int) -> DataFrame:
-    """(query, doc, mark): documents in which all terms of (query, term) rows lie within ``slop`` words."""
-    spark = docs.sparkSession
-    wanted = staged(queries.distinct(), scratch(spark, "near"))
+def proximity_matches(index: DataFrame, queries: DataFrame, slop: int) -> DataFrame:
+    """(query, key, doc, mark): documents in which all terms of (query, term) rows lie within ``slop`` words."""
+    wanted = queries.distinct()
     need = wanted.groupBy("query").agg(F.count(F.lit(1)).alias("need"))
-    at = postings(docs, wanted.select("term").distinct()).join(wanted, "term")
+    at = index.join(wanted.select("query", "term", _tid()), "tid")
     # a span that starts in a block of ``slop`` words ends in it or in the next one
     block = F.floor(F.col("pos") / F.lit(slop))
-    both = at.select("query", "doc", "mark", "pos", "term", F.explode(F.array(block, block - 1)).alias("block"))
-    spans = both.groupBy("query", "doc", "mark", "block").agg(F.collect_set(F.struct("pos", "term")).alias("s"))
+    both = at.select("query", "key", "doc", "mark", "pos", "term", F.explode(F.array(block, block - 1)).alias("block"))
+    spans = both.groupBy("query", "key", "doc", "mark", "block").agg(F.collect_set(F.struct("pos", "term")).alias("s"))
     whole = F.exists("s", lambda a: F.size(F.array_distinct(F.transform(
         F.filter("s", lambda b: (b["pos"] >= a["pos"]) & (b["pos"] < a["pos"] + slop)), lambda b: b["term"]))) == F.col("need"))
-    return spans.join(need, "query").where(whole).select("query", "doc", "mark").distinct()
+    return spans.join(need, "query").where(whole).select("query", "key", "doc", "mark").distinct()
 
 
 def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, mark, n_hit, items) of the documents that hold a phrase of any item."""
-    phrases = staged(phrases_of(items, window), scratch(docs.sparkSession, "phrases"))
-    found = staged(phrase_matches(keyed(docs, key, text), phrases), scratch(docs.sparkSession, "matches"))
+    """(key, doc, mark, n_words, n_hit, items), a row for every row of ``docs``; n_hit and items are null
+    where no phrase of any item occurs."""
+    spark = docs.sparkSession
+    phrases = staged(phrases_of(items, window), scratch(spark, "phrases"))
+    index = index_of(docs, phrases.select(F.explode("phrase").alias("term")), key, text)
+    found = staged(phrase_matches(docs, index, phrases, key=key, text=text), scratch(spark, "matches"))
     spans = found.select("doc", "mark", "start", (F.col("start") + F.size("phrase")).alias("end"))
     # words in the union of the spans, walking them by their starts
     hit = F.aggregate(F.sort_array(F.collect_set(F.struct("start", "end"))),
@@ -135,28 +148,27 @@ def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "
     hits = spans.groupBy("doc", "mark").agg(hit.cast("bigint").alias("n_hit"))
     named = (found.select("doc", "mark", "phrase").join(phrases, "phrase").groupBy("doc", "mark")
              .agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items")))
-    return hits.join(named, ["doc", "mark"])
+    ends = index.where(F.col("tid") == F.xxhash64(F.lit(END))).select("key", "doc", "mark", F.col("pos").cast("bigint").alias("n_words"))
+    return ends.join(hits.join(named, ["doc", "mark"]), ["doc", "mark"], "left")
 
 
 def marked(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` plus n_words, n_hit (long), items (array of item ids as text) and contaminated;
     columns of these names are replaced."""
-    found = judged(docs, items, window, key, text).toDF("_dc_doc", "_dc_mark", "_dc_hit", "_dc_items")
-    mine = docs.withColumns({"_dc_doc": F.coalesce(F.col(key), F.lit(0)).cast("bigint"),
-                             "_dc_mark": F.xxhash64(F.col(key).isNull(), F.col(text))})
+    found = judged(docs, items, window, key, text).select("doc", "mark", "n_words", "n_hit", "items").distinct()
+    found = found.toDF("_dc_doc", "_dc_mark", "_dc_words", "_dc_hit", "_dc_items")
+    mine = docs.withColumns({"_dc_doc": F.coalesce(F.col(key), F.lit(0)).cast("bigint"), "_dc_mark": _mark(key, text)})
     out = mine.join(found, ["_dc_doc", "_dc_mark"], "left")
     n = F.coalesce("_dc_hit", F.lit(0).cast("bigint"))
-    return out.withColumns({"n_words": F.size(words_of(F.col(text))).cast("bigint"), "n_hit": n,
+    return out.withColumns({"n_words": F.col("_dc_words"), "n_hit": n,
                             "items": F.coalesce("_dc_items", F.array().cast("array<string>")),
-                            "contaminated": n > 0}).drop("_dc_doc", "_dc_mark", "_dc_hit", "_dc_items")
+                            "contaminated": n > 0}).drop("_dc_doc", "_dc_mark", "_dc_words", "_dc_hit", "_dc_items")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    found = judged(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    rows = keyed(docs).select("doc", "mark", F.col("key").alias("doc_id"), F.size("words").cast("bigint").alias("n_words"))
-    out = rows.join(found, ["doc", "mark"], "left")
+    out = judged(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
     n = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     listed = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", n.alias("n_hit"), F.size(listed).cast("bigint").alias("n_items"),
+    return out.select(F.col("key").alias("doc_id"), "n_words", n.alias("n_hit"), F.size(listed).cast("bigint").alias("n_items"),
                       F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n > 0).alias("contaminated"))

@@ -154,10 +154,9 @@ def test_contamination_matches_brute_force(spark, docs):
 def test_proximity_matches_brute_force(spark, docs):
     queries = [("q1", "one"), ("q1", "three"), ("q2", "header"), ("q2", "line"), ("q3", "shared"), ("q3", "mine"), ("q4", "absent")]
     q = spark.createDataFrame(queries, "query string, term string")
-    keyed = decontaminate.keyed(docs)
-    names = {(r.doc, r.mark): r.key for r in keyed.select("doc", "mark", "key").collect()}
+    index = decontaminate.index_of(docs, q)
     for slop in (1, 2, 3, 30):
-        got = {(r["query"], names[(r.doc, r.mark)]) for r in decontaminate.proximity_matches(keyed, q, slop).collect()}
+        got = {(r["query"], r.key) for r in decontaminate.proximity_matches(index, q, slop).collect()}
         want = set()
         for i, t in edge_documents():
             w = bench_words(t)
