@@ -151,7 +151,8 @@ def class_tokens(docs: DataFrame, classes: DataFrame) -> DataFrame:
                     yield pa.record_batch([pa.array(np.full(k, cid)), pa.array(np.full(k, k)), pa.array(s.view(np.int64))],
                                           ["cid", "n", "token"])
 
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("dk"), "text").join(classes, "dk")
+    # shuffled at every size: the classes grow with the corpus, so a broadcast would only suit small ones
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("dk"), "text").join(classes.hint("merge"), "dk")
     return texts.select("cid", "c1", "text").mapInArrow(run, "cid long, n long, token long")
 
 
@@ -166,7 +167,9 @@ def shared_sets(tokens: DataFrame) -> DataFrame:
 
 def signatures(sets: DataFrame, rare: int = RARE) -> DataFrame:
     """(sig, cid, n, own): rare single tokens of the prefix, and neighbouring frequent tokens of the
-    extended prefix.  ``own`` counts a set's unshared tokens, which come first in its order."""
+    extended prefix.  ``own`` counts tokens that a pair met by this signature cannot share: those no
+    other set has, and for a pair of frequent tokens the rare ones too (if the sets shared one of
+    those, it would be their first shared token and a signature of its own)."""
     own = F.col("n") - F.size("toks")
     least = F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100))
     plain = F.greatest(F.col("n") - least + 1 - own, F.lit(0)).cast("int")
@@ -177,7 +180,9 @@ def signatures(sets: DataFrame, rare: int = RARE) -> DataFrame:
     pairs = F.zip_with(F.slice(frequent, 1, F.greatest(F.size(frequent) - 1, F.lit(0))),
                        F.slice(frequent, 2, F.greatest(F.size(frequent) - 1, F.lit(0))),
                        lambda a, b: F.xxhash64(F.lit("pair"), a, b))
-    return sets.select("cid", "n", own.alias("own"), F.explode(F.array_distinct(F.concat(singles, pairs))).alias("sig"))
+    each = F.concat(F.transform(singles, lambda t: F.struct(t.alias("sig"), own.cast("bigint").alias("own"))),
+                    F.transform(pairs, lambda t: F.struct(t.alias("sig"), (own + n_rare).cast("bigint").alias("own"))))
+    return sets.select("cid", "n", F.explode(F.array_distinct(each)).alias("s")).select("s.sig", "cid", "n", "s.own")
 
 
 def _fits(a: str, b: str):
