@@ -43,6 +43,7 @@ WORDS = 5                   # words in a shingle
 PERCENT = 80                # similarity from which two sets link
 RARE = 8                    # sets that hold a rare token, at most
 SLACK = 20                  # the filter asks for n / SLACK shared prefix tokens
+BEFORE = 8                  # preceding signatures by which a pair is seen to have met already
 STARS = 2                   # star rounds before members that are apart are compared pairwise
 NO_ID = -(1 << 62)          # stands for a null doc_id where a key is needed
 
@@ -248,7 +249,12 @@ def links(sets: DataFrame, rare: int = RARE, stars: int = STARS) -> DataFrame:
             centre = live.groupBy("sig").agg(F.min_by(F.struct("cid", "n", "own", "label"), by).alias("c")).select("sig", "c.*")
             pairs = live.alias("y").join(centre.alias("x"), "sig")
         else:
-            pairs = live.alias("x").join(live.alias("y"), "sig").where(F.col("x.cid") < F.col("y.cid"))
+            # A pair meets in every signature it shares.  Where two sets have one of the preceding BEFORE
+            # signatures in common they have met already; at their first common one they never do.
+            each = Window.partitionBy("cid").orderBy("sig").rowsBetween(-BEFORE, -1)
+            last = live.withColumn("before", F.collect_list("sig").over(each))
+            pairs = (last.alias("x").join(last.alias("y"), "sig")
+                     .where((F.col("x.cid") < F.col("y.cid")) & ~F.arrays_overlap("x.before", "y.before")))
         pairs = (pairs.where((F.col("x.label") != F.col("y.label")) & _fits("x", "y"))
                  .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct())
         found = staged(verified(pairs, sets), scratch(spark, "links"))
