@@ -30,7 +30,7 @@ from ratebook.llm.common import ship_package
 from ratebook.sources.tables import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 400_000
 GROUP = 64                  # documents whose ids are held at once
 NO_RANK = 1 << 62
 # The white space of the pattern's \s, named one by one: Python's own \s also takes U+001C to U+001F.

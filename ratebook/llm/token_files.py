@@ -38,7 +38,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SEGMENT = 1 << 18           # tokens in a segment
 BLOCK = 512                 # bits a rank directory entry covers
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 400_000
 MAGIC = b"DAC1"
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
