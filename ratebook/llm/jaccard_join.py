@@ -167,8 +167,8 @@ def shared_sets(tokens: DataFrame) -> DataFrame:
 
 
 def signatures(sets: DataFrame, rare: int = RARE) -> DataFrame:
-    """(sig, cid, n, own): rare single tokens of the prefix, and neighbouring frequent tokens of the
-    extended prefix.  ``own`` counts tokens that a pair met by this signature cannot share: those no
+    """(sig, is_pair, cid, n, own): rare single tokens of the prefix, and neighbouring frequent tokens of
+    the extended prefix.  ``own`` counts tokens that a pair met by this signature cannot share: those no
     other set has, and for a pair of frequent tokens the rare ones too (if the sets shared one of
     those, it would be their first shared token and a signature of its own)."""
     own = F.col("n") - F.size("toks")
@@ -181,9 +181,11 @@ def signatures(sets: DataFrame, rare: int = RARE) -> DataFrame:
     pairs = F.zip_with(F.slice(frequent, 1, F.greatest(F.size(frequent) - 1, F.lit(0))),
                        F.slice(frequent, 2, F.greatest(F.size(frequent) - 1, F.lit(0))),
                        lambda a, b: F.xxhash64(F.lit("pair"), a, b))
-    each = F.concat(F.transform(singles, lambda t: F.struct(t.alias("sig"), own.cast("bigint").alias("own"))),
-                    F.transform(pairs, lambda t: F.struct(t.alias("sig"), (own + n_rare).cast("bigint").alias("own"))))
-    return sets.select("cid", "n", F.explode(F.array_distinct(each)).alias("s")).select("s.sig", "cid", "n", "s.own")
+    each = F.concat(
+        F.transform(singles, lambda t: F.struct(t.alias("sig"), F.lit(False).alias("is_pair"), own.cast("bigint").alias("own"))),
+        F.transform(pairs, lambda t: F.struct(t.alias("sig"), F.lit(True).alias("is_pair"), (own + n_rare).cast("bigint").alias("own"))))
+    return (sets.select("cid", "n", F.explode(F.array_distinct(each)).alias("s"))
+            .select("s.sig", "s.is_pair", "cid", "n", "s.own"))
 
 
 def _fits(a: str, b: str):
@@ -250,8 +252,10 @@ def links(sets: DataFrame, rare: int = RARE, stars: int = STARS) -> DataFrame:
             pairs = live.alias("y").join(centre.alias("x"), "sig")
         else:
             # A pair meets in every signature it shares.  Where two sets have one of the preceding BEFORE
-            # signatures in common they have met already; at their first common one they never do.
-            each = Window.partitionBy("cid").orderBy("sig").rowsBetween(-BEFORE, -1)
+            # signatures in common they have met already; at their first common one they never do.  Single
+            # tokens come first: a pair of tokens counts rare ones as unshared, which holds only for sets
+            # without a common single, so the first common signature is where _fits allows the most.
+            each = Window.partitionBy("cid").orderBy("is_pair", "sig").rowsBetween(-BEFORE, -1)
             last = live.withColumn("before", F.collect_list("sig").over(each))
             pairs = (last.alias("x").join(last.alias("y"), "sig")
                      .where((F.col("x.cid") < F.col("y.cid")) & ~F.arrays_overlap("x.before", "y.before")))

@@ -76,6 +76,54 @@ def test_components_match_brute_force(spark, rare, monkeypatch):
     assert {c for _, n, c in want if n} <= set(kept)
 
 
+def near_copies_under_longer_centres(family):
+    """(cid, tokens): two near copies that share 20 rare tokens, also held by six longer sets (the centres
+    of both star rounds), and 70 frequent ones, most of them also held by shorter sets."""
+    base = family * 100_000
+    rare = [(1 << 62) + base + k for k in range(20)]              # behind nearly all hashes of token pairs
+    frequent = [base + k for k in range(70)]
+    fill = [base + 1000 + k for k in range(720)]
+    alone = iter(range(base + 10_000, base + 90_000))
+    some = lambda k: [next(alone) for _ in range(k)]
+    out = [rare + frequent + some(10) for _ in range(2)]
+    out += [rare + fill[120 * k:120 * k + 120] for k in range(6)]
+    out += [fill + some(400) for _ in range(9)]                   # only make the longer sets' other tokens frequent
+    out += [frequent[:50] + some(1) for _ in range(10)] + [frequent[20:] + some(1) for _ in range(12)]
+    return [(base + k, t) for k, t in enumerate(out)]
+
+
+def brute_links(rows):
+    sets = {c: set(t) for c, t in rows}
+    root = {c: c for c in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                root[find(a)] = find(b)
+    groups = defaultdict(set)
+    for c in sets:
+        groups[find(c)].add(c)
+    return sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
+def test_links_seen_first_at_a_pair_of_frequent_tokens(spark):
+    rows = [x for family in range(1, 7) for x in near_copies_under_longer_centres(family)]
+    tokens = spark.createDataFrame([(c, len(t), x) for c, t in rows for x in t], "cid long, n long, token long")
+    sets = jaccard_join.staged(jaccard_join.shared_sets(tokens), jaccard_join.scratch(spark, "shared"))
+    groups = defaultdict(set)
+    for x in jaccard_join.links(sets).collect():
+        groups[x.root].add(x.cid)
+    want = brute_links(rows)
+    assert sum(len(g) == 2 for g in want) == 6                    # the near copies of each family
+    assert sorted(map(sorted, groups.values())) == want
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], DOCS)
     assert jaccard_join.near_duplicates(none).count() == 0 and jaccard_join.one_of_each(none).count() == 0
