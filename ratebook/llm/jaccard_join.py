@@ -17,7 +17,7 @@ of which keeps every link:
    per token, not one per pair of tokens.
 3. Verification.  In each signature's bucket the set with the fewest unshared tokens is compared
    with the others (stars), links are merged into components, and only members that are still apart
-   and whose sizes leave room for a link are compared pairwise.  Overlaps are counted exactly on
+   and whose sizes and signature positions leave room for a link are compared pairwise.  Overlaps are counted exactly on
    the 64-bit shingle hashes.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; fewer than five words are one shingle.  A text
@@ -27,6 +27,7 @@ class; a null doc_id takes part and is named by the smallest id of its component
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -167,10 +168,11 @@ def shared_sets(tokens: DataFrame) -> DataFrame:
 
 
 def signatures(sets: DataFrame, rare: int = RARE) -> DataFrame:
-    """(sig, is_pair, cid, n, own): rare single tokens of the prefix, and neighbouring frequent tokens of
+    """(sig, is_pair, cid, n, own, at): rare single tokens of the prefix, and neighbouring frequent tokens of
     the extended prefix.  ``own`` counts tokens that a pair met by this signature cannot share: those no
     other set has, and for a pair of frequent tokens the rare ones too (if the sets shared one of
-    those, it would be their first shared token and a signature of its own)."""
+    those, it would be their first shared token and a signature of its own).  ``at`` counts the other
+    tokens before the signature."""
     own = F.col("n") - F.size("toks")
     least = F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100))
     plain = F.greatest(F.col("n") - least + 1 - own, F.lit(0)).cast("int")
@@ -182,19 +184,34 @@ def signatures(sets: DataFrame, rare: int = RARE) -> DataFrame:
                        F.slice(frequent, 2, F.greatest(F.size(frequent) - 1, F.lit(0))),
                        lambda a, b: F.xxhash64(F.lit("pair"), a, b))
     each = F.concat(
-        F.transform(singles, lambda t: F.struct(t.alias("sig"), F.lit(False).alias("is_pair"), own.cast("bigint").alias("own"))),
-        F.transform(pairs, lambda t: F.struct(t.alias("sig"), F.lit(True).alias("is_pair"), (own + n_rare).cast("bigint").alias("own"))))
-    return (sets.select("cid", "n", F.explode(F.array_distinct(each)).alias("s"))
-            .select("s.sig", "s.is_pair", "cid", "n", "s.own"))
+        F.transform(singles, lambda t, k: F.struct(t.alias("sig"), F.lit(False).alias("is_pair"),
+                                                   own.cast("bigint").alias("own"), k.cast("bigint").alias("at"))),
+        F.transform(pairs, lambda t, k: F.struct(t.alias("sig"), F.lit(True).alias("is_pair"),
+                                                 (own + n_rare).cast("bigint").alias("own"), k.cast("bigint").alias("at"))))
+    return sets.select("cid", "n", F.explode(each).alias("s")).select("s.sig", "s.is_pair", "cid", "n", "s.own", "s.at")
 
 
 def _fits(a: str, b: str):
-    """Can the sets link, by their sizes and unshared tokens?"""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    room = F.least(na - F.col(f"{a}.own"), nb - F.col(f"{b}.own"))
+    """Can the sets link, by their sizes, unshared tokens, and the tokens on either side of the signature?
+    Both sets keep their tokens in one order, so none before it in one set is behind it in the other."""
+    na, nb, ka, kb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.at"), F.col(f"{b}.at")
+    room = F.least(ka, kb) + F.least(na - F.col(f"{a}.own") - ka, nb - F.col(f"{b}.own") - kb)
     return F.lit(100) * room >= F.lit(PERCENT) * (na + nb - room)
 
 
+def size_class(n):
+    """Sizes by powers of 1.26: linked sets differ by a factor of 1.25 at most, so by one class at most."""
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(1.26)))
+
+
+def _apart(live: DataFrame) -> DataFrame:
+    """The pairs (x, y) of ``live`` that share a signature and are not told apart by their sizes: a bucket
+    is joined by size classes, each with itself and with the one above."""
+    up = live.withColumn("over", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("class", size_class(F.col("n")) + F.col("over"))
+    x, y = up.alias("x"), live.withColumn("class", size_class(F.col("n"))).alias("y")
+    return x.join(y, ["sig", "class"]).where((F.col("x.over") == 1) | (F.col("x.cid") < F.col("y.cid")))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of (a, b) the pairs that link, by exact overlap."""
     s = sets.select("cid", "n", "toks")
@@ -248,7 +265,7 @@ def links(sets: DataFrame, rare: int = RARE, stars: int = STARS) -> DataFrame:
         if turn < stars:
             # stars: the first round's centre is the set with the fewest unshared tokens, later ones come by chance
             by = F.struct("own", "cid") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "cid"), "cid")
-            centre = live.groupBy("sig").agg(F.min_by(F.struct("cid", "n", "own", "label"), by).alias("c")).select("sig", "c.*")
+            centre = live.groupBy("sig").agg(F.min_by(F.struct("cid", "n", "own", "at", "label"), by).alias("c")).select("sig", "c.*")
             pairs = live.alias("y").join(centre.alias("x"), "sig")
         else:
             # A pair meets in every signature it shares.  Where two sets have one of the preceding BEFORE
@@ -257,8 +274,7 @@ def links(sets: DataFrame, rare: int = RARE, stars: int = STARS) -> DataFrame:
             # without a common single, so the first common signature is where _fits allows the most.
             each = Window.partitionBy("cid").orderBy("is_pair", "sig").rowsBetween(-BEFORE, -1)
             last = live.withColumn("before", F.collect_list("sig").over(each))
-            pairs = (last.alias("x").join(last.alias("y"), "sig")
-                     .where((F.col("x.cid") < F.col("y.cid")) & ~F.arrays_overlap("x.before", "y.before")))
+            pairs = _apart(last).where(~F.arrays_overlap("x.before", "y.before"))
         pairs = (pairs.where((F.col("x.label") != F.col("y.label")) & _fits("x", "y"))
                  .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct())
         found = staged(verified(pairs, sets), scratch(spark, "links"))

@@ -124,6 +124,36 @@ def test_links_seen_first_at_a_pair_of_frequent_tokens(spark):
     assert sorted(map(sorted, groups.values())) == want
 
 
+def test_sets_with_a_passage_at_different_places_are_not_compared(spark, monkeypatch):
+    r = random.Random(4)
+    early, passage, late = range(100), range(1000, 1030), range(2000, 2400)
+    rows = [(k, r.sample(early, 50)[:20] + [*passage] + r.sample(late, 50)) for k in range(50)]
+    rows += [(100 + k, [*passage] + r.sample(late, 70)) for k in range(50)]
+    near = rows[-1][1]
+    rows += [(200, near[:90] + [3001, 3002]), (201, near[:95])]
+    rows += [(300 + k, [*late, *range(10_000 * (k + 1), 10_000 * (k + 1) + 400)]) for k in range(120)]    # make ``late`` frequent
+    tokens = spark.createDataFrame([(c, len(t), x) for c, t in rows for x in t], "cid long, n long, token long")
+    sets = jaccard_join.staged(jaccard_join.shared_sets(tokens), jaccard_join.scratch(spark, "shared"))
+    seen, verified = [], jaccard_join.verified
+
+    def recorded(pairs, of):
+        seen.extend((x.a, x.b) for x in pairs.collect())
+        return verified(pairs, of)
+
+    monkeypatch.setattr(jaccard_join, "verified", recorded)
+    groups = defaultdict(set)
+    for x in jaccard_join.links(sets).collect():
+        groups[x.root].add(x.cid)
+    assert sorted(map(sorted, groups.values())) == brute_links(rows) == [[149, 200, 201]]
+    assert seen and not [x for x in seen if x[0] < 50 <= x[1]]
+
+
+def test_linked_sizes_are_one_class_apart_at_most(spark):
+    n = F.col("id")
+    far = spark.range(1, 100_000).where(~(jaccard_join.size_class(F.floor(n * 5 / 4)) - jaccard_join.size_class(n)).isin(0, 1))
+    assert far.count() == 0
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], DOCS)
     assert jaccard_join.near_duplicates(none).count() == 0 and jaccard_join.one_of_each(none).count() == 0
