@@ -26,7 +26,7 @@ from ratebook.sources.tables import table
 
 THRESHOLD = 10              # documents with a line's key from which the line goes
 FANOUT = 4                  # runs of a level that are compacted into one
-BATCHES = 4                 # deliveries the registered query reads the table in
+BATCHES = 10                # deliveries a table is dealt in: clearly more than FANOUT, so runs close while they arrive
 
 
 def line_key(line: Column) -> Column:
@@ -139,13 +139,6 @@ def dedup_lines(docs: DataFrame, batches: list[DataFrame], threshold: int = THRE
     return drop_lines(docs, found, key, text)
 
 
-def file_batches(docs: DataFrame, n: int = BATCHES) -> list[DataFrame]:
-    """A plain scan as up to ``n`` deliveries, each the rows of some of its files."""
-    files = sorted(docs.inputFiles())
-    read = docs.sparkSession.read.schema(docs.schema)
-    return [read.parquet(*files[i::n]).select(*docs.columns) for i in range(min(n, len(files)))]
-
-
 def hash_batches(docs: DataFrame, n: int = BATCHES) -> list[DataFrame]:
     """Any table as ``n`` deliveries, dealt by a hash of the id."""
     return [docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) == i) for i in range(n)]
@@ -153,7 +146,7 @@ def hash_batches(docs: DataFrame, n: int = BATCHES) -> list[DataFrame]:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return dedup_lines(docs, file_batches(docs)).select(
+    return dedup_lines(docs, hash_batches(docs)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -52,6 +52,22 @@ def test_line_runs_are_compacted_and_closed(spark, docs):
     assert not [t.name for t in spark.catalog.listTables() if t.name == runs.table]
 
 
+def test_registered_batches_meet_closed_runs(spark, monkeypatch):
+    closed, add = [], line_dedup.LineRuns.add_batch
+
+    def recorded(runs, *batch):
+        closed.append(len(runs.closed))
+        add(runs, *batch)
+
+    monkeypatch.setattr(line_dedup.LineRuns, "add_batch", recorded)
+    rows = [(k, f"common\n{prose(k, 20)}") for k in range(60)]
+    one_file = spark.createDataFrame(rows, DOCS).coalesce(1)
+    monkeypatch.setattr(line_dedup, "table", lambda *names: line_dedup.staged(one_file, line_dedup.scratch(spark, "documents")))
+    got = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.op4_line_dedup(spark, "").collect()}
+    assert got == {i: (n, dropped) for i, n, dropped, _ in brute_lines(rows, line_dedup.THRESHOLD)}
+    assert len(closed) > 2 * line_dedup.FANOUT and max(closed) >= 2
+
+
 def test_lines_keep_extra_columns_and_empty_tables(spark, docs):
     wide = with_extras(docs)
     out = line_dedup.dedup_lines(wide, [wide])
