@@ -7,8 +7,9 @@ keys that level 2 lets through by mistake, and so on until a level has nothing l
 A key's answer is the parity of the first level that rejects it, which is exact on the universe.
 
 Everything is built with DataFrame aggregations (``bit_or`` of bit positions per 64-bit word).
-The filters are literals of bounded size: when the listed keys need more than ``max_bits`` bits,
-keys are split by hash into shards that each stay below it and are judged in one pass each.
+The filters are literals of bounded size: when the listed keys, or the unlisted ones that level 1
+is expected to let through, need more than ``max_bits`` bits, keys are split by hash into shards
+whose levels stay below it and are judged in one pass each.
 
 Nulls: a null key is not part of the universe and is judged like the empty key.  Repeated keys
 count once; a key that is both listed and not listed counts as listed.  An empty list gives an
@@ -29,6 +30,7 @@ from ratebook.sources.tables import table
 BITS_PER_KEY = 10
 HASHES = 5
 MAX_BITS = 1 << 23          # one shard's largest filter: 1 MiB
+MIN_BITS = 256              # floor of a level's filter
 MAX_LEVELS = 64
 
 # The rules of the registered query, (verdict, host, path).
@@ -123,6 +125,15 @@ class Cascade:
         return df.sparkSession.read.parquet(path)
 
 
+def shards_for(n_listed: int, n_unlisted: int, bits_per_key: int, max_bits: int) -> int:
+    """Shards in which level 1 (the listed keys) and level 2 (its false positives) fit ``max_bits``; later
+    levels are smaller.  The false positives are an expectation, so they leave room for their spread."""
+    n_bits = max(MIN_BITS, n_listed * bits_per_key)
+    wrong = n_unlisted * (1 - math.exp(-HASHES * n_listed / n_bits)) ** HASHES
+    room = max(1.0, (math.sqrt(4 + max_bits / bits_per_key) - 2) ** 2)     # mean + 4 sqrt(mean) fits
+    return max(1, math.ceil(n_listed * bits_per_key / max_bits), math.ceil(wrong / room))
+
+
 def fit_cascade(universe: DataFrame, listed: DataFrame, key: str = "key",
                 bits_per_key: int = BITS_PER_KEY, max_bits: int = MAX_BITS) -> Cascade:
     """Cascade over ``universe[key]`` (every key that will be asked) for the keys of ``listed[key]``."""
@@ -132,8 +143,8 @@ def fit_cascade(universe: DataFrame, listed: DataFrame, key: str = "key",
     h1, h2, h3 = _hashes(F.col(key))
     keys = staged(both.groupBy(key).agg(F.max("listed").alias("listed"))
                   .select(h1.alias("h1"), h2.alias("h2"), h3.alias("h3"), "listed"), scratch(spark, "urlkeys"))
-    n_listed = keys.where("listed = 1").count()
-    n_shards = max(1, math.ceil(n_listed * bits_per_key / max_bits))
+    n = keys.agg(F.count_if(F.col("listed") == 1).alias("listed"), F.count_if(F.col("listed") == 0).alias("unlisted")).first()
+    n_shards = shards_for(n["listed"], n["unlisted"], bits_per_key, max_bits)
     return Cascade([_fit_shard(keys.where(F.pmod("h3", F.lit(n_shards)) == s), bits_per_key) for s in range(n_shards)])
 
 
@@ -148,7 +159,7 @@ def _fit_shard(keys: DataFrame, bits_per_key: int) -> list[Level]:
         if n == 0 and levels:
             return levels
         # a level with few keys still gets a floor, so chains of tiny levels stay short
-        n_bits = max(256, 64 * math.ceil(n * bits_per_key / 64))
+        n_bits = max(MIN_BITS, 64 * math.ceil(n * bits_per_key / 64))
         where = left[side].select(F.explode(F.array(*_positions(h1, h2, number, n_bits))).alias("p"))
         words = (where.groupBy(F.shiftright("p", 6).cast("int").alias("w"))
                  .agg(F.bit_or(F.call_function("shiftleft", F.expr("1L"), F.expr("cast(p & 63 as int)"))).alias("bits")))

@@ -183,6 +183,16 @@ def test_cascade_is_exact(spark, max_bits):
     assert none.mark(u, "key", "listed").where("listed").count() == 0
 
 
+def test_short_list_against_many_keys_stays_under_the_limit(spark):
+    u = spark.range(60_000).select(F.concat(F.lit("host"), "id").alias("key"))
+    c = url_filter.fit_cascade(u, u.where("key like 'host%77'").limit(150), max_bits=2048)
+    assert c.n_shards > 1 and max(level.n_bits for s in c.shards for level in s) <= 2048
+    assert sum(s[0].n_keys for s in c.shards) == 150
+    assert c.mark(u, "key", "listed").where("listed").count() == 150
+    assert url_filter.shards_for(0, 10**9, 10, 1 << 23) == 1
+    assert url_filter.shards_for(1000, 10**9, 10, 1 << 23) >= 10
+
+
 def test_urls_are_judged(spark):
     urls = ["http://A.Example.net/en/x?q#f", "https://example.net/de/", "http://x.example.com/de/1", "http://a.org/fr/", "http://a.org/en/",
             "http://spam-farm.example.org", "http://net", "net/x", None, "", "http://", "x://y://z/fr/", "http://notnet/", "http://adult-x.io?a/b"]
