@@ -47,6 +47,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row (a lambda variable is a let-binding)."""
     return F.transform(F.array(value), body)[0]

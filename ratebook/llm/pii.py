@@ -6,15 +6,18 @@ documents, different values stay different, and the holder of the key can turn t
 
 * payment cards (13 to 19 digits, optionally in groups, Luhn-valid): the digits between the first
   and the check digit are permuted, and the check digit is set anew;
-* North American phone numbers: area code and exchange keep their leading 2 to 9;
+* North American phone numbers: the first digits of area code and exchange stay within 2 to 9; where
+  +1 or parentheses mark a number as one, they may be 0 or 1 and stay within those;
 * IPv4 addresses: the 32 bits are permuted;
 * calendar dates (yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy): days of 1950 to 2049 are permuted among
-  themselves, and those of the rest of 1800 to 2199 likewise; other years are left;
+  themselves, and those of the rest of 1800 to 2199 likewise;
 * e-mail addresses: letters and digits of the local part are permuted within their kind.
 
-What does not validate (a failed check digit, 31 February, octet 256) is left as it is.  A round
-adds a keyed hash (SHA-256) of one half to the other half; ``ROUNDS`` rounds.  Everything is a
-built-in expression within the row: no shuffle, whatever the skew.
+What does not validate (a failed check digit, 31 February, octet 256, a year outside 1800 to 2199)
+is left as it is and not counted.  A round adds a keyed hash (SHA-256) of one half to the other half;
+``ROUNDS`` rounds; a long half draws a keyed stream from one hash, so the work is linear in its
+length.  No pattern repeats a group without a bound, so long texts cannot exhaust the stack.
+Everything is a built-in expression within the row: no shuffle, whatever the skew.
 
 Null text stays null, with counts of 0.  Extra columns pass through; the count columns replace
 columns of the same name.
@@ -25,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratebook.llm.common import let
+from ratebook.llm.common import free_name, let
 from ratebook.sources.tables import table
 
 ROUNDS = 8
@@ -34,10 +37,10 @@ KEY = "public demonstration key"            # a deployment passes its own secret
 # The formats, by kind, in the order in which they are tried.
 _EDGE, _END = r"(?<![0-9A-Za-z_])", r"(?![0-9A-Za-z_])"
 FORMATS = {
-    "email": r"(?<![0-9A-Za-z._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![0-9A-Za-z._%+-])[A-Za-z0-9._%+-]++@(?!\.)[A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "date": rf"{_EDGE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}){_END}",
     "ip": rf"{_EDGE}(?<![0-9]\.)[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?!\.?[0-9A-Za-z_])",
-    "phone": r"(?<![0-9A-Za-z_+])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z_])",
+    "phone": r"(?<![0-9A-Za-z_+])(?:(?:(?:\+1[ .-]?)?\([0-9]{3}\) ?|\+1[ .-]?[0-9]{3}[ .-])[0-9]{3}|[2-9][0-9]{2}[ .-][2-9][0-9]{2})[ .-][0-9]{4}(?![0-9A-Za-z_])",
     "card": rf"{_EDGE}[0-9](?:[ -]?[0-9]){{12,18}}{_END}",
 }
 PATTERN = "|".join(FORMATS.values())
@@ -71,40 +74,72 @@ def permute_number(x: Column, a: int, b: int, key: str, back: bool = False) -> C
     return F.aggregate(_rounds(back), start, step, lambda s: s["l"] * F.lit(b) + s["r"])
 
 
+def _chars(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
+def _hex(digest: Column) -> Column:
+    return F.conv(digest, 16, 10).cast("bigint")
+
+
+# The first character and the number of characters of each kind of a mask.
+KINDS = {"d": (48, 10), "n": (50, 8), "b": (48, 2), "a": (97, 26), "A": (65, 26)}
+
+
 def permute_text(text: Column, mask: Column, key: str, back: bool = False) -> Column:
     """A keyed permutation of strings of one mask: each character stays in its kind (d: 0-9, n: 2-9,
-    a: a-z, A: A-Z)."""
+    b: 0-1, a: a-z, A: A-Z)."""
+    return F.array_join(permute_chars(text, mask, key, back), "")
+
+
+def permute_chars(text: Column, mask: Column, key: str, back: bool = False) -> Column:
+    """``permute_text`` as an array of characters."""
     sign = -1 if back else 1
 
-    def added(half: Column, kinds: Column, other: Column, r: Column) -> Column:
-        def char(i: Column) -> Column:
-            kind = F.substring(kinds, i + 1, F.lit(1))
-            base = F.when(kind == "d", 48).when(kind == "n", 50).when(kind == "a", 97).otherwise(65)
-            size = F.when(kind == "d", 10).when(kind == "n", 8).otherwise(26)
-            now = F.ascii(F.substring(half, i + 1, F.lit(1))) - base
-            return F.char(F.pmod(now + sign * _draw(key, kinds, r, i, other), size) + base)
+    def added(half: Column, sizes: Column, other: Column, r: Column, mask: Column) -> Column:
+        # one hash of the other half seeds a stream: 16 characters take a block of 64 hexadecimal digits
+        seed = F.sha2(F.concat_ws("|", F.lit(key), mask, r.cast("string"), F.array_join(other.cast("array<string>"), ",")), 256)
 
-        return F.when(F.length(half) == 0, half).otherwise(
-            F.array_join(F.transform(F.sequence(F.lit(0), F.length(half) - 1), char), ""))
+        def filled(seed: Column) -> Column:
+            blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(half) / 16).cast("int")),
+                                 lambda b: F.sha2(F.concat_ws("|", seed, b.cast("string")), 256))
+            return let(blocks, lambda bs: F.transform(half, lambda x, i: F.pmod(
+                x + sign * _hex(F.substring(F.get(bs, F.floor(i / 16).cast("int")), F.pmod(i, F.lit(16)) * 4 + 1, F.lit(4))),
+                F.get(sizes, i))))
 
-    def step(s: Column, r: Column) -> Column:
-        even = r % 2 == 0
-        return F.struct(F.when(even, added(s["l"], s["ml"], s["r"], r)).otherwise(s["l"]).alias("l"),
-                        F.when(even, s["r"]).otherwise(added(s["r"], s["mr"], s["l"], r)).alias("r"), s["ml"].alias("ml"), s["mr"].alias("mr"))
+        return let(seed, filled)
+
+    def run(s: Column) -> Column:
+        n = F.size(s["x"])
+        cut = F.floor((n + 1) / 2).cast("int")
+
+        def halves(a: Column) -> tuple[Column, Column]:
+            return F.slice(a, F.lit(1), cut), F.slice(a, cut + 1, n - cut)
 
-    cut = F.floor((F.length(text) + 1) / 2).cast("int")
-    rest = F.length(text) - cut
-    start = F.struct(F.substring(text, F.lit(1), cut).alias("l"), F.substring(text, cut + 1, rest).alias("r"),
-                     F.substring(mask, F.lit(1), cut).alias("ml"), F.substring(mask, cut + 1, rest).alias("mr"))
-    return F.aggregate(_rounds(back), start, step, lambda s: F.concat(s["l"], s["r"]))
+        def step(h: Column, r: Column) -> Column:
+            even = r % 2 == 0
+            return F.struct(F.when(even, added(h["l"], h["sl"], h["r"], r, s["mask"])).otherwise(h["l"]).alias("l"),
+                            F.when(even, h["r"]).otherwise(added(h["r"], h["sr"], h["l"], r, s["mask"])).alias("r"),
+                            h["sl"].alias("sl"), h["sr"].alias("sr"))
+
+        (left, right), (sl, sr) = halves(s["x"]), halves(s["size"])
+        start = F.struct(left.alias("l"), right.alias("r"), sl.alias("sl"), sr.alias("sr"))
+        done = F.aggregate(_rounds(back), start, step, lambda h: F.concat(h["l"], h["r"]))
+        return let(done, lambda d: F.transform(d, lambda x, i: F.char(x + F.get(s["base"], i))))
+
+    base = F.create_map(*[F.lit(x) for k, (first, _) in KINDS.items() for x in (k, first)])
+    size = F.create_map(*[F.lit(x) for k, (_, count) in KINDS.items() for x in (k, count)])
+    return let(F.struct(text.alias("t"), mask.alias("m")), lambda p: let(
+        F.struct(F.transform(_chars(p["m"]), lambda k: base[k]).alias("base"), F.transform(_chars(p["m"]), lambda k: size[k].cast("bigint")).alias("size"),
+                 _chars(p["t"]).alias("c"), p["m"].alias("mask")),
+        lambda q: let(F.struct(F.transform(q["c"], lambda c, i: (F.ascii(c) - F.get(q["base"], i)).cast("bigint")).alias("x"),
+                               q["base"].alias("base"), q["size"].alias("size"), q["mask"].alias("mask")), run)))
 
 
 def _refilled(shape: Column, kept: str, values: Column) -> Column:
-    """``shape`` with its characters of class ``kept`` replaced, in order, by those of ``values``."""
-    def char(c: Column, i: Column) -> Column:
-        before = F.length(F.regexp_replace(F.substring(shape, F.lit(1), i), f"[^{kept}]", ""))
-        return F.when(c.rlike(f"^[{kept}]$"), F.substring(values, before + 1, F.lit(1))).otherwise(c)
-    return F.array_join(F.transform(F.split(shape, ""), char), "")
+    """``shape`` with its characters of class ``kept`` replaced, in order, by the array ``values``."""
+    between = F.split(shape, f"[{kept}]", -1)
+    return let(values, lambda v: F.array_join(F.transform(between, lambda s, i: F.concat(s, F.coalesce(F.get(v, i), F.lit("")))), ""))
 
 
 def _digits(m: Column) -> Column:
@@ -126,14 +161,20 @@ def _luhn(digits: Column) -> Column:
 def _card(m: Column, key: str, back: bool) -> Column:
     def new(d: Column) -> Column:
         middle = F.substring(d, F.lit(2), F.length(d) - 2)
-        body = F.concat(F.substring(d, 1, 1), permute_text(middle, F.repeat(F.lit("d"), F.length(middle)), key, back))
-        return let(body, lambda b: F.concat(b, F.pmod(F.lit(10) - _luhn(F.concat(b, F.lit("0"))) % 10, F.lit(10)).cast("string")))
+        inner = permute_text(middle, F.repeat(F.lit("d"), F.length(middle)), key, back)
+        return let(F.concat(F.substring(d, 1, 1), inner), lambda b: _chars(
+            F.concat(b, F.pmod(F.lit(10) - _luhn(F.concat(b, F.lit("0"))) % 10, F.lit(10)).cast("string"))))
     return let(_digits(m), lambda d: F.when(_luhn(d) % 10 == 0, _refilled(m, "0-9", let(d, new))))
 
 
 def _phone(m: Column, key: str, back: bool) -> Column:
+    def lead(d: Column, at: int) -> Column:
+        return F.when(F.substring(d, at, 1) < "2", "b").otherwise("n")
+
     def new(d: Column) -> Column:                # the last ten digits; a leading country code stays
-        return F.concat(F.substring(d, F.lit(1), F.length(d) - 10), permute_text(F.substring(d, -10, 10), F.lit("nddndddddd"), key, back))
+        ten = let(F.substring(d, -10, 10), lambda x: permute_chars(
+            x, F.concat(lead(x, 1), F.lit("dd"), lead(x, 4), F.lit("dddddd")), key, back))
+        return F.concat(_chars(F.substring(d, F.lit(1), F.length(d) - 10)), ten)
     return _refilled(m, "0-9", let(_digits(m), new))
 
 
@@ -167,7 +208,7 @@ def _date(m: Column, key: str, back: bool) -> Column:
         return F.when(day_first, F.date_format(date, "dd.MM.yyyy")).when(m.contains("/"), F.date_format(date, "yyyy/MM/dd")) \
             .otherwise(F.date_format(date, "yyyy-MM-dd"))
 
-    return let(day, lambda d: F.when(d.isNotNull(), let(new(d), text)))
+    return let(day, lambda d: F.when((d >= D1800) & (d < D2200), let(new(d), text)))
 
 
 def _email(m: Column, key: str, back: bool) -> Column:
@@ -175,8 +216,10 @@ def _email(m: Column, key: str, back: bool) -> Column:
     varied = F.regexp_replace(local, "[^0-9A-Za-z]", "")
     mask = F.regexp_replace(F.regexp_replace(F.regexp_replace(varied, "[A-Z]", "\u0001"), "[a-z]", "a"), "[0-9]", "d")
     mask = F.replace(mask, F.lit("\u0001"), F.lit("A"))
-    return F.when(F.length(varied) > 0, F.concat(_refilled(local, "0-9A-Za-z", let(F.struct(varied.alias("v"), mask.alias("m")),
-                                                 lambda s: permute_text(s["v"], s["m"], key, back))), F.lit("@"), domain))
+    # labels are not empty: what follows two dots is not part of the domain
+    valid = F.substring_index(domain, "..", 1).rlike(r"\.[A-Za-z]{2}")
+    return F.when(valid & (F.length(varied) > 0), F.concat(_refilled(local, "0-9A-Za-z", let(F.struct(varied.alias("v"), mask.alias("m")),
+                                                 lambda s: permute_chars(s["v"], s["m"], key, back))), F.lit("@"), domain))
 
 
 _KINDS = {"email": _email, "date": _date, "ip": _ip, "phone": _phone, "card": _card}
@@ -202,15 +245,16 @@ def pseudonymize(docs: DataFrame, text: str = "text", key: str = KEY, back: bool
     matches = F.transform(F.regexp_extract_all(t, F.lit(f"({PATTERN})"), 1), lambda m: pseudonym(m, key, back))
     # few texts hold any candidate; only those are cut up
     some = t.rlike("[0-9@]")
-    found = docs.withColumn("_pii", F.when(some, matches))
+    pii = free_name(docs, "_pii")
+    found = docs.withColumn(pii, F.when(some, matches))
     parts = F.split(t, PATTERN, -1)
-    whole = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(F.col("_pii"), i)["value"], F.lit("")))), "")
+    whole = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(F.col(pii), i)["value"], F.lit("")))), "")
 
     def counted(kind: str) -> Column:
-        return F.coalesce(F.size(F.filter("_pii", lambda m: F.coalesce(m["kind"] == kind, F.lit(False)))), F.lit(0)).cast("bigint")
+        return F.coalesce(F.size(F.filter(pii, lambda m: F.coalesce(m["kind"] == kind, F.lit(False)))), F.lit(0)).cast("bigint")
 
     counts = {f"n_{k}": counted(k) for k in FORMATS}
-    return found.withColumns({**counts, text: F.when(F.size("_pii") > 0, whole).otherwise(t)}).drop("_pii")
+    return found.withColumns({**counts, text: F.when(F.size(pii) > 0, whole).otherwise(t)}).drop(pii)
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
