@@ -15,7 +15,8 @@ those that a 304 may update (``PERMITTED``) taken from the revisit.
 
 Records at the same time follow the record id; a response counts as earlier if it sorts before.
 Null URLs are a URL of their own, null times come first, null headers are empty.  Repeated rows are
-records each.  Header names are compared in lower case; the last of repeated names counts.
+records each.  Header names are compared in lower case; the last of repeated names counts.  Extra
+columns are left out of the result.  URLs of any length are walked in linear time.
 """
 
 from __future__ import annotations
@@ -35,11 +36,12 @@ FULL, REVISIT = "response", "revisit"
 def canonical_url(url: Column) -> Column:
     """Scheme and ``www.`` dropped, host lower-cased, no default port, fragment or tracking parameters,
     no slash at the end."""
-    bare = F.regexp_replace(F.regexp_replace(url, r"#.*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    bare = F.regexp_replace(F.substring_index(url, "#", 1), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.regexp_replace(F.translate(F.regexp_extract(bare, r"^[^/?]*", 0), UPPER, LOWER), r"^www\.|:(80|443)$", "")
     rest = F.regexp_extract(bare, r"^[^/?]*(.*)$", 1)
-    rest = F.regexp_replace(rest, rf"([?&])(?:(?:{'|'.join(TRACKING)})=[^&]*(?:&|$))+", "$1")
-    return F.regexp_replace(F.concat(host, rest), r"[/?&]+$", "")
+    # possessive, so a URL of any number of parameters is walked without recursion
+    rest = F.regexp_replace(rest, rf"([?&])(?:(?:{'|'.join(TRACKING)})=[^&]*+(?:&|$))++", "$1")
+    return F.rtrim(F.concat(host, rest), F.lit("/?&"))
 
 
 def _lowered(headers: Column) -> Column:
@@ -93,7 +95,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 def captures(pages: DataFrame) -> DataFrame:
     """A crawl history from ``pages``: each page is fetched once (but every seventh never in full) and
-    revisited page_id mod 4 times, some with an old validator and some under another spelling of its URL."""
+    revisited page_id mod 4 times, some with an old validator and some under another spelling of its URL.
+    A page without an id has no record id to give its captures and makes none."""
     p = pages.where("page_id IS NOT NULL").select(
         "page_id", "url", F.md5(F.coalesce("html", F.lit(""))).alias("digest"), F.octet_length(F.coalesce("html", F.lit(""))).alias("size"))
     each = p.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.pmod("page_id", F.lit(4)))).alias("k"))

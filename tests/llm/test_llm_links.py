@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import defaultdict
 
 import duckdb
@@ -243,6 +244,14 @@ def brute_revisits(rows):
     return sorted(out, key=str)
 
 
+def test_long_queries_and_runs_end(spark):
+    urls = ["http://h/p?" + "ref=1&" * 100_000 + "a=1", "http://h/" + "/" * 100_000 + "x", "http://h/" + "#" * 100_000, "http://h/p?a=1" + "&" * 100_000]
+    began = time.monotonic()
+    df = spark.createDataFrame([(u,) for u in urls], "url string").select(warc_revisits.canonical_url(F.col("url")).alias("k"))
+    assert [r.k for r in df.collect()] == ["h/p?a=1", "h/" + "/" * 100_000 + "x", "h", "h/p?a=1"]
+    assert time.monotonic() - began < 30
+
+
 def test_revisits_match_brute_force(spark):
     r = random.Random(8)
     urls = ["http://a.org/x", "https://www.A.org/x/", "http://a.org/x?ref=1", "http://a.org/x?ref=1&b=2", "http://a.org:80/x#f", "http://b.org/", None, ""]
