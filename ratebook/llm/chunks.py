@@ -8,6 +8,10 @@ that follows a non-space character, and the parts on both sides tokenize indepen
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _GAPS = re.compile(r"\s[ \n]")
 
@@ -44,6 +48,19 @@ def _cut_slow(text: str) -> list[str]:
     return [text[a:b] for a, b in zip([0, *at], [*at, len(text)], strict=True) if a < b]
 
 
+def text_groups(batch: pa.RecordBatch, limit: int, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with at most ``limit`` characters of text together, or one row."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()
+    first, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > first and held + size > limit:
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += size
+    if batch.num_rows > first:
+        yield batch.slice(first)
+
+
 class Memo:
     """A mapping that keeps the recently used of at most ``2 * size`` entries (two generations)."""
 
