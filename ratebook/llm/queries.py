@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ratebook.llm import (
-    bpe, chat_windows, decontaminate, jaccard_join, line_dedup, pii, quality_rules, token_files, url_filter, warc_revisits,
+    bpe, chat_windows, class_lm, collocations, decontaminate, jaccard_join, line_dedup, pii, quality_rules, token_files,
+    url_filter, vector_codes, warc_revisits,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,10 +22,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_token_files": token_files.op10_token_files,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_class_lm": class_lm.op12_class_lm,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_warc_revisits": warc_revisits.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }

@@ -273,9 +273,9 @@ def test_revisits_match_brute_force(spark):
 
 # ------------------------------------------------------------------ registration
 
-def test_ten_operators_are_registered():
+def test_thirteen_operators_are_registered():
     import corpus_pipeline
-    assert {re.match(r"op(\d+)_", q)[1] for q in queries.QUERIES} == {str(k) for k in range(1, 11)}
+    assert {re.match(r"op(\d+)_", q)[1] for q in queries.QUERIES} == {str(k) for k in range(1, 14)}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     import __spark_entry__ as entry
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
