@@ -2,10 +2,10 @@
 
 A stripe belongs to a (lang, prefix) and counts the words that follow the prefix.  Level k holds the
 stripes of prefixes of k - 1 words: level 1 (the empty prefix) counts words and gives each lang's
-total, level k >= 2 counts phrases of k words.  Tasks make stripes from groups of texts (one row per
-prefix, with its next words and their counts as arrays) and Spark merges them elementwise: entry by
-entry, with map-side sums, so the stripe of a very frequent prefix is spread over all tasks and none
-is ever gathered whole.  Everything else is read from the merged stripes: an entry is the count of a
+total, level k >= 2 counts phrases of k words.  Tasks make stripes from groups of texts (a prefix with
+its next words and their counts as arrays, ``ROW`` stripes in a row) and Spark merges them elementwise:
+entry by entry, with map-side sums, so the stripe of a very frequent prefix is spread over all tasks and
+none is ever gathered whole.  Everything else is read from the merged stripes: an entry is the count of a
 phrase, the empty prefix's entries sum to the total, the largest entry of a stripe tells whether its
 prefix is subsumed by a word to the right, and the largest entry over all prefixes that begin with
 some word tells the same of a word to the left.  A phrase is subsumed by a longer one if and only if
@@ -42,6 +42,7 @@ MAX_WORDS = 5
 TOP = 2000                  # phrases reported for each lang
 SUBSUMED_PERCENT = 100      # a longer phrase with this share of the occurrences makes a candidate go
 GROUP = 1 << 22             # characters of texts whose stripes are made together (one text at least)
+ROW = 4096                  # stripes in a row
 FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB)
 UNKNOWN_LANG = "und"
 _BITMAP = 1 << 15           # bits of a bitmap aggregate
@@ -112,11 +113,22 @@ def _stripes_of(lang: str, texts: list[bytes], k: int, known: np.ndarray | None)
 
 
 def stripes(docs: DataFrame, k: int, known: np.ndarray | None = None, group: int = GROUP) -> DataFrame:
-    """Unmerged stripes of level ``k``: lang, prefix, next (array of words), n (array of counts)."""
+    """Unmerged stripes of level ``k``: lang, and an array of (prefix, next words, their counts)."""
     spark = docs.sparkSession
     ship_package(spark)
     held = spark.sparkContext.broadcast(None if known is None else known.tobytes())
-    names = ["lang", "prefix", "next", "n"]
+
+    def rows(lang: str, texts: list[bytes], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        prefixes, nexts, counts, starts = _stripes_of(lang, texts, k, bits)
+        if not nexts:
+            return
+        edges = pa.array(starts, pa.int32())
+        each = pa.StructArray.from_arrays(
+            [pa.array(prefixes, pa.string()), pa.ListArray.from_arrays(edges, pa.array(nexts, pa.string())),
+             pa.ListArray.from_arrays(edges, pa.array(counts, pa.int64()))], ["prefix", "next", "n"])
+        for at in range(0, len(prefixes), ROW):
+            some = each.slice(at, ROW)
+            yield pa.record_batch([pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)], ["lang", "stripes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if held.value is None else np.frombuffer(held.value, np.uint8)
@@ -126,27 +138,24 @@ def stripes(docs: DataFrame, k: int, known: np.ndarray | None = None, group: int
                 for lang, text in zip(some.column(0).to_pylist(), some.column(1).cast(pa.binary()).to_pylist(), strict=True):
                     by_lang.setdefault(lang, []).append(text)
                 for lang, texts in by_lang.items():
-                    prefixes, nexts, counts, starts = _stripes_of(lang, texts, k, bits)
-                    if not nexts:
-                        continue
-                    offsets = pa.array(starts, pa.int32())
-                    yield pa.record_batch([
-                        pa.array([lang] * len(prefixes), pa.string()), pa.array(prefixes, pa.string()),
-                        pa.ListArray.from_arrays(offsets, pa.array(nexts, pa.string())),
-                        pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64()))], names)
+                    yield from rows(lang, texts, bits)
 
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"), "text").where("text IS NOT NULL")
-    return texts.mapInArrow(run, "lang string, prefix string, next array<string>, n array<long>")
+    return texts.mapInArrow(run, "lang string, stripes array<struct<prefix:string,next:array<string>,n:array<bigint>>>")
 
 
 def merge_stripes(parts: DataFrame) -> DataFrame:
-    """Stripes added up elementwise: lang, prefix, next, n; one row per entry."""
-    entries = parts.select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e"))
-    return entries.groupBy("lang", "prefix", F.col("e.next").alias("next")).agg(F.sum("e.n").alias("n"))
+    """Stripes added up elementwise: lang, phrase (prefix and next word), n; one row per entry.
 
+    While they are added up, an entry's key is one text, the phrase before its lang: words hold no tab."""
+    def entries(s: Column) -> Column:
+        return F.transform(F.arrays_zip(s["next"], s["n"]), lambda e: F.struct(
+            F.concat(F.when(s["prefix"] == "", "").otherwise(F.concat(s["prefix"], F.lit(" "))), e["next"], F.lit("\t"), F.col("lang")).alias("key"),
+            e["n"].alias("n")))
 
-def _joined(prefix: Column, word: Column) -> Column:
-    return F.when(prefix == "", word).otherwise(F.concat(prefix, F.lit(" "), word))
+    each = parts.select(F.explode(F.flatten(F.transform("stripes", entries))).alias("e")).select("e.key", "e.n")
+    return each.groupBy("key").agg(F.sum("n").alias("n")).select(
+        F.expr("substr(key, locate('\t', key) + 1)").alias("lang"), F.substring_index("key", "\t", 1).alias("phrase"), "n")
 
 
 def filter_of(phrases: DataFrame) -> np.ndarray:
@@ -183,13 +192,13 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     words = staged(merge_stripes(stripes(docs, 1, group=group)), scratch(spark, "stripes1"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     entries = words.where(F.col("n") >= min_count)
-    levels = [entries.select("lang", F.lit(1).alias("k"), F.lit("").alias("prefix"), F.col("next").alias("phrase"), "n")]
+    levels = [entries.select("lang", F.lit(1).alias("k"), F.lit("").alias("prefix"), "phrase", "n")]
     for k in range(2, max_words + 1):
         known = filter_of(levels[-1])
         if not known.any():
             break
         merged = merge_stripes(stripes(docs, k, known, group)).where(F.col("n") >= min_count)
-        level = merged.select("lang", F.lit(k).alias("k"), "prefix", _joined(F.col("prefix"), F.col("next")).alias("phrase"), "n")
+        level = merged.select("lang", F.lit(k).alias("k"), F.substring_index("phrase", " ", k - 1).alias("prefix"), "phrase", "n")
         levels.append(staged(level, scratch(spark, f"stripes{k}")))
     known = levels[0]
     for level in levels[1:]:

@@ -69,13 +69,18 @@ def test_scores_past_64_bits_are_exact(spark):
     assert [tuple(r) for r in got] == [("en", 1, "x y", a, known[0][4], known[1][4], n, 1000 * a * n // (known[0][4] * known[1][4]))]
 
 
-def test_stripes_are_one_row_per_prefix(spark):
+def test_a_prefix_keys_one_counter(spark):
     df = spark.createDataFrame([("en", "a b a c a b. b a")], "lang string, text string")
-    one = collocations.stripes(df, 1)
-    assert [tuple(r) for r in one.select("prefix", F.map_from_arrays("next", "n").alias("m")).collect()] == [("", {"a": 4, "b": 3, "c": 1})]
+
+    def read(parts):
+        return {s.prefix: dict(zip(s.next, s.n, strict=True)) for r in parts.collect() for s in r.stripes}
+
+    assert read(collocations.stripes(df, 1)) == {"": {"a": 4, "b": 3, "c": 1}}
     known = collocations.filter_of(spark.createDataFrame([("en", w) for w in "abc"], "lang string, phrase string"))
-    two = {r.prefix: r.m for r in collocations.stripes(df, 2, known).select("prefix", F.map_from_arrays("next", "n").alias("m")).collect()}
-    assert two == {"a": {"b": 2, "c": 1}, "b": {"a": 2}, "c": {"a": 1}}
+    two = collocations.stripes(df, 2, known)
+    assert read(two) == {"a": {"b": 2, "c": 1}, "b": {"a": 2}, "c": {"a": 1}}
+    assert sorted(map(tuple, collocations.merge_stripes(two.union(two)).collect())) == \
+        [("en", "a b", 4), ("en", "a c", 2), ("en", "b a", 4), ("en", "c a", 2)]
 
 
 # ------------------------------------------------------------------ class language model
