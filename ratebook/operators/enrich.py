@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.functions.dates import as_date
-from ratebook.functions.numbers import round5, scale
+from ratebook.functions.numbers import ratio5, scale5
 from ratebook.schemas import FACTOR, REF_RATE
 
 # What an unknown pair gets before it is dropped.
@@ -60,6 +60,10 @@ def known_pairs(enriched: DataFrame) -> DataFrame:
 def scaled(known: DataFrame) -> DataFrame:
     """P8 + N2: ``fx_rate x from_ratio`` rounded half up to five decimals.
 
-    ``to_ratio`` is fetched but never used, as in the source.
+    Rates that carry their ratio (``fx_num / fx_den``) are divided, scaled and
+    rounded in one step.  ``to_ratio`` is fetched but never used, as in the
+    source.
     """
-    return known.withColumn("fx_rate_with_ratio", round5(scale("fx_rate", "from_ratio")))
+    if {"fx_num", "fx_den"} <= set(known.columns):
+        return known.withColumn("fx_rate_with_ratio", ratio5("fx_num", "fx_den", "from_ratio"))
+    return known.withColumn("fx_rate_with_ratio", scale5("fx_rate", "from_ratio"))

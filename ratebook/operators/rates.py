@@ -3,19 +3,20 @@ N1, U2, F3, G5).
 
 Over a history every operator is keyed by ``period`` (the quote document's
 ``start``); one period is the special case the reference runs.  The quote x
-target product of a period comes from a window over ``period`` plus a
-generator -- no join product, no nested-loop join, one pass over the quotes.
+target product of a period comes from a per-period row of target mids (an
+aggregate with a map-side step), joined back on ``period``, plus a generator:
+no window, no join product, no nested-loop join.
 Target lists are driver-side configuration (a list of codes), which is what
 bounds every broadcast and generator built from them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.functions.numbers import cross_rate, mid_rate, parse_rate
-from ratebook.schemas import WIDE_RATE
+from ratebook.schemas import RATIO, WIDE_RATE
 from ratebook.sources.config import BASE_CURRENCY, target_list
 
 
@@ -23,15 +24,16 @@ def quote_mid(items: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     """Quote items (text buy/sell) -> quotes to the base currency.
 
     ``items`` has ``period, pos, code, buyValue, sellValue, start, end``.
-    Text is cast straight to DECIMAL(24,12) (malformed text raises), the mid
-    rate is exact, and ``code`` becomes ``from_curr``.
+    Text is cast straight to DECIMAL(24,12) (malformed text raises), and
+    ``code`` becomes ``from_curr``.  ``mid2`` is twice the mid rate, exact.
     """
     buy = parse_rate("buyValue", "buyValue")
     sell = parse_rate("sellValue", "sellValue")
     return (items
             .select("period", "pos", F.col("code").alias("from_curr"),
                     buy.alias("buyValue"), sell.alias("sellValue"), "start", "end")
-            .withColumns({"fx_rate": mid_rate("buyValue", "sellValue"), "to_curr": F.lit(base)}))
+            .withColumns({"fx_rate": mid_rate("buyValue", "sellValue"), "to_curr": F.lit(base),
+                          "mid2": (F.col("buyValue") + F.col("sellValue")).cast(RATIO)}))
 
 
 def drop_self_pairs(rates: DataFrame) -> DataFrame:
@@ -63,41 +65,56 @@ def _target_names(targets) -> list[str]:
     return list(targets)
 
 
+def period_mids(quotes: DataFrame, targets: list[str]) -> DataFrame:
+    """One row per period with each target's first quote (``_mid0``, ``_mid1``, ...; NULL where not quoted).
+
+    ``min_by`` has a map-side step, so a period with very many quotes is
+    reduced in every task.  The whole quote row is kept: the aggregate then
+    reads the same columns as the quotes it is joined to, and Spark derives
+    them once (the exchange below both is reused).
+    """
+    first = F.struct(*quotes.columns)
+    return quotes.groupBy(F.col("period").alias("_period")).agg(
+        *[F.min_by(first, F.when(F.col("from_curr") == F.lit(t), F.col("pos"))).alias(f"_mid{i}")
+          for i, t in enumerate(targets)])
+
+
 def attach_target_mids(quotes: DataFrame, targets: list[str]) -> DataFrame:
-    """J3 in column form: every quote row gets each target's mid of its period.
+    """J3 in column form: every quote row gets each target's first quote of its period.
 
-    One window over ``period``; each target is a ``min_by(fx_rate, pos)``
-    restricted to that target's rows (first quote in document order).  A
-    window partition is one period of *quotes* -- at most one row per quoted
-    currency (plus duplicates within a document), not raw history -- so it
-    stays small however much history there is.
+    A join on ``period`` (a NULL period is a period of its own) with one row
+    per period, whether a target is quoted in it or not: broadcast where it is
+    measured small, else a shuffle join whose skewed periods AQE splits.
     """
-    w = Window.partitionBy("period")
     names = list(dict.fromkeys(targets))
-    # A struct tells "quoted, but NULL" from "not quoted".
-    mids = [F.min_by(F.struct("fx_rate"), F.when(F.col("from_curr") == F.lit(t), F.col("pos"))).over(w)
-            .alias(f"_mid{i}") for i, t in enumerate(names)]
-    return quotes.select("*", *mids)
+    if not names:
+        return quotes
+    mids = period_mids(quotes, names)
+    return quotes.join(mids, F.col("period").eqNullSafe(F.col("_period"))).drop("_period")
 
 
 def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool) -> DataFrame:
     """Mid rows and/or cross rows from ONE pass over the quotes.
 
     Each quote row emits ``[its own mid row] + [one cross row per target]``
-    through a generator, so the quotes (and whatever history they are
-    derived from) are scanned once, with no self-join.  A target without a
-    quote in the period raises, naming the target and period (the source
+    through a generator.  A target without a quote in the period raises, naming the target and period (the source
     stops the run in that case too); a NULL quote gives NULL rates, which the
     runners' NOT NULL check names.
     """
     targets = _target_names(targets)
     names = list(dict.fromkeys(targets))
+    if "mid2" not in quotes.columns:
+        quotes = quotes.withColumn("mid2", (F.col("fx_rate") + F.col("fx_rate")).cast(RATIO))
     q = attach_target_mids(quotes, names)
-    keep = [c for c in quotes.columns if c not in ("to_curr", "fx_rate")]
+    keep = [c for c in quotes.columns if c not in ("to_curr", "fx_rate", "mid2")]
     parts = []
+
+    def rate_row(to_curr, rate, num, den):
+        return F.struct(to_curr.alias("to_curr"), rate.cast(WIDE_RATE).alias("fx_rate"),
+                        num.cast(RATIO).alias("fx_num"), den.cast(RATIO).alias("fx_den"))
+
     if with_mid_rows:
-        parts.append(F.array(F.struct(F.col("to_curr").alias("to_curr"),
-                                      F.col("fx_rate").cast(WIDE_RATE).alias("fx_rate"))))
+        parts.append(F.array(rate_row(F.col("to_curr"), F.col("fx_rate"), F.col("mid2"), F.lit(2))))
     if targets:
         # One higher-order expression over the configured list (repeats kept):
         # the rate expression, with its checks, is written once instead of
@@ -111,15 +128,17 @@ def _generated_rates(quotes: DataFrame, targets: list[str], with_mid_rows: bool)
             mid = F.element_at(mids, F.element_at(slots, i + 1) + 1)
             missing = F.raise_error(F.concat(F.lit("no quote for target "), t, F.lit(" in period "),
                                              F.coalesce(F.col("period"), F.lit("NULL"))))
-            rate = F.when(mid.isNull(), missing).otherwise(cross_rate("sellValue", mid["fx_rate"], t))
-            return F.struct(t.alias("to_curr"), rate.cast(WIDE_RATE).alias("fx_rate"))
+            twice = (F.col("sellValue") + F.col("sellValue")).cast(RATIO)
+            rate = F.when(mid.isNull(), missing).otherwise(cross_rate(twice, mid["mid2"], t))
+            return rate_row(t, rate, twice, mid["mid2"])
 
         parts.append(F.transform(F.sequence(F.lit(0), F.lit(len(targets) - 1)), cross_row))
     if not parts:
-        return q.select(*keep, F.col("to_curr"), F.col("fx_rate").cast(WIDE_RATE)).where(F.lit(False))
+        none = rate_row(F.col("to_curr"), F.col("fx_rate"), F.col("mid2"), F.lit(2))
+        return q.select(*keep, none.alias("_r")).select(*keep, "_r.*").where(F.lit(False))
     rows = parts[0] if len(parts) == 1 else F.concat(*parts)
     return (q.select(*keep, F.explode(rows).alias("_r"))
-            .select(*keep, F.col("_r.to_curr").alias("to_curr"), F.col("_r.fx_rate").alias("fx_rate")))
+            .select(*keep, "_r.*"))
 
 
 def cross_rates(quotes: DataFrame, targets: list[str]) -> DataFrame:

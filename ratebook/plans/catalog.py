@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebook.functions.dates import date_text, iso_date, local_stamp, local_time, month_end, yyyymmdd
-from ratebook.functions.numbers import fmt5
+from ratebook.functions.numbers import fmt5, ratio5
 from ratebook.functions.text import export_name
 from ratebook.operators import enrich, quality, rates, records
 from ratebook.operators.merge import last_rank, merge_tagged
@@ -46,7 +46,12 @@ def _quotes(spark, sf_dir, period=PERIOD):
 
 
 def _show_rates(df: DataFrame) -> DataFrame:
-    return df.select("period", "from_curr", "to_curr", fmt5("fx_rate").alias("fx_rate"))
+    return df.select("period", "from_curr", "to_curr", _shown())
+
+
+def _shown():
+    """The unscaled rate, rounded once from its ratio."""
+    return ratio5("fx_num", "fx_den").cast("string").alias("fx_rate")
 
 
 def _targets(spark):
@@ -104,7 +109,7 @@ def _enriched(spark, sf_dir):
 
 def q_ref_enrich_left(spark, sf_dir):
     return _enriched(spark, sf_dir).select(
-        "period", "from_curr", "to_curr", fmt5("fx_rate").alias("fx_rate"),
+        "period", "from_curr", "to_curr", _shown(),
         F.col("from_ratio").cast("bigint").alias("from_ratio"),
         F.col("ref_rate").cast("string").alias("ref_rate"),
         F.col("to_ratio").cast("bigint").alias("to_ratio"))
@@ -112,13 +117,13 @@ def q_ref_enrich_left(spark, sf_dir):
 
 def q_ref_known_pairs(spark, sf_dir):
     return enrich.known_pairs(_enriched(spark, sf_dir)).select(
-        "period", "from_curr", "to_curr", fmt5("fx_rate").alias("fx_rate"),
+        "period", "from_curr", "to_curr", _shown(),
         F.col("from_ratio").cast("bigint").alias("from_ratio"))
 
 
 def q_scaled_rates(spark, sf_dir):
     s = enrich.scaled(enrich.known_pairs(_enriched(spark, sf_dir)))
-    return s.select("period", "from_curr", "to_curr", fmt5("fx_rate").alias("fx_rate"),
+    return s.select("period", "from_curr", "to_curr", _shown(),
                     F.col("from_ratio").cast("bigint").alias("from_ratio"),
                     F.col("fx_rate_with_ratio").cast("string").alias("fx_rate_with_ratio"))
 

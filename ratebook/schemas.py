@@ -2,13 +2,12 @@
 
 from pyspark.sql import types as T
 
-# Rates are carried as exact decimals: twelve integer digits and twelve
-# decimals (further decimals of a text are rounded half up; outputs show
-# five).  Spark's division of two such values comes out as DECIMAL(38,14), so
-# a rate divided, then scaled by a factor, still has ten decimals before the
-# final rounding to five.
+# Quoted rates are exact decimals: twelve integer digits and twelve decimals
+# (a text with more of either is refused).  A derived rate is also kept as the
+# ratio it comes from, so that it is divided, scaled and rounded only once.
 RATE = T.DecimalType(24, 12)
 WIDE_RATE = T.DecimalType(38, 20)
+RATIO = T.DecimalType(26, 12)
 OUT_RATE = T.DecimalType(18, 5)
 FACTOR = T.DecimalType(9, 0)
 REF_RATE = T.DecimalType(18, 5)

@@ -72,6 +72,24 @@ def test_first_quote_wins(spark):
     assert [(r.to_curr, float(r.target_mid)) for r in m] == [("USD", 32.7)]
 
 
+def test_first_of_many_quotes_per_target(spark):
+    """J3 over duplicate quotes of every key, in several periods; a NULL mid is not a missing one."""
+    items = items_frame(spark, [("USD", "1", "3"), ("EUR", "5", "5"), ("USD", "8", "8"), ("EUR", "6", "6"), ("JPY", "2", "2")] * 3)
+    both = items.unionByName(items.withColumns({"period": F.lit("20250301"), "buyValue": F.col("sellValue")}))
+    got = {(r.period, r.to_curr): float(r.target_mid) for r in rates.target_mids(rates.quote_mid(both), ["USD", "EUR"]).collect()}
+    assert got == {("20250201", "USD"): 2.0, ("20250201", "EUR"): 5.0, ("20250301", "USD"): 3.0, ("20250301", "EUR"): 5.0}
+    cross = rates.cross_rates(rates.quote_mid(both), ["USD", "EUR"]).where("from_curr = 'JPY'").collect()
+    assert len(cross) == 12 and {round(float(r.fx_rate), 10) for r in cross} == {1.0, 0.4, round(2 / 3, 10)}
+
+
+def test_scaled_rate_is_rounded_once(spark):
+    """A near tie: 1.00000499999999999 stays below it."""
+    q = rates.quote_mid(items_frame(spark, [("USD", "1000000000", "1000000000"), ("JPY", "1", "1000004999.99999999")]))
+    row = rates.cross_rates(q, ["USD"]).where("from_curr = 'JPY'").withColumn("from_ratio", F.lit(1).cast("decimal(9,0)"))
+    from ratebook.operators.enrich import scaled
+    assert str(scaled(row).head().fx_rate_with_ratio) == "1.00000"
+
+
 def test_repeated_target_repeats_rows(spark):
     q = rates.quote_mid(items_frame(spark, [("USD", "32.5", "32.9"), ("JPY", "0.215", "0.219")]))
     rows = rates.all_rates(q, ["TWD", "USD", "USD"]).where("to_curr = 'USD'").collect()

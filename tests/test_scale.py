@@ -81,6 +81,27 @@ def test_w1_on_skewed_history(spark, skewed_dir, cluster_like):
     assert erp.where("FROM_CURR = TO_CURRNCY").count() == 0
 
 
+def test_hot_period_uses_several_tasks(spark, cluster_like):
+    """One period with a third of a million quotes: no window, the period is split, mids are as in the rest."""
+    from ratebook.operators import rates
+
+    n = 300_000
+    spread = spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 3 < 2, F.lit("20250101")).otherwise(F.concat(F.lit("2024"), F.lpad((F.col("id") % 12 + 1).cast("string"), 2, "0"), F.lit("01")))
+        .alias("period"), F.col("id").alias("pos"), F.when(F.col("id") % 5 == 0, "USD").otherwise(F.concat(F.lit("C"), F.col("id").cast("string"))).alias("code"),
+        (F.col("id") % 97 + 1).cast("string").alias("buyValue"), (F.col("id") % 97 + 2).cast("string").alias("sellValue"),
+        F.lit("20250101").alias("start"), F.lit("20250131").alias("end"))
+    q = rates.quote_mid(spread)
+    df = rates.cross_rates(q, ["USD"])
+    got = df.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.sum("fx_rate").alias("s"), F.count_distinct("fx_den").alias("dens")).collect()
+    assert sum(r.n for r in got) == n and all(r.dens == 1 for r in got)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" not in plan and "SortMergeJoin(skew=true)" in plan
+    first = q.where("from_curr = 'USD' AND period = '20250101'").orderBy("pos").head()
+    assert df.where("period = '20250101'").head().fx_den == first.mid2
+
+
 def test_call_windows_never_span_a_whole_connection(spark):
     """The window over raw calls (ordered by time) is partitioned by
     (connection, day, bucket); only the per-bucket summary rows are windowed
