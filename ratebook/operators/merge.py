@@ -55,3 +55,23 @@ def merge_rates(target: DataFrame, batch: DataFrame, keys: list[str] = BPM_KEYS,
                       F.lit(None).cast(batch.schema[seq].dataType).alias("seq"))
     b = batch.select(*keys, "Rate", F.lit(True).alias("is_batch"), F.col(seq).alias("seq"))
     return merge_tagged(t.unionByName(b), keys)
+
+
+def merge_sources(target: DataFrame, batch: DataFrame, keys: list[str] = BPM_KEYS,
+                  newest_source: bool = False) -> DataFrame:
+    """The upsert for rows that know their source: ``Rate`` and ``origin``
+    (time, path and position of the quote; NULL if it is not known).
+
+    By default the batch wins, as in ``merge_rates`` (order ``seq``), and a
+    key keeps the newest origin it has had.  With ``newest_source`` the row
+    of the newest origin wins, in the batch or not; a row without an origin
+    is older than any with one, and the batch wins among equals.
+    """
+    t = target.select(*keys, "Rate", "origin", F.lit(False).alias("is_batch"), F.lit(None).cast(batch.schema["seq"].dataType).alias("seq"))
+    rows = t.unionByName(batch.select(*keys, "Rate", "origin", F.lit(True).alias("is_batch"), "seq"))
+    if newest_source:
+        rank = F.struct(F.col("origin").isNotNull(), F.col("origin"), F.col("is_batch"))
+    else:
+        rank = last_rank(F.col("is_batch").cast("int"), "seq", rows)
+    filled = F.when(F.col("Rate").isNotNull(), rank)
+    return rows.groupBy(*keys).agg(F.max_by(F.col("Rate").cast(OUT_RATE), filled).alias("Rate"), F.max("origin").alias("origin"))

@@ -7,11 +7,12 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.functions.text import export_name
-from ratebook.operators.merge import merge_rates, merge_tagged
+from ratebook.operators.merge import merge_sources, merge_tagged
 from ratebook.operators.quality import GuardError, check_not_null, check_rates, observe_counts
 from ratebook.schemas import BPM_KEYS, EXCHANGE_RATE, OUT_RATE
 from ratebook.session import staging_path, staging_root
@@ -86,12 +87,16 @@ def export_rates(erp: DataFrame, out_dir: str, job: str, run_ts: _dt.datetime) -
 
 
 # The keyed table's layout.  ``data`` holds immutable rows partitioned by
-# (run, RateDate); each folder of ``versions`` is a manifest: which run holds
-# each RateDate.  A version exists once its ``_SUCCESS`` file does, so one
-# small atomic file is the switch from the old table to the new one.
-DATA, VERSIONS, DONE = "data", "versions", "_SUCCESS"
-DATA_SCHEMA = f"Currency string, Currency2 string, Rate {OUT_RATE.simpleString()}, run string, RateDate string"
+# (run, RateDate); a manifest (a folder of ``versions``) says which run holds
+# each RateDate, and version n is the small file ``versions/<n>`` that names
+# its manifest.  That file is renamed into place, which fails if it is there
+# already: of two writers that start from the same version one wins, and the
+# other merges again from the winner's version.
+DATA, VERSIONS = "data", "versions"
+ORIGIN = "struct<time:timestamp,path:string,pos:int>"        # the quote file a rate comes from, if it is known
+DATA_SCHEMA = f"Currency string, Currency2 string, Rate {OUT_RATE.simpleString()}, origin {ORIGIN}, run string, RateDate string"
 MANIFEST_SCHEMA = "RateDate string, run string"
+COMMIT_TRIES = 20
 
 
 def _fs(spark, path: str):
@@ -104,15 +109,42 @@ def rate_versions(spark, path: str) -> list[int]:
     fs, p = _fs(spark, f"{path}/{VERSIONS}")
     if not fs.exists(p):
         return []
-    found = [s.getPath() for s in fs.listStatus(p)]
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(int(x.getName()) for x in found if x.getName().isdigit() and fs.exists(done(x, DONE)))
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().isdigit())
+
+
+def _manifest_path(spark, path: str, version: int) -> str:
+    fs, p = _fs(spark, f"{path}/{VERSIONS}/{version}")
+    stream = fs.open(p)
+    try:
+        name = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+    return f"{path}/{VERSIONS}/{name}"
 
 
 def _manifest(spark, path: str, version: int | None) -> DataFrame:
     if version is None:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/{VERSIONS}/{version}")
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest_path(spark, path, version))
+
+
+def _commit(spark, path: str, version: int, manifest: str) -> bool:
+    """Make ``manifest`` (a folder name) version ``version``; False if another writer has made it."""
+    jvm = spark._jvm
+    fs, claim = _fs(spark, f"{path}/{VERSIONS}/_claim-{os.urandom(6).hex()}")
+    out = fs.create(claim, False)
+    out.write(bytearray(manifest.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(claim), fs.makeQualified(_fs(spark, f"{path}/{VERSIONS}/{version}")[1]), plain)
+    except Py4JJavaError as e:
+        fs.delete(claim, False)
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
 def _rows_of(spark, path: str, manifest: DataFrame, *pruned) -> DataFrame:
@@ -126,7 +158,7 @@ def _rows_of(spark, path: str, manifest: DataFrame, *pruned) -> DataFrame:
     return data.join(manifest, ["run", "RateDate"], "left_semi")
 
 
-def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
+def upsert_rates(batch: DataFrame, path: str, seq: str = "seq", newest_source: bool = False) -> str:
     """K2: MERGE ``batch`` into the keyed rate table at ``path``, all or nothing.
 
     Only the dates the batch touches are read (its smallest and largest date
@@ -135,13 +167,22 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
     committed.  A failure before that leaves readers on the old version.
     Keys, ``Rate`` and ``seq`` must be filled and ``Rate`` a decimal, else
     nothing is written.  Running the same batch twice gives the same table.
-    One writer at a time; readers need no lock.
+
+    Writers may run side by side: a commit succeeds only on the version it
+    was merged from, and one that comes late merges again.  (The store must
+    refuse to rename onto a file, as HDFS does.)  Readers need no lock.
+
+    With ``newest_source``, ``seq`` is the (time, path, pos) of the quote
+    file behind each row; it is kept with the rate, and a row from an older
+    file never replaces one from a newer file, whichever arrives first.
+    Without it the batch wins.
     """
     spark = batch.sparkSession
     text = F.col("Rate").cast("string")
     bad = F.count(F.when(text.isNotNull() & text.try_cast(OUT_RATE).isNull(), F.lit(1)))
+    order = F.col(seq).cast(ORIGIN) if newest_source else F.col(seq)
     staged_batch, m = stage_observed(
-        batch.select(*BPM_KEYS, text.alias("Rate"), F.col(seq).alias("seq")), "rates-batch", invalid=bad,
+        batch.select(*BPM_KEYS, text.alias("Rate"), order.alias("seq")), "rates-batch", invalid=bad,
         blank=F.count_if(F.array_contains(F.array(*[F.col(c).isNull() for c in (*BPM_KEYS, "Rate", "seq")]), True)),
         first=F.min("RateDate"), last=F.max("RateDate"))
     if not m["rows"]:
@@ -150,25 +191,30 @@ def upsert_rates(batch: DataFrame, path: str, seq: str = "seq") -> str:
         check_not_null(staged_batch, [*BPM_KEYS, "Rate", "seq"], "keyed rates")
     if m["invalid"]:
         check_rates(staged_batch, "Rate")                                  # G4: name samples
-    b = staged_batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), "seq")
-    versions = rate_versions(spark, path)
-    old = _manifest(spark, path, versions[-1] if versions else None)
+    b = staged_batch.select(*BPM_KEYS, F.col("Rate").cast(OUT_RATE).alias("Rate"), "seq",
+                            (F.col("seq") if newest_source else F.lit(None)).cast(ORIGIN).alias("origin"))
     dates = b.select("RateDate").distinct()
-    touched = _rows_of(spark, path, old.join(dates, "RateDate", "left_semi"),
-                       F.col("RateDate").between(m["first"], m["last"]))
-    merged = merge_rates(touched.select(*BPM_KEYS, "Rate"), b, BPM_KEYS, "seq")
-    run = f"{(versions or [0])[-1] + 1}-{os.urandom(4).hex()}"
-    (merged.select(*BPM_KEYS, "Rate").hint("rebalance", "RateDate")
-     .write.mode("errorifexists").partitionBy("RateDate").parquet(f"{path}/{DATA}/run={run}"))
-    manifest = (old.join(dates, "RateDate", "left_anti")
-                .unionByName(dates.withColumn("run", F.lit(run))))
-    # An uncommitted folder of this number is what a failed run left behind.
-    manifest.write.mode("overwrite").parquet(f"{path}/{VERSIONS}/{(versions or [0])[-1] + 1}")
-    return path
+    for _ in range(COMMIT_TRIES):
+        versions = rate_versions(spark, path)
+        old = _manifest(spark, path, versions[-1] if versions else None)
+        number = (versions or [0])[-1] + 1
+        touched = _rows_of(spark, path, old.join(dates, "RateDate", "left_semi"),
+                           F.col("RateDate").between(m["first"], m["last"]))
+        merged = merge_sources(touched.select(*BPM_KEYS, "Rate", "origin"), b, BPM_KEYS, newest_source)
+        run = f"{number}-{os.urandom(4).hex()}"
+        (merged.select(*BPM_KEYS, "Rate", "origin").hint("rebalance", "RateDate")
+         .write.mode("errorifexists").partitionBy("RateDate").parquet(f"{path}/{DATA}/run={run}"))
+        manifest = (old.join(dates, "RateDate", "left_anti")
+                    .unionByName(dates.withColumn("run", F.lit(run))))
+        manifest.write.mode("errorifexists").parquet(f"{path}/{VERSIONS}/manifest-{run}")
+        if _commit(spark, path, number, f"manifest-{run}"):
+            return path
+    raise RuntimeError(f"other writers committed to {path} {COMMIT_TRIES} times in a row")
 
 
 def vacuum_rates(spark, path: str, keep: int = 1) -> None:
-    """Delete all but the newest ``keep`` versions, and runs that none of those names."""
+    """Delete all but the newest ``keep`` versions, and runs and manifests that none of those names.
+    Run it while nobody writes: a writer's run has no version yet."""
     versions = rate_versions(spark, path)
     kept = versions[-keep:]
     if not kept:
@@ -178,8 +224,10 @@ def vacuum_rates(spark, path: str, keep: int = 1) -> None:
     for s in fs.listStatus(p):
         if s.getPath().getName().removeprefix("run=") not in named:
             fs.delete(s.getPath(), True)
-    for v in versions[:-keep]:
-        fs.delete(_fs(spark, f"{path}/{VERSIONS}/{v}")[1], True)
+    listed = {_manifest_path(spark, path, v).rsplit("/", 1)[1] for v in kept} | {str(v) for v in kept}
+    for s in fs.listStatus(_fs(spark, f"{path}/{VERSIONS}")[1]):
+        if s.getPath().getName() not in listed:
+            fs.delete(s.getPath(), True)
 
 
 def merge_into_table(batch: DataFrame, table_name: str, seq: str = "seq") -> str:

@@ -34,16 +34,18 @@ def ingest_new_quotes(spark: SparkSession, source: str, checkpoint: str, table_p
                       base: str = BASE_CURRENCY, available_now: bool = True, max_files: int | None = None):
     """Start the ingest query; returns the StreamingQuery.
 
-    Within a micro-batch, a key quoted by several files takes the newest
-    file's value (file time, then path, then position), like rows applied in
-    order.  ``max_files`` bounds a micro-batch.  Files without a quote to
+    A key quoted by several files takes the newest file's value (file time,
+    then path, then position), within a micro-batch and across them: the
+    table keeps the source of each rate, so an older file that arrives late
+    changes nothing that a newer one has set.  ``max_files`` bounds a
+    micro-batch.  Files without a quote to
     ``base`` stop the query before its checkpoint advances.
     """
     items = quote_stream(spark, source, max_files)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         ordered = batch.withColumn("pos", F.struct("file_mtime", "file_path", "pos"))
-        upsert_rates(bpm_layout(quote_mid(ordered, base), base, seq="pos"), table_path)
+        upsert_rates(bpm_layout(quote_mid(ordered, base), base, seq="pos"), table_path, newest_source=True)
 
     w = items.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import json
 import os
 import time
 
@@ -390,3 +391,64 @@ def test_runner_parameters_are_checked(spark, tmp):
         jobs.run_common(q, GOLDEN_TARGETS, ref_frame(spark), RUN, "M", "m", f"{tmp}/erp", export_dir=f"{tmp}/exp")
     with pytest.raises(GuardError, match="19990101"):
         jobs.run_common(q, GOLDEN_TARGETS, ref_frame(spark), RUN, "M", "m", f"{tmp}/erp", periods=["20250201", "19990101"])
+
+
+def _put(folder, name, rate, mtime, start="20250301"):
+    doc = {"start": start, "end": start, "items": [{"code": "USD", "buyValue": rate, "sellValue": rate}]}
+    with open(f"{folder}/{name}.json", "w") as f:
+        json.dump(doc, f)
+    os.utime(f"{folder}/{name}.json", (mtime, mtime))
+
+
+def test_late_older_file_does_not_win(spark, tmp):
+    """T1 + S2 across batches: the newest file's rate stays, whatever arrives later; a replay changes nothing."""
+    from ratebook.streaming.ingest import ingest_new_quotes
+    src, table = f"{tmp}/src", f"{tmp}/rates"
+    os.makedirs(src)
+
+    def run():
+        ingest_new_quotes(spark, src, f"{tmp}/ckpt", table).awaitTermination()
+        return {(r.Currency, r.RateDate): str(r.Rate) for r in sinks.read_rates(spark, table).collect()}
+
+    _put(src, "b-new", "32", 1_700_000_000)
+    assert run() == {("USD", "2025-03-01"): "32.00000"}
+    _put(src, "a-old", "31", 1_600_000_000)
+    _put(src, "a-other-day", "30", 1_500_000_000, start="20250302")
+    late = {("USD", "2025-03-01"): "32.00000", ("USD", "2025-03-02"): "30.00000"}
+    assert run() == late
+    _put(src, "c-newer", "33", 1_800_000_000)
+    newer = late | {("USD", "2025-03-01"): "33.00000"}
+    assert run() == newer
+    # a fresh checkpoint replays every file, in one batch
+    ingest_new_quotes(spark, src, f"{tmp}/ckpt2", table).awaitTermination()
+    assert {(r.Currency, r.RateDate): str(r.Rate) for r in sinks.read_rates(spark, table).collect()} == newer
+    # a job's batch has no file and wins; a file older than the last one seen still does not come back
+    job = spark.createDataFrame([("USD", "TWD", "2025-03-01", "40", 0)], "Currency string, Currency2 string, RateDate string, Rate string, seq int")
+    sinks.upsert_rates(job, table)
+    _put(src, "d-older", "1", 1_750_000_000)
+    assert run() == newer | {("USD", "2025-03-01"): "40.00000"}
+
+
+def test_interleaved_upserts_are_both_kept(spark, tmp, monkeypatch):
+    """K2: a writer that commits between another's read and commit is merged, not overwritten."""
+    schema = "Currency string, Currency2 string, RateDate string, Rate string, seq int"
+    table = f"{tmp}/rates"
+    first = spark.createDataFrame([("USD", "TWD", "2025-01-01", "1", 0), ("EUR", "TWD", "2025-01-01", "2", 0)], schema)
+    sinks.upsert_rates(first, table)
+    one = spark.createDataFrame([("USD", "TWD", "2025-01-01", "10", 0), ("USD", "TWD", "2025-02-01", "11", 0)], schema)
+    two = spark.createDataFrame([("EUR", "TWD", "2025-01-01", "20", 0), ("EUR", "TWD", "2025-03-01", "21", 0)], schema)
+    real, calls = sinks._commit, []
+
+    def late(s, path, version, manifest):
+        calls.append(version)
+        if len(calls) == 1:                       # the other writer commits just before this one
+            sinks.upsert_rates(two, table)
+        return real(s, path, version, manifest)
+
+    monkeypatch.setattr(sinks, "_commit", late)
+    sinks.upsert_rates(one, table)
+    assert calls == [2, 2, 3] and sinks.rate_versions(spark, table) == [1, 2, 3]
+    got = {(r.Currency, r.RateDate): str(r.Rate) for r in sinks.read_rates(spark, table).collect()}
+    assert got == {("USD", "2025-01-01"): "10.00000", ("USD", "2025-02-01"): "11.00000", ("EUR", "2025-01-01"): "20.00000", ("EUR", "2025-03-01"): "21.00000"}
+    sinks.vacuum_rates(spark, table)
+    assert {(r.Currency, r.RateDate): str(r.Rate) for r in sinks.read_rates(spark, table).collect()} == got
