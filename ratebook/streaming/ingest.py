@@ -20,9 +20,15 @@ from ratebook.sources.quote_files import document_items
 from ratebook.sources.sinks import upsert_rates
 
 
+MAX_FILE_AGE = "36500d"
+
+
 def quote_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """New quote documents under ``path`` as a stream of items."""
-    r = spark.readStream.schema(QUOTE_FILE).option("multiLine", True).option("mode", "FAILFAST")
+    """New quote documents under ``path`` as a stream of items.
+
+    The file source would drop a file whose time is more than a week before
+    the newest one seen; no age is too old here."""
+    r = spark.readStream.schema(QUOTE_FILE).option("multiLine", True).option("mode", "FAILFAST").option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     docs = r.json(path).select("*", F.col("_metadata.file_path").alias("file_path"),
