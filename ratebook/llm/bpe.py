@@ -7,7 +7,10 @@ neighbour and the removed position: three logarithmic point updates, so a piece
 O(n log n) however long it is.
 
 Spark deals the documents; a task walks Arrow batches, cuts texts at safe points (``chunks``) and
-memoizes parts, since words repeat.  The memo is bounded and never changes a result.
+memoizes parts, since words repeat.  The memo is bounded and never changes a result.  The pieces that
+are new in a group of documents merge side by side: one tree per piece, pieces of like length as rows
+of one array, and each step does the next merge of every row (``merge_pieces``).  A length with few
+pieces is merged piece by piece with the same tree (``merge_piece``).
 
 Null text is empty: no tokens.  Any other column of the input is left out of the result.
 """
@@ -20,18 +23,22 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from ratebook.llm.chunks import Memo, cut
+from ratebook.llm.chunks import Memo, cut, text_groups
 from ratebook.llm.common import ship_package
 from ratebook.sources.tables import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 MEMO_ENTRIES = 400_000
-GROUP = 64                  # documents whose ids are held at once
+GROUP = 1 << 21             # characters of documents whose ids are held at once (one document at least)
+ROWS = 1 << 20              # tree leaves merged side by side
+FEW = 8                     # pieces of a length below which they are merged one by one
+MEMO_CHARS = 256            # longer parts and pieces are not memoized
 NO_RANK = 1 << 62
 # The white space of the pattern's \s, named one by one: Python's own \s also takes U+001C to U+001F.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -58,59 +65,135 @@ def piece_pattern(pattern: str = public_tokenizers.PATTERN) -> regex.Pattern:
     return regex.compile("".join(out))
 
 
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def pair_table(ranks: dict[bytes, int]) -> list[int]:
+    """The rank of every two-byte pair at ``256 * first + second``, ``NO_RANK`` where there is none."""
+    return [ranks.get(bytes((a, b)), NO_RANK) for a in range(256) for b in range(256)]
+
+
+def merge_piece(piece: bytes, ranks: dict[bytes, int], pairs: list[int]) -> list[int]:
     """Token ids of one piece by leftmost lowest-rank merges, with a segment tree of pair ranks."""
-    n = len(piece)
+    n, none = len(piece), NO_RANK
     if (whole := ranks.get(piece)) is not None:
         return [whole]
-    width = 1 << (n - 1).bit_length()
-    none = NO_RANK
+    # A leaf is rank << bits | position, so the smallest value is the leftmost of the lowest rank.  Leaf i is
+    # tree[n + i], and node k the minimum of nodes 2k and 2k + 1, whatever n is: node 1 covers every leaf.
+    bits = n.bit_length()
+    low = (1 << bits) - 1
+    tree = [none] * n
+    tree += [r << bits | i if (r := pairs[a << 8 | b]) < none else none
+             for i, (a, b) in enumerate(zip(piece, piece[1:], strict=False))]
+    tree.append(none)
+    for k in range(n - 1, 0, -1):
+        x, y = tree[k + k], tree[k + k + 1]
+        tree[k] = x if x < y else y
     end = list(range(1, n + 1))         # end[i]: where the live token that starts at i ends
     before = list(range(-1, n - 1))     # start of the live token to the left
-    # A leaf is rank * width + position, so the smallest value is the leftmost of the lowest rank.
-    tree = [none] * (2 * width)
-    for i in range(n - 1):
-        r = ranks.get(piece[i:i + 2])
-        if r is not None:
-            tree[width + i] = r * width + i
-    for k in range(width - 1, 0, -1):
-        a, b = tree[2 * k], tree[2 * k + 1]
-        tree[k] = a if a < b else b
-
-    def put(i: int, value: int) -> None:
-        k = width + i
-        tree[k] = value
-        k >>= 1
-        while k:
-            a, b = tree[2 * k], tree[2 * k + 1]
-            low = a if a < b else b
-            if tree[k] == low:
-                return                  # nothing above changes
-            tree[k] = low
-            k >>= 1
-
-    def pair(i: int) -> int:
+    get = ranks.get
+    while (best := tree[1]) != none:
+        i = best & low
         j = end[i]
-        r = ranks.get(piece[i:end[j]]) if j < n else None
-        return none if r is None else r * width + i
-
-    while tree[1] != none:
-        i = tree[1] & (width - 1)
-        j = end[i]
-        end[i] = end[j]
-        if end[i] < n:
-            before[end[i]] = i
-        put(j, none)
-        put(i, pair(i))
-        if before[i] >= 0:
-            put(before[i], pair(before[i]))
+        end[i] = e = end[j]
+        tree[n + j] = none              # the position leaves the tree
+        if e < n:
+            before[e] = i
+            r = get(piece[i:end[e]])
+            tree[n + i] = none if r is None else r << bits | i
+        else:
+            tree[n + i] = none
+        h = before[i]
+        if h >= 0:
+            r = get(piece[h:e])
+            tree[n + h] = none if r is None else r << bits | h
+            changed = (n + j, n + i, n + h)
+        else:
+            changed = (n + j, n + i)
+        for k in changed:
+            k >>= 1
+            while k:
+                x, y = tree[k + k], tree[k + k + 1]
+                if y < x:
+                    x = y
+                if tree[k] == x:
+                    break               # nothing above changes
+                tree[k] = x
+                k >>= 1
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i:end[i]]])
-        i = end[i]
+        e = end[i]
+        out.append(ranks[piece[i:e]])
+        i = e
     return out
 
 
+class PairRanks:
+    """Ranks of adjacent tokens by their ids, for whole arrays: a sorted list of the pairs that merge."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        get, found = ranks.get, {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                a, b = get(token[:k]), get(token[k:])
+                if a is not None and b is not None:
+                    found[a << 32 | b] = rank
+        keys = np.fromiter(found.keys(), np.int64, len(found))
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.int64(NO_RANK))
+        self.ranks = np.append(np.fromiter(found.values(), np.int64, len(found))[order], np.int64(NO_RANK))
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.ranks[at], NO_RANK)
+
+
+def merge_pieces(pieces: list[bytes], width: int, byte_ids: np.ndarray, ranks: PairRanks) -> list[bytes]:
+    """``merge_piece`` for pieces of at most ``width`` (a power of two) bytes, all rows at once: ids of each
+    piece as little-endian unsigned 32-bit integers."""
+    n_rows, none = len(pieces), NO_RANK
+    size = np.fromiter(map(len, pieces), np.int64, n_rows)
+    raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(n_rows, width)
+    place = np.arange(width)
+    live = place < size[:, None]                    # starts of live tokens
+    token = byte_ids[raw]
+    end = np.tile(place + 1, (n_rows, 1))
+    before = np.tile(place - 1, (n_rows, 1))
+    tree = np.full((n_rows, 2 * width), none, np.int64)
+    pair = ranks.of(token[:, :-1], token[:, 1:])
+    tree[:, width:-1] = np.where((pair < none) & live[:, 1:], pair * width + place[:-1], none)
+    k = width // 2
+    while k:
+        tree[:, k:2 * k] = np.minimum(tree[:, 2 * k:4 * k:2], tree[:, 2 * k + 1:4 * k:2])
+        k //= 2
+    row = np.arange(n_rows)
+    while True:
+        best = tree[row, 1]
+        more = best != none
+        row, best = row[more], best[more]
+        if not len(row):
+            break
+        i, rank = best & (width - 1), best // width
+        j = end[row, i]
+        e = end[row, j]
+        end[row, i], live[row, j], token[row, i] = e, False, rank
+        right, h = e < size[row], before[row, i]
+        left, after = h >= 0, np.minimum(e, width - 1)
+        before[row[right], e[right]] = i[right]
+        tree[row, width + j] = none
+        r = np.where(right, ranks.of(rank, token[row, after]), none)
+        tree[row, width + i] = np.where(r < none, r * width + i, none)
+        h = np.where(left, h, 0)
+        r = np.where(left, ranks.of(token[row, h], rank), none)
+        r = np.where(r < none, r * width + h, none)
+        tree[row[left], width + h[left]] = r[left]
+        nodes, rows3 = np.concatenate([width + i, width + j, np.where(left, width + h, width + i)]), np.concatenate([row] * 3)
+        for _ in range(width.bit_length() - 1):     # every level is whole before the next one
+            nodes >>= 1
+            tree[rows3, nodes] = np.minimum(tree[rows3, 2 * nodes], tree[rows3, 2 * nodes + 1])
+    ids = token[live].astype("<u4").tobytes()
+    ends = np.cumsum(live.sum(axis=1)) * 4
+    return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
 class Codec:
     """Encoder and decoder of one rank file."""
 
@@ -118,28 +201,61 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {i: b for b, i in self.ranks.items()}
+        self.pairs, self.pair_ranks = pair_table(self.ranks), PairRanks(self.ranks)
+        self.byte_ids = np.array([self.ranks[bytes((b,))] for b in range(256)], np.int64)
         self.pattern = piece_pattern()
         self.pieces, self.parts = Memo(memo), Memo(memo)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        found = self.pieces.young.get(piece)
-        if found is None:
-            found = tuple(merge_piece(piece.encode(), self.ranks))
-            if len(piece) < 64:
-                self.pieces.young[piece] = found
-        return found
+    def merged(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of each piece."""
+        out, by_width = {}, {}
+        for p in pieces:
+            raw = p.encode()
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                out[p] = whole.to_bytes(4, "little")
+            else:
+                by_width.setdefault(1 << (len(raw) - 1).bit_length(), []).append((p, raw))
+        for width, some in by_width.items():
+            if len(some) < FEW:
+                for p, raw in some:
+                    out[p] = np.array(merge_piece(raw, self.ranks, self.pairs), "<u4").tobytes()
+                continue
+            step = max(FEW, ROWS // width)
+            for at in range(0, len(some), step):
+                rows = some[at:at + step]
+                found = merge_pieces([raw for _, raw in rows], width, self.byte_ids, self.pair_ranks)
+                out.update(zip([p for p, _ in rows], found, strict=True))
+        return out
 
-    def part_ids(self, part: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self._piece, self.pattern.findall(part))))
+    def _ids_of(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of each part, by its pieces."""
+        found = [self.pattern.findall(p) for p in parts]
+        fresh = self.merged(list(self.pieces.missing(chain.from_iterable(found))))
+        known = self.pieces.young
+        known.update(fresh)
+        out = {p: b"".join([known[x] for x in f]) for p, f in zip(parts, found, strict=True)}
+        for p in fresh:
+            if len(p) > MEMO_CHARS:
+                del known[p]
+        return out
 
-    def encode(self, text: str) -> list[int]:
-        parts = cut(text)
-        for p in self.parts.missing(parts):
-            self.parts.young[p] = self.part_ids(p)
-        ids = list(chain.from_iterable(map(self.parts.young.__getitem__, parts)))
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        cuts = [cut(t) for t in texts]
+        known = self.parts.young
+        fresh = self._ids_of(list(self.parts.missing(chain.from_iterable(cuts))))
+        known.update(fresh)
+        out = [b"".join(map(known.__getitem__, c)) for c in cuts]
+        for p in fresh:
+            if len(p) > MEMO_CHARS:
+                del known[p]
         self.parts.room()
         self.pieces.room()
-        return ids
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_batch([text])[0], "<u4").tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -162,11 +278,10 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
-            for at in range(0, b.num_rows, GROUP):        # ids take many times their text's room
-                some = b.slice(at, GROUP)
+            for some in text_groups(b, GROUP):
                 n, of_ids, of_text, rows = [], [], [], []
-                for x in some.column(1):
-                    ids = c.encode(x.as_py() or "")
+                for data in c.encode_batch([x or "" for x in some.column(1).to_pylist()]):
+                    ids = np.frombuffer(data, "<u4").tolist()
                     n.append(len(ids))
                     of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
                     of_text.append(hashlib.sha256(c.decode(ids)).hexdigest())

@@ -36,9 +36,7 @@ def reference():
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
 
 
 def test_cuts_are_whole():
@@ -74,6 +72,24 @@ def test_round_trip_of_documents(spark, reference):
     assert bpe.round_trip(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_pieces_merge_alike_side_by_side_and_one_by_one(reference):
+    c = bpe.Codec(public_tokenizers.path(bpe.RANKS))
+    r = random.Random(9)
+    for width in (2, 8, 64):
+        pieces = [bytes(r.choice(b"aabbeht\xc3\xa9 \xff") for _ in range(r.randint(1, width))) for _ in range(200)]
+        pieces = [p for p in pieces if p not in c.ranks]
+        side = bpe.merge_pieces(pieces, width, c.byte_ids, c.pair_ranks)
+        for p, ids in zip(pieces, side, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == bpe.merge_piece(p, c.ranks, c.pairs) == reference._encode_single_piece(p)
+
+
+def test_special_token_strings_are_the_library_s(library):
+    e = token_files.Encoder(public_tokenizers.path(token_files.TOKENIZER))
+    for t in ["a <|endoftext|> b", "<|endoftext|>\n\n x<|endoftext|>y <|endoftext", *texts(500, 8)]:
+        assert np.frombuffer(e.encode_batch([t, ""])[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert 50256 in library.encode("a <|endoftext|> b", add_special_tokens=False).ids
+
+
 def test_segments_give_any_token():
     r = random.Random(1)
     for n in (1, 7, 511, 512, 513, 3000):
