@@ -12,7 +12,7 @@ tokens of a part's stream, with the binary segment; ``parts`` holds each part's
 are ranges of (doc_id, text hash), so the concatenation of parts in order is ascending by doc_id;
 repeated doc_ids follow each other, ordered by text; null ids come first.
 
-Null text is empty and holds only the end id.  Every document has at least that token.  Long
+Null text is empty and holds only the end id.  Extra columns are left out; ids are cast to bigint.  Every document has at least that token.  Long
 documents run over several segments, so no row grows with a document.
 """
 
@@ -22,6 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratebook.llm.chunks import Memo, cut
+from ratebook.llm.chunks import Memo, cut, text_groups
 from ratebook.llm.common import scratch, ship_package, shuffle_partitions
 from ratebook.sources.tables import table
 
@@ -39,6 +40,8 @@ END_ID = 2
 SEGMENT = 1 << 18           # tokens in a segment
 BLOCK = 512                 # bits a rank directory entry covers
 MEMO_ENTRIES = 400_000
+MEMO_CHARS = 256            # longer parts are not memoized
+GROUP = 1 << 21             # characters of documents that are encoded together (one document at least)
 MAGIC = b"DAC1"
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
@@ -122,23 +125,32 @@ class Segment:
 # ------------------------------------------------------------------ encoding
 
 class Encoder:
-    """Ids of a text with the tokenizers library; parts between safe cuts are memoized."""
+    """Ids of texts with the tokenizers library; parts between safe cuts are memoized.
+
+    A special token's string in a text is that token, as the library has it; it holds no white space,
+    so no cut falls inside it."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.memo = Memo(MEMO_ENTRIES)
 
-    def encode(self, text: str) -> np.ndarray:
-        parts = cut(text)
-        new = list(self.memo.missing(parts))
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; one library call for all new parts."""
+        cuts = [cut(t) for t in texts]
+        known = self.memo.young
+        new = list(self.memo.missing(chain.from_iterable(cuts)))
         if new:
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.memo.young[p] = np.array(e.ids, "<u4").tobytes()
-        ids = b"".join(map(self.memo.young.__getitem__, parts))
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            raw = np.fromiter(chain.from_iterable(ids), "<u4", sum(map(len, ids))).tobytes()
+            ends = list(accumulate(4 * len(i) for i in ids))
+            known.update(zip(new, [raw[a:z] for a, z in zip([0, *ends], ends, strict=False)], strict=True))
+        out = [b"".join(map(known.__getitem__, c)) for c in cuts]
+        for p in new:
+            if len(p) > MEMO_CHARS:
+                del known[p]
         self.memo.room()
-        return np.frombuffer(ids, "<u4")
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -187,17 +199,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                                    ["part", "segment", "n_tokens", "data"])
 
         for b in batches:
-            for key, text in zip(b.column(0), b.column(1), strict=True):
-                ids = np.append(encoder_ids(e, text.as_py()), np.uint32(end_id))
-                for n, data in stream.add(key.as_py(), ids):
-                    yield row(n, data)
-                    number += 1
+            for some in text_groups(b, GROUP):
+                found = e.encode_batch([t or "" for t in some.column(1).to_pylist()])
+                for key, raw in zip(some.column(0).to_pylist(), found, strict=True):
+                    for n, data in stream.add(key, np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id))):
+                        yield row(n, data)
+                        number += 1
         if stream.held:
             yield row(*stream.flush())
 
-    def encoder_ids(e: Encoder, text: str | None) -> np.ndarray:
-        return e.encode(text or "")
-
     order = [F.col("doc_id"), F.xxhash64("text")]
     dealt = (docs.select("doc_id", "text").repartitionByRange(shuffle_partitions(spark), *order)
              .sortWithinPartitions(*order, "text"))
