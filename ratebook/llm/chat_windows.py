@@ -4,7 +4,9 @@ Each conversation becomes training windows of at most ``budget`` tokens.  Prefix
 tokens choose where a window's span of new turns ends (always between turns); every window starts
 with the conversation's system turn and a limited stretch of the turns before its span, and only
 assistant turns of the span itself are under the loss mask, so every assistant text is a target
-exactly once.  A single turn over the budget gets a window of its own, without history.
+exactly once.  A single turn over the budget gets a window of its own, without history.  A system turn of
+more than half the budget is not repeated: it stands in the first window only (alone, if it is over the
+budget), so what is written stays in proportion to the conversation.  Extra columns are left out.
 
 The template writes a turn as ``### role: text</turn>`` and a line feed.  Inside texts and roles,
 backslash, ``#`` and the slash of ``</turn>`` (in roles also the colon) get a backslash before them,
@@ -104,11 +106,16 @@ def placed_turns(rows: DataFrame, ranks: str | None = None) -> DataFrame:
     return both.select("no_conv", "conv", (F.col("before") + F.coalesce("offset", F.lit(0))).alias("idx"), "role", "text", "tokens")
 
 
+def repeated_system(turns: DataFrame, budget: int) -> DataFrame:
+    """The system turns that every window of their conversation starts with."""
+    return turns.where(F.expr("idx = 0 AND role = 'system'") & (F.col("tokens") * 2 <= budget))
+
+
 def plan_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, history_turns: int = HISTORY_TURNS,
                  segment: int = SEGMENT) -> DataFrame:
     """(no_conv, conv, window, first, last, shown): a window's span of new turns [first, last], and the
     first turn of the history that it repeats (``first`` if none)."""
-    head = turns.where("idx = 0 AND role = 'system'").select("no_conv", "conv", F.col("tokens").alias("system"))
+    head = repeated_system(turns, budget).select("no_conv", "conv", F.col("tokens").alias("system"))
     seg = F.floor(F.col("idx") / segment)
     # the next segment sees the last turns of this one as possible history
     also = F.when((F.pmod("idx", F.lit(segment)) >= segment - history_turns), F.array(seg, seg + 1)).otherwise(F.array(seg))
@@ -154,7 +161,7 @@ def format_windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY
     spark = rows.sparkSession
     turns = staged(placed_turns(rows, ranks), scratch(spark, "placed"))
     windows = staged(plan_windows(turns, budget, history, history_turns, segment), scratch(spark, "windows"))
-    system = turns.where("idx = 0 AND role = 'system'").select("no_conv", "conv", F.lit(True).alias("has"))
+    system = repeated_system(turns, budget).select("no_conv", "conv", F.lit(True).alias("has"))
     own = F.transform(F.sequence("shown", "last"), lambda i: F.struct(i.alias("idx"), (i >= F.col("first")).alias("new")))
     lead = F.when(F.col("has") & (F.col("shown") > 0), F.array(F.struct(F.lit(0).cast("bigint").alias("idx"), F.lit(False).alias("new"))))
     members = (windows.join(system, ["no_conv", "conv"], "left")

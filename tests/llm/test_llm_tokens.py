@@ -198,6 +198,37 @@ def test_windows_read_back(spark, segment):
     windows.unpersist()
 
 
+def test_long_system_turn_is_not_repeated(spark):
+    """A system turn of three budgets before 200 turns: what is written stays in proportion."""
+    rows = [(1, 0, "system", "rule " * 600), *[(1, k, "user" if k % 2 else "assistant", prose(k, 6)) for k in range(1, 201)],
+            (2, 0, "system", "brief"), *[(2, k, "user" if k % 2 else "assistant", prose(k, 6)) for k in range(1, 60)]]
+    windows = chat_windows.format_windows(spark.createDataFrame(rows, SCHEMA), 200, 60, 4).collect()
+    said = sum(len(t) for _, _, _, t in rows)
+    assert sum(len(w.text) for w in windows) < 4 * said
+    for w in windows:
+        first = w.first == 0
+        assert w.tokens <= 200 or (first and w.conv_id == 1)
+        assert ("rule rule" in w.text) == (first and w.conv_id == 1)
+        assert ("brief" in w.text) == (w.conv_id == 2)
+    whole = {r.conv_id: r for r in chat_windows.conversation_digests(spark.createDataFrame(windows)).collect()}
+    for c in (1, 2):
+        turns = [(r, t) for k, _, r, t in rows if k == c]
+        assert whole[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+
+
+def test_registered_chat_holds_the_extra_conversation(spark):
+    from conftest import SF001
+    got = {r.conv_id: r for r in chat_windows.op1_chat_windows(spark, SF001).collect()}
+    rows = spark.read.parquet(f"{SF001}/conversations.parquet")
+    assert len(got) == rows.select("conv_id").distinct().count() + 1
+    x = chat_windows.EXTRA_TEXT
+    r = got[chat_windows.EXTRA_ID]
+    assert (r.n_turns, r.loss_chars) == (2, len(x))
+    assert r.turns_sha256 == hashlib.sha256(f"user\n{x}\nassistant\n{x}\n".encode()).hexdigest()
+    assert r.loss_sha256 == hashlib.sha256(x.encode()).hexdigest()
+    assert sum(k.n_turns for k in got.values()) == rows.count() + 2
+
+
 def test_no_conversations(spark):
     w = chat_windows.format_windows(spark.createDataFrame([], SCHEMA))
     assert w.count() == 0 and chat_windows.conversation_digests(w).count() == 0
