@@ -43,7 +43,7 @@ TOP = 2000                  # phrases reported for each lang
 SUBSUMED_PERCENT = 100      # a longer phrase with this share of the occurrences makes a candidate go
 GROUP = 1 << 22             # characters of texts whose stripes are made together (one text at least)
 ROW = 4096                  # stripes in a row
-FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB)
+FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB), a power of two
 UNKNOWN_LANG = "und"
 _BITMAP = 1 << 15           # bits of a bitmap aggregate
 # The characters that end a piece; 0xFF is no byte of UTF-8 and stands for them.
@@ -63,8 +63,8 @@ def _positions(hashes: np.ndarray) -> np.ndarray:
         h = hashes * _MULTIPLIER
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-    size = np.uint64(FILTER_BITS)
-    return np.stack([(h >> np.uint64(32)) % size, (h ^ (h >> np.uint64(17))) % size]).astype(np.int64)
+    low = np.uint64(FILTER_BITS - 1)
+    return np.stack([(h >> np.uint64(32)) & low, (h ^ (h >> np.uint64(17))) & low]).astype(np.int64)
 
 
 def _chain(first: np.ndarray, word: np.ndarray) -> np.ndarray:
