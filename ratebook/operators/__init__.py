@@ -6,5 +6,4 @@ layouts  ERP (M/V) and keyed-rate layouts, rate-type guard
 quality  guards (empty, completeness, invalid rate, NOT NULL, V collisions), run counts
 merge    keyed upsert (MERGE semantics) as one partial aggregate
 records  selection ranges, call metrics, typed fields, nested tables
-joins    broadcast behind a bounded size proof
 """

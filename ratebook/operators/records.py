@@ -10,6 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratebook.functions.dates import parse_yyyymmdd
+from ratebook.session import staged_ranges
+
 # ---------------------------------------------------------------- D1
 
 
@@ -67,6 +70,84 @@ def range_select(df: DataFrame, date_col: str, ranges, equals: dict | None = Non
     return out
 
 
+# Days a bin of a selection table covers: one bit each of a bigint.
+BIN_DAYS = 64
+
+
+def selection_bins(selection: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Selection rows as a table (``by`` columns, SIGN, OPTION, LOW, HIGH) -> the selected days.
+
+    One row per (``by``, bin of 64 days) with a bit for every selected day.
+    Each range is cut at the bin edges and the pieces are united by
+    ``bit_or``, a partial aggregate: overlapping, repeated and nested ranges
+    cost nothing further on.  Without ``by`` there is one row per bin of the
+    calendar at most, however many ranges are given.  A range whose LOW lies
+    after its HIGH selects nothing.  Anything but I/BT and a bound that is no
+    yyyyMMdd date (NULL too) raises.
+    """
+    by = list(by)
+    form = F.concat(F.coalesce("SIGN", F.lit("NULL")), F.lit("/"), F.coalesce("OPTION", F.lit("NULL")))
+    only = F.raise_error(F.concat(F.lit("unsupported selection "), form, F.lit("; only I/BT")))
+    low = F.when(form != "I/BT", only.cast("date")).otherwise(parse_yyyymmdd("LOW"))
+    days = selection.select(*by, F.unix_date(low).alias("_lo"), F.unix_date(parse_yyyymmdd("HIGH")).alias("_hi"))
+    # of ranges that begin on one day the longest holds the others
+    days = days.groupBy(*by, "_lo").agg(F.max("_hi").alias("_hi")).where("_lo <= _hi")
+    pieces = days.select(*by, "_lo", "_hi", F.explode(F.expr(
+        f"sequence(floor(_lo / {BIN_DAYS}D), floor(_hi / {BIN_DAYS}D))")).alias("_bin"))
+    first = F.greatest(F.col("_lo") - F.col("_bin") * BIN_DAYS, F.lit(0)).cast("int")
+    last = F.least(F.col("_hi") - F.col("_bin") * BIN_DAYS, F.lit(BIN_DAYS - 1)).cast("int")
+    ones = F.lit(-1).cast("bigint")
+    mask = F.call_function("shiftrightunsigned", ones, F.lit(BIN_DAYS - 1) - last) \
+        .bitwiseAND(F.call_function("shiftleft", ones, first))
+    return pieces.select(*by, "_bin", mask.alias("_days")).groupBy(*by, "_bin").agg(F.bit_or("_days").alias("_days"))
+
+
+def range_table_select(df: DataFrame, date_col: str, selection: DataFrame, by: list[str] = (),
+                       kind: str = "date") -> DataFrame:
+    """D1 with the selection rows as a table: rows whose ``date_col`` is in any range (of the row's ``by``).
+
+    A semi join on intervals, as an equi-join with ``selection_bins`` on
+    (``by``, bin) and an exact test of the day's bit.  A bin is there once,
+    so no row is repeated and thousands of ranges become neither a long OR
+    nor a nested-loop join.  Without ``by`` the bins are bounded by the
+    calendar (10,000 years are 57,100 rows of 16 bytes) and broadcast; with
+    it, the planner chooses by measured size and AQE splits a key that holds
+    many rows.  The first and the last selected day are scalar subqueries
+    that reach the scan as a range.  A NULL date or key is in no range;
+    columns, repeated rows and their number stay as they are.
+    """
+    if kind not in ("date", "timestamp_ntz"):
+        raise ValueError(f"unknown column kind {kind}")
+    by, taken = list(by), {c.lower() for c in df.columns}
+    names = dict(zip([*by, "_bin", "_days"], _free_names([*by, "_bin", "_days"], taken), strict=True))
+    bins = selection_bins(selection, by).withColumnsRenamed(names)
+    if not by:
+        bins = F.broadcast(bins)
+    day = F.unix_date(F.to_date(date_col))
+    # The scan takes a subquery as it is, so both edges are made within theirs; one is the smallest text
+    # and one the largest date, since two aggregates alike become fields of one subquery, which no scan takes.
+    lo = selection.select(F.try_to_date(F.min("LOW"), "yyyyMMdd").cast(kind)).scalar()
+    after = selection.select(F.date_add(F.max(parse_yyyymmdd("HIGH")), 1).cast(kind)).scalar()
+    near = (F.col(date_col) >= lo) & (F.col(date_col) < after)
+    on = F.floor(day / F.lit(float(BIN_DAYS))) == F.col(names["_bin"])
+    for c in by:
+        on = on & (df[c] == F.col(names[c]))
+    bit = F.call_function("shiftright", F.col(names["_days"]), F.pmod(day, F.lit(BIN_DAYS))).bitwiseAND(F.lit(1).cast("bigint"))
+    return df.where(near).join(bins, on & (bit == 1), "left_semi")
+
+
+def _free_names(stems: list[str], taken: set[str]) -> list[str]:
+    """A name for each stem that is neither taken nor given twice, in whatever case."""
+    out, taken = [], set(taken)
+    for stem in stems:
+        name = f"_sel{stem}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def detail_lookup(selected: DataFrame, detail: DataFrame, on: list[str] | Column) -> DataFrame:
     """D1, second call: the detail record of each selected row (equi-join)."""
     return selected.join(detail, on, "inner")
@@ -79,50 +160,41 @@ CALL_MEASURES = ["total_ms", "ser_ms", "deser_ms", "app_ms", "sent_bytes", "recv
 
 def call_metrics(calls: DataFrame, conn: str = "connection", ts: str = "ts",
                  tie: str = "call_id", reset: str = "is_reset",
-                 measures: list[str] = CALL_MEASURES, bucket_minutes: int = 60) -> DataFrame:
+                 measures: list[str] = CALL_MEASURES, bucket_minutes: int | None = None) -> DataFrame:
     """Throughput counters per connection since each reset.
 
     ``reset_epoch`` = number of resets at or before a call, in (ts, tie)
     order; a reset row opens its epoch and is not counted as a call.
 
-    A plain running sum over ``partitionBy(connection)`` would sort a whole
-    connection in one task.  Here the scan is split by hour: resets are
-    counted per (connection, hour) in a partial aggregate, a running sum over
-    those few per-connection hour rows gives the resets before each hour,
-    and the within-hour running sum is a window over (connection, hour)
-    only.  The final per-epoch sums are partial aggregates as well.  The
-    price is a second, narrow read of the calls (three columns).
-    ``bucket_minutes`` sets the split (60 = hours); a connection that is hot
-    even within an hour is split finer by lowering it.  Buckets come from the
-    wall-clock fields of the timestamp, so no time zone is involved.
+    A running count over ``partitionBy(connection)`` would sort a whole
+    connection in one task, and cutting time into hours would leave a busy
+    hour whole.  Here the calls are range-partitioned by (connection, ts,
+    tie), which cuts any connection, hour or single moment at as many places
+    as its rows need, and staged with the number of their range
+    (``staged_ranges``).  A count within each range gives a local epoch;
+    the resets of a connection's earlier ranges, one row per connection and
+    range, are carried over the edges and added once the calls are summed up
+    per local epoch.  Rows with equal (connection, ts, tie) share a range.
+
+    A NULL connection is a connection of its own, a NULL time precedes every
+    time, a NULL tie every tie, and a NULL reset flag is no reset.
+    ``bucket_minutes`` has no effect any more.
     """
-    if not 1 <= bucket_minutes <= 1440 or 1440 % bucket_minutes:
-        raise ValueError("bucket_minutes must divide a day (1..1440)")
-    minute_of_day = F.hour(ts) * 60 + F.minute(ts)
-    hour = [F.to_date(ts).alias("_day"), F.floor(minute_of_day / bucket_minutes).alias("_hour")]
-    r = F.col(reset).cast("int")
-    # A NULL connection is a connection of its own, a NULL time precedes every
-    # time, and a NULL reset flag is no reset.
-    r = F.coalesce(r, F.lit(0))
-    c = calls.select(conn, ts, tie, r.alias("_r"), *measures, *hour)
-    cell = [conn, "_day", "_hour"]
-    # Pass 1 reads only (connection, ts, reset): a partial aggregate to one
-    # row per (connection, hour), then a running sum over those few rows.
-    per_hour = c.groupBy(*cell).agg(F.sum("_r").alias("_hr"))
-    before = Window.partitionBy(conn).orderBy("_day", "_hour") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_hour.select(*cell, F.coalesce(F.sum("_hr").over(before), F.lit(0)).alias("_prior"))
-    # Pass 2: the running count inside each (connection, hour) -- the join
-    # and the window share one partitioning, so there is one shuffle.
-    within = Window.partitionBy(*cell).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    same = c[conn].eqNullSafe(prefix[conn]) & c["_day"].eqNullSafe(prefix["_day"]) & c["_hour"].eqNullSafe(prefix["_hour"])
-    tagged = (c.join(prefix, same).drop(*[prefix[k] for k in cell])
-              .withColumn("reset_epoch", (F.col("_prior") + F.sum("_r").over(within)).cast("bigint")))
+    r = F.coalesce(F.col(reset).cast("int"), F.lit(0))
+    c = staged_ranges(calls.select(conn, ts, tie, r.alias("_r"), *measures), [conn, ts, tie], "_range")
+    per_range = c.groupBy("_range", conn).agg(F.sum("_r").alias("_resets"))
+    earlier = Window.partitionBy(conn).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_range.select(F.col("_range").alias("_at"), F.col(conn).alias("_conn"),
+                             F.coalesce(F.sum("_resets").over(earlier), F.lit(0)).alias("_before"))
+    # dealing whole ranges by their number is all the order the window needs
+    within = Window.partitionBy("_range", conn).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+    counted = c.repartitionByRange("_range").withColumn("_local", F.sum("_r").over(within))
     call = F.col("_r") == 0
-    return (tagged.groupBy(conn, "reset_epoch")
-            .agg(F.sum(call.cast("bigint")).alias("calls"),
-                 *[F.sum(F.when(call, F.col(m)).otherwise(F.lit(0))).cast("bigint").alias(m)
-                   for m in measures]))
+    sums = [F.sum(F.when(call, F.col(m)).otherwise(F.lit(0))).alias(m) for m in measures]
+    local = counted.groupBy("_range", conn, "_local").agg(F.sum(call.cast("bigint")).alias("calls"), *sums)
+    both = local.join(carry, (F.col("_range") == F.col("_at")) & F.col(conn).eqNullSafe(F.col("_conn")))
+    return (both.groupBy(conn, (F.col("_before") + F.col("_local")).cast("bigint").alias("reset_epoch"))
+            .agg(*[F.sum(m).cast("bigint").alias(m) for m in ["calls", *measures]]))
 
 
 # ---------------------------------------------------------------- D3
@@ -132,6 +204,40 @@ FIELD_TYPES = ("CHAR", "STRING", "DATE", "TIME", "NUM", "BCD", "DECF16", "DECF34
                "BYTE", "XSTRING", "STRUCTURE", "TABLE")
 
 
+# Significant digits, smallest exponent and largest exponent of
+# the first digit of the two decimal floating-point types.
+DECF_LIMITS = {"DECF16": (16, -398, 384), "DECF34": (34, -6176, 6144)}
+_DECF_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,6})?$"
+
+
+def _digits(coefficient: Column) -> Column:
+    return F.char_length(F.abs(coefficient).cast("string"))
+
+
+def decfloat(text: Column, ftype: str) -> Column:
+    """A decimal floating-point text as ``struct<coefficient, exponent>``, exact.
+
+    The value is coefficient * 10^exponent; the coefficient has no trailing
+    zeros (zero is 0 * 10^0), so equal values are equal structs.  NULL where
+    the text is no number, has more significant digits than the type, or an
+    exponent outside its range: nothing is rounded.
+    """
+    digits, smallest, largest = DECF_LIMITS[ftype]
+    t = F.trim(text)
+    body = F.regexp_replace(t, r"^[+-]|[eE].*$", "")
+    fraction = F.when(F.instr(body, ".") > 0, F.char_length(F.substring_index(body, ".", -1))).otherwise(F.lit(0))
+    power = F.coalesce(F.regexp_extract(t, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    shown = F.ltrim(F.replace(body, F.lit("."), F.lit("")), F.lit("0"))
+    kept = F.rtrim(shown, F.lit("0"))
+    exponent = power - fraction + F.char_length(shown) - F.char_length(kept)
+    sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    whole = f"decimal({digits},0)"
+    fits = (F.char_length(kept) <= digits) & (exponent >= smallest) & (exponent + F.char_length(kept) - 1 <= largest)
+    value = F.when(kept == "", F.struct(F.lit(0).cast(whole).alias("coefficient"), F.lit(0).alias("exponent"))) \
+        .when(fits, F.struct(F.concat(sign, kept).try_cast(whole).alias("coefficient"), exponent.cast("int").alias("exponent")))
+    return F.when(t.rlike(_DECF_TEXT), value)
+
+
 def _typed(col: Column, ftype: str, arg) -> Column:
     if ftype == "CHAR":
         # a length, if given, is the field's width: a longer value does not fit
@@ -152,9 +258,15 @@ def _typed(col: Column, ftype: str, arg) -> Column:
         fits = F.trim(col).rlike(rf"^[+-]?[0-9]*(\.[0-9]{{0,{int(size.split(',')[1])}}}0*)?$")
         return F.when(fits, F.trim(col).try_cast(f"decimal({size})"))
     if ftype in ("DECF16", "DECF34"):
-        # decimal floating point (16 or 34 significant digits, exponent
-        # allowed in the text); held as a fixed-scale DECIMAL
-        return F.trim(col).try_cast(f"decimal({arg or '38,18'})")
+        # decimal floating point, exponent allowed in the text: held as it is
+        # (arg "float"), or as a fixed-scale DECIMAL if that holds it exactly
+        value = decfloat(col, ftype)
+        if arg == "float":
+            return value
+        size, scale = (int(x) for x in (arg or "38,18").split(","))
+        point = _digits(value["coefficient"]) + value["exponent"]
+        fits = (value["coefficient"] == 0) | ((value["exponent"] >= -scale) & (point <= size - scale))
+        return F.when(fits, F.trim(col).try_cast(f"decimal({size},{scale})"))
     if ftype == "INT":
         # INT1 is unsigned (0..255); INT2/INT4/INT8 are signed 16/32/64 bit.
         width = int(arg or 8)
@@ -177,6 +289,10 @@ def normalize_records(df: DataFrame, spec: list[tuple], keep: list[str] | None =
     """D3: text fields of fixed remote types -> typed columns.
 
     ``spec`` rows are ``(column, type[, arg])`` with types from FIELD_TYPES.
+    DECF16 and DECF34 become a DECIMAL of ``arg`` (38,18 by default), or with
+    ``arg`` "float" the struct of ``decfloat``, which holds all their values.
+    A value with more significant digits than the type, or one the DECIMAL
+    would have to round, does not convert.
     A field that does not convert becomes NULL and its name is listed in
     ``errors`` (comma separated, empty when clean): flagged, never dropped.
     """

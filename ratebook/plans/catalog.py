@@ -37,6 +37,8 @@ GAP_TARGETS = [f"NATION_{i}" for i in range(25)]
 FLIGHT_RANGES = [("I", "BT", "19960101", "19960131"), ("I", "BT", "19980601", "19980615")]
 FLIGHT_EQUALS = {"o_orderstatus": "*", "o_orderpriority": "1-URGENT"}
 FLIGHT_MAX_ROWS = 100
+SIGNUP_DAYS = 3
+CALENDAR_START, CALENDAR_DAYS = "1990-01-01", 7000
 EXPORT_JOB = "common_m"
 MERGE_REPEAT_CURRENCY = proxies.MERGE_REPEAT_CURRENCY
 
@@ -257,6 +259,28 @@ def q_range_select(spark, sf_dir):
                       proxies._price("o_totalprice").cast("string").alias("price"), "c_name")
 
 
+def q_range_table_select(spark, sf_dir):
+    """D1 with a selection table: a user's events on the days from a signup of theirs on."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    selection = e.where("event_type = 'signup'").select(
+        "user_id", F.lit("I").alias("SIGN"), F.lit("BT").alias("OPTION"), date_text("ts").alias("LOW"),
+        date_text(F.date_add(F.to_date("ts"), (F.col("event_id") % SIGNUP_DAYS).cast("int"))).alias("HIGH"))
+    near = records.range_table_select(e, "ts", selection, ["user_id"], kind="timestamp_ntz")
+    return near.select("event_id", "user_id", "event_type", date_text("ts").alias("day"))
+
+
+def q_range_calendar_select(spark, sf_dir):
+    """D1 with one selection table for all rows: orders of the days that the signups point at."""
+    e = table(spark, sf_dir, "events", "event_id", "user_id", "event_type")
+    low = F.date_add(F.lit(CALENDAR_START).cast("date"), (F.col("event_id") * 7 % CALENDAR_DAYS).cast("int"))
+    selection = e.where("event_type = 'signup'").select(
+        F.lit("I").alias("SIGN"), F.lit("BT").alias("OPTION"), date_text(low).alias("LOW"),
+        date_text(F.date_add(low, (F.col("user_id") % SIGNUP_DAYS).cast("int"))).alias("HIGH"))
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    near = records.range_table_select(o, "o_orderdate", selection, kind="timestamp_ntz")
+    return near.select("o_orderkey", date_text("o_orderdate").alias("flight_date"))
+
+
 def q_call_metrics(spark, sf_dir):
     return records.call_metrics(proxies.calls_from_events(spark, sf_dir))
 
@@ -280,6 +304,44 @@ def q_normalize_records(spark, sf_dir):
                     F.col("price").cast("string").alias("price"), "errors")
 
 
+def q_normalize_record_types(spark, sf_dir):
+    """D3 over all field types, nested ones included; some fields of some lines do not convert."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+               "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+    day, n = date_text("l_shipdate"), F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast("decimal(15,2)").cast("string")
+
+    def two(column, mod):
+        return F.lpad((F.col(column) % mod).cast("string"), 2, "0")
+
+    def power(e):
+        return F.concat(F.lit("E"), e.cast("string"))
+
+    ship = F.when(n == 7, F.concat(F.substring(day, 1, 6), F.lit("32"))).otherwise(day)
+    line = F.lpad(n.cast("string"), 6, "0")
+    item = F.struct(price.alias("price"), F.when(n == 6, F.lit("0G")).otherwise(F.hex("l_returnflag")).alias("mark"))
+    raw = li.select(
+        "l_orderkey", "l_linenumber", F.rpad("l_returnflag", 10, " ").alias("c"), F.col("l_linestatus").alias("s"), ship.alias("d"),
+        F.concat(two("l_orderkey", 24), two("l_partkey", 60), two("l_suppkey", 61)).alias("t"), line.alias("n"), price.alias("b"),
+        F.concat(price, power(n * 3 - 20)).alias("f16"), F.concat(F.lit("-"), price, power(n - 6180)).alias("f34"),
+        (F.col("l_quantity").cast("bigint") * 6).cast("string").alias("i"),
+        F.col("l_discount").cast("decimal(4,2)").cast("string").alias("f"),
+        F.when(n == 5, F.lit("4")).otherwise(F.hex(F.concat("l_returnflag", "l_linestatus"))).alias("x"), F.hex(day).alias("xs"),
+        F.struct(ship.alias("d"), line.alias("n")).alias("st"), F.array(item, item).alias("tb"))
+    spec = [("c", "CHAR", 1), ("s", "STRING"), ("d", "DATE"), ("t", "TIME"), ("n", "NUM", 6), ("b", "BCD", "15,2"),
+            ("f16", "DECF16", "float"), ("f34", "DECF34", "float"), ("i", "INT", 1), ("f", "FLOAT"), ("x", "BYTE"), ("xs", "XSTRING"),
+            ("st", "STRUCTURE", [("d", "DATE"), ("n", "NUM", 6)]), ("tb", "TABLE", [("price", "BCD", "15,2"), ("mark", "BYTE")])]
+    out = records.normalize_records(raw, spec, keep=["l_orderkey", "l_linenumber"])
+    return out.select(
+        "l_orderkey", "l_linenumber", "c", "s", F.date_format("d", "yyyy-MM-dd").alias("d"), "t", F.col("n").cast("bigint").alias("n"),
+        F.col("b").cast("string").alias("b"), F.col("f16.coefficient").cast("bigint").alias("f16_coefficient"), F.col("f16.exponent").alias("f16_exponent"),
+        F.col("f34.coefficient").cast("bigint").alias("f34_coefficient"), F.col("f34.exponent").alias("f34_exponent"),
+        F.col("i").cast("int").alias("i"), "f", F.hex("x").alias("x"), F.hex("xs").alias("xs"),
+        F.date_format("st.d", "yyyy-MM-dd").alias("st_d"), F.col("st.n").cast("bigint").alias("st_n"),
+        F.size("tb").alias("tb_size"), F.col("tb")[1]["price"].cast("string").alias("tb_price"), F.hex(F.col("tb")[1]["mark"]).alias("tb_mark"),
+        "errors")
+
+
 def q_flatten_deep_table(spark, sf_dir):
     flat = records.flatten_deep_table(proxies.deep_table_from_documents(spark, sf_dir))
     return flat.select(F.col("id").alias("doc_id"), "line_no", "I", "C", "STR", "XSTR")
@@ -311,7 +373,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_counts": q_run_counts,
     "local_run_stamp": q_local_run_stamp,
     "range_select": q_range_select,
+    "range_table_select": q_range_table_select,
+    "range_calendar_select": q_range_calendar_select,
     "call_metrics": q_call_metrics,
     "normalize_records": q_normalize_records,
+    "normalize_record_types": q_normalize_record_types,
     "flatten_deep_table": q_flatten_deep_table,
 }

@@ -237,6 +237,16 @@ SELECT event_id, strftime(lt, '%Y-%m-%d %H:%M:%S') AS local_time, strftime(lt, '
 SELECT s.o_orderkey, strftime(CAST(s.o_orderdate AS DATE), '%Y%m%d') AS flight_date, s.o_orderpriority,
        CAST({q4('s.o_totalprice')} AS VARCHAR) AS price, c.c_name
 FROM sel s JOIN customer c ON s.o_custkey = c.c_custkey"""
+    sql["range_table_select"] = f"""WITH s AS (
+  SELECT user_id, CAST(ts AS DATE) AS lo, CAST(ts AS DATE) + CAST(event_id % {catalog.SIGNUP_DAYS} AS INTEGER) AS hi
+  FROM events WHERE event_type = 'signup')
+SELECT event_id, user_id, event_type, {ymd('ts')} AS day FROM events e
+WHERE EXISTS (SELECT 1 FROM s WHERE s.user_id = e.user_id AND CAST(e.ts AS DATE) BETWEEN lo AND hi)"""
+    sql["range_calendar_select"] = f"""WITH s AS (
+  SELECT DATE '{catalog.CALENDAR_START}' + CAST(event_id * 7 % {catalog.CALENDAR_DAYS} AS INTEGER) AS lo, user_id % {catalog.SIGNUP_DAYS} AS more
+  FROM events WHERE event_type = 'signup'),
+days AS (SELECT DISTINCT lo + CAST(unnest(range(0, more + 1)) AS INTEGER) AS day FROM s)
+SELECT o_orderkey, {ymd('o_orderdate')} AS flight_date FROM orders WHERE CAST(o_orderdate AS DATE) IN (SELECT day FROM days)"""
     sql["call_metrics"] = """WITH c AS (
   SELECT user_id AS connection, ts, event_id AS call_id,
          CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS r,
@@ -272,6 +282,25 @@ SELECT l_orderkey, l_linenumber, strftime(ship_d, '%Y-%m-%d') AS ship, rtrim(fla
                       CASE WHEN line IS NOT NULL AND line_d IS NULL THEN 'line' END,
                       CASE WHEN price IS NOT NULL AND price_d IS NULL THEN 'price' END) AS errors
 FROM t"""
+    sql["normalize_record_types"] = f"""WITH raw AS (
+  SELECT *, {ymd('l_shipdate')} AS day, l_extendedprice::DECIMAL(15,2) AS price, CAST(CAST(price * 100 AS BIGINT) AS VARCHAR) AS cents,
+         rtrim(cents, '0') AS kept, l_suppkey % 61 = 60 AS bad_t, l_linenumber = 7 AS bad_d, l_quantity * 6 > 255 AS bad_i,
+         -2 + length(cents) - length(kept) AS shift, l_linenumber - 6180 + shift < -6176 AS bad_f, l_linenumber = 5 AS bad_x,
+         l_linenumber = 6 AS bad_mark, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS iso
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_returnflag AS c, l_linestatus AS s, CASE WHEN NOT bad_d THEN iso END AS d,
+       CASE WHEN NOT bad_t THEN printf('%02d%02d%02d', l_orderkey % 24, l_partkey % 60, l_suppkey % 61) END AS t,
+       CAST(l_linenumber AS BIGINT) AS n, CAST(price AS VARCHAR) AS b,
+       CAST(kept AS BIGINT) AS f16_coefficient, CAST(l_linenumber * 3 - 20 + shift AS INTEGER) AS f16_exponent,
+       CASE WHEN NOT bad_f THEN -CAST(kept AS BIGINT) END AS f34_coefficient,
+       CASE WHEN NOT bad_f THEN CAST(l_linenumber - 6180 + shift AS INTEGER) END AS f34_exponent,
+       CASE WHEN NOT bad_i THEN CAST(l_quantity * 6 AS INTEGER) END AS i, CAST(l_discount::DECIMAL(4,2) AS DOUBLE) AS f,
+       CASE WHEN NOT bad_x THEN hex(l_returnflag || l_linestatus) END AS x, hex(day) AS xs,
+       CASE WHEN NOT bad_d THEN iso END AS st_d, CAST(l_linenumber AS BIGINT) AS st_n, 2 AS tb_size, CAST(price AS VARCHAR) AS tb_price,
+       CASE WHEN NOT bad_mark THEN hex(l_returnflag) END AS tb_mark,
+       concat_ws(',', CASE WHEN bad_d THEN 'd' END, CASE WHEN bad_t THEN 't' END, CASE WHEN bad_f THEN 'f34' END, CASE WHEN bad_i THEN 'i' END,
+                 CASE WHEN bad_x THEN 'x' END, CASE WHEN bad_d THEN 'st' END, CASE WHEN bad_mark THEN 'tb' END) AS errors
+FROM raw"""
     sql["flatten_deep_table"] = """WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS arr,
                   rpad(coalesce(source, ''), 10, ' ') AS c FROM documents),
 u AS (SELECT doc_id, c, unnest(arr) AS line, unnest(generate_series(1, len(arr))) AS line_no FROM d)

@@ -8,8 +8,10 @@ ANSI on (bad numbers and dates raise instead of turning into NULL).
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every ratebook job relies on.  They are all standard Spark SQL
 # options; a cluster's own defaults for anything else are left alone.
@@ -53,18 +55,22 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None, shared_moun
 
     Read from the session (``spark.checkpoint.dir`` or the context's
     checkpoint dir).  Only when neither is set -- a test session -- the
-    caller's fallback is installed; without one the job stops, because a
-    machine-local folder is no place for lineage cuts on a cluster.
+    caller's fallback is installed, or a temporary folder where driver and
+    executors are one process; on a cluster the job stops, because a
+    machine-local folder is no place for lineage cuts there.
     """
+    master = spark.sparkContext.master or ""
+    one_process = master.split("[")[0] == "local"
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if fallback is None and one_process:
+            fallback = tempfile.mkdtemp(prefix="ratebook-")
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         d = fallback
     local_disk = "://" not in d or d.startswith("file:")
-    master = spark.sparkContext.master or ""
     if local_disk and fallback is None and not master.startswith("local") and not shared_mount:
         raise RuntimeError(f"spark.checkpoint.dir is {d}, a machine-local folder; name a shared one "
                            "(or pass shared_mount=True if that path is mounted on every machine)")
@@ -81,3 +87,18 @@ def staging_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh directory for one staged table."""
     return f"{staging_root(spark)}/{name}-{os.urandom(6).hex()}"
+
+
+def staged_ranges(df: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """``df`` range-partitioned by ``keys``, written under the checkpoint folder and read back.
+
+    ``number`` tells each row's range: rows of a lower range come before
+    those of a higher one in the order of ``keys`` (NULLs first), and equal
+    keys share a range.  Ranges are drawn from a sample, so they are fixed by
+    writing them: every later pass, and a task that is run again, sees the
+    same ones.
+    """
+    path = staging_path(df.sparkSession, "ranges")
+    out = df.repartitionByRange(*keys).withColumn(number, F.spark_partition_id())
+    out.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)

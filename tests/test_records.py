@@ -162,3 +162,134 @@ def test_structures_tables_lengths_and_scales(spark):
         (dt.date(2025, 2, 21), 7, [(b"\x0a", 1), (b"\x0b", 2)], "ABC", "1.20", "")
     assert b.errors == "s,t,c,b" and b.s.d is None and b.t[1] is None and b.t[2].i is None and b.c is None and b.b is None
     assert tuple(c) == (None, None, None, None, "") and d.s.n == 1 and d.t == [] and str(d.b) == "1.23" and d.errors == ""
+
+
+def _selection(spark, rows, extra=""):
+    return spark.createDataFrame(rows, f"{extra}SIGN string, OPTION string, LOW string, HIGH string")
+
+
+def _text(d):
+    return d.isoformat().replace("-", "")
+
+
+def test_selection_table_brute_force(spark):
+    """Overlapping, nested, repeated, empty and calendar-wide ranges; days before 1970; NULL dates; clashing names."""
+    rnd = random.Random(11)
+    base = dt.date(1968, 3, 1)
+    rows = [(i, base + dt.timedelta(days=rnd.randrange(0, 1500)) if i % 40 else None, i % 3) for i in range(1200)] * 2
+    df = spark.createDataFrame(rows, "id long, d date, _sel_bin int")
+    ranges = []
+    for _ in range(60):
+        low = base + dt.timedelta(days=rnd.randrange(0, 1500))
+        ranges.append((low, low + dt.timedelta(days=rnd.choice([-2, 0, 0, 1, 3, 64, 130]))))
+    ranges += ranges[:5]
+    selection = _selection(spark, [("I", "BT", _text(a), _text(b)) for a, b in ranges])
+    got = records.range_table_select(df, "d", selection)
+    assert got.columns == df.columns
+    want = [r for r in rows if r[1] is not None and any(a <= r[1] <= b for a, b in ranges)]
+    assert 0 < len(want) < len(rows)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    times = df.withColumn("d", F.col("d").cast("timestamp_ntz") + F.expr("interval '23:59:59.999999' hour to second"))
+    assert sorted(r.id for r in records.range_table_select(times, "d", selection, kind="timestamp_ntz").collect()) == sorted(r[0] for r in want)
+    assert records.range_table_select(df, "d", selection.limit(0)).count() == 0
+    assert records.range_table_select(df.limit(0), "d", selection).count() == 0
+
+
+def test_selection_table_by_key(spark):
+    rnd = random.Random(12)
+    base = dt.date(2024, 1, 1)
+    rows = [(i, rnd.choice([1, 2, 3, None]), base + dt.timedelta(days=rnd.randrange(0, 200))) for i in range(800)]
+    ranges = []
+    for _ in range(25):
+        low = base + dt.timedelta(days=rnd.randrange(0, 200))
+        ranges.append((rnd.choice([1, 2, None]), low, low + dt.timedelta(days=rnd.randrange(0, 20))))
+    selection = _selection(spark, [(k, "I", "BT", _text(a), _text(b)) for k, a, b in ranges], "k long, ")
+    got = records.range_table_select(spark.createDataFrame(rows, "id long, k long, d date"), "d", selection, ["k"])
+    want = sorted(i for i, k, d in rows if k is not None and any(k == q and a <= d <= b for q, a, b in ranges))
+    assert want and sorted(r.id for r in got.collect()) == want
+
+
+def test_selection_table_is_bounded_and_pushed(spark, tmp):
+    """The whole calendar a thousand times is 57,100 bins at most; no nested loop; the edges reach the scan."""
+    wide = _selection(spark, [("I", "BT", "00010101", "99991231"), ("I", "BT", "00010101", "99991230")] * 500)
+    assert records.selection_bins(wide).count() <= 57100
+    rows = [(i, dt.datetime(1996, 1, 1) + dt.timedelta(days=i)) for i in range(300)]
+    spark.createDataFrame(rows, "id long, ts timestamp_ntz").write.parquet(f"{tmp}/t")
+    selection = _selection(spark, [("I", "BT", "19960105", "19960110"), ("I", "BT", "19960601", "19960601")])
+    sel = records.range_table_select(spark.read.parquet(f"{tmp}/t"), "ts", selection, kind="timestamp_ntz")
+    plan = sel._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "BroadcastHashJoin" in plan and "GreaterThanOrEqual(ts,ScalarSubquery" in plan
+    assert sorted(r.id for r in sel.collect()) == [4, 5, 6, 7, 8, 9, 152]
+
+
+def test_selection_table_refuses_other_forms(spark):
+    import pytest
+    df = spark.createDataFrame([(dt.date(1996, 10, 1),)], "d date")
+    for row in (("E", "BT", "19961001", "19961031"), ("I", "EQ", "19961001", "19961031"), (None, "BT", "19961001", "19961031"),
+                ("I", "BT", "19961301", "19961031"), ("I", "BT", "19961001", None)):
+        with pytest.raises(Exception, match="unsupported selection|invalid yyyyMMdd"):
+            records.range_table_select(df, "d", _selection(spark, [row])).collect()
+
+
+def test_call_metrics_splits_a_hot_hour(spark):
+    """A third of the calls in one hour of one connection, a sixth in one moment: no range holds above twice the median."""
+    from ratebook.session import staged_ranges
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, t0 + dt.timedelta(milliseconds=i), i, i % 97 == 0) for i in range(20000)]
+    rows += [(2, t0, 100000 + i, i % 89 == 0) for i in range(10000)]
+    rows += [(3 + i % 50, t0 + dt.timedelta(hours=i % 700), 200000 + i, i % 31 == 0) for i in range(30000)]
+    df = spark.createDataFrame(rows, "connection long, ts timestamp_ntz, call_id long, is_reset boolean")
+    # at this size coalescing would merge every range into one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = sorted(r["count"] for r in staged_ranges(df, ["connection", "ts", "call_id"], "_range").groupBy("_range").count().collect())
+        _check_hot_hour(spark, df, rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 3 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def _check_hot_hour(spark, df, rows):
+    metrics = records.call_metrics(df.withColumns({c: F.lit(2).cast("long") for c in records.CALL_MEASURES}))
+    # the calls are dealt by range alone; what is hashed by connection has been summed up
+    plan = metrics._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [_range" in plan
+    got = {(r.connection, r.reset_epoch): (r.calls, r.total_ms) for r in metrics.collect()}
+    want = {}
+    for conn in {r[0] for r in rows}:
+        epoch = 0
+        for r in sorted((r for r in rows if r[0] == conn), key=lambda r: (r[1], r[2])):
+            epoch += r[3]
+            n = want.get((conn, epoch), (0, 0))[0] + (not r[3])
+            want[conn, epoch] = (n, 2 * n)
+    assert got == want
+
+
+def test_decfloat_is_exact_or_flagged(spark):
+    """Coefficient and exponent against Python decimals, at the edges of both types."""
+    from decimal import Context, Decimal, Inexact, Overflow, Underflow
+    texts = ["0", "-0.00", "1E-20", "1.50", "150e1", "+.5", "5.", "1234567890123456", "12345678901234567", "12345678901234560",
+             "9.999999999999999E384", "1E385", "1E-398", "1E-399", "10E-399", "123E-398", "0.1E-398", "1e6144", "1e6145", "1E-6176", "1E-6177",
+             "-" + "7" * 34, "7" * 35, "000000000000000000000000000000000000000001", "1E+000003", "x", "", ".", "1E", "1E9999999", "1.2.3", "1 2"]
+    limits = {"DECF16": (16, 384, -398), "DECF34": (34, 6144, -6176)}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(len(texts), None)], "id int, v string")
+    for ftype, (digits, emax, etiny) in limits.items():
+        got = {r.id: r for r in records.normalize_records(df, [("v", ftype, "float")], keep=["id"]).collect()}
+        assert got[len(texts)].v is None and got[len(texts)].errors == ""
+        context = Context(prec=digits, Emax=emax, Emin=etiny + digits - 1, traps=[Inexact, Overflow, Underflow])
+        for i, t in enumerate(texts):
+            try:
+                want = context.create_decimal(t.strip())
+                assert want.is_finite()
+            except Exception:
+                want = None
+            r = got[i]
+            if want is None:
+                assert r.v is None and r.errors == "v", (ftype, t, r)
+            else:
+                assert r.errors == "" and Decimal(r.v.coefficient).scaleb(r.v.exponent, Context(prec=40, Emax=99999, Emin=-99999)) == want, (ftype, t, r)
+                assert r.v.exponent == 0 if not want else int(r.v.coefficient) % 10 != 0, (ftype, t, r)
+    # as a DECIMAL: exact, or flagged; never rounded to 0
+    fixed = {r.id: r for r in records.normalize_records(df, [("v", "DECF34")], keep=["id"]).collect()}
+    assert fixed[texts.index("1E-20")].v is None and fixed[texts.index("1E-20")].errors == "v"
+    assert fixed[texts.index("150e1")].v == 1500 and fixed[texts.index("0")].v == 0 and fixed[texts.index("1.50")].v == Decimal("1.5")
