@@ -207,11 +207,7 @@ FIELD_TYPES = ("CHAR", "STRING", "DATE", "TIME", "NUM", "BCD", "DECF16", "DECF34
 # Significant digits, smallest exponent and largest exponent of
 # the first digit of the two decimal floating-point types.
 DECF_LIMITS = {"DECF16": (16, -398, 384), "DECF34": (34, -6176, 6144)}
-_DECF_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,6})?$"
-
-
-def _digits(coefficient: Column) -> Column:
-    return F.char_length(F.abs(coefficient).cast("string"))
+_DECF_TEXT = r"^[+-]?(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,6}))?$"
 
 
 def decfloat(text: Column, ftype: str) -> Column:
@@ -223,19 +219,32 @@ def decfloat(text: Column, ftype: str) -> Column:
     exponent outside its range: nothing is rounded.
     """
     digits, smallest, largest = DECF_LIMITS[ftype]
-    t = F.trim(text)
-    body = F.regexp_replace(t, r"^[+-]|[eE].*$", "")
-    fraction = F.when(F.instr(body, ".") > 0, F.char_length(F.substring_index(body, ".", -1))).otherwise(F.lit(0))
-    power = F.coalesce(F.regexp_extract(t, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    shown = F.ltrim(F.replace(body, F.lit("."), F.lit("")), F.lit("0"))
-    kept = F.rtrim(shown, F.lit("0"))
-    exponent = power - fraction + F.char_length(shown) - F.char_length(kept)
-    sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     whole = f"decimal({digits},0)"
-    fits = (F.char_length(kept) <= digits) & (exponent >= smallest) & (exponent + F.char_length(kept) - 1 <= largest)
-    value = F.when(kept == "", F.struct(F.lit(0).cast(whole).alias("coefficient"), F.lit(0).alias("exponent"))) \
-        .when(fits, F.struct(F.concat(sign, kept).try_cast(whole).alias("coefficient"), exponent.cast("int").alias("exponent")))
-    return F.when(t.rlike(_DECF_TEXT), value)
+
+    def parts(t: Column) -> Column:
+        # digits as shown without leading zeros, digits after the point, power of ten; the pattern splits a number
+        before, after, power = (F.regexp_extract(t, _DECF_TEXT, i) for i in (1, 2, 3))
+        return F.struct(F.ltrim(F.concat(before, after), F.lit("0")).alias("shown"), F.char_length(after).alias("after"),
+                        F.coalesce(power.try_cast("int"), F.lit(0)).alias("power"), t.startswith("-").alias("minus"))
+
+    def stripped(p: Column) -> Column:
+        kept = F.rtrim(p["shown"], F.lit("0"))
+        return F.struct(kept.alias("kept"), F.char_length(kept).alias("n"), p["minus"].alias("minus"),
+                        (p["power"] - p["after"] + F.char_length(p["shown"]) - F.char_length(kept)).alias("exponent"))
+
+    def value(p: Column) -> Column:
+        fits = (p["n"] <= digits) & (p["exponent"] >= smallest) & (p["exponent"] + p["n"] - 1 <= largest)
+        signed = F.concat(F.when(p["minus"], F.lit("-")).otherwise(F.lit("")), p["kept"]).try_cast(whole)
+        return F.when(p["n"] == 0, F.struct(F.lit(0).cast(whole).alias("coefficient"), F.lit(0).alias("exponent"))) \
+            .when(fits, F.struct(signed.alias("coefficient"), p["exponent"].cast("int").alias("exponent")))
+
+    t = F.trim(text)
+    return F.when(t.rlike(_DECF_TEXT), _let(_let(_let(t, parts), stripped), value))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _typed(col: Column, ftype: str, arg) -> Column:
@@ -260,13 +269,15 @@ def _typed(col: Column, ftype: str, arg) -> Column:
     if ftype in ("DECF16", "DECF34"):
         # decimal floating point, exponent allowed in the text: held as it is
         # (arg "float"), or as a fixed-scale DECIMAL if that holds it exactly
-        value = decfloat(col, ftype)
         if arg == "float":
-            return value
+            return decfloat(col, ftype)
         size, scale = (int(x) for x in (arg or "38,18").split(","))
-        point = _digits(value["coefficient"]) + value["exponent"]
-        fits = (value["coefficient"] == 0) | ((value["exponent"] >= -scale) & (point <= size - scale))
-        return F.when(fits, F.trim(col).try_cast(f"decimal({size},{scale})"))
+
+        def fits(v: Column) -> Column:
+            point = F.char_length(F.abs(v["coefficient"]).cast("string")) + v["exponent"]
+            return (v["coefficient"] == 0) | ((v["exponent"] >= -scale) & (point <= size - scale))
+
+        return F.when(_let(decfloat(col, ftype), fits), F.trim(col).try_cast(f"decimal({size},{scale})"))
     if ftype == "INT":
         # INT1 is unsigned (0..255); INT2/INT4/INT8 are signed 16/32/64 bit.
         width = int(arg or 8)
