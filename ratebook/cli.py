@@ -3,9 +3,9 @@
 the job; every run is idempotent, so a retried launch repeats exactly.
 
     common  --quotes DIR --ref PATH|table:NAME --targets JSON --rate-type M|V --run-date yyyyMMdd
-            --job NAME --erp PATH [--export DIR --run-ts T] [--bpm PATH | --bpm-table NAME] [--periods p1,...]
+            --job NAME --erp PATH [--export DIR --run-ts T [--export-file]] [--bpm PATH | --bpm-table NAME] [--periods p1,...]
     rare    --pages PATH|table:NAME --ref PATH|table:NAME --rate-type M|V --run-date yyyyMMdd
-            --job NAME --erp PATH [--export DIR --run-ts T] [--bpm PATH | --bpm-table NAME]
+            --job NAME --erp PATH [--export DIR --run-ts T [--export-file]] [--bpm PATH | --bpm-table NAME]
     ingest  --source DIR --checkpoint DIR --table PATH
 """
 
@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--job", required=True)
         s.add_argument("--erp", required=True)
         s.add_argument("--export", default=None)
+        s.add_argument("--export-file", action="store_true", help="export a single CSV file instead of a folder of part files")
         s.add_argument("--bpm", default=None, help="keyed rate table (Parquet path, set-based upsert)")
         s.add_argument("--bpm-table", default=None,
                        help="keyed rate table in a catalog whose format supports MERGE INTO")
@@ -85,12 +86,12 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         periods = a.periods.split(",") if a.periods else None
         rep = run_common(quotes, json.loads(a.targets), ref, a.run_date, a.rate_type, a.job,
                          a.erp, export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, periods=periods,
-                         bpm_table=a.bpm_table)
+                         bpm_table=a.bpm_table, export_file=a.export_file)
     else:
         pages = _read(spark, a.pages, PAGES)
         rep = run_rare(pages, ref, a.run_date, a.rate_type, a.job, a.erp,
                        export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, bpm_table=a.bpm_table,
-                       skipped_path=a.skipped, host=a.host, allow_not_ready=a.allow_not_ready)
+                       skipped_path=a.skipped, host=a.host, allow_not_ready=a.allow_not_ready, export_file=a.export_file)
     drop_staged(spark)                # every output is written
     out = {"job": rep.job, "counts": rep.counts, "outputs": rep.outputs}
     print(json.dumps(out, default=str))

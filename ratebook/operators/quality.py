@@ -70,8 +70,14 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def check_unique(df: DataFrame, keys: list[str], what: str) -> None:
-    dups = duplicate_keys(df, keys).limit(SAMPLE).collect()
+def check_unique(df: DataFrame, keys: list[str], what: str, copies: dict[str, int] | None = None,
+                 copied: str = "TO_CURRNCY") -> None:
+    """Raise where a key has more than one row, or more than ``copies`` gives for its ``copied`` value."""
+    dups = duplicate_keys(df, keys)
+    if repeated := {v: n for v, n in (copies or {}).items() if n > 1}:
+        listed = F.create_map(*[F.lit(x) for pair in repeated.items() for x in pair])
+        dups = dups.where(F.col("n") > F.coalesce(F.try_element_at(listed, F.col(copied)), F.lit(1)))
+    dups = dups.limit(SAMPLE).collect()
     if dups:
         raise GuardError(f"{what}: keys {keys} not unique, e.g. "
                          + "; ".join(str(tuple(r[k] for k in keys)) for r in dups))

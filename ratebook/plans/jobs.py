@@ -14,6 +14,7 @@ and survives executor loss), run the guards on them, then write the sinks.
 from __future__ import annotations
 
 import datetime as _dt
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -115,7 +116,7 @@ def _check_periods(quotes: DataFrame, periods: list[str] | None) -> None:
 
 def _publish(report: RunReport, erp: DataFrame, job: str, erp_path: str,
              export_dir: str | None, run_ts, bpm: DataFrame | None, bpm_path: str | None,
-             bpm_table: str | None = None) -> None:
+             bpm_table: str | None = None, export_file: bool = False) -> None:
     """Write the outputs of a run; independent sinks run as concurrent jobs.
 
     The ERP write, the export and the keyed upsert only read staged frames,
@@ -136,7 +137,7 @@ def _publish(report: RunReport, erp: DataFrame, job: str, erp_path: str,
 
     tasks = {"erp": lambda: sinks.write_erp_rates(erp, erp_path, job)}
     if export_dir is not None:
-        tasks["export"] = lambda: sinks.export_rates(erp, export_dir, job, run_ts)
+        tasks["export"] = lambda: sinks.export_rates(erp, export_dir, job, run_ts, export_file)
     if bpm is not None:
         tasks["bpm"] = upsert
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
@@ -155,7 +156,7 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
                rate_type: str, job: str, erp_path: str, export_dir: str | None = None,
                bpm_path: str | None = None, run_ts: _dt.datetime | None = None,
                base: str = BASE_CURRENCY, periods: list[str] | None = None,
-               bpm_table: str | None = None) -> RunReport:
+               bpm_table: str | None = None, export_file: bool = False) -> RunReport:
     """Run W1/W2 end to end: guards, ERP write, export, BPM upsert."""
 
     layouts.check_rate_type(rate_type)                               # G2
@@ -172,13 +173,13 @@ def run_common(quotes: DataFrame, targets: list[str], ref: DataFrame, run_date,
     _require(me, "ERP rates (no known pairs)")                        # G1 / all unknown
     if me["nulls"]:
         quality.check_not_null(erp, ERP_COLUMNS, "ERP rates")        # K1 contract: name samples
-    if len(set(targets)) == len(targets):       # a target listed twice repeats its rows on purpose
-        quality.check_unique(erp, ERP_KEYS, "ERP rates")
+    # a target listed twice repeats its rows on purpose, and just so often
+    quality.check_unique(erp, ERP_KEYS, "ERP rates", copies=Counter(_targets_wo_base(targets, base)))
     report.counts["quotes"] = mq["rows"]
     report.counts["erp"] = me["rows"]
     keyed = (bpm_path is not None or bpm_table is not None) and rate_type == "M"
     bpm = layouts.bpm_layout(q, base, seq="pos") if keyed else None
-    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path, bpm_table)
+    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path, bpm_table, export_file)
     return report
 
 
@@ -186,7 +187,7 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
              erp_path: str, export_dir: str | None = None, bpm_path: str | None = None,
              run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY,
              bpm_table: str | None = None, skipped_path: str | None = None,
-             host: str | None = None, allow_not_ready: bool = False) -> RunReport:
+             host: str | None = None, allow_not_ready: bool = False, export_file: bool = False) -> RunReport:
     """Run W3/W4 end to end from captured converter pages (S3 + F1)."""
     from ratebook.sources.pages import CONVERTER_HOST, converter_rates, quotes_from_rates, skipped_rates
 
@@ -214,5 +215,5 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
     report.counts["erp"] = me["rows"]
     keyed = (bpm_path is not None or bpm_table is not None) and rate_type == "M"
     bpm = bpm_rows(rates.rare_quotes_to_rates(rq), base).withColumn("seq", F.lit(0)) if keyed else None
-    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path, bpm_table)
+    _publish(report, erp, job, erp_path, export_dir, run_ts, bpm, bpm_path, bpm_table, export_file)
     return report

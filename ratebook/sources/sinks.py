@@ -18,6 +18,7 @@ from ratebook.schemas import BPM_KEYS, EXCHANGE_RATE, OUT_RATE
 from ratebook.session import staging_path, staging_root
 
 ERP_PARTITIONS = ["job", "RATE_TYPE", "VALID_FROM"]
+COPY_BUFFER = 1 << 20          # bytes on their way into a single export file
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table under the cluster's
@@ -68,21 +69,62 @@ def read_erp_rates(spark, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def export_rates(erp: DataFrame, out_dir: str, job: str, run_ts: _dt.datetime) -> str:
+def export_rates(erp: DataFrame, out_dir: str, job: str, run_ts: _dt.datetime, one_file: bool = False) -> str:
     """K3: the same rows as K1 as CSV with a header, in a folder named
     ``FinalData__{job}__{yyyyMMdd_HHmm}`` (local time of ``run_ts``, UTC).
     The run time is a parameter, so a retry writes the same export again.
 
     Rows are ordered by (TO_CURRNCY, FROM_CURR) so exports repeat; the sort
     is a range-partitioned distributed sort, so the export is a set of
-    ordered part files rather than one task's worth of data.
+    ordered part files rather than one task's worth of data.  With
+    ``one_file`` the export is the single file ``<name>.csv`` with one
+    header: the same sort and the same tasks write bodies under the
+    checkpoint folder, which are then joined in order (``_join_files``).
     """
     # From ISO text: a zone-less literal that no OS or session time zone shifts.
     utc = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     name = erp.sparkSession.range(1).select(export_name(job, utc)).first()[0]
     target = f"{out_dir.rstrip('/')}/{name}"
-    (erp.orderBy("TO_CURRNCY", "FROM_CURR", "VALID_FROM")
-     .write.mode("overwrite").option("header", True).csv(target))
+    ordered = erp.orderBy("TO_CURRNCY", "FROM_CURR", "VALID_FROM")
+    if not one_file:
+        ordered.write.mode("overwrite").option("header", True).csv(target)
+        return target
+    bodies = staging_path(erp.sparkSession, "export")
+    ordered.write.mode("errorifexists").csv(bodies)
+    return _join_files(erp.sparkSession, ",".join(erp.columns) + "\n", bodies, f"{target}.csv")
+
+
+def _part_order(name: str) -> tuple[int, str]:
+    return int(name.split("-")[1]), name           # part-<task>-<job>-<file>.csv; tasks beyond 99999 have more digits
+
+
+def _join_files(spark, head: str, folder: str, target: str) -> str:
+    """``head`` and the part files of ``folder``, in task order, as the one file ``target``.
+
+    The bytes go from the store to the store through a buffer of a fixed
+    size; the file is written beside the target and renamed over it, so a
+    reader sees the old export or the new one.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, p = _fs(spark, folder)
+    parts = sorted((s.getPath().getName() for s in source.listStatus(p) if s.getPath().getName().startswith("part-")), key=_part_order)
+    fs, beside = _fs(spark, f"{target}._{os.urandom(6).hex()}")
+    out = fs.create(beside, False)
+    try:
+        out.write(bytearray(head.encode()))
+        for name in parts:
+            body = source.open(_fs(spark, f"{folder}/{name}")[1])
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(body, out, COPY_BUFFER, False)
+            finally:
+                body.close()
+    finally:
+        out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(beside), fs.makeQualified(_fs(spark, target)[1]), over)
     return target
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import glob
 import json
@@ -80,6 +81,45 @@ def test_export_file_name_and_order(spark, tmp):
     assert back.count() == 5 and back.columns[0] == "FROM_CURR"
 
 
+def test_export_as_one_ordered_file(spark, tmp):
+    """Several sorted tasks, one file, one header; a retry replaces it; quotes and line ends survive."""
+    rows = [(f"C{i % 97:02d}", f"T{i * 31 % 113:03d}", f"{i}.00000", 'a "b",\nc' if i % 50 == 0 else "x") for i in range(3000)]
+    erp = spark.createDataFrame(rows, "FROM_CURR string, TO_CURRNCY string, EXCH_RATE string, VALID_FROM string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for _ in range(2):
+            out = sinks.export_rates(erp, f"{tmp}/export", "common_m", dt.datetime(2025, 1, 1, 20, 0), one_file=True)
+        parts = erp.orderBy("TO_CURRNCY", "FROM_CURR", "VALID_FROM").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 1 and out.endswith("/FinalData__common_m__20250102_0400.csv") and os.path.isfile(out)
+    assert [f for f in os.listdir(f"{tmp}/export") if not f.startswith(".")] == [os.path.basename(out)]
+    with open(out, newline="") as f:
+        back = list(csv.reader(f, escapechar="\\", doublequote=False))
+    assert back[0] == erp.columns and len(back) == 3001
+    assert [(r[1], r[0]) for r in back[1:]] == sorted((r[1], r[0]) for r in rows)
+    assert sorted(map(tuple, back[1:])) == sorted(rows)
+    empty = sinks.export_rates(erp.limit(0), f"{tmp}/none", "m", dt.datetime(2025, 1, 1, 20, 0), one_file=True)
+    assert open(empty).read() == "FROM_CURR,TO_CURRNCY,EXCH_RATE,VALID_FROM\n"
+
+
+def test_part_files_are_ordered_by_task_number():
+    names = ["part-100000-a-c000.csv", "part-99999-a-c000.csv", "part-00002-a-c001.csv", "part-00002-a-c000.csv"]
+    assert sorted(names, key=sinks._part_order) == [names[3], names[2], names[1], names[0]]
+
+
+def test_listed_copies_bound_repeated_keys(spark):
+    from ratebook.operators.quality import GuardError, check_unique
+    rows = [("USD", "EUR", "20250201")] * 2 + [("USD", "JPY", "20250201")]
+    df = spark.createDataFrame(rows, "FROM_CURR string, TO_CURRNCY string, VALID_FROM string")
+    check_unique(df, jobs.ERP_KEYS, "ERP rates", copies={"EUR": 2, "JPY": 1})
+    for copies in (None, {"EUR": 1}, {"JPY": 3}):
+        with pytest.raises(GuardError, match="not unique"):
+            check_unique(df, jobs.ERP_KEYS, "ERP rates", copies=copies)
+    with pytest.raises(GuardError, match="not unique"):
+        check_unique(df.union(df.limit(1)), jobs.ERP_KEYS, "ERP rates", copies={"EUR": 2})
+
+
 def _rates_frame(spark, rows):
     return spark.createDataFrame(rows, "Currency string, Currency2 string, Rate string, "
                                        "RateDate string, seq bigint")
