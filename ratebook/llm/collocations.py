@@ -2,7 +2,8 @@
 
 A stripe belongs to a (lang, prefix) and counts the words that follow the prefix.  Level k holds the
 stripes of prefixes of k - 1 words: level 1 (the empty prefix) counts words and gives each lang's
-total, level k >= 2 counts phrases of k words.  Tasks make stripes from groups of texts (a prefix with
+total, level k >= 2 counts phrases of k words.  Texts are cut into words once, into a staged table of
+word numbers; every level reads that.  Tasks make stripes from groups of texts (a prefix with
 its next words and their counts as arrays, ``ROW`` stripes in a row) and Spark merges them elementwise:
 entry by entry, with map-side sums, so the stripe of a very frequent prefix is spread over all tasks and
 none is ever gathered whole.  Everything else is read from the merged stripes: an entry is the count of a
@@ -42,6 +43,7 @@ MAX_WORDS = 5
 TOP = 2000                  # phrases reported for each lang
 SUBSUMED_PERCENT = 100      # a longer phrase with this share of the occurrences makes a candidate go
 GROUP = 1 << 22             # characters of texts whose stripes are made together (one text at least)
+GROUPS_PER_TASK = 64        # groups of texts whose stripes a task adds up before they are dealt
 ROW = 4096                  # stripes in a row
 FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB), a power of two
 UNKNOWN_LANG = "und"
@@ -72,76 +74,98 @@ def _chain(first: np.ndarray, word: np.ndarray) -> np.ndarray:
         return first * _MULTIPLIER + word
 
 
-def _word_hash(lang: bytes, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang))
+def _coded(texts: list[bytes]) -> tuple[list[str], np.ndarray]:
+    """The distinct words of some texts and, in order, each word's number in them from 1; 0: end of a piece."""
+    words = _words(texts)
+    listed = sorted(set(words) - {_END})          # in order, so that neighbouring entries share most bytes
+    number = dict(zip(listed, range(1, len(listed) + 1), strict=True))
+    number[_END] = 0
+    return [w.decode() for w in listed], np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+
+
+def coded_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """Texts cut into words once: lang, words, ids; a row holds a group of texts of one lang, its distinct
+    words, and the running text as their numbers (``_coded``) in little-endian signed 32-bit integers."""
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for some in text_groups(b, group):
+                by_lang: dict[str, list[bytes]] = {}
+                for lang, text in zip(some.column(0).to_pylist(), some.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                    by_lang.setdefault(lang, []).append(text)
+                for lang, texts in by_lang.items():
+                    listed, ids = _coded(texts)
+                    if listed:
+                        yield pa.record_batch([pa.array([lang]), pa.array([listed], pa.list_(pa.string())),
+                                               pa.array([ids.astype("<i4").tobytes()], pa.binary())], ["lang", "words", "ids"])
+
+    texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"), "text").where("text IS NOT NULL")
+    return texts.mapInArrow(run, "lang string, words array<string>, ids binary")
 
 
-def _stripes_of(lang: str, texts: list[bytes], k: int, known: np.ndarray | None) -> tuple[list, list, np.ndarray, np.ndarray]:
-    """Stripes of ``k``-word phrases in some texts of one lang: prefixes, next words, counts, and where
+def _stripes_of(lang: str, listed: pa.StringArray, ids: np.ndarray, k: int,
+                known: np.ndarray | None) -> tuple[list, pa.StringArray, np.ndarray, np.ndarray]:
+    """Stripes of ``k``-word phrases in coded texts of one lang: prefixes, next words, counts, and where
     each stripe begins.  ``known``: the filter of phrases of k - 1 words that may be frequent."""
-    words = _words(texts)
-    listed = list(set(words))
-    number = {w: i for i, w in enumerate(listed)}
-    n_words, end = len(listed), number[_END]
-    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    n_words = len(listed) + 1
     if k == 1:
-        counts = np.bincount(ids, minlength=n_words)
-        counts[end] = 0
-        some = np.flatnonzero(counts)
-        return [""], [listed[i].decode() for i in some], counts[some], np.array([0, len(some)])
-    tag = lang.encode()
-    hashed = np.fromiter((_word_hash(tag, w) for w in listed), np.uint64, n_words)[ids]
+        counts = np.bincount(ids, minlength=n_words)[1:]
+        return [""], listed, counts, np.array([0, len(listed)])
+    seed = xxhash.xxh32_intdigest(lang.encode())
+    words = listed.to_pylist()
+    of_word = np.zeros(n_words, np.uint64)
+    of_word[1:] = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, n_words - 1)
+    hashed = of_word[ids]
     # h, whole: hash of the k - 1 words from each place on, and whether they lie in one piece
-    h, whole, n = hashed, ids != end, len(ids)
+    h, whole, n = hashed, ids != 0, len(ids)
     for j in range(1, k - 1):
         h = _chain(h[:n - j], hashed[j:])
-        whole = whole[:n - j] & (ids[j:] != end)
+        whole = whole[:n - j] & (ids[j:] != 0)
     may = np.zeros(len(h), bool)
     some = np.flatnonzero(whole)
     a, b = _positions(h[some])
     may[some] = (known[a >> 3] >> (a & 7) & known[b >> 3] >> (b & 7) & 1).astype(bool)
     at = np.flatnonzero(may[:-1] & may[1:])          # both parts of one word less may be frequent
     # equal prefixes get equal numbers, one word at a time; sorting (prefix, next) makes the stripes
-    prefix = ids[at]
+    prefix = ids[at].astype(np.int64)
     for j in range(1, k - 1):
         _, prefix = np.unique(prefix * n_words + ids[at + j], return_inverse=True)
     keys, first, counts = np.unique(prefix * n_words + ids[at + k - 1], return_index=True, return_counts=True)
     starts = np.flatnonzero(np.diff(keys // n_words, prepend=-1))
     heads = at[first[starts]]
-    prefixes = [b" ".join([words[i + j] for j in range(k - 1)]).decode() for i in heads.tolist()]
-    return prefixes, [listed[i].decode() for i in (keys % n_words).tolist()], counts, np.append(starts, len(keys))
+    columns = [ids[heads + j].tolist() for j in range(k - 1)]
+    prefixes = [" ".join([words[i - 1] for i in some]) for some in zip(*columns, strict=True)]
+    return prefixes, listed.take(pa.array(keys % n_words - 1)), counts, np.append(starts, len(keys))
 
 
-def stripes(docs: DataFrame, k: int, known: np.ndarray | None = None, group: int = GROUP) -> DataFrame:
-    """Unmerged stripes of level ``k``: lang, and an array of (prefix, next words, their counts)."""
-    spark = docs.sparkSession
+def coded_stripes(coded: DataFrame, k: int, known: np.ndarray | None = None) -> DataFrame:
+    """Unmerged stripes of level ``k`` of coded texts: lang, and an array of (prefix, next words, their counts)."""
+    spark = coded.sparkSession
     ship_package(spark)
     held = spark.sparkContext.broadcast(None if known is None else known.tobytes())
 
-    def rows(lang: str, texts: list[bytes], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-        prefixes, nexts, counts, starts = _stripes_of(lang, texts, k, bits)
-        if not nexts:
-            return
-        edges = pa.array(starts, pa.int32())
-        each = pa.StructArray.from_arrays(
-            [pa.array(prefixes, pa.string()), pa.ListArray.from_arrays(edges, pa.array(nexts, pa.string())),
-             pa.ListArray.from_arrays(edges, pa.array(counts, pa.int64()))], ["prefix", "next", "n"])
-        for at in range(0, len(prefixes), ROW):
-            some = each.slice(at, ROW)
-            yield pa.record_batch([pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)], ["lang", "stripes"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if held.value is None else np.frombuffer(held.value, np.uint8)
         for b in batches:
-            for some in text_groups(b, group):
-                by_lang: dict[str, list[bytes]] = {}
-                for lang, text in zip(some.column(0).to_pylist(), some.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                    by_lang.setdefault(lang, []).append(text)
-                for lang, texts in by_lang.items():
-                    yield from rows(lang, texts, bits)
+            for i in range(b.num_rows):
+                lang, ids = b.column(0)[i].as_py(), np.frombuffer(b.column(2)[i].as_buffer(), "<i4")
+                prefixes, nexts, counts, starts = _stripes_of(lang, b.column(1)[i].values.cast(pa.string()), ids, k, bits)
+                edges = pa.array(starts, pa.int32())
+                each = pa.StructArray.from_arrays(
+                    [pa.array(prefixes, pa.string()), pa.ListArray.from_arrays(edges, nexts),
+                     pa.ListArray.from_arrays(edges, pa.array(counts, pa.int64()))], ["prefix", "next", "n"])
+                for at in range(0, len(prefixes), ROW):
+                    some = each.slice(at, ROW)
+                    yield pa.record_batch([pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)],
+                                          ["lang", "stripes"])
 
-    texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"), "text").where("text IS NOT NULL")
-    return texts.mapInArrow(run, "lang string, stripes array<struct<prefix:string,next:array<string>,n:array<bigint>>>")
+    return coded.mapInArrow(run, "lang string, stripes array<struct<prefix:string,next:array<string>,n:array<bigint>>>")
+
+
+def stripes(docs: DataFrame, k: int, known: np.ndarray | None = None, group: int = GROUP) -> DataFrame:
+    """Unmerged stripes of level ``k`` straight from (text, lang) rows."""
+    return coded_stripes(coded_texts(docs, group), k, known)
 
 
 def merge_stripes(parts: DataFrame) -> DataFrame:
@@ -165,13 +189,16 @@ def filter_of(phrases: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: dict[tuple[str, str], int] = {}
+            seeds: dict[str, int] = {}
             out = []
             for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 h = None
                 for w in phrase.split(" "):
                     x = seen.get((lang, w))
                     if x is None:
-                        x = seen[lang, w] = _word_hash(lang.encode(), w.encode())
+                        if lang not in seeds:
+                            seeds[lang] = xxhash.xxh32_intdigest(lang.encode())
+                        x = seen[lang, w] = xxhash.xxh64_intdigest(w, seeds[lang])
                     h = x if h is None else (h * int(_MULTIPLIER) + x) % (1 << 64)
                 out.append(h)
             at = _positions(np.array(out, np.uint64)).ravel()
@@ -189,7 +216,9 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
                  subsumed_percent: int = SUBSUMED_PERCENT, group: int = GROUP) -> DataFrame:
     """Each lang's ``top`` phrases of (text, lang) rows: lang, rank, phrase, a, l, r, n, score."""
     spark = docs.sparkSession
-    words = staged(merge_stripes(stripes(docs, 1, group=group)), scratch(spark, "stripes1"))
+    coded = staged(coded_texts(docs, group), scratch(spark, "coded"))
+    coded = coded.coalesce(max(1, -(-coded.count() // GROUPS_PER_TASK)))
+    words = staged(merge_stripes(coded_stripes(coded, 1)), scratch(spark, "stripes1"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     entries = words.where(F.col("n") >= min_count)
     levels = [entries.select("lang", F.lit(1).alias("k"), F.lit("").alias("prefix"), "phrase", "n")]
@@ -197,7 +226,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
         known = filter_of(levels[-1])
         if not known.any():
             break
-        merged = merge_stripes(stripes(docs, k, known, group)).where(F.col("n") >= min_count)
+        merged = merge_stripes(coded_stripes(coded, k, known)).where(F.col("n") >= min_count)
         level = merged.select("lang", F.lit(k).alias("k"), F.substring_index("phrase", " ", k - 1).alias("prefix"), "phrase", "n")
         levels.append(staged(level, scratch(spark, f"stripes{k}")))
     known = levels[0]
