@@ -46,6 +46,8 @@ def _parser() -> argparse.ArgumentParser:
         if name == "rare":
             s.add_argument("--skipped", default=None, help="table of the pairs without a rate (Parquet path)")
             s.add_argument("--host", default=None, help="host of the converter pages")
+            s.add_argument("--period", default=None, choices=["week", "month", "quarter", "year"],
+                           help="the pages are an archive with captured_on and capture_id: take each period's newest capture per pair")
             s.add_argument("--allow-not-ready", action="store_true", help="skip pages that had not finished loading")
     s = sub.add_parser("ingest")
     s.add_argument("--source", required=True)
@@ -68,7 +70,7 @@ def _read(spark, spec: str, schema):
 def main(argv: list[str] | None = None, spark=None) -> dict:
     from ratebook.operators.rates import quote_mid
     from ratebook.plans.jobs import run_common, run_rare
-    from ratebook.schemas import PAGES, REF_RATES
+    from ratebook.schemas import CAPTURES, PAGES, REF_RATES
     from ratebook.sources.quote_files import scan_quote_json
     from ratebook.sources.sinks import drop_staged
     from ratebook.streaming.ingest import ingest_new_quotes
@@ -88,10 +90,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                          a.erp, export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, periods=periods,
                          bpm_table=a.bpm_table, export_file=a.export_file)
     else:
-        pages = _read(spark, a.pages, PAGES)
+        pages = _read(spark, a.pages, CAPTURES if a.period else PAGES)
         rep = run_rare(pages, ref, a.run_date, a.rate_type, a.job, a.erp,
                        export_dir=a.export, bpm_path=a.bpm, run_ts=run_ts, bpm_table=a.bpm_table,
-                       skipped_path=a.skipped, host=a.host, allow_not_ready=a.allow_not_ready, export_file=a.export_file)
+                       skipped_path=a.skipped, host=a.host, allow_not_ready=a.allow_not_ready, export_file=a.export_file,
+                       period=a.period)
     drop_staged(spark)                # every output is written
     out = {"job": rep.job, "counts": rep.counts, "outputs": rep.outputs}
     print(json.dumps(out, default=str))

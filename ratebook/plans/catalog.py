@@ -22,7 +22,7 @@ from ratebook.operators.merge import last_rank, merge_tagged
 from ratebook.plans import jobs
 from ratebook.sources import proxies
 from ratebook.sources.config import BASE_CURRENCY, drop_base, target_list
-from ratebook.sources.pages import extract_page_quotes
+from ratebook.sources.pages import capture_rates, extract_page_quotes, quotes_from_rates
 from ratebook.sources.quote_files import newest_per_key
 from ratebook.sources.tables import table
 
@@ -185,6 +185,20 @@ def q_rare_erp_v(spark, sf_dir):
     return jobs.rare_rates(_rare_quotes(spark, sf_dir), proxies.ref_rates(spark, sf_dir), RUN_DATE, "V")
 
 
+def q_capture_quotes(spark, sf_dir):
+    """S3 over an archive that grows with the orders: each quarter's newest capture per pair."""
+    conv = capture_rates(proxies.converter_captures(spark, sf_dir), PERIOD)
+    return quotes_from_rates(conv, RUN_DATE, allow_not_ready=True)
+
+
+def q_rare_history_m(spark, sf_dir):
+    return jobs.rare_rates(q_capture_quotes(spark, sf_dir), proxies.ref_rates(spark, sf_dir), RUN_DATE, "M")
+
+
+def q_rare_history_v(spark, sf_dir):
+    return jobs.rare_rates(q_capture_quotes(spark, sf_dir), proxies.ref_rates(spark, sf_dir), RUN_DATE, "V")
+
+
 def q_bpm_layout(spark, sf_dir):
     return jobs.bpm_rows(_quotes(spark, sf_dir))
 
@@ -365,6 +379,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_quotes": q_page_quotes,
     "rare_erp_m": q_rare_erp_m,
     "rare_erp_v": q_rare_erp_v,
+    "capture_quotes": q_capture_quotes,
+    "rare_history_m": q_rare_history_m,
+    "rare_history_v": q_rare_history_v,
     "bpm_layout": q_bpm_layout,
     "bpm_merge": q_bpm_merge,
     "completeness_gaps": q_completeness_gaps,

@@ -187,16 +187,22 @@ def run_rare(pages: DataFrame, ref: DataFrame, run_date, rate_type: str, job: st
              erp_path: str, export_dir: str | None = None, bpm_path: str | None = None,
              run_ts: _dt.datetime | None = None, base: str = BASE_CURRENCY,
              bpm_table: str | None = None, skipped_path: str | None = None,
-             host: str | None = None, allow_not_ready: bool = False, export_file: bool = False) -> RunReport:
-    """Run W3/W4 end to end from captured converter pages (S3 + F1)."""
-    from ratebook.sources.pages import CONVERTER_HOST, converter_rates, quotes_from_rates, skipped_rates
+             host: str | None = None, allow_not_ready: bool = False, export_file: bool = False,
+             period: str | None = None) -> RunReport:
+    """Run W3/W4 end to end from captured converter pages (S3 + F1).
+
+    ``period`` (``quarter``, ``month``, ...): the pages are a growing archive
+    of captures, of which each period's newest per pair counts.
+    """
+    from ratebook.sources.pages import CONVERTER_HOST, capture_rates, converter_rates, quotes_from_rates, skipped_rates
 
     layouts.check_rate_type(rate_type)
     _check_run_ts(export_dir, run_ts)
     report = RunReport(job)
     # The pages (HTML, the heavy column) are read once: the small converter
     # rates are staged, and both the skip report and the quotes come from them.
-    conv = stage(converter_rates(pages, host or CONVERTER_HOST), "converter-rates")
+    host = host or CONVERTER_HOST
+    conv = stage(capture_rates(pages, period, host) if period else converter_rates(pages, host), "converter-rates")
     # F1's log: every pair without a rate goes to a table, its count to the report.
     skipped = skipped_rates(conv)
     if skipped_path is not None:

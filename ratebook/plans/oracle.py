@@ -133,6 +133,18 @@ pq AS (SELECT from_curr, to_curr, fx_rate, '{_RUN_TXT}' AS start, '{_RUN_TXT}' A
        WHERE from_curr <> '' AND to_curr <> '' AND fx_rate <> '' AND fx_rate <> '-'),
 rr AS (SELECT start AS period, from_curr, to_curr, CAST(fx_rate AS DECIMAL(18,10)) AS fx_rate, start, "end" FROM pq)"""
 
+_CAPTURES = f"""rare AS (SELECT * FROM (VALUES {_RARE}) t(name, c_pos)),
+cfg AS (SELECT * FROM (VALUES {_TL}) t(to_curr, t_pos)),
+shots AS (SELECT date_trunc('{catalog.PERIOD}', po.order_date) AS ps, n.n_name AS from_curr, cfg.to_curr, po.order_date, po.o_orderkey,
+                 CASE WHEN po.o_orderkey % 13 = 0 THEN '' WHEN po.o_orderkey % 17 = 0 THEN '-'
+                      ELSE CAST({q4('po.o_totalprice')} AS VARCHAR) END AS fx_rate
+          FROM po JOIN nation n ON n.n_nationkey = po.c_nationkey JOIN rare ON rare.name = n.n_name
+          JOIN cfg ON cfg.t_pos = po.o_orderkey % {len(catalog.TARGETS)}),
+newest AS (SELECT * FROM shots
+           QUALIFY row_number() OVER (PARTITION BY ps, from_curr, to_curr ORDER BY order_date DESC, o_orderkey DESC) = 1),
+cq AS (SELECT from_curr, to_curr, fx_rate, {ymd('ps')} AS start, {ymd('order_date')} AS "end" FROM newest WHERE fx_rate NOT IN ('', '-')),
+rr AS (SELECT start AS period, from_curr, to_curr, CAST(fx_rate AS DECIMAL(18,10)) AS fx_rate, start, "end" FROM cq)"""
+
 _RATES3 = "period, from_curr, to_curr"
 
 
@@ -182,6 +194,9 @@ ON c.from_curr = t.to_curr"""
     sql["page_quotes"] = _with(_po(), _PAGES) + 'SELECT from_curr, to_curr, fx_rate, start, "end" FROM pq'
     sql["rare_erp_m"] = _with(_po(), _PAGES, _REF, _enrich("rr")) + _erp(_VF_M).replace("{rt}", "M")
     sql["rare_erp_v"] = _with(_po(), _PAGES, _REF, _enrich("rr")) + _erp(_VF_V).replace("{rt}", "V")
+    sql["capture_quotes"] = _with(_po(), _CAPTURES) + 'SELECT from_curr, to_curr, fx_rate, start, "end" FROM cq'
+    sql["rare_history_m"] = _with(_po(), _CAPTURES, _REF, _enrich("rr")) + _erp(_VF_M).replace("{rt}", "M")
+    sql["rare_history_v"] = _with(_po(), _CAPTURES, _REF, _enrich("rr")) + _erp(_VF_V).replace("{rt}", "V")
     sql["bpm_layout"] = _with(Q, _bpm()) + "SELECT Currency, Currency2, CAST(Rate AS VARCHAR) AS Rate, RateDate FROM bpm"
     sql["bpm_merge"] = _with(Q, _bpm()) + f""",
 tgt AS (SELECT * FROM bpm WHERE quarter(CAST(RateDate AS DATE)) % 2 = 0),

@@ -28,6 +28,13 @@ PAGES = T.StructType([
     T.StructField("html", T.StringType()),
 ])
 
+# Pages of a growing archive: the day of capture and the capture's number.
+CAPTURES = T.StructType([
+    *PAGES.fields,
+    T.StructField("captured_on", T.DateType()),
+    T.StructField("capture_id", T.LongType()),
+])
+
 # Reference factors per pair and date (the receiving system's rate table).
 REF_RATES = T.StructType([
     T.StructField("rate_date", T.DateType()),

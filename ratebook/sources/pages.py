@@ -7,6 +7,10 @@ the row is skipped (F1).  ``-`` means the page had not finished loading, and a
 converter page without that input is a failed capture: both stop the run (a
 caller may allow not-ready pages, which are then skipped and reported).  Pages
 of another host, or without ``from``/``to`` in the URL, are ignored.
+
+A growing archive of captures is read late: ``newest_captures`` picks the
+newest capture of every pair and period from the narrow columns, and
+``capture_rates`` then reads the HTML of just those.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratebook.functions.dates import run_date_text
+from ratebook.functions.dates import date_text, run_date_text
 
 # Where the rate sits on a converter page -- the value of the
 # input with name="numberformat" and tabindex="4" (attributes in any order).
@@ -62,9 +66,66 @@ def converter_rates(pages: DataFrame, host: str = CONVERTER_HOST) -> DataFrame:
     return conv.select("from_curr", "to_curr", page_rate("html").alias("rate"))
 
 
+CAPTURE = ["captured_on", "capture_id"]       # a capture's day (the archive's partition column) and number
+
+
+def _converter_captures(captures: DataFrame, host: str) -> DataFrame:
+    url = F.col("url")
+    return (captures
+            .withColumns({"from_curr": _query_param(url, "from"), "to_curr": _query_param(url, "to"),
+                          "host": F.lower(F.try_parse_url(url, F.lit("HOST")))})
+            .where((F.col("host") == host) & F.col("from_curr").isNotNull() & F.col("to_curr").isNotNull()))
+
+
+def newest_captures(captures: DataFrame, period: str = "quarter", host: str = CONVERTER_HOST) -> DataFrame:
+    """Of every period (``quarter``, ``month``, ...) and pair, the newest capture: ``period_start, from_curr,
+    to_curr, captured_on, capture_id``.
+
+    Later days win, then larger numbers; captures without a day or number are
+    left out.  The HTML is not read, and a pair that is captured very often
+    is pre-reduced in every task.
+    """
+    from ratebook.operators.merge import last_rank
+    from ratebook.sources.quote_files import newest_per_key
+
+    narrow = _converter_captures(captures.select("url", *CAPTURE), host).where("captured_on IS NOT NULL AND capture_id IS NOT NULL")
+    ranked = narrow.select(F.trunc("captured_on", period).alias("period_start"), "from_curr", "to_curr", *CAPTURE,
+                           last_rank(F.unix_date("captured_on"), "capture_id", narrow).alias("_rank"))
+    return newest_per_key(ranked, ["period_start", "from_curr", "to_curr"], ["_rank"], CAPTURE)
+
+
+def capture_rates(captures: DataFrame, period: str = "quarter", host: str = CONVERTER_HOST) -> DataFrame:
+    """Converter rates of the newest captures: ``from_curr, to_curr, rate, start, end``.
+
+    ``captures``: ``url, html, captured_on (date), capture_id (bigint)``; best
+    stored partitioned by ``captured_on``.  ``start`` is the period's first
+    day, ``end`` the capture's, as yyyyMMdd.  The newest capture decides even
+    where it shows no rate (F1 then drops the pair, or the run stops, as for
+    a single page).  A capture delivered twice counts once; of copies that
+    differ the smaller rate text is taken.
+
+    The choice (one narrow row per period and pair) is staged, which runs the
+    first pass.  Its days, at most one per calendar day, become a constant
+    predicate on ``captured_on``: it prunes the partitions, or by its bounds
+    the row groups, that hold no chosen capture before any HTML is read.
+    """
+    from ratebook.sources.sinks import stage
+
+    chosen = stage(newest_captures(captures, period, host), "newest-captures")
+    days = [r[0] for r in chosen.select("captured_on").distinct().sort("captured_on").collect()]
+    late = _converter_captures(captures.where(F.col("captured_on").isin(days)), host)
+    pages = late.select("from_curr", "to_curr", *CAPTURE, "html").join(chosen, [*CAPTURE, "from_curr", "to_curr"])
+    read = pages.select("period_start", "from_curr", "to_curr", "captured_on", page_rate("html").alias("rate"))
+    return (read.groupBy("period_start", "from_curr", "to_curr", "captured_on").agg(F.min("rate").alias("rate"))
+            .select("from_curr", "to_curr", "rate", date_text("period_start").alias("start"),
+                    date_text("captured_on").alias("end")))
+
+
 def quotes_from_rates(conv: DataFrame, run_date: _dt.date | str, allow_not_ready: bool = False) -> DataFrame:
     """Converter rates -> rare quotes ``from_curr, to_curr, fx_rate, start, end`` (F1).
 
+    Rates that carry their own ``start`` and ``end`` keep them; the others
+    get the run date for both.
     Blank values are dropped, and not-ready ones if that is allowed (else they
     raise).  Filtering happens on the raw
     rate first, and only then the raising check is applied: a projection is
@@ -74,6 +135,7 @@ def quotes_from_rates(conv: DataFrame, run_date: _dt.date | str, allow_not_ready
     would drop.
     """
     d = run_date_text(run_date)                                   # N8: a parameter
+    start, end = (F.col("start"), F.col("end")) if "start" in conv.columns else (d, d)
     dropped = ["", NOT_READY] if allow_not_ready else [""]
     kept = conv.where(F.col("rate").isNull() | ~F.col("rate").isin(dropped))
     # A converter page without the rate input is a failed capture: the
@@ -84,7 +146,7 @@ def quotes_from_rates(conv: DataFrame, run_date: _dt.date | str, allow_not_ready
     return kept.select("from_curr", "to_curr",
                        F.when(F.col("rate").isNull(), missing).when(F.col("rate") == NOT_READY, unready)
                        .otherwise(F.col("rate")).alias("fx_rate"),
-                       d.alias("start"), d.alias("end"))
+                       start.alias("start"), end.alias("end"))
 
 
 def extract_page_quotes(pages: DataFrame, run_date: _dt.date | str, host: str = CONVERTER_HOST,

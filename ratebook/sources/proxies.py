@@ -41,6 +41,7 @@ ABSENT_MOD = 11               # pair absent from the reference when (a+b) % 11 =
 ZERO_MOD = 7                  # reference rate 0 when (a+b) % 7 = 0
 FACTOR_MOD = 3                # from_factor = 10 ^ (regionkey % 3)
 BLANK_PAGES = {("NATION_22", "NATION_3"): "", ("NATION_24", "NATION_2"): "-"}
+BLANK_EACH, UNREADY_EACH = 13, 17          # captures whose number these divide show no rate, or are not ready
 CONVERTER_BASE = "https://converter.example.com/en/"
 MERGE_BUMP = "0.50000"
 MERGE_REPEAT_BUMP = "1.00000"
@@ -195,6 +196,27 @@ def converter_pages(spark: SparkSession, sf_dir: str, targets: list[str] = TARGE
     return rates.select(url.alias("url"), html.alias("html"))
 
 
+def converter_captures(spark: SparkSession, sf_dir: str, targets: list[str] = TARGETS,
+                       rare: list[str] = RARE_NATIONS) -> DataFrame:
+    """A growing archive of captures (url, html, captured_on, capture_id): every order of a rare nation's
+    customer is one, of the pair (nation, target at the order key's place in the list), with the price as its
+    rate.  The driver's pages, undated, come with it; they are of other hosts."""
+    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name").where(F.col("n_name").isin(rare))
+    orders = priced_orders(spark, sf_dir)
+    o = orders.join(nation, orders["c_nationkey"] == nation["n_nationkey"])
+    to = F.element_at(F.lit(targets), (F.col("o_orderkey") % len(targets) + 1).cast("int"))
+    rate = (F.when(F.col("o_orderkey") % BLANK_EACH == 0, F.lit(""))
+            .when(F.col("o_orderkey") % UNREADY_EACH == 0, F.lit("-"))
+            .otherwise(_price().cast("string")))
+    url = F.concat(F.lit(CONVERTER_BASE + "?from="), F.col("n_name"), F.lit("&to="), to, F.lit("&amount=1"))
+    html = F.concat(F.lit('<html><body><form><input name="numberformat" tabindex="4" value="'), rate, F.lit('"></form></body></html>'))
+    made = o.select(url.alias("url"), html.alias("html"), F.col("order_date").alias("captured_on"),
+                    F.col("o_orderkey").cast("bigint").alias("capture_id"))
+    real = table(spark, sf_dir, "pages", "url", "html", "page_id")
+    return made.unionByName(real.select("url", "html", F.lit(None).cast("date").alias("captured_on"),
+                                        F.col("page_id").alias("capture_id")))
+
+
 def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's captured pages plus the converter pages above."""
     real = table(spark, sf_dir, "pages", "url", "html")

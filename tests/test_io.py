@@ -492,3 +492,78 @@ def test_interleaved_upserts_are_both_kept(spark, tmp, monkeypatch):
     assert got == {("USD", "2025-01-01"): "10.00000", ("USD", "2025-02-01"): "11.00000", ("EUR", "2025-01-01"): "20.00000", ("EUR", "2025-03-01"): "21.00000"}
     sinks.vacuum_rates(spark, table)
     assert {(r.Currency, r.RateDate): str(r.Rate) for r in sinks.read_rates(spark, table).collect()} == got
+
+
+def _captures(spark, rows):
+    return spark.createDataFrame([(*_page(a, b, value), day and dt.date.fromisoformat(day), number) for a, b, value, day, number in rows],
+                                 "url string, html string, captured_on date, capture_id long")
+
+
+ARCHIVE = [
+    ("HUF", "TWD", "0.1", "2025-01-03", 5), ("HUF", "TWD", "0.2", "2025-03-30", 1), ("HUF", "TWD", "0.3", "2025-03-30", 2),
+    ("HUF", "TWD", "0.3", "2025-03-30", 2),                                                       # delivered twice
+    ("HUF", "TWD", "0.4", "2025-04-01", -7), ("HUF", "USD", "0.5", "2025-02-01", 9), ("HUF", "USD", "", "2025-02-02", 1),
+    ("HUF", "HUF", "9", None, 100), ("HUF", "HUF", "9", "2025-06-01", None),
+]
+
+
+def test_newest_captures_decide(spark):
+    from ratebook.sources.pages import capture_rates
+    got = sorted(map(tuple, capture_rates(_captures(spark, ARCHIVE)).collect()))
+    assert got == [("HUF", "TWD", "0.3", "20250101", "20250330"), ("HUF", "TWD", "0.4", "20250401", "20250401"),
+                   ("HUF", "USD", "", "20250101", "20250202")]
+    yearly = sorted(map(tuple, capture_rates(_captures(spark, ARCHIVE), "year").collect()))
+    assert yearly == [("HUF", "TWD", "0.4", "20250101", "20250401"), ("HUF", "USD", "", "20250101", "20250202")]
+    assert capture_rates(_captures(spark, ARCHIVE).where("false")).count() == 0
+
+
+def _files_read(df):
+    """Files of the scan that reads HTML, from its metrics after a run."""
+    counted, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan parquet") and "html" in node.output().toString():
+            counted.append(node.metrics().apply("numFiles").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    assert len(counted) == 1
+    return counted[0]
+
+
+def test_html_is_read_for_chosen_captures_only(spark, tmp):
+    from ratebook.sources.pages import capture_rates, newest_captures
+    rows = [("HUF", "TWD", f"0.{k}", f"2025-01-{k:02d}", k) for k in range(1, 29)] + [("HUF", "USD", "2", "2025-01-07", 99)]
+    _captures(spark, rows).repartition("captured_on").write.partitionBy("captured_on").parquet(f"{tmp}/archive")
+    archive = spark.read.parquet(f"{tmp}/archive")
+    # the first pass does not touch the HTML
+    plan = newest_captures(archive)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<url:string,capture_id:bigint>" in plan
+    # the second reads the days of the chosen captures: 2 of 28
+    late = capture_rates(archive)
+    assert sorted((r.to_curr, r.rate) for r in late.collect()) == [("TWD", "0.28"), ("USD", "2")]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "html" in line]
+    assert scans and all("PartitionFilters: [captured_on" in line for line in scans)
+    # one file a day
+    assert _files_read(late) == 2
+
+
+def test_run_rare_over_an_archive(spark, tmp):
+    from ratebook.cli import main
+    ref_frame(spark).write.parquet(f"{tmp}/ref")
+    good = [("HUF", "TWD", "0.0871", "2025-01-20", 1), ("HUF", "TWD", "0.0872", "2025-02-20", 2), ("HUF", "TWD", "", "2025-03-01", 3)]
+    _captures(spark, good).write.parquet(f"{tmp}/archive")
+    out = main(["rare", "--pages", f"{tmp}/archive", "--ref", f"{tmp}/ref", "--rate-type", "M", "--run-date", "20250221",
+                "--job", "rare_m", "--erp", f"{tmp}/erp", "--period", "month", "--bpm", f"{tmp}/bpm"], spark=spark)
+    assert out["counts"] == {"erp": 2, "quotes": 2, "skipped": 1}
+    rows = {(r.VALID_FROM, r.EXCH_RATE) for r in spark.read.parquet(f"{tmp}/erp").select(F.col("VALID_FROM").cast("string"), "EXCH_RATE").collect()}
+    assert rows == {("20250101", "0.08710"), ("20250201", "0.08720")}
+    late = _captures(spark, [("HUF", "TWD", "-", "2025-03-02", 1), *good])
+    with pytest.raises(Exception, match="not ready"):
+        jobs.run_rare(late, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp", period="month")
