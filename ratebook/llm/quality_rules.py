@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratebook.llm.common import SPACE, let, scratch, staged, words_of
+from ratebook.llm.common import SPACE, free_name, let, scratch, staged, words_of
 from ratebook.sources.tables import table
 
 WINDOW = 8                  # words in a repeat window
@@ -79,30 +79,32 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         _repeat_words(w).cast("bigint").alias("n_repeat_words")))
     lines = let(F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(SPACE)) != ""),
                 lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
+    names = {k: free_name(docs, f"_{k}") for k in ("s", "l", "symbols", "upper", "digits", "bang", "bar", "stops")}
+    of = {k: F.col(name) for k, name in names.items()}
     counted = docs.withColumns({
-        "_s": stats, "_l": lines,
-        "n_symbols": F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("bigint"),
-        "_upper": F.regexp_count(t, F.lit("[A-Z]")),
-        "_digits": F.regexp_count(t, F.lit("[0-9]")),
-        "_bang": F.length(t) - F.length(F.replace(t, F.lit("!"))),
-        "_bar": F.length(t) - F.length(F.replace(t, F.lit("|"))),
-        "_stops": F.length(t) - F.length(F.replace(t, F.lit("."))),
+        names["s"]: stats, names["l"]: lines,
+        names["symbols"]: F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("bigint"),
+        names["upper"]: F.regexp_count(t, F.lit("[A-Z]")),
+        names["digits"]: F.regexp_count(t, F.lit("[0-9]")),
+        names["bang"]: F.length(t) - F.length(F.replace(t, F.lit("!"))),
+        names["bar"]: F.length(t) - F.length(F.replace(t, F.lit("|"))),
+        names["stops"]: F.length(t) - F.length(F.replace(t, F.lit("."))),
     })
 
     def per(a: Column, b: Column) -> Column:
         return F.when(b > 0, a.cast("double") / b.cast("double")).otherwise(F.lit(0.0))
 
-    n, chars = F.col("_s.n_words"), F.col("_s.word_chars")
+    n, chars = of["s"]["n_words"], of["s"]["word_chars"]
     return counted.withColumns({
-        "n_words": n, "word_chars": chars, "n_dup_lines": F.col("_l.dup").cast("bigint"),
-        "n_repeat_words": F.col("_s.n_repeat_words"),
-        "words_count": n.cast("double"), "word_length": per(chars, n), "symbols_per_word": per(F.col("n_symbols"), n),
-        "dup_line_share": per(F.col("_l.dup"), F.col("_l.n")),
-        "repeat_word_share": per(F.col("_s.n_repeat_words"), n),
-        "upper_share": per(F.col("_upper"), chars), "bang_per_word": per(F.col("_bang"), n),
-        "bar_per_word": per(F.col("_bar"), n), "digit_share": per(F.col("_digits"), chars),
-        "words_per_line": per(n, F.col("_l.n")), "stops_per_word": per(F.col("_stops"), n),
-    }).drop("_s", "_l", "_upper", "_digits", "_bang", "_bar", "_stops")
+        "n_words": n, "word_chars": chars, "n_symbols": of["symbols"], "n_dup_lines": of["l"]["dup"].cast("bigint"),
+        "n_repeat_words": of["s"]["n_repeat_words"],
+        "words_count": n.cast("double"), "word_length": per(chars, n), "symbols_per_word": per(of["symbols"], n),
+        "dup_line_share": per(of["l"]["dup"], of["l"]["n"]),
+        "repeat_word_share": per(of["s"]["n_repeat_words"], n),
+        "upper_share": per(of["upper"], chars), "bang_per_word": per(of["bang"], n),
+        "bar_per_word": per(of["bar"], n), "digit_share": per(of["digits"], chars),
+        "words_per_line": per(n, of["l"]["n"]), "stops_per_word": per(of["stops"], n),
+    }).drop(*names.values())
 
 
 def base_failed() -> Column:
@@ -141,7 +143,8 @@ def decision(rules: list[list[Literal]]) -> Column:
 
 
 def learn_rules(rows: DataFrame) -> list[list[Literal]]:
-    """Rules that cover the rows with ``bad`` = 1, from rows (FEATURES, bad 0/1, held 0/1).
+    """Rules that cover the rows with ``bad`` = 1, from rows (FEATURES, bad 0/1, held 0/1): ``MAX_RULES`` of
+    ``MAX_LITERALS`` conditions at most, which keeps the list readable.
 
     ``rows`` is the bounded fitting sample; each step is one aggregation over it, and what comes
     back is one count per feature and candidate threshold."""
@@ -203,7 +206,8 @@ def learn_rules(rows: DataFrame) -> list[list[Literal]]:
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """Statistics of the fitting sample: ``fit_rows`` labelled documents with the smallest id hash."""
+    """Statistics of the fitting sample: ``fit_rows`` labels with the smallest id hash.  A labelled id that
+    several documents carry counts once, with the smallest of its texts, so the sample is bounded by ``fit_rows``."""
     spark = docs.sparkSession
     picked = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL")
               .select(F.col("doc_id").alias("_id"), F.when(F.col("quality") == 0, 1).otherwise(0).alias("bad"),
@@ -211,7 +215,8 @@ def fit_sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
               .orderBy("_h", "_id", "bad").limit(fit_rows))
     picked = staged(picked.select("_id", "bad", (F.pmod("_h", F.lit(3)) == 0).cast("int").alias("held")),
                     scratch(spark, "fitids"))
-    known = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id"))
+    known = docs.select("doc_id", "text").join(picked.select("_id").distinct(), F.col("doc_id") == F.col("_id"))
+    known = known.groupBy("_id").agg(F.min("text").alias("text")).join(picked, "_id")
     rows = with_statistics(known).where(~base_failed()).select(*FEATURES, "bad", "held")
     return staged(rows, scratch(spark, "fitrows")).coalesce(1)       # fit_rows rows at most
 

@@ -173,7 +173,9 @@ def _fit_shard(keys: DataFrame, bits_per_key: int) -> list[Level]:
 
 
 def judge_urls(pages: DataFrame, listed_hosts: DataFrame, rules=RULES, **fit) -> DataFrame:
-    """Every page's url judged: the longest fitting rule decides, else the cascade over the corpus's hosts."""
+    """Every page's url judged: the longest fitting rule decides, else the cascade over the corpus's hosts.
+
+    Columns ``host``, ``path``, ``listed``, ``rule`` and ``verdict`` of ``pages`` are replaced; others pass through."""
     host, path = split_url(F.col("url"))
     parts = pages.withColumns({"host": host, "path": path})
     cascade = fit_cascade(parts.select(F.col("host").alias("key")).distinct(),

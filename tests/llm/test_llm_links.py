@@ -324,3 +324,23 @@ def test_pipeline_stages(spark):
         else:
             assert ids == {i for i, _ in before}
         docs = out
+
+
+def test_pipeline_stages_keep_source_columns(spark):
+    """Columns named like an operator's own, or in its inside, come out as they went in."""
+    import corpus_pipeline
+    from llm_data import DOCS, edge_documents, prose
+
+    from ratebook.llm.common import scratch, staged
+    rows = [r for r in edge_documents() if r[0] is not None] + [(1000 + k, prose(k, 40)) for k in range(20)]
+    own = ["_s", "n_words", "rule", "kept", "n_lines", "n_dropped", "items", "contaminated", "_dc_doc", "mark", "root"]
+    plain = spark.createDataFrame(rows, DOCS).withColumn("n_chars", F.length("text").cast("bigint"))
+    full = plain.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in own})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = staged(stage(spark, full, SF001), scratch(spark, name))
+        want = staged(stage(spark, plain, SF001), scratch(spark, name))
+        assert got.columns == full.columns and want.columns == plain.columns
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got.collect() for c in own)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        assert stage(spark, full.where("false"), SF001).count() == 0
+        full, plain = got, want

@@ -118,6 +118,23 @@ def test_rules_learn_held_out_quality(spark):
     assert sum(not k for bad, k in got if bad) >= 0.9 * sum(bad for bad, _ in got)
 
 
+def test_source_columns_of_any_name_pass_through(spark, docs):
+    own = ["_s", "_L", "_symbols", "_upper", "_digits", "_bang", "_bar", "_stops"]
+    out = quality_rules.judge(docs.withColumns({c: F.lit(c) for c in own}), [])
+    plain = quality_rules.judge(docs, [])
+    assert [c for c in out.columns if c not in own] == plain.columns
+    assert all(list(r) == own for r in out.select(*own).distinct().collect())
+    assert sorted(map(str, out.drop(*own).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_fitting_sample_is_bounded_by_labels(spark):
+    rows = [(1, prose(k, 60)) for k in range(50)] + [(2, prose(99, 60)), (3, None)]
+    lab = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    got = quality_rules.fit_sample(spark.createDataFrame(rows, DOCS), lab).collect()
+    want = [brute_statistics(min(t for i, t in rows if i == 1)), brute_statistics(rows[-2][1])]
+    assert sorted(int(r.words_count) for r in got) == sorted(w[0] for w in want)       # a text without words fails the base rules
+
+
 def test_rules_without_labels_reject_nothing(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rules = quality_rules.learn_rules(quality_rules.fit_sample(docs, none))
