@@ -17,15 +17,29 @@ from ratebook.llm.common import scratch, staged
 from ratebook.sources.tables import table
 
 
+# All columns of a document but its id and text travel in one struct, so that no operator's own
+# columns (``n_words``, ``rule``, ...) meet a source's columns of the same names.
+CARRIED = "source_columns"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest).alias(CARRIED)) if rest else docs.select("doc_id", "text")
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(c) if c in ("doc_id", "text") else F.col(CARRIED)[c].alias(c) for c in columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the decision list learned from ``labels``."""
     rules = quality_rules.learn_rules(quality_rules.fit_sample(docs, table(spark, sf_dir, "labels")))
-    return quality_rules.judge(docs, rules).where("kept").select(*docs.columns)
+    return unpacked(quality_rules.judge(packed(docs), rules).where("kept"), docs.columns)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines found in 10 or more of these documents; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs, line_dedup.hash_batches(docs))
+    out = unpacked(line_dedup.dedup_lines(packed(docs), line_dedup.hash_batches(docs)), docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
@@ -36,8 +50,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark passage."""
-    found = decontaminate.marked(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return found.where("NOT contaminated").select(*docs.columns)
+    found = decontaminate.marked(packed(docs), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return unpacked(found.where("NOT contaminated"), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
