@@ -43,7 +43,6 @@ MAX_WORDS = 5
 TOP = 2000                  # phrases reported for each lang
 SUBSUMED_PERCENT = 100      # a longer phrase with this share of the occurrences makes a candidate go
 GROUP = 1 << 22             # characters of texts whose stripes are made together (one text at least)
-GROUPS_PER_TASK = 64        # groups of texts whose stripes a task adds up before they are dealt
 ROW = 4096                  # stripes in a row
 FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB), a power of two
 UNKNOWN_LANG = "und"
@@ -217,7 +216,6 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     """Each lang's ``top`` phrases of (text, lang) rows: lang, rank, phrase, a, l, r, n, score."""
     spark = docs.sparkSession
     coded = staged(coded_texts(docs, group), scratch(spark, "coded"))
-    coded = coded.coalesce(max(1, -(-coded.count() // GROUPS_PER_TASK)))
     words = staged(merge_stripes(coded_stripes(coded, 1)), scratch(spark, "stripes1"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     entries = words.where(F.col("n") >= min_count)
