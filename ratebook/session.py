@@ -50,17 +50,18 @@ def build_session(master: str | None = None, app: str = "ratebook",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None, shared_mount: bool = False) -> str:
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set -- a test session -- the
+    checkpoint dir) and taken as named, a plain path too: it is whatever
+    the cluster's default file system or a mount on every machine makes of
+    it.  Only when neither is set -- a test session -- the
     caller's fallback is installed, or a temporary folder where driver and
     executors are one process; on a cluster the job stops, because a
     machine-local folder is no place for lineage cuts there.
     """
-    master = spark.sparkContext.master or ""
-    one_process = master.split("[")[0] == "local"
+    one_process = (spark.sparkContext.master or "").split("[")[0] == "local"
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
@@ -70,10 +71,6 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None, shared_moun
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         d = fallback
-    local_disk = "://" not in d or d.startswith("file:")
-    if local_disk and fallback is None and not master.startswith("local") and not shared_mount:
-        raise RuntimeError(f"spark.checkpoint.dir is {d}, a machine-local folder; name a shared one "
-                           "(or pass shared_mount=True if that path is mounted on every machine)")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -567,3 +567,18 @@ def test_run_rare_over_an_archive(spark, tmp):
     late = _captures(spark, [("HUF", "TWD", "-", "2025-03-02", 1), *good])
     with pytest.raises(Exception, match="not ready"):
         jobs.run_rare(late, ref_frame(spark), RUN, "M", "rare_m", f"{tmp}/erp", period="month")
+
+
+@pytest.mark.parametrize("named", ["/shared/checkpoints", "file:///shared/checkpoints", "hdfs://name/checkpoints", None])
+def test_a_cluster_names_its_checkpoint_folder(named):
+    """What spark.checkpoint.dir names is shared, in whatever form; only a cluster that names none is refused."""
+    from types import SimpleNamespace as Fake
+
+    from ratebook.session import staging_path
+    context = Fake(master="spark://host:7077", applicationId="app-1", getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+    cluster = Fake(sparkContext=context, conf=Fake(get=lambda key, default=None: named))
+    if named:
+        assert staging_path(cluster, "ranges").startswith(f"{named}/ratebook-stage/app-1/ranges-")
+    else:
+        with pytest.raises(RuntimeError, match="not set"):
+            staging_path(cluster, "ranges")
