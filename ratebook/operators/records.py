@@ -207,7 +207,7 @@ FIELD_TYPES = ("CHAR", "STRING", "DATE", "TIME", "NUM", "BCD", "DECF16", "DECF34
 # Significant digits, smallest exponent and largest exponent of
 # the first digit of the two decimal floating-point types.
 DECF_LIMITS = {"DECF16": (16, -398, 384), "DECF34": (34, -6176, 6144)}
-_DECF_TEXT = r"^[+-]?(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,6}))?$"
+_DECF_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,6})?$"
 
 
 def decfloat(text: Column, ftype: str) -> Column:
@@ -218,28 +218,45 @@ def decfloat(text: Column, ftype: str) -> Column:
     the text is no number, has more significant digits than the type, or an
     exponent outside its range: nothing is rounded.
     """
-    digits, smallest, largest = DECF_LIMITS[ftype]
-    whole = f"decimal({digits},0)"
+    return _let(_let(_let(_decf_text(text), lambda t: _struct(_decf_parts(t))), lambda p: _struct(_decf_stripped(p))),
+                lambda p: _decf_value(p, ftype))
 
-    def parts(t: Column) -> Column:
-        # digits as shown without leading zeros, digits after the point, power of ten; the pattern splits a number
-        before, after, power = (F.regexp_extract(t, _DECF_TEXT, i) for i in (1, 2, 3))
-        return F.struct(F.ltrim(F.concat(before, after), F.lit("0")).alias("shown"), F.char_length(after).alias("after"),
-                        F.coalesce(power.try_cast("int"), F.lit(0)).alias("power"), t.startswith("-").alias("minus"))
 
-    def stripped(p: Column) -> Column:
-        kept = F.rtrim(p["shown"], F.lit("0"))
-        return F.struct(kept.alias("kept"), F.char_length(kept).alias("n"), p["minus"].alias("minus"),
-                        (p["power"] - p["after"] + F.char_length(p["shown"]) - F.char_length(kept)).alias("exponent"))
+def _struct(fields: dict[str, Column]) -> Column:
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
 
-    def value(p: Column) -> Column:
-        fits = (p["n"] <= digits) & (p["exponent"] >= smallest) & (p["exponent"] + p["n"] - 1 <= largest)
-        signed = F.concat(F.when(p["minus"], F.lit("-")).otherwise(F.lit("")), p["kept"]).try_cast(whole)
-        return F.when(p["n"] == 0, F.struct(F.lit(0).cast(whole).alias("coefficient"), F.lit(0).alias("exponent"))) \
-            .when(fits, F.struct(signed.alias("coefficient"), p["exponent"].cast("int").alias("exponent")))
 
+def _decf_text(text: Column) -> Column:
+    """The text of a number, its exponent marked by E; NULL for any other text."""
     t = F.trim(text)
-    return F.when(t.rlike(_DECF_TEXT), _let(_let(_let(t, parts), stripped), value))
+    return F.when(t.rlike(_DECF_TEXT), F.replace(t, F.lit("e"), F.lit("E")))
+
+
+def _decf_parts(t: Column) -> dict[str, Column]:
+    """Digits as shown without leading zeros, digits after the point, power of ten."""
+    mark = F.instr(t, "E")
+    number = F.when(mark == 0, t).otherwise(F.substring(t, F.lit(1), mark - 1))
+    point = F.instr(number, ".")
+    sign = t.startswith("-") | t.startswith("+")
+    digits = F.replace(F.when(sign, F.substring(number, 2, 1 << 30)).otherwise(number), F.lit("."), F.lit(""))
+    power = F.when(mark > 0, F.substring(t, mark + 1, F.lit(8)).try_cast("int"))
+    return {"shown": F.ltrim(digits, F.lit("0")), "after": F.when(point > 0, F.char_length(number) - point).otherwise(F.lit(0)),
+            "power": F.coalesce(power, F.lit(0)), "minus": t.startswith("-")}
+
+
+def _decf_stripped(p) -> dict[str, Column]:
+    kept = F.rtrim(p["shown"], F.lit("0"))
+    return {"kept": kept, "n": F.char_length(kept), "minus": p["minus"],
+            "exponent": p["power"] - p["after"] + F.char_length(p["shown"]) - F.char_length(kept)}
+
+
+def _decf_value(p, ftype: str) -> Column:
+    digits, smallest, largest = DECF_LIMITS[ftype]
+    whole = f"decimal({digits},0)"
+    fits = (p["n"] <= digits) & (p["exponent"] >= smallest) & (p["exponent"] + p["n"] - 1 <= largest)
+    signed = F.concat(F.when(p["minus"], F.lit("-")).otherwise(F.lit("")), p["kept"]).try_cast(whole)
+    return F.when(p["n"] == 0, F.struct(F.lit(0).cast(whole).alias("coefficient"), F.lit(0).alias("exponent"))) \
+        .when(fits, F.struct(signed.alias("coefficient"), p["exponent"].cast("int").alias("exponent")))
 
 
 def _let(value: Column, body) -> Column:
@@ -254,7 +271,9 @@ def _typed(col: Column, ftype: str, arg) -> Column:
     if ftype == "STRING":
         return col
     if ftype == "DATE":
-        return F.try_to_date(col, "yyyyMMdd")
+        # eight plain digits are cut by place, which costs less than a date pattern; the rest is the pattern's to judge
+        plain = F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2))
+        return F.when(col.rlike(r"^[1-9][0-9]{7}\z"), plain.try_cast("date")).otherwise(F.try_to_date(col, "yyyyMMdd"))
     if ftype == "TIME":
         ok = col.rlike("^([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9]$")
         return F.when(ok, col)
@@ -307,35 +326,68 @@ def normalize_records(df: DataFrame, spec: list[tuple], keep: list[str] | None =
     A field that does not convert becomes NULL and its name is listed in
     ``errors`` (comma separated, empty when clean): flagged, never dropped.
     """
-    out, flags = [], []
-    for item in spec:
-        name, src = item[0], F.col(item[0])
-        val, bad = _field(src, item)
-        out.append(val.alias(name))
-        flags.append(F.when(bad, F.lit(name)))
-    return df.select(*(keep or []), *out, F.concat_ws(",", *flags).alias("errors"))
-
-
-def _field(src: Column, item: tuple) -> tuple[Column, Column]:
-    """(typed value, does anything in it not convert?) of one spec row.
-
-    ``STRUCTURE`` and ``TABLE`` take a nested spec as third entry: a struct,
-    and an array of structs, converted field by field.
-    """
+    keep, names = list(keep or []), [item[0] for item in spec]
+    # Converted in a step of its own, so that the flags read each value instead of converting it again.
+    held = dict(zip(names, _free_names(names, {c.lower() for c in df.columns}), strict=True))
+    floats = [item for item in spec if tuple(item[1:]) in (("DECF16", "float"), ("DECF34", "float"))]
+    ready, done = _decfloat_columns(df, floats, held)
+    done = done.select("*", *[ready.get(item[0], _converted(F.col(item[0]), item)).alias(held[item[0]]) for item in spec])
+    value = {item[0]: _value(F.col(held[item[0]]), item) for item in spec}
+    flags = [F.when(_bad(F.col(item[0]), F.col(held[item[0]]), item), F.lit(item[0])) for item in spec]
+    return done.select(*keep, *[value[n].alias(n) for n in names], F.concat_ws(",", *flags).alias("errors"))
+
+
+def _decfloat_columns(df: DataFrame, items: list[tuple], held: dict[str, str]) -> tuple[dict[str, Column], DataFrame]:
+    """``decfloat`` of whole columns, step by step: compiled, where a lambda's body is interpreted."""
+    def step(df: DataFrame, what: str, of) -> tuple[DataFrame, dict]:
+        made = {item[0]: of(item) for item in items}
+        stems = [(n, f) for n in made for f in made[n]]
+        names = dict(zip(stems, _free_names([f"{what}{held[n]}_{f}" for n, f in stems], {c.lower() for c in df.columns}), strict=True))
+        df = df.withColumns({names[n, f]: made[n][f] for n, f in stems})
+        return df, {n: {f: F.col(names[n, f]) for f in made[n]} for n in made}
+
+    if not items:
+        return {}, df
+    df, text = step(df, "t", lambda item: {"t": _decf_text(F.col(item[0]))})
+    df, parts = step(df, "p", lambda item: _decf_parts(text[item[0]]["t"]))
+    df, stripped = step(df, "s", lambda item: _decf_stripped(parts[item[0]]))
+    return {item[0]: _decf_value(stripped[item[0]], item[1]) for item in items}, df
+
+
+# ``STRUCTURE`` and ``TABLE`` take a nested spec as third entry: a struct, and an array of structs, converted field
+# by field.  A converted TABLE holds (value, bad) of each line, anything else is its value.
+
+def _converted(src: Column, item: tuple) -> Column:
     ftype, arg = item[1], item[2] if len(item) > 2 else None
-    if ftype not in ("STRUCTURE", "TABLE"):
-        val = _typed(src, ftype, arg)
-        return val, src.isNotNull() & val.isNull()
-
-    def struct_of(s: Column) -> Column:
-        return F.when(s.isNotNull(), F.struct(*[_field(s[i[0]], i)[0].alias(i[0]) for i in arg]))
-
-    def any_bad(s: Column) -> Column:
-        return reduce(lambda a, b: a | b, [F.coalesce(_field(s[i[0]], i)[1], F.lit(False)) for i in arg])
-
     if ftype == "STRUCTURE":
-        return struct_of(src), any_bad(src)
-    return F.transform(src, struct_of), F.coalesce(F.exists(src, any_bad), F.lit(False))
+        return F.when(src.isNotNull(), F.struct(*[_converted(src[i[0]], i).alias(i[0]) for i in arg]))
+    if ftype == "TABLE":
+        line = ("", "STRUCTURE", arg)
+        return F.transform(src, lambda s: _let(_converted(s, line), lambda v: F.struct(
+            _value(v, line).alias("value"), _bad(s, v, line).alias("bad"))))
+    return _typed(src, ftype, arg)
+
+
+def _value(done: Column, item: tuple) -> Column:
+    """The typed value of one spec row."""
+    if item[1] == "TABLE":
+        return done["value"]
+    if item[1] == "STRUCTURE" and _has_table(item):
+        return F.when(done.isNotNull(), F.struct(*[_value(done[i[0]], i).alias(i[0]) for i in item[2]]))
+    return done
+
+
+def _has_table(item: tuple) -> bool:
+    return any(i[1] == "TABLE" or i[1] == "STRUCTURE" and _has_table(i) for i in item[2])
+
+
+def _bad(src: Column, done: Column, item: tuple) -> Column:
+    """Does anything in one spec row not convert?"""
+    if item[1] == "TABLE":
+        return F.coalesce(F.exists(done, lambda line: line["bad"]), F.lit(False))
+    if item[1] == "STRUCTURE":
+        return reduce(lambda a, b: a | b, [F.coalesce(_bad(src[i[0]], done[i[0]], i), F.lit(False)) for i in item[2]])
+    return src.isNotNull() & done.isNull()
 
 
 # ---------------------------------------------------------------- D4

@@ -293,3 +293,23 @@ def test_decfloat_is_exact_or_flagged(spark):
     fixed = {r.id: r for r in records.normalize_records(df, [("v", "DECF34")], keep=["id"]).collect()}
     assert fixed[texts.index("1E-20")].v is None and fixed[texts.index("1E-20")].errors == "v"
     assert fixed[texts.index("150e1")].v == 1500 and fixed[texts.index("0")].v == 0 and fixed[texts.index("1.50")].v == Decimal("1.5")
+
+
+def test_each_field_is_converted_once(spark):
+    """Values and flags read one conversion, decimal floats included; nested tables in structures keep their form."""
+    spec = [("f", "DECF16", "float"), ("d", "DATE"), ("st", "STRUCTURE", [("d", "DATE"), ("tb", "TABLE", [("x", "BYTE"), ("f", "DECF34", "float")])])]
+    rows = [("1.50e2", "20240229", ("20240101", [("0A", "7E-3"), (None, None)])), ("x", "20230229", ("2024", [("0G", "1")])),
+            ("+.5", "02024010", (None, [("0A", "1e")])), (None, None, None)]
+    df = spark.createDataFrame(rows, "f string, d string, st struct<d:string,tb:array<struct<x:string,f:string>>>")
+    out = records.normalize_records(df, spec, keep=["f"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE(trim(f") == 1 and plan.count("RLIKE(d#") == 1
+    got = records.normalize_records(df, spec).collect()
+    assert [r.errors for r in got] == ["", "f,d,st", "d,st", ""]
+    assert [r.f and (int(r.f.coefficient), r.f.exponent) for r in got] == [(15, 1), None, (5, -1), None]
+    assert [r.d for r in got] == [dt.date(2024, 2, 29), None, None, None]
+    assert got[0].st.d == dt.date(2024, 1, 1) and bytes(got[0].st.tb[0].x) == b"\n" and got[0].st.tb[1].x is None
+    assert (int(got[0].st.tb[0].f.coefficient), got[0].st.tb[0].f.exponent) == (7, -3)
+    assert got[1].st.d is None and got[1].st.tb[0].x is None and got[2].st.tb[0].f is None and got[3].st is None
+    assert records.normalize_records(df, spec).schema["st"].dataType.simpleString() == \
+        "struct<d:date,tb:array<struct<x:binary,f:struct<coefficient:decimal(34,0),exponent:int>>>>"
