@@ -70,14 +70,10 @@ class Memo:
     def missing(self, keys) -> set:
         """Of ``keys``, those not known; known ones of the old generation become young again."""
         young, old = self.young, self.old
-        out = set()
-        for k in set(keys):
-            if k not in young:
-                if k in old:
-                    young[k] = old[k]
-                else:
-                    out.add(k)
-        return out
+        out = set(keys).difference(young)
+        again = out.intersection(old)
+        young.update(zip(again, map(old.__getitem__, again), strict=True))
+        return out - again
 
     def room(self) -> None:
         """Start a new generation when the young one is full (call between batches)."""

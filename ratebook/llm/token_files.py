@@ -22,7 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -39,8 +39,9 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SEGMENT = 1 << 18           # tokens in a segment
 BLOCK = 512                 # bits a rank directory entry covers
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 800_000
 MEMO_CHARS = 256            # longer parts are not memoized
+CHAIN = 256                 # new parts that are encoded as one text
 GROUP = 1 << 21             # characters of documents that are encoded together (one document at least)
 MAGIC = b"DAC1"
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -134,17 +135,39 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = Memo(MEMO_ENTRIES)
+        # bytes of text that each id stands for: a byte-level token has one character a byte, an added one its own text
+        self.n_bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        added = self.tokenizer.get_added_tokens_decoder()
+        for token, i in self.tokenizer.get_vocab().items():
+            if i >= len(self.n_bytes):
+                self.n_bytes = np.append(self.n_bytes, np.zeros(i + 1 - len(self.n_bytes), np.int64))
+            self.n_bytes[i] = len(token.encode()) if i in added else len(token)
+
+    def _one_by_one(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)] if parts else []
+        return zip(parts, (np.array(i, "<u4").tobytes() for i in ids), strict=True)
+
+    def _in_a_row(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Parts encoded as one text, whose ids are told apart by the bytes they stand for."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        reached = np.cumsum(self.n_bytes[ids])
+        wanted = np.cumsum(np.fromiter((len(p.encode()) for p in parts), np.int64, len(parts)))
+        ends = np.searchsorted(reached, wanted)
+        if not len(ids) or reached[-1] != wanted[-1] or (reached[ends] != wanted).any():
+            return self._one_by_one(parts)
+        raw, ends = ids.tobytes(), (4 * (ends + 1)).tolist()
+        return zip(parts, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; one library call for all new parts."""
+        """Ids of each text as little-endian unsigned 32-bit integers; new parts go to the library in rows."""
         cuts = [cut(t) for t in texts]
         known = self.memo.young
         new = list(self.memo.missing(chain.from_iterable(cuts)))
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            raw = np.fromiter(chain.from_iterable(ids), "<u4", sum(map(len, ids))).tobytes()
-            ends = list(accumulate(4 * len(i) for i in ids))
-            known.update(zip(new, [raw[a:z] for a, z in zip([0, *ends], ends, strict=False)], strict=True))
+        # a part that starts at a safe cut and ends in no space may follow another one in a text
+        chained = [p for p in new if p[0] in " \n" and not p[-1].isspace()]
+        known.update(self._one_by_one([p for p in new if p[0] not in " \n" or p[-1].isspace()]))
+        for i in range(0, len(chained), CHAIN):
+            known.update(self._in_a_row(chained[i:i + CHAIN]))
         out = [b"".join(map(known.__getitem__, c)) for c in cuts]
         for p in new:
             if len(p) > MEMO_CHARS:

@@ -232,3 +232,23 @@ def test_registered_chat_holds_the_extra_conversation(spark):
 def test_no_conversations(spark):
     w = chat_windows.format_windows(spark.createDataFrame([], SCHEMA))
     assert w.count() == 0 and chat_windows.conversation_digests(w).count() == 0
+
+
+def test_new_parts_are_encoded_in_rows():
+    """One library text holds many new parts; ids are those of whole texts, special tokens and odd spaces included."""
+    import public_tokenizers
+    from ratebook.llm import token_files
+    e = token_files.Encoder(public_tokenizers.path(token_files.TOKENIZER))
+    library, sent = e.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            sent.extend(texts)
+            return library.encode_batch_fast(texts, **kw)
+
+    e.tokenizer = Counted()
+    texts = [" ".join(f"wörd{i}x{j}," for i in range(300)) for j in range(3)]
+    texts += ["", "a<|endoftext|>b <|endoftext|> c\n\n d 　 e", " <|endo ftext|> \0 x  y", "日本語 テキスト\r\n\t z "]
+    got = e.encode_batch(texts)
+    assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.encode_batch(texts) == got and len(sent) < 100
