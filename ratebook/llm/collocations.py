@@ -16,7 +16,10 @@ Levels are exact and pruned like frequent item sets: a phrase can reach ``min_co
 of its parts of one word less do, so level k looks only at places where they may.  What was frequent
 one level below is known to tasks as a Bloom filter of a fixed number of bits (``FILTER_BITS``),
 whatever the corpus size; a false positive makes a stripe entry that falls short of ``min_count`` and
-goes, and nothing frequent is ever missed.
+goes, and nothing frequent is ever missed.  Most phrases of a level are rare all the same, so levels are
+first counted by 32 bits of each phrase's hash, which cost the shuffle less than texts; equal hashes only
+add up.  Those that reach ``min_count`` are the next filter, and stripes with texts are made last, in one
+pass over all levels, of just the phrases that pass theirs.
 
 Text is cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and at spaces and tabs into words, A-Z lower-cased.
 Null or empty text has no words; a null lang is ``und`` (and counts with texts of that lang); repeated
@@ -27,6 +30,7 @@ smaller phrase in UTF-8 byte order; ties between cuts to the shortest first part
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +48,7 @@ TOP = 2000                  # phrases reported for each lang
 SUBSUMED_PERCENT = 100      # a longer phrase with this share of the occurrences makes a candidate go
 GROUP = 1 << 22             # characters of texts whose stripes are made together (one text at least)
 ROW = 4096                  # stripes in a row
+HASH_ROWS = 1 << 15         # rows of hashes in a batch
 FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB), a power of two
 UNKNOWN_LANG = "und"
 _BITMAP = 1 << 15           # bits of a bitmap aggregate
@@ -58,16 +63,27 @@ def _words(texts: list[bytes]) -> list[bytes]:
     return (_END + _END.join(texts) + _END).translate(_BYTES).replace(_END, b" \xff ").split()
 
 
-def _positions(hashes: np.ndarray) -> np.ndarray:
-    """Two filter bits per hash."""
+def _folded(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of each hash."""
     with np.errstate(over="ignore"):
-        h = hashes * _MULTIPLIER
+        return ((hashes ^ (hashes >> np.uint64(31))) * _MULTIPLIER >> np.uint64(32)).astype(np.uint32)
+
+
+def _positions(folded: np.ndarray) -> np.ndarray:
+    """Two filter bits per folded hash."""
+    with np.errstate(over="ignore"):
+        h = (folded.astype(np.uint64) + np.uint64(1)) * _MULTIPLIER
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
     low = np.uint64(FILTER_BITS - 1)
     return np.stack([(h >> np.uint64(32)) & low, (h ^ (h >> np.uint64(17))) & low]).astype(np.int64)
 
 
+def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    a, b = _positions(_folded(hashes))
+    return (bits[a >> 3] >> (a & 7) & bits[b >> 3] >> (b & 7) & 1).astype(bool)
+
+
 def _chain(first: np.ndarray, word: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return first * _MULTIPLIER + word
@@ -103,19 +119,16 @@ def coded_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
     return texts.mapInArrow(run, "lang string, words array<string>, ids binary")
 
 
-def _stripes_of(lang: str, listed: pa.StringArray, ids: np.ndarray, k: int,
-                known: np.ndarray | None) -> tuple[list, pa.StringArray, np.ndarray, np.ndarray]:
-    """Stripes of ``k``-word phrases in coded texts of one lang: prefixes, next words, counts, and where
-    each stripe begins.  ``known``: the filter of phrases of k - 1 words that may be frequent."""
-    n_words = len(listed) + 1
-    if k == 1:
-        counts = np.bincount(ids, minlength=n_words)[1:]
-        return [""], listed, counts, np.array([0, len(listed)])
+def _word_hashes(lang: str, words: list[str]) -> np.ndarray:
+    """Hashes of a group's words by their numbers (0: no word)."""
     seed = xxhash.xxh32_intdigest(lang.encode())
-    words = listed.to_pylist()
-    of_word = np.zeros(n_words, np.uint64)
-    of_word[1:] = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, n_words - 1)
-    hashed = of_word[ids]
+    of_word = np.zeros(len(words) + 1, np.uint64)
+    of_word[1:] = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    return of_word
+
+
+def _places(ids: np.ndarray, hashed: np.ndarray, k: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a phrase of ``k`` words begins both of whose parts of one word less pass the filter ``known``, and its hash."""
     # h, whole: hash of the k - 1 words from each place on, and whether they lie in one piece
     h, whole, n = hashed, ids != 0, len(ids)
     for j in range(1, k - 1):
@@ -123,9 +136,24 @@ def _stripes_of(lang: str, listed: pa.StringArray, ids: np.ndarray, k: int,
         whole = whole[:n - j] & (ids[j:] != 0)
     may = np.zeros(len(h), bool)
     some = np.flatnonzero(whole)
-    a, b = _positions(h[some])
-    may[some] = (known[a >> 3] >> (a & 7) & known[b >> 3] >> (b & 7) & 1).astype(bool)
-    at = np.flatnonzero(may[:-1] & may[1:])          # both parts of one word less may be frequent
+    may[some] = _in_filter(known, h[some])
+    at = np.flatnonzero(may[:-1] & may[1:])
+    return at, _chain(h[at], hashed[at + k - 1])
+
+
+def _stripes_of(lang: str, listed: pa.StringArray, ids: np.ndarray, k: int, known: np.ndarray | None,
+                own: np.ndarray | None = None) -> tuple[list, pa.StringArray, np.ndarray, np.ndarray]:
+    """Stripes of ``k``-word phrases in coded texts of one lang: prefixes, next words, counts, and where
+    each stripe begins.  ``known``: the filter of phrases of k - 1 words that may be frequent; ``own``: that
+    of the phrases themselves, if there is one already."""
+    n_words = len(listed) + 1
+    if k == 1:
+        counts = np.bincount(ids, minlength=n_words)[1:]
+        return [""], listed, counts, np.array([0, len(listed)])
+    words = listed.to_pylist()
+    at, hashes = _places(ids, _word_hashes(lang, words)[ids], k, known)
+    if own is not None:
+        at = at[_in_filter(own, hashes)]
     # equal prefixes get equal numbers, one word at a time; sorting (prefix, next) makes the stripes
     prefix = ids[at].astype(np.int64)
     for j in range(1, k - 1):
@@ -140,16 +168,25 @@ def _stripes_of(lang: str, listed: pa.StringArray, ids: np.ndarray, k: int,
 
 def coded_stripes(coded: DataFrame, k: int, known: np.ndarray | None = None) -> DataFrame:
     """Unmerged stripes of level ``k`` of coded texts: lang, and an array of (prefix, next words, their counts)."""
+    return _levels_of(coded, [(k, known, None)])
+
+
+def filtered_stripes(coded: DataFrame, filters: list[np.ndarray]) -> DataFrame:
+    """Unmerged stripes of the phrases that pass their level's filter (``filters``: of levels 1, 2, ...), from level 2 on."""
+    return _levels_of(coded, [(k, filters[k - 2], filters[k - 1]) for k in range(2, len(filters) + 1)])
+
+
+def _levels_of(coded: DataFrame, levels: list[tuple[int, np.ndarray | None, np.ndarray | None]]) -> DataFrame:
     spark = coded.sparkSession
     ship_package(spark)
-    held = spark.sparkContext.broadcast(None if known is None else known.tobytes())
+    held = spark.sparkContext.broadcast([(k, *(None if f is None else f.tobytes() for f in some)) for k, *some in levels])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if held.value is None else np.frombuffer(held.value, np.uint8)
+        wanted = [(k, *(None if f is None else np.frombuffer(f, np.uint8) for f in some)) for k, *some in held.value]
         for b in batches:
-            for i in range(b.num_rows):
+            for i, (k, known, own) in product(range(b.num_rows), wanted):
                 lang, ids = b.column(0)[i].as_py(), np.frombuffer(b.column(2)[i].as_buffer(), "<i4")
-                prefixes, nexts, counts, starts = _stripes_of(lang, b.column(1)[i].values.cast(pa.string()), ids, k, bits)
+                prefixes, nexts, counts, starts = _stripes_of(lang, b.column(1)[i].values.cast(pa.string()), ids, k, known, own)
                 edges = pa.array(starts, pa.int32())
                 each = pa.StructArray.from_arrays(
                     [pa.array(prefixes, pa.string()), pa.ListArray.from_arrays(edges, nexts),
@@ -162,6 +199,25 @@ def coded_stripes(coded: DataFrame, k: int, known: np.ndarray | None = None) ->
     return coded.mapInArrow(run, "lang string, stripes array<struct<prefix:string,next:array<string>,n:array<bigint>>>")
 
 
+def coded_hashes(coded: DataFrame, k: int, known: np.ndarray) -> DataFrame:
+    """Counts of phrases of ``k`` words of coded texts by 32 bits of their hash, lang included: h, n, not added up."""
+    spark = coded.sparkSession
+    ship_package(spark)
+    held = spark.sparkContext.broadcast(known.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(held.value, np.uint8)
+        for b in batches:
+            for i in range(b.num_rows):
+                ids = np.frombuffer(b.column(2)[i].as_buffer(), "<i4")
+                hashed = _word_hashes(b.column(0)[i].as_py(), b.column(1)[i].as_py())[ids]
+                h, n = np.unique(_folded(_places(ids, hashed, k, bits)[1]), return_counts=True)
+                for at in range(0, len(h), HASH_ROWS):
+                    yield pa.record_batch([pa.array(h[at:at + HASH_ROWS].view(np.int32)), pa.array(n[at:at + HASH_ROWS], pa.int64())], ["h", "n"])
+
+    return coded.mapInArrow(run, "h int, n long")
+
+
 def stripes(docs: DataFrame, k: int, known: np.ndarray | None = None, group: int = GROUP) -> DataFrame:
     """Unmerged stripes of level ``k`` straight from (text, lang) rows."""
     return coded_stripes(coded_texts(docs, group), k, known)
@@ -200,10 +256,21 @@ def filter_of(phrases: DataFrame) -> np.ndarray:
                         x = seen[lang, w] = xxhash.xxh64_intdigest(w, seeds[lang])
                     h = x if h is None else (h * int(_MULTIPLIER) + x) % (1 << 64)
                 out.append(h)
-            at = _positions(np.array(out, np.uint64)).ravel()
+            yield pa.record_batch([pa.array(_folded(np.array(out, np.uint64)).view(np.int32))], ["h"])
+
+    return filter_of_hashes(phrases.select("lang", "phrase").mapInArrow(run, "h int"))
+
+
+def filter_of_hashes(hashes: DataFrame) -> np.ndarray:
+    """The Bloom filter of folded hashes ``h``."""
+    ship_package(hashes.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _positions(b.column(0).to_numpy().view(np.uint32)).ravel()
             yield pa.record_batch([pa.array(at // _BITMAP, pa.int64()), pa.array(at % _BITMAP, pa.int64())], ["bucket", "bit"])
 
-    bits = phrases.select("lang", "phrase").mapInArrow(run, "bucket long, bit long")
+    bits = hashes.select("h").mapInArrow(run, "bucket long, bit long")
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
         raw = np.frombuffer(bytes(r["bits"]), np.uint8)
@@ -218,18 +285,18 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     coded = staged(coded_texts(docs, group), scratch(spark, "coded"))
     words = staged(merge_stripes(coded_stripes(coded, 1)), scratch(spark, "stripes1"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    entries = words.where(F.col("n") >= min_count)
-    levels = [entries.select("lang", F.lit(1).alias("k"), F.lit("").alias("prefix"), "phrase", "n")]
-    for k in range(2, max_words + 1):
-        known = filter_of(levels[-1])
-        if not known.any():
-            break
-        merged = merge_stripes(coded_stripes(coded, k, known)).where(F.col("n") >= min_count)
-        level = merged.select("lang", F.lit(k).alias("k"), F.substring_index("phrase", " ", k - 1).alias("prefix"), "phrase", "n")
-        levels.append(staged(level, scratch(spark, f"stripes{k}")))
-    known = levels[0]
-    for level in levels[1:]:
-        known = known.unionByName(level)
+    entries = words.where(F.col("n") >= min_count).select("lang", F.lit(1).alias("k"), F.lit("").alias("prefix"), "phrase", "n")
+    # first by hash alone, level by level; then, in one pass, the phrases whose hash is frequent, counted exactly
+    filters = [filter_of(entries)]
+    while len(filters) < max_words and filters[-1].any():
+        sums = coded_hashes(coded, len(filters) + 1, filters[-1]).groupBy("h").agg(F.sum("n").alias("n"))
+        filters.append(filter_of_hashes(sums.where(F.col("n") >= min_count)))
+    known = entries
+    if len(filters) > 1:
+        merged = merge_stripes(filtered_stripes(coded, filters)).where(F.col("n") >= min_count)
+        spaces = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
+        known = known.unionByName(merged.withColumn("k", (spaces + 1).cast("int")).select(
+            "lang", "k", F.expr("substring_index(phrase, ' ', k - 1)").alias("prefix"), "phrase", "n"))
     known = staged(known, scratch(spark, "phrases"))
 
     return ranked_phrases(known, totals, top, subsumed_percent)

@@ -289,3 +289,20 @@ def test_registered_codes(spark):
     digest = hashlib.sha256(text.encode()).hexdigest()
     assert sorted((str(r.vec_id), r.code, r.error, r.label_error, r.codebooks_sha256) for r in got) == \
         sorted((i, c, e, sums[lab], digest) for i, c, e, lab in want)
+
+
+def test_rare_phrases_of_frequent_words_are_not_shuffled_as_texts(spark, monkeypatch):
+    """Pairs of frequent words are counted by hash first: only those that may be frequent become stripes."""
+    rnd, seen = random.Random(5), []
+    texts = [" ".join(f"w{rnd.randrange(40)}" for _ in range(400)) for _ in range(20)] + ["alpha beta gamma."] * 120
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(3)
+    merge = collocations.merge_stripes
+
+    def counted(parts):
+        seen.append(parts.select(F.explode("stripes").alias("s")).agg(F.sum(F.size("s.n"))).head()[0])
+        return merge(parts)
+
+    monkeypatch.setattr(collocations, "merge_stripes", counted)
+    got = {r.phrase: (r.a, r.l, r.r) for r in collocations.collocations(df, min_count=100).collect()}
+    assert got == {"alpha beta gamma": (120, 120, 120)}
+    assert seen[0] >= 43 and sum(seen[1:]) < 30
