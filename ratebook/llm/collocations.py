@@ -142,16 +142,20 @@ def _places(ids: np.ndarray, hashed: np.ndarray, k: int, known: np.ndarray) -> t
 
 
 def _stripes_of(lang: str, listed: pa.StringArray, ids: np.ndarray, k: int, known: np.ndarray | None,
-                own: np.ndarray | None = None) -> tuple[list, pa.StringArray, np.ndarray, np.ndarray]:
+                own: np.ndarray | None = None, made: dict | None = None) -> tuple[list, pa.StringArray, np.ndarray, np.ndarray]:
     """Stripes of ``k``-word phrases in coded texts of one lang: prefixes, next words, counts, and where
     each stripe begins.  ``known``: the filter of phrases of k - 1 words that may be frequent; ``own``: that
-    of the phrases themselves, if there is one already."""
+    of the phrases themselves, if there is one already.  ``made`` keeps the words' hashes for further levels."""
     n_words = len(listed) + 1
     if k == 1:
         counts = np.bincount(ids, minlength=n_words)[1:]
         return [""], listed, counts, np.array([0, len(listed)])
-    words = listed.to_pylist()
-    at, hashes = _places(ids, _word_hashes(lang, words)[ids], k, known)
+    made = {} if made is None else made
+    if not made:
+        made["words"] = listed.to_pylist()
+        made["hashed"] = _word_hashes(lang, made["words"])[ids]
+    words = made["words"]
+    at, hashes = _places(ids, made["hashed"], k, known)
     if own is not None:
         at = at[_in_filter(own, hashes)]
     # equal prefixes get equal numbers, one word at a time; sorting (prefix, next) makes the stripes
@@ -185,8 +189,9 @@ def _levels_of(coded: DataFrame, levels: list[tuple[int, np.ndarray | None, np.n
         wanted = [(k, *(None if f is None else np.frombuffer(f, np.uint8) for f in some)) for k, *some in held.value]
         for b in batches:
             for i, (k, known, own) in product(range(b.num_rows), wanted):
+                made = made if k > wanted[0][0] else {}
                 lang, ids = b.column(0)[i].as_py(), np.frombuffer(b.column(2)[i].as_buffer(), "<i4")
-                prefixes, nexts, counts, starts = _stripes_of(lang, b.column(1)[i].values.cast(pa.string()), ids, k, known, own)
+                prefixes, nexts, counts, starts = _stripes_of(lang, b.column(1)[i].values.cast(pa.string()), ids, k, known, own, made)
                 edges = pa.array(starts, pa.int32())
                 each = pa.StructArray.from_arrays(
                     [pa.array(prefixes, pa.string()), pa.ListArray.from_arrays(edges, nexts),
