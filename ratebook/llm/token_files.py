@@ -22,7 +22,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratebook.llm.chunks import Memo, cut, text_groups
+from ratebook.llm.chunks import Memo, text_groups
 from ratebook.llm.common import scratch, ship_package, shuffle_partitions
 from ratebook.sources.tables import table
 
@@ -40,10 +39,12 @@ END_ID = 2
 SEGMENT = 1 << 18           # tokens in a segment
 BLOCK = 512                 # bits a rank directory entry covers
 MEMO_ENTRIES = 800_000
-MEMO_CHARS = 256            # longer parts are not memoized
+MEMO_BYTES = 256            # longer parts are not memoized
 CHAIN = 256                 # new parts that are encoded as one text
-GROUP = 1 << 21             # characters of documents that are encoded together (one document at least)
+GROUP = 1 << 22             # characters of documents that are encoded together (one document at least)
 MAGIC = b"DAC1"
+STOPS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"     # ASCII punctuation but the apostrophe, which may belong to the letters before
+_LETTERS = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -125,11 +126,40 @@ class Segment:
 
 # ------------------------------------------------------------------ encoding
 
+def _follows_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the characters of several bytes that end just before ``at`` are white space (or once were: U+180E)."""
+    a, b, c = data[np.maximum(at - 3, 0)], data[at - 2], data[at - 1]
+    return (((b == 0xC2) & ((c == 0x85) | (c == 0xA0)))
+            | ((a == 0xE1) & (((b == 0x9A) & (c == 0x80)) | ((b == 0xA0) & (c == 0x8E))))
+            | ((a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F))))
+            | ((a == 0xE3) & (b == 0x80) & (c == 0x80)))
+
+
+def _cuts(data: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Where no token of running text (UTF-8) can span: before a space or line feed after a non-space (as in
+    ``chunks``), and before a byte of ``stops`` after an ASCII letter, since a run of letters is whole there."""
+    before, here = data[:-1], data[1:]
+    gap = (here == 0x20) | (here == 0x0A)
+    mark = gap & (before > 0x20) | _LETTERS[before] & stops[here]
+    wide = np.flatnonzero(gap & (before >= 0x80)) + 1
+    mark[wide[_follows_space(data, wide)] - 1] = False
+    return np.flatnonzero(mark) + 1
+
+
+def listed(values: pa.BinaryArray) -> list[bytes]:
+    """``to_pylist`` of an array without nulls that is no slice, by slices of its one buffer."""
+    if not len(values):
+        return []
+    edges = np.frombuffer(values.buffers()[1], np.int32)[:len(values) + 1].tolist()
+    return list(map(values.buffers()[2].to_pybytes().__getitem__, map(slice, edges, edges[1:])))
+
+
 class Encoder:
     """Ids of texts with the tokenizers library; parts between safe cuts are memoized.
 
+    A group's distinct parts are found in its Arrow buffer, so that Python sees each once a group.
     A special token's string in a text is that token, as the library has it; it holds no white space,
-    so no cut falls inside it."""
+    and no stop is a character of one, so no cut falls inside it."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -142,38 +172,73 @@ class Encoder:
             if i >= len(self.n_bytes):
                 self.n_bytes = np.append(self.n_bytes, np.zeros(i + 1 - len(self.n_bytes), np.int64))
             self.n_bytes[i] = len(token.encode()) if i in added else len(token)
+        self.stops = np.zeros(256, bool)
+        self.stops[list(set(STOPS) - {b for t in added.values() for b in t.content.encode()})] = True
 
-    def _one_by_one(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)] if parts else []
+    def _one_by_one(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)] if parts else []
         return zip(parts, (np.array(i, "<u4").tobytes() for i in ids), strict=True)
 
-    def _in_a_row(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _in_a_row(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Parts encoded as one text, whose ids are told apart by the bytes they stand for."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([b"".join(parts).decode()], add_special_tokens=False)[0].ids, "<u4")
         reached = np.cumsum(self.n_bytes[ids])
-        wanted = np.cumsum(np.fromiter((len(p.encode()) for p in parts), np.int64, len(parts)))
+        wanted = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
         ends = np.searchsorted(reached, wanted)
         if not len(ids) or reached[-1] != wanted[-1] or (reached[ends] != wanted).any():
             return self._one_by_one(parts)
         raw, ends = ids.tobytes(), (4 * (ends + 1)).tolist()
         return zip(parts, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True)
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; new parts go to the library in rows."""
-        cuts = [cut(t) for t in texts]
-        known = self.memo.young
-        new = list(self.memo.missing(chain.from_iterable(cuts)))
-        # a part that starts at a safe cut and ends in no space may follow another one in a text
-        chained = [p for p in new if p[0] in " \n" and not p[-1].isspace()]
-        known.update(self._one_by_one([p for p in new if p[0] not in " \n" or p[-1].isspace()]))
+    def _learn(self, new: list[bytes]) -> None:
+        """Put the ids of new parts into the memo; they go to the library in rows."""
+        known, chained, alone = self.memo.young, [], []
+        for p in new:
+            # a part that starts at a safe cut and ends in no space may follow another one in a text
+            if p[0] in b" \n" and p[-1] > 0x20 and (p[-1] < 0x80 or not p[-4:].decode(errors="ignore")[-1:].isspace()):
+                chained.append(p)
+            else:
+                alone.append(p)
+        known.update(self._one_by_one(alone))
         for i in range(0, len(chained), CHAIN):
             known.update(self._in_a_row(chained[i:i + CHAIN]))
-        out = [b"".join(map(known.__getitem__, c)) for c in cuts]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another (null: empty), and where each text's ids end."""
+        texts = texts.fill_null("").cast(pa.string())
+        n_texts = len(texts)
+        edges = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + n_texts + 1] if n_texts else np.zeros(1, np.int32)
+        if edges[0] == edges[-1]:
+            return np.zeros(0, "<u4"), np.zeros(n_texts, np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[edges[0]:edges[-1]]
+        edges = edges - edges[0]
+        mark = np.zeros(len(data) + 1, bool)
+        mark[_cuts(data, self.stops)] = True
+        mark[edges] = True
+        bounds = np.flatnonzero(mark)
+        parts = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        which, distinct = parts.indices.to_numpy(), listed(parts.dictionary)
+
+        new = self.memo.missing(distinct)
+        self._learn(list(new))
+        known = self.memo.young
+        raw = list(map(known.__getitem__, distinct))
         for p in new:
-            if len(p) > MEMO_CHARS:
+            if len(p) > MEMO_BYTES:
                 del known[p]
         self.memo.room()
-        return out
+        # each part's ids are copied from the group's distinct ones to their places
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        each = size[which]
+        ends = np.cumsum(each)
+        shift = (np.cumsum(size) - size)[which] - (ends - each)
+        ids = np.frombuffer(b"".join(raw), "<u4")[np.repeat(shift, each) + np.arange(ends[-1])]
+        return ids, np.append(0, ends)[np.searchsorted(bounds, edges[1:])]
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids, ends = self.encode_column(pa.array(texts, pa.string()))
+        return [some.tobytes() for some in np.split(ids, ends[:-1])] if texts else []
 
 
 @lru_cache(maxsize=2)
@@ -223,9 +288,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
         for b in batches:
             for some in text_groups(b, GROUP):
-                found = e.encode_batch([t or "" for t in some.column(1).to_pylist()])
-                for key, raw in zip(some.column(0).to_pylist(), found, strict=True):
-                    for n, data in stream.add(key, np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id))):
+                ids, ends = e.encode_column(some.column(1))
+                ids, ends = np.insert(ids, ends, end_id), (ends + np.arange(1, len(ends) + 1)).tolist()
+                for key, a, z in zip(some.column(0).to_pylist(), [0, *ends], ends, strict=False):
+                    for n, data in stream.add(key, ids[a:z]):
                         yield row(n, data)
                         number += 1
         if stream.held:

@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm_data import DOCS, edge_documents, prose, with_extras
@@ -252,3 +253,24 @@ def test_new_parts_are_encoded_in_rows():
     got = e.encode_batch(texts)
     assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert e.encode_batch(texts) == got and len(sent) < 100
+
+
+def test_a_word_before_punctuation_is_encoded_once(library):
+    """A word is one part whatever mark follows it; ids stay those of whole texts."""
+    e = token_files.Encoder(public_tokenizers.path(token_files.TOKENIZER))
+    sent = []
+
+    class Counted:
+        def encode_batch_fast(self, some, **kw):
+            sent.extend(some)
+            return library.encode_batch_fast(some, **kw)
+
+    e.tokenizer = Counted()
+    marks = [",", ".", "!", "?", ";", ":", ")", "]", "&&&", "$$$", "...", ""]
+    rows = [" ".join(f"wörd{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}{m}" for i in range(100)) for m in marks]
+    rows += ["it's o'clock's, x|y<|endoftext|>.z <|endoftext|>, a.b's", "é  a ü  b 日　 c —  d \n e\x85 f 🙂 g “q” h", "a᠎ b", ""]
+    got = e.encode_batch(rows)
+    assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in rows]
+    assert sum(map(len, sent)) < 3000
+    ids, ends = e.encode_column(pa.array(["x", None, "", *rows, None])[1:])
+    assert ids.tobytes() == b"".join(got) and ends.tolist() == [0, 0, *np.cumsum([len(g) // 4 for g in got]).tolist(), sum(map(len, got)) // 4]
