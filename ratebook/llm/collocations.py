@@ -3,23 +3,23 @@
 A stripe belongs to a (lang, prefix) and counts the words that follow the prefix.  Level k holds the
 stripes of prefixes of k - 1 words: level 1 (the empty prefix) counts words and gives each lang's
 total, level k >= 2 counts phrases of k words.  Texts are cut into words once, into a staged table of
-word numbers; every level reads that.  Tasks make stripes from groups of texts (a prefix with
-its next words and their counts as arrays, ``ROW`` stripes in a row) and Spark merges them elementwise:
-entry by entry, with map-side sums, so the stripe of a very frequent prefix is spread over all tasks and
-none is ever gathered whole.  Everything else is read from the merged stripes: an entry is the count of a
-phrase, the empty prefix's entries sum to the total, the largest entry of a stripe tells whether its
-prefix is subsumed by a word to the right, and the largest entry over all prefixes that begin with
-some word tells the same of a word to the left.  A phrase is subsumed by a longer one if and only if
-it is by one of one word more, since counts never rise with length.
+word numbers (two bytes each, unless a group has more words than that); every level reads that.  Tasks make
+stripes from groups of texts (a prefix with its next words and their counts as arrays, ``ROW`` stripes in a
+row) and Spark merges them elementwise: entry by entry, with map-side sums, so the stripe of a very frequent
+prefix is spread over all tasks and none is ever gathered whole.  Everything else is read from the merged
+stripes: an entry is the count of a phrase, the largest entry of a stripe tells whether its prefix is
+subsumed by a word to the right, and the largest entry over all prefixes that begin with some word tells the
+same of a word to the left.  A phrase is subsumed by a longer one if and only if it is by one of one word
+more, since counts never rise with length.  (Rare words have no entry; the total is summed where texts are cut.)
 
 Levels are exact and pruned like frequent item sets: a phrase can reach ``min_count`` only if both
 of its parts of one word less do, so level k looks only at places where they may.  What was frequent
-one level below is known to tasks as a Bloom filter of a fixed number of bits (``FILTER_BITS``),
+in the levels below is known to tasks as Bloom filters of a fixed number of bits (``FILTER_BITS``),
 whatever the corpus size; a false positive makes a stripe entry that falls short of ``min_count`` and
-goes, and nothing frequent is ever missed.  Most phrases of a level are rare all the same, so levels are
-first counted by 32 bits of each phrase's hash, which cost the shuffle less than texts; equal hashes only
-add up.  Those that reach ``min_count`` are the next filter, and stripes with texts are made last, in one
-pass over all levels, of just the phrases that pass theirs.
+goes, and nothing frequent is ever missed.  Most phrases of a level, and most words, are rare all the same, so
+levels are first counted by 32 bits of each phrase's hash, which cost the shuffle less than texts; equal
+hashes only add up.  Those that reach ``min_count`` are the next filter, and stripes with texts are made last,
+in one pass over all levels, of just the phrases that pass theirs.
 
 Text is cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and at spaces and tabs into words, A-Z lower-cased.
 Null or empty text has no words; a null lang is ``und`` (and counts with texts of that lang); repeated
@@ -30,7 +30,7 @@ smaller phrase in UTF-8 byte order; ties between cuts to the shortest first part
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,8 @@ SUBSUMED_PERCENT = 100      # a longer phrase with this share of the occurrences
 GROUP = 1 << 22             # characters of texts whose stripes are made together (one text at least)
 ROW = 4096                  # stripes in a row
 HASH_ROWS = 1 << 15         # rows of hashes in a batch
+HASHES = 1 << 21            # hashes that a task adds up before it gives them out
+ENTRIES = 1 << 20           # the same for entries of stripes
 FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB), a power of two
 UNKNOWN_LANG = "und"
 _BITMAP = 1 << 15           # bits of a bitmap aggregate
@@ -56,11 +58,7 @@ _BITMAP = 1 << 15           # bits of a bitmap aggregate
 _ENDS, _END = b".,;:!?\n\x0b\x0c\r", b"\xff"
 _BYTES = bytes.maketrans(_ENDS + b"\t" + UPPER.encode(), _END * len(_ENDS) + b" " + LOWER.encode())
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)      # odd: hashes of phrases are polynomials in it
-
-
-def _words(texts: list[bytes]) -> list[bytes]:
-    """The words of texts in order, with an end mark between pieces."""
-    return (_END + _END.join(texts) + _END).translate(_BYTES).replace(_END, b" \xff ").split()
+_OF_BYTES = np.uint64(0xC2B2AE3D27D4EB4F)        # odd: hashes of words are polynomials in it
 
 
 def _folded(hashes: np.ndarray) -> np.ndarray:
@@ -89,18 +87,36 @@ def _chain(first: np.ndarray, word: np.ndarray) -> np.ndarray:
         return first * _MULTIPLIER + word
 
 
-def _coded(texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-    """The distinct words of some texts and, in order, each word's number in them from 1; 0: end of a piece."""
-    words = _words(texts)
-    listed = sorted(set(words) - {_END})          # in order, so that neighbouring entries share most bytes
-    number = dict(zip(listed, range(1, len(listed) + 1), strict=True))
-    number[_END] = 0
-    return [w.decode() for w in listed], np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+def _coded(texts: list[bytes]) -> tuple[bytes, np.ndarray, int]:
+    """The distinct words of some texts, space-joined, in order each word's number in them from 1 (0: end of a
+    piece), and how many words there are in all."""
+    data = np.frombuffer((_END + _END.join(texts) + _END).translate(_BYTES), np.uint8)
+    ends = data == _END[0]
+    inner = ~(ends | (data == 0x20))
+    first = inner.copy()
+    first[1:] &= ~inner[:-1]
+    first |= ends
+    at = np.flatnonzero(first)
+    is_word = inner[at]
+    # the words' bytes without what stands between them, as an Arrow array
+    edges = np.append(np.append(0, np.cumsum(inner))[at[is_word]], np.count_nonzero(inner)).astype(np.int32)
+    coded = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data[inner])]).dictionary_encode()
+    ids = np.zeros(len(at), np.int32)
+    ids[is_word] = coded.indices.to_numpy() + 1
+    again = np.zeros(len(at), bool)               # one end of a piece after another
+    again[1:] = ~(is_word[1:] | is_word[:-1])
+    if len(edges) == 1:
+        return b"", ids[~again], 0
+    # spaces between the dictionary's values, which lie in one buffer
+    between = np.frombuffer(coded.dictionary.buffers()[1], np.int32)[:len(coded.dictionary) + 1]
+    listed = np.insert(np.frombuffer(coded.dictionary.buffers()[2], np.uint8)[:between[-1]], between[1:-1], 0x20).tobytes()
+    return listed, ids[~again], len(edges) - 1
 
 
 def coded_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """Texts cut into words once: lang, words, ids; a row holds a group of texts of one lang, its distinct
-    words, and the running text as their numbers (``_coded``) in little-endian signed 32-bit integers."""
+    """Texts cut into words once: lang, n, words, size, ids; a row holds a group of texts of one lang: its number
+    of words, the distinct ones space-joined, and the running text as their numbers (``_coded``) in
+    little-endian unsigned integers of ``size`` bytes."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,117 +126,184 @@ def coded_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
                 for lang, text in zip(some.column(0).to_pylist(), some.column(1).cast(pa.binary()).to_pylist(), strict=True):
                     by_lang.setdefault(lang, []).append(text)
                 for lang, texts in by_lang.items():
-                    listed, ids = _coded(texts)
-                    if listed:
-                        yield pa.record_batch([pa.array([lang]), pa.array([listed], pa.list_(pa.string())),
-                                               pa.array([ids.astype("<i4").tobytes()], pa.binary())], ["lang", "words", "ids"])
+                    listed, ids, n = _coded(texts)
+                    if n:
+                        size = 2 if ids.max() < 1 << 16 else 4
+                        yield pa.record_batch([pa.array([lang]), pa.array([n], pa.int64()), pa.array([listed], pa.binary()),
+                                               pa.array([size], pa.int32()), pa.array([ids.astype(f"<u{size}").tobytes()], pa.binary())],
+                                              ["lang", "n", "words", "size", "ids"])
 
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"), "text").where("text IS NOT NULL")
-    return texts.mapInArrow(run, "lang string, words array<string>, ids binary")
-
-
-def _word_hashes(lang: str, words: list[str]) -> np.ndarray:
-    """Hashes of a group's words by their numbers (0: no word)."""
-    seed = xxhash.xxh32_intdigest(lang.encode())
-    of_word = np.zeros(len(words) + 1, np.uint64)
-    of_word[1:] = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-    return of_word
-
-
-def _places(ids: np.ndarray, hashed: np.ndarray, k: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where a phrase of ``k`` words begins both of whose parts of one word less pass the filter ``known``, and its hash."""
-    # h, whole: hash of the k - 1 words from each place on, and whether they lie in one piece
-    h, whole, n = hashed, ids != 0, len(ids)
-    for j in range(1, k - 1):
-        h = _chain(h[:n - j], hashed[j:])
-        whole = whole[:n - j] & (ids[j:] != 0)
-    may = np.zeros(len(h), bool)
-    some = np.flatnonzero(whole)
-    may[some] = _in_filter(known, h[some])
-    at = np.flatnonzero(may[:-1] & may[1:])
-    return at, _chain(h[at], hashed[at + k - 1])
-
-
-def _stripes_of(lang: str, listed: pa.StringArray, ids: np.ndarray, k: int, known: np.ndarray | None,
-                own: np.ndarray | None = None, made: dict | None = None) -> tuple[list, pa.StringArray, np.ndarray, np.ndarray]:
-    """Stripes of ``k``-word phrases in coded texts of one lang: prefixes, next words, counts, and where
-    each stripe begins.  ``known``: the filter of phrases of k - 1 words that may be frequent; ``own``: that
-    of the phrases themselves, if there is one already.  ``made`` keeps the words' hashes for further levels."""
-    n_words = len(listed) + 1
-    if k == 1:
-        counts = np.bincount(ids, minlength=n_words)[1:]
-        return [""], listed, counts, np.array([0, len(listed)])
-    made = {} if made is None else made
-    if not made:
-        made["words"] = listed.to_pylist()
-        made["hashed"] = _word_hashes(lang, made["words"])[ids]
-    words = made["words"]
-    at, hashes = _places(ids, made["hashed"], k, known)
-    if own is not None:
-        at = at[_in_filter(own, hashes)]
+    return texts.mapInArrow(run, "lang string, n long, words binary, size int, ids binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, np.ndarray]]:
+    """Lang, joined words and ids of each group of coded texts."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.column(0)[i].as_py(), b.column(1)[i].as_py(), np.frombuffer(b.column(3)[i].as_buffer(), f"<u{b.column(2)[i].as_py()}")
+
+
+def _word_hashes(lang: str, words: bytes) -> np.ndarray:
+    """Hashes of a group's space-joined words by their numbers (0: no word)."""
+    data = np.frombuffer(words, np.uint8)
+    gaps = np.flatnonzero(data == 0x20)
+    starts, ends = np.append(0, gaps + 1), np.append(gaps, len(data))
+    size = ends - starts
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(size.max() + 1, _OF_BYTES))
+        place = np.arange(len(data)) - np.repeat(starts, np.append(size[:-1] + 1, size[-1]))
+        h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * (data != 0x20) * powers[place], starts)
+        h += np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+        h = (h ^ (h >> np.uint64(32))) * _MULTIPLIER
+    return np.append(np.uint64(0), h ^ (h >> np.uint64(29)))
+
+
+def _places(ids: np.ndarray, of_word: np.ndarray, filters: list[np.ndarray | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For k = 2, 3, ... up to one word more than ``filters`` has levels: where the phrases of ``k`` words begin that
+    pass their level's filter, if there is one, and all whose parts pass theirs; and their hashes (``None``: all pass)."""
+    passing = np.ones(len(of_word), bool) if filters[0] is None else _in_filter(filters[0], of_word)
+    passing[0] = False
+    may, h = passing[ids], of_word[ids]
+    for k in range(2, len(filters) + 2):
+        at = np.flatnonzero(may[:-1] & may[1:])
+        hashes = _chain(h[at], of_word[ids[at + k - 1]])
+        own = filters[k - 1] if k <= len(filters) else None
+        if own is not None:
+            hit = _in_filter(own, hashes)
+            at, hashes = at[hit], hashes[hit]
+        yield at, hashes
+        may = np.zeros(len(ids), bool)
+        may[at], h[at] = True, hashes
+
+
+def _added(columns: np.ndarray, n_words: int, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases as columns of word numbers below ``n_words``, equal ones added up (``counts``: each counts 1 without) and
+    sorted by number; their counts, and where each stripe begins: where the words before the last change."""
     # equal prefixes get equal numbers, one word at a time; sorting (prefix, next) makes the stripes
-    prefix = ids[at].astype(np.int64)
-    for j in range(1, k - 1):
-        _, prefix = np.unique(prefix * n_words + ids[at + j], return_inverse=True)
-    keys, first, counts = np.unique(prefix * n_words + ids[at + k - 1], return_index=True, return_counts=True)
-    starts = np.flatnonzero(np.diff(keys // n_words, prepend=-1))
-    heads = at[first[starts]]
-    columns = [ids[heads + j].tolist() for j in range(k - 1)]
-    prefixes = [" ".join([words[i - 1] for i in some]) for some in zip(*columns, strict=True)]
-    return prefixes, listed.take(pa.array(keys % n_words - 1)), counts, np.append(starts, len(keys))
+    prefix = np.zeros(columns.shape[1], np.int64)
+    for j, some in enumerate(columns[:-1]):
+        prefix = prefix * n_words + some
+        if j:
+            _, prefix = np.unique(prefix, return_inverse=True)
+    keys = prefix * n_words + columns[-1]
+    if counts is None:
+        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
+    else:
+        keys, first, same = np.unique(keys, return_index=True, return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, same, counts)
+        counts = sums
+    return columns[:, first], counts, np.flatnonzero(np.diff(keys // n_words, prepend=-1))
+
+
+class _Stripes:
+    """Entries of several groups of coded texts, added up before they are given out as stripes: the groups'
+    words get numbers of their own here, by lang."""
+
+    def __init__(self):
+        self.size, self.numbers, self.parts = 0, {}, {}
+
+    def add(self, lang: str, words: list[bytes], used: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """``found``: columns of a group's word numbers (from 1), all among ``used``, and their counts."""
+        numbers = self.numbers.setdefault(lang, {})
+        here = np.zeros(len(words) + 1, np.int32)
+        here[used] = [numbers.setdefault(words[i - 1], len(numbers)) for i in used.tolist()]
+        for columns, counts in found:
+            self.parts.setdefault((lang, len(columns)), []).append((here[columns], counts))
+            self.size += len(counts)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for (lang, k), some in self.parts.items():
+            words = list(self.numbers[lang])
+            columns, counts, starts = _added(np.concatenate([c for c, _ in some], axis=1), max(1, len(words)), np.concatenate([n for _, n in some]))
+            heads = [words_of_prefix.tolist() for words_of_prefix in columns[:-1, starts]]
+            prefixes = [b" ".join([words[i] for i in one]).decode() for one in zip(*heads, strict=True)] if k > 1 else [""] * len(starts)
+            edges = pa.array(np.append(starts, len(counts)), pa.int32())
+            each = pa.StructArray.from_arrays(
+                [pa.array(prefixes, pa.string()),
+                 pa.ListArray.from_arrays(edges, pa.array(words, pa.binary()).cast(pa.string()).take(pa.array(columns[-1]))),
+                 pa.ListArray.from_arrays(edges, pa.array(counts, pa.int64()))], ["prefix", "next", "n"])
+            for at in range(0, len(prefixes), ROW):
+                part = each.slice(at, ROW)
+                yield pa.record_batch([pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)], ["lang", "stripes"])
 
 
 def coded_stripes(coded: DataFrame, k: int, known: np.ndarray | None = None) -> DataFrame:
-    """Unmerged stripes of level ``k`` of coded texts: lang, and an array of (prefix, next words, their counts)."""
-    return _levels_of(coded, [(k, known, None)])
+    """Unmerged stripes of level ``k`` of coded texts: lang, and an array of (prefix, next words, their counts);
+    ``known``: the filter of phrases of k - 1 words that may be frequent."""
+    return _stripes_of(coded, [None] * (k - 2) + [known] if k > 1 else [None], k, k)
 
 
 def filtered_stripes(coded: DataFrame, filters: list[np.ndarray]) -> DataFrame:
-    """Unmerged stripes of the phrases that pass their level's filter (``filters``: of levels 1, 2, ...), from level 2 on."""
-    return _levels_of(coded, [(k, filters[k - 2], filters[k - 1]) for k in range(2, len(filters) + 1)])
+    """Unmerged stripes of all levels of the phrases that pass their level's filter (``filters``: of levels 1, 2, ...)."""
+    return _stripes_of(coded, filters, 1, len(filters))
 
 
-def _levels_of(coded: DataFrame, levels: list[tuple[int, np.ndarray | None, np.ndarray | None]]) -> DataFrame:
+def _stripes_of(coded: DataFrame, filters: list[np.ndarray | None], lowest: int, highest: int) -> DataFrame:
     spark = coded.sparkSession
     ship_package(spark)
-    held = spark.sparkContext.broadcast([(k, *(None if f is None else f.tobytes() for f in some)) for k, *some in levels])
+    held = spark.sparkContext.broadcast([None if f is None else f.tobytes() for f in filters])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = [(k, *(None if f is None else np.frombuffer(f, np.uint8) for f in some)) for k, *some in held.value]
-        for b in batches:
-            for i, (k, known, own) in product(range(b.num_rows), wanted):
-                made = made if k > wanted[0][0] else {}
-                lang, ids = b.column(0)[i].as_py(), np.frombuffer(b.column(2)[i].as_buffer(), "<i4")
-                prefixes, nexts, counts, starts = _stripes_of(lang, b.column(1)[i].values.cast(pa.string()), ids, k, known, own, made)
-                edges = pa.array(starts, pa.int32())
-                each = pa.StructArray.from_arrays(
-                    [pa.array(prefixes, pa.string()), pa.ListArray.from_arrays(edges, nexts),
-                     pa.ListArray.from_arrays(edges, pa.array(counts, pa.int64()))], ["prefix", "next", "n"])
-                for at in range(0, len(prefixes), ROW):
-                    some = each.slice(at, ROW)
-                    yield pa.record_batch([pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)],
-                                          ["lang", "stripes"])
-
-    return coded.mapInArrow(run, "lang string, stripes array<struct<prefix:string,next:array<string>,n:array<bigint>>>")
-
-
-def coded_hashes(coded: DataFrame, k: int, known: np.ndarray) -> DataFrame:
-    """Counts of phrases of ``k`` words of coded texts by 32 bits of their hash, lang included: h, n, not added up."""
+        filters = [None if f is None else np.frombuffer(f, np.uint8) for f in held.value]
+        made = _Stripes()
+        for lang, joined, ids in _groups(batches):
+            words, of_word, found = joined.split(b" "), _word_hashes(lang, joined), []
+            used = np.arange(1, len(of_word))
+            if filters[0] is not None:
+                used = used[_in_filter(filters[0], of_word[1:])]
+            if lowest == 1:
+                found.append((used[None, :], np.bincount(ids, minlength=len(of_word))[used]))
+            if highest > 1:
+                for k, (at, _) in zip(range(2, highest + 1), _places(ids, of_word, filters), strict=False):
+                    if k >= lowest:
+                        found.append(_added(np.stack([ids[at + j] for j in range(k)]), len(of_word))[:2])
+            made.add(lang, words, used, found)
+            if made.size >= ENTRIES:
+                yield from made.rows()
+                made = _Stripes()
+        yield from made.rows()
+
+    return coded.select("lang", "words", "size", "ids").mapInArrow(
+        run, "lang string, stripes array<struct<prefix:string,next:array<string>,n:array<bigint>>>")
+
+
+def coded_hashes(coded: DataFrame, filters: list[np.ndarray]) -> DataFrame:
+    """Counts of the next level's phrases of coded texts by 32 bits of their hash, lang included: h, n, added up
+    only within a task's groups.  ``filters``: of the levels below, from 1 on; none for words."""
     spark = coded.sparkSession
     ship_package(spark)
-    held = spark.sparkContext.broadcast(known.tobytes())
+    held = spark.sparkContext.broadcast([f.tobytes() for f in filters])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(held.value, np.uint8)
-        for b in batches:
-            for i in range(b.num_rows):
-                ids = np.frombuffer(b.column(2)[i].as_buffer(), "<i4")
-                hashed = _word_hashes(b.column(0)[i].as_py(), b.column(1)[i].as_py())[ids]
-                h, n = np.unique(_folded(_places(ids, hashed, k, bits)[1]), return_counts=True)
-                for at in range(0, len(h), HASH_ROWS):
-                    yield pa.record_batch([pa.array(h[at:at + HASH_ROWS].view(np.int32)), pa.array(n[at:at + HASH_ROWS], pa.int64())], ["h", "n"])
+    def counted(held_back: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        # an entry is a hash above a count, so that one sort brings equal hashes together
+        each = np.sort(np.concatenate(held_back))
+        h = (each >> np.uint64(32)).astype(np.uint32)
+        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        h, n = h[starts].view(np.int32), np.add.reduceat(each & np.uint64(0xFFFFFFFF), starts).astype(np.int64)
+        for at in range(0, len(h), HASH_ROWS):
+            yield pa.record_batch([pa.array(h[at:at + HASH_ROWS]), pa.array(n[at:at + HASH_ROWS])], ["h", "n"])
 
-    return coded.mapInArrow(run, "h int, n long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, held_back, size = [np.frombuffer(f, np.uint8) for f in held.value], [], 0
+        for lang, joined, ids in _groups(batches):
+            of_word = _word_hashes(lang, joined)
+            if filters:
+                *_, (_, hashes) = _places(ids, of_word, filters)
+                h, n = np.unique(_folded(hashes), return_counts=True)
+            else:
+                h, n = _folded(of_word[1:]), np.bincount(ids, minlength=len(of_word))[1:]
+            if len(h):
+                held_back.append(h.astype(np.uint64) << np.uint64(32) | n.astype(np.uint64))
+                size += len(h)
+            if size >= HASHES:
+                yield from counted(held_back)
+                held_back, size = [], 0
+        if held_back:
+            yield from counted(held_back)
+
+    return coded.select("lang", "words", "size", "ids").mapInArrow(run, "h int, n long")
 
 
 def stripes(docs: DataFrame, k: int, known: np.ndarray | None = None, group: int = GROUP) -> DataFrame:
@@ -248,19 +331,18 @@ def filter_of(phrases: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: dict[tuple[str, str], int] = {}
-            seeds: dict[str, int] = {}
-            out = []
+            by_lang: dict[str, list[list[bytes]]] = {}
             for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h = None
-                for w in phrase.split(" "):
-                    x = seen.get((lang, w))
-                    if x is None:
-                        if lang not in seeds:
-                            seeds[lang] = xxhash.xxh32_intdigest(lang.encode())
-                        x = seen[lang, w] = xxhash.xxh64_intdigest(w, seeds[lang])
-                    h = x if h is None else (h * int(_MULTIPLIER) + x) % (1 << 64)
-                out.append(h)
+                by_lang.setdefault(lang, []).append(phrase.encode().split(b" "))
+            out = []
+            for lang, some in by_lang.items():
+                words = list(dict.fromkeys(chain.from_iterable(some)))
+                hashed = dict(zip(words, _word_hashes(lang, b" ".join(words))[1:].tolist(), strict=True))
+                for phrase in some:
+                    h = hashed[phrase[0]]
+                    for w in phrase[1:]:
+                        h = (h * int(_MULTIPLIER) + hashed[w]) % (1 << 64)
+                    out.append(h)
             yield pa.record_batch([pa.array(_folded(np.array(out, np.uint64)).view(np.int32))], ["h"])
 
     return filter_of_hashes(phrases.select("lang", "phrase").mapInArrow(run, "h int"))
@@ -288,20 +370,16 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     """Each lang's ``top`` phrases of (text, lang) rows: lang, rank, phrase, a, l, r, n, score."""
     spark = docs.sparkSession
     coded = staged(coded_texts(docs, group), scratch(spark, "coded"))
-    words = staged(merge_stripes(coded_stripes(coded, 1)), scratch(spark, "stripes1"))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    entries = words.where(F.col("n") >= min_count).select("lang", F.lit(1).alias("k"), F.lit("").alias("prefix"), "phrase", "n")
+    totals = coded.groupBy("lang").agg(F.sum("n").alias("total"))
     # first by hash alone, level by level; then, in one pass, the phrases whose hash is frequent, counted exactly
-    filters = [filter_of(entries)]
-    while len(filters) < max_words and filters[-1].any():
-        sums = coded_hashes(coded, len(filters) + 1, filters[-1]).groupBy("h").agg(F.sum("n").alias("n"))
+    filters: list[np.ndarray] = []
+    while len(filters) < max_words and (not filters or filters[-1].any()):
+        sums = coded_hashes(coded, filters).groupBy("h").agg(F.sum("n").alias("n"))
         filters.append(filter_of_hashes(sums.where(F.col("n") >= min_count)))
-    known = entries
-    if len(filters) > 1:
-        merged = merge_stripes(filtered_stripes(coded, filters)).where(F.col("n") >= min_count)
-        spaces = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
-        known = known.unionByName(merged.withColumn("k", (spaces + 1).cast("int")).select(
-            "lang", "k", F.expr("substring_index(phrase, ' ', k - 1)").alias("prefix"), "phrase", "n"))
+    merged = merge_stripes(filtered_stripes(coded, filters)).where(F.col("n") >= min_count)
+    spaces = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
+    known = merged.withColumn("k", (spaces + 1).cast("int")).select(
+        "lang", "k", F.expr("substring_index(phrase, ' ', k - 1)").alias("prefix"), "phrase", "n")
     known = staged(known, scratch(spark, "phrases"))
 
     return ranked_phrases(known, totals, top, subsumed_percent)
