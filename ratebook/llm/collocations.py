@@ -49,8 +49,8 @@ SUBSUMED_PERCENT = 100      # a longer phrase with this share of the occurrences
 GROUP = 1 << 22             # characters of texts whose stripes are made together (one text at least)
 ROW = 4096                  # stripes in a row
 HASH_ROWS = 1 << 15         # rows of hashes in a batch
-HASHES = 1 << 21            # hashes that a task adds up before it gives them out
-ENTRIES = 1 << 20           # the same for entries of stripes
+HASHES = 1 << 20            # hashes that a task adds up before it gives them out
+ENTRIES = 1 << 19           # the same for entries of stripes
 FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB), a power of two
 UNKNOWN_LANG = "und"
 _BITMAP = 1 << 15           # bits of a bitmap aggregate

@@ -306,3 +306,32 @@ def test_rare_phrases_of_frequent_words_are_not_shuffled_as_texts(spark, monkeyp
     got = {r.phrase: (r.a, r.l, r.r) for r in collocations.collocations(df, min_count=100).collect()}
     assert got == {"alpha beta gamma": (120, 120, 120)}
     assert seen[0] >= 43 and sum(seen[1:]) < 30
+
+
+def test_groups_of_a_task_are_added_up_and_rare_words_stay_numbers(spark, monkeypatch):
+    """However many groups a task has, each frequent phrase leaves it once, and no rare word leaves it as text."""
+    texts = [f"alpha beta gamma. rare{k} " for k in range(120)]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").coalesce(1)
+    merge, seen = collocations.merge_stripes, []
+
+    def counted(parts):
+        seen.append(parts.select(F.explode("stripes").alias("s")).agg(F.sum(F.size("s.n"))).head()[0])
+        return merge(parts)
+
+    monkeypatch.setattr(collocations, "merge_stripes", counted)
+    got = {r.phrase: (r.a, r.l, r.r, r.n) for r in collocations.collocations(df, min_count=100, group=60).collect()}
+    assert got == {"alpha beta gamma": (120, 120, 120, 480)}
+    assert sum(seen) <= 6 + 2
+
+
+@pytest.mark.parametrize("held", [1, 7, 1 << 20])
+def test_many_words_and_small_runs_match_brute_force(spark, monkeypatch, held):
+    """More words in a group than two bytes number, and tasks that give out what they hold early."""
+    monkeypatch.setattr(collocations, "HASHES", held)
+    monkeypatch.setattr(collocations, "ENTRIES", held)
+    listed, ids, n = collocations._coded([" ".join(f"w{i}" for i in range(70_000)).encode(), b"", b". ;x Y"])
+    assert n == 70_002 and ids.max() == 70_002 and listed.split(b" ")[-2:] == [b"x", b"y"]
+    rows = [("en", " ".join(f"w{i}" for i in range(66_000)) + " a b c"), ("en", "a b c. w65999 a b"), (None, "a b, a b"), ("en", None)]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    got = collocations.collocations(df, min_count=2, group=1 << 20).collect()
+    assert sorted(map(tuple, got)) == brute_phrases(rows, 2, 2000) and got
