@@ -4,22 +4,27 @@ A stripe belongs to a (lang, prefix) and counts the words that follow the prefix
 stripes of prefixes of k - 1 words: level 1 (the empty prefix) counts words and gives each lang's
 total, level k >= 2 counts phrases of k words.  Texts are cut into words once, into a staged table of
 word numbers (two bytes each, unless a group has more words than that); every level reads that.  Tasks make
-stripes from groups of texts (a prefix with its next words and their counts as arrays, ``ROW`` stripes in a
-row) and Spark merges them elementwise: entry by entry, with map-side sums, so the stripe of a very frequent
-prefix is spread over all tasks and none is ever gathered whole.  Everything else is read from the merged
-stripes: an entry is the count of a phrase, the largest entry of a stripe tells whether its prefix is
+entries from groups of texts and Spark merges them elementwise: entry by entry, with map-side sums, so the
+stripe of a very frequent prefix is spread over all tasks and none is ever gathered whole.  As text, stripes are
+arrays (a prefix with its next words and their counts, ``ROW`` stripes in a row).  Everything else is read from
+the merged stripes: an entry is the count of a phrase, the largest entry of a stripe tells whether its prefix is
 subsumed by a word to the right, and the largest entry over all prefixes that begin with some word tells the
 same of a word to the left.  A phrase is subsumed by a longer one if and only if it is by one of one word
 more, since counts never rise with length.  (Rare words have no entry; the total is summed where texts are cut.)
 
-Levels are exact and pruned like frequent item sets: a phrase can reach ``min_count`` only if both
+Levels are complete and pruned like frequent item sets: a phrase can reach ``min_count`` only if both
 of its parts of one word less do, so level k looks only at places where they may.  What was frequent
 in the levels below is known to tasks as Bloom filters of a fixed number of bits (``FILTER_BITS``),
-whatever the corpus size; a false positive makes a stripe entry that falls short of ``min_count`` and
-goes, and nothing frequent is ever missed.  Most phrases of a level, and most words, are rare all the same, so
-levels are first counted by 32 bits of each phrase's hash, which cost the shuffle less than texts; equal
-hashes only add up.  Those that reach ``min_count`` are the next filter, and stripes with texts are made last,
-in one pass over all levels, of just the phrases that pass theirs.
+whatever the corpus size; a false positive makes an entry that falls short of ``min_count`` and
+goes, and nothing frequent is ever missed.  Most phrases of a level, and most words, are rare, so levels are
+counted by a fingerprint of each phrase and its lang: 64 bits of one hash and 31 of an unrelated one, which cost
+the shuffle less than texts (that any two of 10^10 phrases share one has odds of about 10^-9).  Each task gives
+out its phrases frequent or not, so their number follows the input, and what is added up is each phrase's count.
+
+Texts follow for frequent phrases only, and only from one part of the staged table each: the first that has the
+phrase (the smallest, in the sums).  If every task gave out every frequent phrase it has, tasks times frequent
+phrases would, since both grow with the input, grow with its square for as long as most of a task's phrases are
+rare.  Which part gives out which phrase is a Bloom filter too; a false positive only repeats a text.
 
 Text is cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and at spaces and tabs into words, A-Z lower-cased.
 Null or empty text has no words; a null lang is ``und`` (and counts with texts of that lang); repeated
@@ -59,6 +64,8 @@ _ENDS, _END = b".,;:!?\n\x0b\x0c\r", b"\xff"
 _BYTES = bytes.maketrans(_ENDS + b"\t" + UPPER.encode(), _END * len(_ENDS) + b" " + LOWER.encode())
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)      # odd: hashes of phrases are polynomials in it
 _OF_BYTES = np.uint64(0xC2B2AE3D27D4EB4F)        # odd: hashes of words are polynomials in it
+_PRIME = np.uint64((1 << 31) - 1)                # checks are polynomials modulo it: in the first number
+_CHECK_BYTES, _CHECK_WORDS = np.uint64(1_402_024_253), np.uint64(586_950_981)     # over bytes, in the second over words
 
 
 def _folded(hashes: np.ndarray) -> np.ndarray:
@@ -87,6 +94,15 @@ def _chain(first: np.ndarray, word: np.ndarray) -> np.ndarray:
         return first * _MULTIPLIER + word
 
 
+def _check_chain(first: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return (first * _CHECK_WORDS + word) % _PRIME
+
+
+def _in_part(hashes: np.ndarray, part: np.ndarray | int) -> np.ndarray:
+    """Hashes of phrases together with a part of the staged texts."""
+    return _chain(hashes, (np.asarray(part).astype(np.uint64) + np.uint64(1)) * _OF_BYTES)
+
+
 def _coded(texts: list[bytes]) -> tuple[bytes, np.ndarray, int]:
     """The distinct words of some texts, space-joined, in order each word's number in them from 1 (0: end of a
     piece), and how many words there are in all."""
@@ -134,18 +150,31 @@ def coded_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
                                               ["lang", "n", "words", "size", "ids"])
 
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"), "text").where("text IS NOT NULL")
-    return texts.mapInArrow(run, "lang string, n long, words binary, size int, ids binary")
+    return texts.mapInArrow(run, "lang string, n long, words binary, size int, ids binary").withColumn("part", F.spark_partition_id())
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, np.ndarray]]:
-    """Lang, joined words and ids of each group of coded texts."""
+def _coded_rows(coded: DataFrame) -> DataFrame:
+    return coded.select("lang", "words", "size", "ids", "part")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, np.ndarray, int]]:
+    """Lang, joined words, ids and part of each group of coded texts."""
     for b in batches:
         for i in range(b.num_rows):
-            yield b.column(0)[i].as_py(), b.column(1)[i].as_py(), np.frombuffer(b.column(3)[i].as_buffer(), f"<u{b.column(2)[i].as_py()}")
+            yield (b.column(0)[i].as_py(), b.column(1)[i].as_py(), np.frombuffer(b.column(3)[i].as_buffer(), f"<u{b.column(2)[i].as_py()}"),
+                   b.column(4)[i].as_py())
+
+
+def _powers(n: int) -> np.ndarray:
+    """The first powers of ``_CHECK_BYTES``, modulo ``_PRIME``."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.append(out, out * (out[-1] * _CHECK_BYTES % _PRIME) % _PRIME)
+    return out[:n]
 
 
-def _word_hashes(lang: str, words: bytes) -> np.ndarray:
-    """Hashes of a group's space-joined words by their numbers (0: no word)."""
+def _word_hashes(lang: str, words: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and checks of a group's space-joined words by their numbers (0: no word)."""
     data = np.frombuffer(words, np.uint8)
     gaps = np.flatnonzero(data == 0x20)
     starts, ends = np.append(0, gaps + 1), np.append(gaps, len(data))
@@ -153,10 +182,12 @@ def _word_hashes(lang: str, words: bytes) -> np.ndarray:
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.full(size.max() + 1, _OF_BYTES))
         place = np.arange(len(data)) - np.repeat(starts, np.append(size[:-1] + 1, size[-1]))
-        h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * (data != 0x20) * powers[place], starts)
+        values = (data.astype(np.uint64) + np.uint64(1)) * (data != 0x20)
+        h = np.add.reduceat(values * powers[place], starts)
         h += np.uint64(xxhash.xxh64_intdigest(lang.encode()))
         h = (h ^ (h >> np.uint64(32))) * _MULTIPLIER
-    return np.append(np.uint64(0), h ^ (h >> np.uint64(29)))
+        checks = (np.add.reduceat(values * _powers(len(powers))[place], starts) + np.uint64(xxhash.xxh32_intdigest(lang.encode()))) % _PRIME
+    return np.append(np.uint64(0), h ^ (h >> np.uint64(29))), np.append(np.uint64(0), checks)
 
 
 def _places(ids: np.ndarray, of_word: np.ndarray, filters: list[np.ndarray | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -235,75 +266,90 @@ def coded_stripes(coded: DataFrame, k: int, known: np.ndarray | None = None) ->
     return _stripes_of(coded, [None] * (k - 2) + [known] if k > 1 else [None], k, k)
 
 
-def filtered_stripes(coded: DataFrame, filters: list[np.ndarray]) -> DataFrame:
-    """Unmerged stripes of all levels of the phrases that pass their level's filter (``filters``: of levels 1, 2, ...)."""
-    return _stripes_of(coded, filters, 1, len(filters))
+def filtered_stripes(coded: DataFrame, filters: list[np.ndarray], givers: np.ndarray | None = None) -> DataFrame:
+    """Unmerged stripes of all levels of the phrases that pass their level's filter (``filters``: of levels 1, 2, ...),
+    in the parts that give them out (``givers``: the filter of hashes in parts)."""
+    return _stripes_of(coded, filters, 1, len(filters), givers)
 
 
-def _stripes_of(coded: DataFrame, filters: list[np.ndarray | None], lowest: int, highest: int) -> DataFrame:
+def _stripes_of(coded: DataFrame, filters: list[np.ndarray | None], lowest: int, highest: int, givers: np.ndarray | None = None) -> DataFrame:
     spark = coded.sparkSession
     ship_package(spark)
-    held = spark.sparkContext.broadcast([None if f is None else f.tobytes() for f in filters])
+    held = spark.sparkContext.broadcast([None if f is None else f.tobytes() for f in [givers, *filters]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [None if f is None else np.frombuffer(f, np.uint8) for f in held.value]
+        givers, *filters = [None if f is None else np.frombuffer(f, np.uint8) for f in held.value]
         made = _Stripes()
-        for lang, joined, ids in _groups(batches):
-            words, of_word, found = joined.split(b" "), _word_hashes(lang, joined), []
-            used = np.arange(1, len(of_word))
-            if filters[0] is not None:
-                used = used[_in_filter(filters[0], of_word[1:])]
+        for lang, joined, ids, part in _groups(batches):
+            words, (of_word, _), found = joined.split(b" "), _word_hashes(lang, joined), []
             if lowest == 1:
+                used = np.arange(1, len(of_word))
+                if filters[0] is not None:
+                    used = used[_in_filter(filters[0], of_word[1:])]
+                if givers is not None:
+                    used = used[_in_filter(givers, _in_part(of_word[used], part))]
                 found.append((used[None, :], np.bincount(ids, minlength=len(of_word))[used]))
             if highest > 1:
-                for k, (at, _) in zip(range(2, highest + 1), _places(ids, of_word, filters), strict=False):
+                for k, (at, hashes) in zip(range(2, highest + 1), _places(ids, of_word, filters), strict=False):
                     if k >= lowest:
+                        at = at if givers is None else at[_in_filter(givers, _in_part(hashes, part))]
                         found.append(_added(np.stack([ids[at + j] for j in range(k)]), len(of_word))[:2])
-            made.add(lang, words, used, found)
+            made.add(lang, words, np.unique(np.concatenate([c.ravel() for c, _ in found])), found)
             if made.size >= ENTRIES:
                 yield from made.rows()
                 made = _Stripes()
         yield from made.rows()
 
-    return coded.select("lang", "words", "size", "ids").mapInArrow(
+    return _coded_rows(coded).mapInArrow(
         run, "lang string, stripes array<struct<prefix:string,next:array<string>,n:array<bigint>>>")
 
 
 def coded_hashes(coded: DataFrame, filters: list[np.ndarray]) -> DataFrame:
-    """Counts of the next level's phrases of coded texts by 32 bits of their hash, lang included: h, n, added up
-    only within a task's groups.  ``filters``: of the levels below, from 1 on; none for words."""
+    """Counts of the next level's phrases of coded texts by fingerprint (hash and check, lang included), added up only
+    within a task's groups: h, c, n, part.  ``filters``: of the levels below, from 1 on; none for words."""
     spark = coded.sparkSession
     ship_package(spark)
     held = spark.sparkContext.broadcast([f.tobytes() for f in filters])
 
-    def counted(held_back: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        # an entry is a hash above a count, so that one sort brings equal hashes together
-        each = np.sort(np.concatenate(held_back))
-        h = (each >> np.uint64(32)).astype(np.uint32)
-        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        h, n = h[starts].view(np.int32), np.add.reduceat(each & np.uint64(0xFFFFFFFF), starts).astype(np.int64)
+    def added(h: np.ndarray, c: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # by hash alone: where equal hashes have several checks, a fingerprint may come again, and is added up later
+        order = np.argsort(h)
+        h, c = h[order], c[order]
+        starts = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
+        n = np.diff(starts, append=len(h)) if n is None else np.add.reduceat(n[order], starts)
+        return h[starts], c[starts], n
+
+    def counted(held_back: list[tuple[np.ndarray, np.ndarray, np.ndarray]], part: int) -> Iterator[pa.RecordBatch]:
+        h, c, n = added(*(np.concatenate(some) for some in zip(*held_back, strict=True)))
         for at in range(0, len(h), HASH_ROWS):
-            yield pa.record_batch([pa.array(h[at:at + HASH_ROWS]), pa.array(n[at:at + HASH_ROWS])], ["h", "n"])
+            some = slice(at, at + HASH_ROWS)
+            yield pa.record_batch([pa.array(h[some].view(np.int64)), pa.array(c[some]), pa.array(n[some]),
+                                   pa.array(np.full(len(h[some]), part, np.int32))], ["h", "c", "n", "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, held_back, size = [np.frombuffer(f, np.uint8) for f in held.value], [], 0
-        for lang, joined, ids in _groups(batches):
-            of_word = _word_hashes(lang, joined)
+        filters, held_back, size, last = [np.frombuffer(f, np.uint8) for f in held.value], [], 0, None
+        for lang, joined, ids, part in _groups(batches):
+            if held_back and (size >= HASHES or part != last):
+                yield from counted(held_back, last)
+                held_back, size = [], 0
+            last = part
+            of_word, checks = _word_hashes(lang, joined)
             if filters:
-                *_, (_, hashes) = _places(ids, of_word, filters)
-                h, n = np.unique(_folded(hashes), return_counts=True)
+                *_, (at, hashes) = _places(ids, of_word, filters)
+                if not len(at):
+                    continue
+                c = checks[ids[at]]
+                for j in range(1, len(filters) + 1):
+                    c = _check_chain(c, checks[ids[at + j]])
+                h, c, n = added(hashes, c.astype(np.int32))
             else:
-                h, n = _folded(of_word[1:]), np.bincount(ids, minlength=len(of_word))[1:]
-            if len(h):
-                held_back.append(h.astype(np.uint64) << np.uint64(32) | n.astype(np.uint64))
-                size += len(h)
-            if size >= HASHES:
-                yield from counted(held_back)
-                held_back, size = [], 0
+                h, c, n = of_word[1:], checks[1:].astype(np.int32), np.bincount(ids, minlength=len(of_word))[1:]
+            held_back.append((h, c, n))
+            size += len(h)
         if held_back:
-            yield from counted(held_back)
+            yield from counted(held_back, last)
 
-    return coded.select("lang", "words", "size", "ids").mapInArrow(run, "h int, n long")
+    return _coded_rows(coded).mapInArrow(run, "h long, c int, n long, part int")
 
 
 def stripes(docs: DataFrame, k: int, known: np.ndarray | None = None, group: int = GROUP) -> DataFrame:
@@ -325,39 +371,47 @@ def merge_stripes(parts: DataFrame) -> DataFrame:
         F.expr("substr(key, locate('\t', key) + 1)").alias("lang"), F.substring_index("key", "\t", 1).alias("phrase"), "n")
 
 
-def filter_of(phrases: DataFrame) -> np.ndarray:
-    """The Bloom filter of (lang, phrase) rows: ``FILTER_BITS`` bits on the driver, however many rows."""
+def fingerprints(phrases: DataFrame) -> DataFrame:
+    """(lang, phrase) rows with the phrases' fingerprints, hash ``h`` and check ``c``."""
     ship_package(phrases.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            by_lang: dict[str, list[list[bytes]]] = {}
-            for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by_lang.setdefault(lang, []).append(phrase.encode().split(b" "))
-            out = []
-            for lang, some in by_lang.items():
-                words = list(dict.fromkeys(chain.from_iterable(some)))
-                hashed = dict(zip(words, _word_hashes(lang, b" ".join(words))[1:].tolist(), strict=True))
-                for phrase in some:
-                    h = hashed[phrase[0]]
-                    for w in phrase[1:]:
-                        h = (h * int(_MULTIPLIER) + hashed[w]) % (1 << 64)
-                    out.append(h)
-            yield pa.record_batch([pa.array(_folded(np.array(out, np.uint64)).view(np.int32))], ["h"])
-
-    return filter_of_hashes(phrases.select("lang", "phrase").mapInArrow(run, "h int"))
+            each = [phrase.encode().split(b" ") for phrase in b.column(1).to_pylist()]
+            alike: dict[tuple[str, int], list[int]] = {}
+            for i, lang in enumerate(b.column(0).to_pylist()):
+                alike.setdefault((lang, len(each[i])), []).append(i)
+            h, c = np.zeros((2, len(each)), np.uint64)
+            for (lang, _), some in alike.items():
+                words = list(dict.fromkeys(chain.from_iterable(each[i] for i in some)))
+                numbers = {w: i for i, w in enumerate(words, 1)}
+                of_word, checks = _word_hashes(lang, b" ".join(words))
+                first, *others = np.array([[numbers[w] for w in each[i]] for i in some]).T
+                hashes, checked = of_word[first], checks[first]
+                for w in others:
+                    hashes, checked = _chain(hashes, of_word[w]), _check_chain(checked, checks[w])
+                h[some], c[some] = hashes, checked
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(h.view(np.int64)), pa.array(c.astype(np.int32))], ["lang", "phrase", "h", "c"])
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "lang string, phrase string, h long, c int")
+
+
+def filter_of(phrases: DataFrame) -> np.ndarray:
+    """The Bloom filter of (lang, phrase) rows: ``FILTER_BITS`` bits on the driver, however many rows."""
+    return filter_of_hashes(fingerprints(phrases).select("h"))
 
 
 def filter_of_hashes(hashes: DataFrame) -> np.ndarray:
-    """The Bloom filter of folded hashes ``h``."""
+    """The Bloom filter of hashes, the first column, or of hashes in the parts that the second names."""
     ship_package(hashes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = _positions(b.column(0).to_numpy().view(np.uint32)).ravel()
+            h = b.column(0).to_numpy().view(np.uint64)
+            at = _positions(_folded(h if b.num_columns == 1 else _in_part(h, b.column(1).to_numpy()))).ravel()
             yield pa.record_batch([pa.array(at // _BITMAP, pa.int64()), pa.array(at % _BITMAP, pa.int64())], ["bucket", "bit"])
 
-    bits = hashes.select("h").mapInArrow(run, "bucket long, bit long")
+    bits = hashes.mapInArrow(run, "bucket long, bit long")
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
         raw = np.frombuffer(bytes(r["bits"]), np.uint8)
@@ -371,14 +425,17 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     spark = docs.sparkSession
     coded = staged(coded_texts(docs, group), scratch(spark, "coded"))
     totals = coded.groupBy("lang").agg(F.sum("n").alias("total"))
-    # first by hash alone, level by level; then, in one pass, the phrases whose hash is frequent, counted exactly
+    # first by fingerprint alone, level by level; then, in one pass, the texts of the frequent ones, from one part each
     filters: list[np.ndarray] = []
+    frequent: DataFrame | None = None
     while len(filters) < max_words and (not filters or filters[-1].any()):
-        sums = coded_hashes(coded, filters).groupBy("h").agg(F.sum("n").alias("n"))
-        filters.append(filter_of_hashes(sums.where(F.col("n") >= min_count)))
-    merged = merge_stripes(filtered_stripes(coded, filters)).where(F.col("n") >= min_count)
+        sums = coded_hashes(coded, filters).groupBy("h", "c").agg(F.sum("n").alias("n"), F.min("part").alias("part")).where(F.col("n") >= min_count)
+        level = staged(sums.withColumn("k", F.lit(len(filters) + 1)), scratch(spark, "frequent"))
+        filters.append(filter_of_hashes(level.select("h")))
+        frequent = level if frequent is None else frequent.unionByName(level)
+    texts = merge_stripes(filtered_stripes(coded, filters, filter_of_hashes(frequent.select("h", "part"))))
     spaces = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
-    known = merged.withColumn("k", (spaces + 1).cast("int")).select(
+    known = fingerprints(texts).withColumn("k", (spaces + 1).cast("int")).join(frequent, ["h", "c", "k"]).select(
         "lang", "k", F.expr("substring_index(phrase, ' ', k - 1)").alias("prefix"), "phrase", "n")
     known = staged(known, scratch(spark, "phrases"))
 

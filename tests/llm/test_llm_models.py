@@ -335,3 +335,47 @@ def test_many_words_and_small_runs_match_brute_force(spark, monkeypatch, held):
     df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
     got = collocations.collocations(df, min_count=2, group=1 << 20).collect()
     assert sorted(map(tuple, got)) == brute_phrases(rows, 2, 2000) and got
+
+
+def test_texts_of_frequent_phrases_come_from_one_part_each(spark, monkeypatch):
+    """However many tasks have a frequent phrase, its text leaves one of them, with its count over all."""
+    texts = [f"alpha beta gamma. rare{k}" for k in range(160)]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(8)
+    merge, seen = collocations.merge_stripes, []
+
+    def counted(parts):
+        seen.append(parts.select(F.explode("stripes").alias("s")).agg(F.sum(F.size("s.n"))).head()[0])
+        return merge(parts)
+
+    monkeypatch.setattr(collocations, "merge_stripes", counted)
+    got = {r.phrase: (r.a, r.l, r.r, r.n) for r in collocations.collocations(df, min_count=100).collect()}
+    assert got == {"alpha beta gamma": (160, 160, 160, 640)}
+    assert 6 <= sum(seen) <= 6 + 2
+
+
+def test_equal_hashes_are_told_apart_by_checks(spark, monkeypatch):
+    """With one hash for all words, and so for all phrases of a length, counts are right all the same."""
+    hashed = collocations._word_hashes
+
+    def alike(lang, words):
+        h, checks = hashed(lang, words)
+        return np.where(np.arange(len(h)) > 0, np.uint64(7), np.uint64(0)), checks
+
+    monkeypatch.setattr(collocations, "_word_hashes", alike)
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["en", "de", None]), " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(30)))) for _ in range(40)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = collocations.collocations(df, min_count=3, group=100).collect()
+    assert sorted(map(tuple, got)) == brute_phrases(rows, 3, 2000) and got
+
+
+def test_fingerprints_of_rows_are_those_of_texts(spark):
+    df = spark.createDataFrame([("en", "a B ü. 日本 x\x1cy a"), ("de", "a b"), (None, "a b")], "lang string, text string").repartition(2)
+    coded = collocations.coded_texts(df)
+    every = np.full(collocations.FILTER_BITS // 8, 255, np.uint8)
+    for k in range(1, 4):
+        parts = collocations.coded_stripes(coded, k, None if k == 1 else every)
+        rows = collocations.fingerprints(collocations.merge_stripes(parts)).collect()
+        of_texts = collocations.coded_hashes(coded, [every] * (k - 1)).collect()
+        assert sorted((r.h, r.c) for r in rows) == sorted((r.h, r.c) for r in of_texts)
+        assert len({(r.h, r.c) for r in rows}) == len(rows) == {1: 9, 2: 6, 3: 2}[k]
