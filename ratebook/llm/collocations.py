@@ -55,7 +55,7 @@ GROUP = 1 << 22             # characters of texts whose stripes are made togethe
 ROW = 4096                  # stripes in a row
 HASH_ROWS = 1 << 15         # rows of hashes in a batch
 HASHES = 1 << 20            # hashes that a task adds up before it gives them out
-ENTRIES = 1 << 19           # the same for entries of stripes
+ENTRIES = 1 << 19           # the same for entries of stripes; half as many stay
 FILTER_BITS = 1 << 26       # bits of a level's filter (8 MB), a power of two
 UNKNOWN_LANG = "und"
 _BITMAP = 1 << 15           # bits of a bitmap aggregate
@@ -244,6 +244,12 @@ class _Stripes:
             self.parts.setdefault((lang, len(columns)), []).append((here[columns], counts))
             self.size += len(counts)
 
+    def add_up(self) -> None:
+        for (lang, k), some in self.parts.items():
+            columns, counts, _ = _added(np.concatenate([c for c, _ in some], axis=1), max(1, len(self.numbers[lang])), np.concatenate([n for _, n in some]))
+            self.parts[lang, k] = [(columns, counts)]
+        self.size = sum(len(counts) for some in self.parts.values() for _, counts in some)
+
     def rows(self) -> Iterator[pa.RecordBatch]:
         for (lang, k), some in self.parts.items():
             words = list(self.numbers[lang])
@@ -296,8 +302,10 @@ def _stripes_of(coded: DataFrame, filters: list[np.ndarray | None], lowest: int,
                         found.append(_added(np.stack([ids[at + j] for j in range(k)]), len(of_word))[:2])
             made.add(lang, words, np.unique(np.concatenate([c.ravel() for c, _ in found])), found)
             if made.size >= ENTRIES:
-                yield from made.rows()
-                made = _Stripes()
+                made.add_up()
+                if made.size >= ENTRIES // 2:
+                    yield from made.rows()
+                    made = _Stripes()
         yield from made.rows()
 
     return _coded_rows(coded).mapInArrow(

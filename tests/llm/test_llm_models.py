@@ -379,3 +379,20 @@ def test_fingerprints_of_rows_are_those_of_texts(spark):
         of_texts = collocations.coded_hashes(coded, [every] * (k - 1)).collect()
         assert sorted((r.h, r.c) for r in rows) == sorted((r.h, r.c) for r in of_texts)
         assert len({(r.h, r.c) for r in rows}) == len(rows) == {1: 9, 2: 6, 3: 2}[k]
+
+
+def test_entries_that_add_up_to_few_stay_in_the_task(spark, monkeypatch):
+    """A task that holds as many entries as it may adds them up first, and gives each out once if they are few then."""
+    texts = [f"alpha beta gamma. rare{k} " for k in range(120)]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").coalesce(1)
+    merge, seen = collocations.merge_stripes, []
+
+    def counted(parts):
+        seen.append(parts.select(F.explode("stripes").alias("s")).agg(F.sum(F.size("s.n"))).head()[0])
+        return merge(parts)
+
+    monkeypatch.setattr(collocations, "merge_stripes", counted)
+    monkeypatch.setattr(collocations, "ENTRIES", 20)
+    got = {r.phrase: (r.a, r.l, r.r, r.n) for r in collocations.collocations(df, min_count=100, group=60).collect()}
+    assert got == {"alpha beta gamma": (120, 120, 120, 480)}
+    assert sum(seen) <= 6 + 2
